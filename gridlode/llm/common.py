@@ -39,3 +39,14 @@ def text_or_empty(name: str = "text") -> Column:
 def crc_mod(name: str, n: int) -> Column:
     """crc32 of the value as text, modulo n (a null value counts as the empty text)."""
     return F.crc32(F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary")) % n
+
+
+def kept(name: str, make):
+    """What a Python worker keeps from task to task under a name (a cache that is cheap to lose)."""
+    import sys
+    import types
+
+    holder = sys.modules.setdefault("_gridlode_kept", types.ModuleType("_gridlode_kept"))
+    if not hasattr(holder, name):
+        setattr(holder, name, make())
+    return getattr(holder, name)
