@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from gridlode.llm import sharding
+from gridlode.llm import bagminhash, packing, sharding
 
 QUERIES = {
+    "op4_bagminhash": bagminhash.query,
+    "op7_packing": packing.query,
     "op8_sharding": sharding.query,
 }
 
