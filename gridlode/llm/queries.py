@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from gridlode.llm import bagminhash, packing, sharding
+from gridlode.llm import bagminhash, decontamination, packing, pii, sharding, toxicity
 
 QUERIES = {
+    "op1_pii": pii.query,
+    "op3_toxicity": toxicity.query,
     "op4_bagminhash": bagminhash.query,
     "op7_packing": packing.query,
     "op8_sharding": sharding.query,
+    "op10_decontamination": decontamination.query,
 }
 
 ORACLE = {
