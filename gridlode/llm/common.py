@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,3 +51,15 @@ def kept(name: str, make):
     if not hasattr(holder, name):
         setattr(holder, name, make())
     return getattr(holder, name)
+
+
+def shared(spark: SparkSession, value):
+    """Broadcast a value; the function that is returned gives it back, on workers without the package too."""
+    data = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def get():
+        from pyspark import cloudpickle
+
+        return cloudpickle.loads(data.value)
+
+    return get

@@ -35,6 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridlode.llm.common import shared
 from gridlode.llm.shingles import mix
 
 SIMILARITY = 0.8
@@ -201,17 +202,17 @@ class Benchmark:
         end_of = np.repeat(ends.astype(np.int32), sizes + 1)
         known = sequence > PAD
         both = np.flatnonzero(known[:-1] & known[1:])
-        shared = np.zeros(len(sequence) + 1, np.int32)
-        shared[both[self.pairs[pair_code(sequence[both], sequence[both + 1], PAIR_BITS)]] + 1] = 1
-        shared = np.cumsum(shared, dtype=np.int32)  # pairs that begin before each position
+        pairs = np.zeros(len(sequence) + 1, np.int32)
+        pairs[both[self.pairs[pair_code(sequence[both], sequence[both + 1], PAIR_BITS)]] + 1] = 1
+        begun = np.cumsum(pairs, dtype=np.int32)  # pairs that begin before each position
         if not self.classes:
             return []
         most, least = max(c.high for c in self.classes), min(c.need for c in self.classes)
         at = np.arange(len(sequence), dtype=np.int32)
-        at = np.flatnonzero(shared[np.minimum(at + np.int32(most - 1), end_of)] - shared[:-1] >= least)
+        at = np.flatnonzero(begun[np.minimum(at + np.int32(most - 1), end_of)] - begun[:-1] >= least)
         found: dict[tuple[int, int], tuple[int, int]] = {}
         for c in self.classes:
-            start = at[shared[np.minimum(at + c.high - 1, end_of[at])] - shared[at] >= c.need]
+            start = at[begun[np.minimum(at + c.high - 1, end_of[at])] - begun[at] >= c.need]
             if not len(start):
                 continue
             window, member = c.candidates(c.walk_at(sequence, start, end_of[start].astype(np.int64), self.bits))
@@ -276,15 +277,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     out = spark.createDataFrame([], schema)
     for block in blocks(benchmark):
-        bench = spark.sparkContext.broadcast(Benchmark(block, similarity, recall))
+        bench_of = shared(spark, Benchmark(block, similarity, recall))
 
-        def run(batches: Iterator[pa.RecordBatch], bench=bench) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], bench_of=bench_of) -> Iterator[pa.RecordBatch]:
+            bench = bench_of()
             for batch in batches:
                 for begin, _, split in _texts(batch, 1):
-                    got = bench.value.find(split)
+                    got = bench.find(split)
                     doc = batch.column(0).take(pa.array([begin + t for t, _, _, _ in got], pa.int64()))
                     yield pa.RecordBatch.from_arrays(
-                        [doc, pa.array([int(bench.value.ids[i]) for _, i, _, _ in got], pa.int64()), pa.array([d for _, _, d, _ in got], pa.int32()), pa.array([p for _, _, _, p in got], pa.int64())],
+                        [doc, pa.array([int(bench.ids[i]) for _, i, _, _ in got], pa.int64()), pa.array([d for _, _, d, _ in got], pa.int32()), pa.array([p for _, _, _, p in got], pa.int64())],
                         ["doc_id", "item_id", "distance", "first_word"],
                     )
 
@@ -295,14 +297,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
 def clean(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """The rows of docs, all columns, whose text contains no item."""
     for block in blocks(benchmark):
-        bench = docs.sparkSession.sparkContext.broadcast(Benchmark(block, similarity, recall))
+        bench_of = shared(docs.sparkSession, Benchmark(block, similarity, recall))
         column = docs.columns.index("text")
 
-        def run(batches: Iterator[pa.RecordBatch], bench=bench, column=column) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], bench_of=bench_of, column=column) -> Iterator[pa.RecordBatch]:
+            bench = bench_of()
             for batch in batches:
                 keep = np.ones(len(batch), bool)
                 for begin, _, split in _texts(batch, column):
-                    for t, _, _, _ in bench.value.find(split):
+                    for t, _, _, _ in bench.find(split):
                         keep[begin + t] = False
                 yield batch.filter(pa.array(keep))
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlode.llm.common import kept
+from gridlode.llm.common import kept, shared
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 OUT = 0  # label of other words; kind k has label k + 1
@@ -191,6 +191,7 @@ class Crf:
 
     def __init__(self, table: list[tuple[list[str], list[int]]], epochs: int = 14, rate: float = 0.08, decay: float = 1e-4) -> None:
         self.names = {f: n for n, f in enumerate(dict.fromkeys(f for words, _ in table for w in words for f in features(w)))}
+        self.stamp = hashlib.sha256(repr((table, epochs, rate, decay)).encode()).hexdigest()[:16]
         n, k = len(self.names), len(KINDS) + 1
         self.emit, self.move = np.zeros((3, n + 1, k)), np.zeros((k, k))  # feature n: beyond the line's ends
         rows = [([[n], *([self.names[f] for f in features(w)] for w in words), [n]], np.array(labels)) for words, labels in table]
@@ -363,10 +364,10 @@ def chunks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[str]]
 
 def find(docs: DataFrame, crf: Crf) -> DataFrame:
     """doc_id, numbers of base spans by kind, base_sha256 and spans."""
-    shared = docs.sparkSession.sparkContext.broadcast(crf)
+    crf_of, stamp = shared(docs.sparkSession, crf), crf.stamp
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = kept("word_types", shared.value.types)
+        types = kept(f"types {stamp}", lambda: crf_of().types())
         for batch in batches:
             for begin, texts in chunks(batch, 1):
                 got = all_spans(texts, types)
@@ -393,12 +394,12 @@ def redacted(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 def redact(docs: DataFrame, crf: Crf) -> DataFrame:
     """docs with personal data replaced in text, n_chars following, all other columns as they are."""
-    shared = docs.sparkSession.sparkContext.broadcast(crf)
+    crf_of, stamp = shared(docs.sparkSession, crf), crf.stamp
     at = docs.columns.index("text")
     length = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = kept("word_types", shared.value.types)
+        types = kept(f"types {stamp}", lambda: crf_of().types())
         for batch in batches:
             for begin, texts in chunks(batch, at):
                 part = batch.slice(begin, len(texts))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlode.llm.common import crc_mod, kept
+from gridlode.llm.common import crc_mod, shared
 
 FIT_ROWS = 8_000
 FOLDS = 4
@@ -261,13 +261,14 @@ def _chunks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[str]
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score, predicted."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    model_of = shared(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = shared.value.kinds()
+        model = model_of()
+        kinds = model.kinds()
         for batch in batches:
             for begin, texts in _chunks(batch, 2):
-                got = shared.value.scores(texts, kinds)
+                got = model.scores(texts, kinds)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(begin, len(texts)), batch.column(1).slice(begin, len(texts)), pa.array(got), pa.array((got >= THRESHOLD).astype(np.int32))],
                     ["doc_id", "held_out", "score", "predicted"],
@@ -279,14 +280,15 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of docs, all columns, that are not predicted toxic."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    model_of = shared(docs.sparkSession, model)
     column = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = shared.value.kinds()
+        model = model_of()
+        kinds = model.kinds()
         for batch in batches:
             for begin, texts in _chunks(batch, column):
-                yield batch.slice(begin, len(texts)).filter(pa.array(shared.value.scores(texts, kinds) < THRESHOLD))
+                yield batch.slice(begin, len(texts)).filter(pa.array(model.scores(texts, kinds) < THRESHOLD))
 
     return docs.mapInArrow(run, docs.schema)
 
