@@ -11,10 +11,10 @@ process ends once its time is past the latest of the signature, so large bags
 need about one point a shingle.
 
 Different texts are banded. Buckets up to SMALL members give all their pairs;
-in larger ones each member meets the bucket's pivot, and further pivots as long
-as the bucket falls into several components; what is still apart after ROUNDS
-pivots is compared in full unless the signatures are too far apart, so no
-bucket is capped. Pairs are verified on the shingles themselves. Classes are
+in larger ones each member meets the bucket's pivot, another one for each band,
+and a further pivot while the bucket falls into several components; what is
+still apart in round ROUNDS is compared in full unless the signatures are too
+far apart, so no bucket is capped. Pairs are verified on the shingles themselves. Classes are
 the connected components of verified pairs.
 
 Defined cases: a null text counts as empty; texts that are equal but for case
@@ -40,7 +40,7 @@ from gridlode.llm.shingles import Words, bags, mix, occurrences, shingle
 SIMILARITY = 0.8
 BANDS, ROWS = 26, 5
 SMALL = 8
-ROUNDS = 4
+ROUNDS = 2
 SURELY_LESS = 0.6  # of the signature: at a similarity of 0.8 it is lower once in about 10^7 pairs
 CHUNK = 1 << 23  # characters handled at once
 
@@ -62,10 +62,10 @@ def signatures(owner: np.ndarray, found: np.ndarray, weights: np.ndarray, docs:
     key = mix(found[at] + (block.astype(np.uint64) + np.uint64(1)) * _B)
     doc, weight, time = owner[at], weights[at], np.zeros(len(at))
     latest = np.full(docs, np.inf)
-    step = np.uint64(0)
+    step = 0
     while len(key):
-        step += np.uint64(1)
-        draw = mix(key + step * _A)
+        step += 1
+        draw = mix(key + np.uint64(step * int(_A) % 2**64))
         time = time - np.log(_uniform(draw)) / width
         alive = time < latest[doc]
         key, draw, time, doc, weight, low, width = (x[alive] for x in (key, draw, time, doc, weight, low, width))
@@ -163,12 +163,12 @@ class Duplicates:
         self.signed = written(texts.mapInArrow(_signed, "doc_id long, node binary, bands array<long>, sig binary"))
         self.nodes = written(self.signed.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("sig").alias("sig")))
         keyed = self.nodes.select("node", F.explode("bands").alias("key"))
-        shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("pivot")).where("n > 1")
+        shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node", "key"), "node"))["node"].alias("pivot")).where("n > 1")
         self.members = written(keyed.join(shared, "key"))
         wanted = self.nodes.join(self.members.select("node").distinct(), "node", "left_semi").select("node", "doc_id")
         bags_ = texts.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(_shingled, "node binary, bag binary")
         self.bags = written(bags_.join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.first("bag").alias("bag")))
-        self.links = self._linked()
+        self.links, self.labels = self._linked()
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
         a = self.bags.select(F.col("node").alias("a"), F.col("bag").alias("x"))
@@ -176,45 +176,42 @@ class Duplicates:
         both = pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y")
         return both.mapInArrow(_similarity, "a binary, b binary, similarity double").where(F.col("similarity") >= self.similarity)
 
-    def _linked(self) -> DataFrame:
+    def _linked(self) -> tuple[DataFrame, DataFrame]:
+        """Verified links, and the label of each linked node."""
         small = self.members.where(F.col("n") <= SMALL).select("key", "node")
         pairs = small.select("key", F.col("node").alias("a")).join(small.select("key", F.col("node").alias("b")), "key").where("a < b").select("a", "b")
         large = self.members.where(F.col("n") > SMALL).select("key", "node", "pivot")
         star = large.select(F.col("node").alias("a"), F.col("pivot").alias("b"))
         links = written(self._verified(_ordered(pairs.unionByName(star))))
         for turn in range(1, ROUNDS + 1):
-            apart = self._apart(large, links)
+            labels = written(components(links.select("a", "b")))
+            apart = self._apart(large, labels)
             if apart.isEmpty():
-                return links
+                return links, labels
             if turn < ROUNDS:
-                # the pivot comes from the smallest component label, then the next, so that later rounds reach others
-                order = F.struct(F.xxhash64("node", F.lit(turn)), "node", "label")
-                pivots = apart.groupBy("key").agg(F.min(order).alias("p"))
-                met = apart.join(pivots, "key").where(F.col("label") != F.col("p.label"))
-                pairs = met.select(F.col("node").alias("a"), F.col("p.node").alias("b"))
+                pivots = apart.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", "key", F.lit(turn)), "node", "label")).alias("p"))
+                pairs = apart.join(pivots, "key").where(F.col("label") != F.col("p.label")).select(F.col("node").alias("a"), F.col("p.node").alias("b"))
             else:
                 x, y = apart.select("key", F.col("node").alias("a"), F.col("label").alias("la")), apart.select("key", F.col("node").alias("b"), F.col("label").alias("lb"))
                 pairs = x.join(y, "key").where("a < b and la != lb").select("a", "b")
             links = written(links.unionByName(self._verified(self._near(_ordered(pairs)))))
-        return links
+        return links, written(components(links.select("a", "b")))
 
     def _near(self, pairs: DataFrame) -> DataFrame:
         sig = self.nodes.select("node", "sig")
         both = pairs.join(sig.select(F.col("node").alias("a"), F.col("sig").alias("x")), "a").join(sig.select(F.col("node").alias("b"), F.col("sig").alias("y")), "b")
         return both.select("a", "b", "x", "y").mapInArrow(_alike, "a binary, b binary")
 
-    def _apart(self, large: DataFrame, links: DataFrame) -> DataFrame:
+    def _apart(self, large: DataFrame, labels: DataFrame) -> DataFrame:
         """Members of the large buckets that hold more than one component, with their labels."""
-        labels = components(links.select("a", "b"))
         labelled = large.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
         several = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi")
         return written(labelled.join(several.select("key"), "key"))
 
     def classes(self) -> DataFrame:
         """doc_id, class_id (the smallest doc_id of the class) for each row."""
-        labels = components(self.links.select("a", "b"))
         label = F.coalesce("label", "node")
-        nodes = self.nodes.select("node", "doc_id").join(labels, "node", "left").select("node", "doc_id", label.alias("label"))
+        nodes = self.nodes.select("node", "doc_id").join(self.labels, "node", "left").select("node", "doc_id", label.alias("label"))
         first = nodes.groupBy("label").agg(F.min("doc_id").alias("class_id"))
         of_node = nodes.join(first, "label").select("node", "class_id")
         return self.signed.select("doc_id", "node").join(of_node, "node").select("doc_id", "class_id")

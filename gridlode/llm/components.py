@@ -23,12 +23,13 @@ def components(edges: DataFrame) -> DataFrame:
         if state == seen:
             break
         seen = state
-        both = at.unionByName(at.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        # each star deals its edges out once: minimum and join find them in place
+        both = at.unionByName(at.select(F.col("v").alias("u"), F.col("u").alias("v"))).repartition("u")
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+        large = both.where("v > u").join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        down = large.repartition("u").distinct()
         low = down.groupBy("u").agg(F.min("v").alias("m"))
-        hooked = down.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
-        at = written(hooked.unionByName(low.select("u", F.col("m").alias("v"))).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+        hooked = down.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        at = written(hooked.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
     ends = at.select(F.col("u").alias("node"), F.col("v").alias("label"))
     return ends.unionByName(at.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from gridlode.llm import bagminhash, decontamination, packing, pii, sharding, toxicity
+from gridlode.llm import bagminhash, decontamination, html_text, language_model, neighbours, packing, pii, sharding, toxicity, url_rules
 
 QUERIES = {
     "op1_pii": pii.query,
     "op3_toxicity": toxicity.query,
+    "op2_html_text": html_text.query,
     "op4_bagminhash": bagminhash.query,
+    "op5_url_rules": url_rules.query,
+    "op6_neighbours": neighbours.query,
     "op7_packing": packing.query,
     "op8_sharding": sharding.query,
+    "op9_language_model": language_model.query,
     "op10_decontamination": decontamination.query,
 }
 
