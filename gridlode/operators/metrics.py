@@ -11,7 +11,6 @@ from pyspark.sql.window import Window
 from gridlode.functions.schemas import EXPORT_METRICS, FAMILIES
 from gridlode.functions.text import filled, metric_family
 from gridlode.functions.values import iso_date
-from gridlode.operators.ambiguity import exact_sum
 
 WINDOWS = (3, 6, 12)
 RANGES = 64
@@ -34,34 +33,33 @@ def stats(parsed: DataFrame) -> DataFrame:
     )
 
 
-def node_sums(parsed: DataFrame, as_of: datetime.date | None = None) -> DataFrame:
-    """Everything about a node that needs no other node."""
+def node_sums(parsed: DataFrame, as_of: datetime.date | DataFrame | None = None) -> DataFrame:
+    """Everything about a node that needs no other node; as_of is a date, or one row of it, or taken from the records."""
     rows = dated(parsed.where(filled(F.col("canonical_node_id")).isNotNull()))
-    if as_of is None:
-        rows = rows.crossJoin(F.broadcast(default_as_of(parsed)))  # one row
-    else:
+    if isinstance(as_of, datetime.date):
         rows = rows.withColumn("as_of", F.lit(as_of))
+    else:
+        rows = rows.crossJoin(F.broadcast(default_as_of(parsed) if as_of is None else as_of))  # one row
+    age = F.when(F.col("_date") <= F.col("as_of"), F.lit(99))  # months of the narrowest window that holds the date
+    for months in reversed(WINDOWS):
+        age = F.when(F.col("_date").between(F.add_months("as_of", -months), F.col("as_of")), months).otherwise(age)
     rows = rows.select(
-        "canonical_node_id", "needs_review", "confidence", "as_of", "_date",
-        metric_family(F.col("activity_type")).alias("_family"), (F.coalesce("requested_power_kw", F.lit(0.0)) / 1000).alias("_mw"),
+        "canonical_node_id", F.coalesce("needs_review", F.lit(False)).cast("int").alias("_review"), F.col("confidence").cast("decimal(28,6)").alias("_sure"),
+        metric_family(F.col("activity_type")).alias("_family"), F.coalesce(age, F.lit(99)).alias("_age"), (F.coalesce("requested_power_kw", F.lit(0.0)) / 1000).cast("decimal(28,6)").alias("_mw"),
     )
-
-    def inside(family: str, months: int) -> Column:
-        return (F.col("_family") == family) & F.col("_date").between(F.add_months("as_of", -months), F.col("as_of"))
-
-    def mw(keep: Column) -> Column:
-        return F.coalesce(exact_sum(F.when(keep, F.col("_mw"))), F.lit(0.0))
-
-    def many(keep: Column) -> Column:
-        return F.count_if(F.coalesce(keep, F.lit(False))).cast("int")
-
-    sums = rows.groupBy("canonical_node_id").agg(
-        *(mw(F.col("_family") == f).alias(f"{f}_mw") for f in (*FAMILIES, "other")),
-        *(many(F.col("_family") == f).alias(f"{f}_tu_count") for f in (*FAMILIES, "other")),
-        *(mw(inside(f, m)).alias(f"{f}_{m}m_mw") for f in FAMILIES for m in WINDOWS),
-        *(many(inside(f, m)).alias(f"{f}_tu_{m}m_count") for f in FAMILIES for m in (3, 12)),
-        many(F.col("needs_review")).alias("review_count"),
-        (100 * exact_sum(F.col("confidence")) / F.count(F.lit(1))).alias("data_confidence"),
+    # a row for each node, family and window first: few rows then take the many conditional sums
+    parts = rows.groupBy("canonical_node_id", "_family", "_age").agg(F.sum("_mw").alias("_mw"), F.count("*").alias("_n"), F.sum("_review").alias("_review"), F.sum("_sure").alias("_sure"))
+
+    def total(what: str, family: str, months: int = 99) -> Column:
+        return F.coalesce(F.sum(F.when((F.col("_family") == family) & (F.col("_age") <= months), F.col(what))), F.lit(0))
+
+    sums = parts.groupBy("canonical_node_id").agg(
+        *(total("_mw", f).cast("double").alias(f"{f}_mw") for f in (*FAMILIES, "other")),
+        *(total("_n", f).cast("int").alias(f"{f}_tu_count") for f in (*FAMILIES, "other")),
+        *(total("_mw", f, m).cast("double").alias(f"{f}_{m}m_mw") for f in FAMILIES for m in WINDOWS),
+        *(total("_n", f, m).cast("int").alias(f"{f}_tu_{m}m_count") for f in FAMILIES for m in (3, 12)),
+        F.sum("_review").cast("int").alias("review_count"),
+        (100 * F.sum("_sure").cast("double") / F.sum("_n")).alias("data_confidence"),
     )
     all_mw = F.col("generation_mw") + F.col("load_mw") + F.col("bess_mw")
     return sums.select(
@@ -73,29 +71,29 @@ def node_sums(parsed: DataFrame, as_of: datetime.date | None = None) -> DataFram
     )
 
 
-def _below(column: str):
-    return lambda cut: cut < F.col(column)
-
-
 def mid_rank(nodes: DataFrame, columns: dict[str, str], key: str = "canonical_node_id") -> DataFrame:
     """nodes with the mid-rank percentile of each column: 0 up to a value of 0, 100 in a population of one.
 
     Ranks come from the different values: their counts are summed up in order
     within RANGES ranges of values first and over the ranges then, so no task
-    sees all of them. The ranges' ends are approximate quantiles, RANGES a column.
+    sees all of them. The ranges' ends are approximate quantiles. The nodes are
+    kept, since their values are read for the quantiles, the counts and the join.
     """
-    shares = [k / RANGES for k in range(1, RANGES)]
-    ends = nodes.agg(F.count("*"), *(F.percentile_approx(c, shares, 1000) for c in columns)).first()
-    for (column, out), cuts in zip(columns.items(), ends[1:]):
-        at = F.size(F.filter(F.array(*map(F.lit, sorted(set(cuts or ())))).cast("array<double>"), _below(column)))
-        values = nodes.groupBy(column).agg(F.count("*").alias("_equal")).withColumn("_range", at)
-        parts = values.groupBy("_range").agg(F.sum("_equal").alias("_sum"))
-        parts = parts.select("_range", (F.sum("_sum").over(Window.orderBy("_range")) - F.col("_sum")).alias("_start"))  # RANGES rows
-        within = F.sum("_equal").over(Window.partitionBy("_range").orderBy(column)) - F.col("_equal")
-        less = values.withColumn("_within", within).join(F.broadcast(parts), "_range").select(F.col(column).alias("_v"), "_equal", (F.col("_within") + F.col("_start")).alias("_less"))
-        value = F.when(F.col(column) <= 0, 0.0).when(F.lit(ends[0] <= 1), 100.0).otherwise(100.0 * (F.col("_less") + (F.col("_equal") - 1) / 2) / (ends[0] - 1))
-        nodes = nodes.join(less, nodes[column] == less["_v"]).withColumn(out, value).drop("_v", "_equal", "_less")
-    return nodes
+    nodes = nodes.persist()
+    ends = nodes.agg(F.count("*"), *(F.percentile_approx(c, [k / RANGES for k in range(1, RANGES)], 1000) for c in columns)).first()
+    n, cuts = ends[0], [F.array(*map(F.lit, sorted(set(e or ())))).cast("array<double>") for e in ends[1:]]
+    values = F.array(*(F.struct(F.lit(out).alias("name"), F.col(c).cast("double").alias("value"), cut.alias("cuts")) for (c, out), cut in zip(columns.items(), cuts)))
+    long = nodes.select(key, F.explode(values).alias("v")).select(key, "v.*")
+    place = F.size(F.filter("cuts", lambda cut: cut < F.col("value")))
+    counts = long.groupBy("name", "value", place.alias("range")).agg(F.count("*").alias("equal"))
+    starts = counts.groupBy("name", "range").agg(F.sum("equal").alias("all"))
+    starts = starts.select("name", "range", (F.sum("all").over(Window.partitionBy("name").orderBy("range")) - F.col("all")).alias("start"))  # RANGES rows a name
+    within = F.sum("equal").over(Window.partitionBy("name", "range").orderBy("value")) - F.col("equal")
+    less = counts.withColumn("within", within).join(F.broadcast(starts), ["name", "range"]).select("name", "value", "equal", (F.col("within") + F.col("start")).alias("less"))
+    rank = F.lit(100.0) if n <= 1 else 100.0 * (F.col("less") + (F.col("equal") - 1) / 2) / (n - 1)
+    ranked = long.where("value > 0").select(key, "name", "value").join(less, ["name", "value"]).select(key, "name", rank.alias("rank"))
+    wide = ranked.groupBy(key).agg(*(F.max(F.when(F.col("name") == out, F.col("rank"))).alias(out) for out in columns.values()))
+    return nodes.join(wide, key, "left").select(*nodes.columns, *(F.coalesce(out, F.lit(0.0)).alias(out) for out in columns.values()))
 
 
 def with_pressure(nodes: DataFrame) -> DataFrame:

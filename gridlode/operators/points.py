@@ -129,17 +129,16 @@ def published_voltage(x: Column) -> Column:
 
 
 def parse_records(raw: DataFrame) -> DataFrame:
-    """Raw records to parsed ones; each different text is parsed once and joined back."""
-    texts = parse_points(raw.select(F.coalesce("connection_point_raw", F.lit("")).alias("point_text_")).distinct(), "point_text_")
+    """Raw records to parsed ones; each different text is parsed once and joined back.
+
+    The parsed texts are kept: filters on parsed fields would otherwise move
+    below the distinct texts and parse every row again.
+    """
+    texts = parse_points(raw.select(F.coalesce("connection_point_raw", F.lit("")).alias("point_text_")).distinct(), "point_text_").persist()
     joined = raw.withColumn("point_text_", F.coalesce("connection_point_raw", F.lit(""))).join(texts, "point_text_").drop("point_text_")
     return _finished(joined)
 
 
-def parse_rows(raw: DataFrame) -> DataFrame:
-    """parse_records() without the shuffle, for texts that seldom repeat."""
-    return _finished(parse_points(raw))
-
-
 def _finished(df: DataFrame) -> DataFrame:
     apart = F.abs(published_voltage(F.col("voltage_raw")) - F.col("connection_voltage_kv")) > 1e-9
     df = df.withColumn("_apart", F.coalesce(apart, F.lit(False)))

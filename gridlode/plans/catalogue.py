@@ -12,7 +12,7 @@ from gridlode.functions import values as V
 from gridlode.functions.schemas import FAMILIES, MATERIAL_FIELDS, SOURCE_FIELDS
 from gridlode.operators import ambiguity, integrity, metrics, quality, snapshot
 from gridlode.operators.identity import observation_key, order, with_identities
-from gridlode.operators.points import parse_points, parse_rows
+from gridlode.operators.points import parse_points
 from gridlode.plans import adapter
 from gridlode.plans.adapter import table
 from gridlode.sources import html, store
@@ -75,12 +75,12 @@ _PRESSURE = ", ".join(f"CAST(round_even(0.7::DOUBLE * {_pct(f'{f}_mw')} + 0.3::D
 
 @query(f", {_NODES} SELECT *, {_DERIVED} FROM nodes")
 def node_metrics(spark, d):
-    return metrics.node_sums(adapter.parsed(spark, d))
+    return metrics.node_sums(adapter.parsed(spark, d), metrics.default_as_of(adapter.records(spark, d)))
 
 
 @query(f", {_NODES}, more AS (SELECT *, {_DERIVED} FROM nodes) SELECT canonical_node_id, generation_mw, load_mw, bess_mw, {_PRESSURE} FROM more")
 def node_pressure(spark, d):
-    nodes = metrics.with_pressure(metrics.node_sums(adapter.parsed(spark, d)))
+    nodes = metrics.with_pressure(metrics.node_sums(adapter.parsed(spark, d), metrics.default_as_of(adapter.records(spark, d))))
     return nodes.select("canonical_node_id", *(f"{f}_mw" for f in FAMILIES), *(f"{f}_pressure" for f in FAMILIES))
 
 
@@ -393,8 +393,7 @@ def review_rows(spark, d):
 
 @query("SELECT canonical_node_id, record_key, confidence, row_fingerprint FROM (SELECT *, row_number() OVER (PARTITION BY canonical_node_id ORDER BY confidence DESC, source_page, source_row_index, row_fingerprint) AS k FROM tu WHERE canonical_node_id IS NOT NULL) WHERE k = 1")
 def best_record_per_node(spark, d):
-    rows = parse_rows(with_identities(adapter.records(spark, d)))
-    return store.best_by_node(rows, order()).select("canonical_node_id", "record_key", "confidence", "row_fingerprint")
+    return store.best_by_node(adapter.parsed(spark, d), order()).select("canonical_node_id", "record_key", "confidence", "row_fingerprint")
 
 
 @query("SELECT l_orderkey, l_linenumber, o_orderstatus, o_totalprice, l_quantity FROM lineitem JOIN orders ON o_orderkey = l_orderkey", records=False)

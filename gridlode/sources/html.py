@@ -95,9 +95,8 @@ def parse_table(html: str):
     return [(n, cells, header) for n, cells in rows]
 
 
-def header_key(text: Column) -> Column:
-    """The field that a header text names, else null."""
-    low, out = F.lower(normalize(text)), None
+def _key(low: Column) -> Column:
+    out = None
     for key, markers in HEADERS:
         for marker in markers:
             found = F.contains(low, F.lit(marker))
@@ -105,13 +104,9 @@ def header_key(text: Column) -> Column:
     return out
 
 
-def _header_key_folded(x: Column) -> Column:
-    low, out = F.lower(fold(x)), None
-    for key, markers in HEADERS:
-        for marker in markers:
-            found = F.contains(low, F.lit(marker))
-            out = F.when(found, key) if out is None else out.when(found, key)
-    return out
+def header_key(text: Column) -> Column:
+    """The field that a header text names, else null."""
+    return _key(F.lower(normalize(text)))
 
 
 def table_records(pages: DataFrame, source: str) -> DataFrame:
@@ -125,7 +120,7 @@ def table_records(pages: DataFrame, source: str) -> DataFrame:
     # one Python visit for all of a row's text: unit separators keep the cells apart
     sep = "\u001f"
     rows = rows.withColumn("cells", F.transform(F.split(nfkc(F.array_join("cells", sep)), sep), fold)).withColumn("header", F.split(nfkc(F.array_join("header", sep)), sep))
-    keys = F.transform("header", lambda h: F.coalesce(_header_key_folded(h), F.lit("")))
+    keys = F.transform(F.transform("header", lambda h: F.lower(fold(h))), lambda h: F.coalesce(_key(h), F.lit("")))
     rows = rows.withColumn("keys", keys).withColumn("shift", F.greatest(F.lit(0), F.size("cells") - F.size("header")))
     place = {key: F.size("keys") - F.array_position(F.reverse("keys"), F.lit(key)) for key, _ in HEADERS}
 
