@@ -5,12 +5,13 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Text of these characters alone is its own NFKC form and never visits Python.
 _STABLE = r"\A[\x00-\x7FÀ-ÿЁ-џҐґ]*\z"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfkc(s: pd.Series) -> pd.Series:
     return s.str.normalize("NFKC")
 

@@ -7,6 +7,7 @@ from urllib.parse import parse_qsl, urlencode, urlsplit, urlunsplit
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
 from gridlode.functions.text import filled, fold, nfkc, normalize
 from gridlode.functions.values import power, registry_date
@@ -86,10 +87,11 @@ def table_rows(html: str | None) -> tuple[list[str], list[tuple[int, list[str]]]
     return texts[head], [(n, cells) for n, cells in enumerate(body, 1) if cells]
 
 
-_TABLE = "array<struct<source_row_index:int,cells:array<string>,header:array<string>>>"
+_CELLS = ArrayType(StringType())
+_TABLE = ArrayType(StructType().add("source_row_index", IntegerType()).add("cells", _CELLS).add("header", _CELLS))
 
 
-@F.udf(_TABLE)
+@F.udf(returnType=_TABLE)
 def parse_table(html: str):
     header, rows = table_rows(html)
     return [(n, cells, header) for n, cells in rows]
