@@ -207,7 +207,7 @@ class Model:
             self.lexicon = {}
             return
         n = len(texts)
-        fold = np.arange(n) % FOLDS
+        fold = np.random.default_rng(3).permutation(n) % FOLDS
         least = 3 if n >= 2000 else 2
         parts = [lexicon([t for t, f in zip(texts, fold) if f != k], toxic[fold != k], least) for k in range(FOLDS)]
         x = np.zeros((n, len(NAMES)))
@@ -240,8 +240,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     found = texts.join(F.broadcast(wanted), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))  # `rows` rows at most
     got = sorted((r[0], r[1], r[2]) for r in found.collect())
-    order = np.random.default_rng(3).permutation(len(got))
-    return Model([got[i][2] for i in order], np.array([float(got[i][1]) for i in order]))
+    return Model([t for _, _, t in got], np.array([float(y) for _, y, _ in got]))
 
 
 CHARS_AT_ONCE = 1 << 22
