@@ -157,7 +157,7 @@ def labelled_table(rows: int = 600, seed: int = 7) -> list[tuple[list[str], list
     def other() -> list[str]:
         """Numbers that are nobody's."""
         return rng.choice(
-            ([digits(rng.randrange(1, 6))], [f"{digits(1)}.{digits(1)}"], [f"{digits(1)}.{digits(1)}."], ["version", f"{digits(1)}."], [f"{digits(4)}-{digits(2)}-{digits(2)}"], [f"{digits(2)}:{digits(2)}"], ["$" + digits(3)], [f"({digits(4)})"], [filler() + digits(1)], ["BY-NC", "4.0."], [digits(15) + "0"], [digits(14) + "17"], ["at", filler(), "dot"])
+            ([digits(rng.randrange(1, 6))], [f"{digits(1)}.{digits(1)}"], [f"{digits(1)}.{digits(1)}."], ["version", f"{digits(1)}."], [f"{digits(4)}-{digits(2)}-{digits(2)}"], [f"{digits(2)}:{digits(2)}"], ["$" + digits(3)], [f"({digits(4)})"], [filler() + digits(1)], [filler().strip(".,!#%| ") + digits(rng.randrange(2, 5))], ["BY-NC", "4.0."], [digits(15) + "0"], [digits(14) + "17"], ["at", filler(), "dot"])
         )
 
     out = []
