@@ -7,8 +7,6 @@ wrote. run() writes those files to the shared scratch folder.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from gridlode.llm import bagminhash, decontamination, packing, pii, toxicity
 from gridlode.llm.common import written
@@ -21,12 +19,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class: the one whose doc_id names it, once."""
-    classes = bagminhash.Duplicates(docs).classes().where("doc_id = class_id").select("doc_id").distinct()
-    kept = docs.join(classes, "doc_id", "left_semi")
-    # rows that share a doc_id: the first by content stays
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), *(c for c in docs.columns if c != "doc_id"))
-    return kept.withColumn("_n", F.row_number().over(first)).where("_n = 1").select(*docs.columns)
+    """One row of each class: the smallest doc_id's, null ids last. Null or shared ids alone remove nothing."""
+    firsts = bagminhash.Duplicates(docs, columns=docs.columns).firsts()
+    kept = docs.withColumn("_row", bagminhash.row_hash(docs.columns)).join(firsts.withColumnRenamed("row", "_row"), "_row", "left_semi")
+    return kept.distinct().select(*docs.columns)  # a row that is there twice stays once
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,12 +25,12 @@ no rows; other columns play no part.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridlode.llm.common import kept, written
@@ -82,11 +82,11 @@ def signatures(owner: np.ndarray, found: np.ndarray, weights: np.ndarray, docs:
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], limit: int = CHUNK) -> Iterator[tuple[list, list[str]]]:
-    """Rows of (key, text), some `limit` characters at a time."""
+    """Keys (doc_id, row) and texts from rows of (doc_id, text, row), some `limit` characters at a time."""
     for batch in batches:
         keys, texts, size = [], [], 0
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            keys.append(key)
+        for doc, text, row in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+            keys.append((doc, row))
             texts.append(text.as_py() or "")
             size += len(texts[-1])
             if size >= limit:
@@ -115,8 +115,14 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         full = sizes > 0
         bands = [k.tolist() if f else [] for k, f in zip(key.view(np.int64), full)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.int64()), pa.array(_node(words, sizes), pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array([s.tobytes() for s in sig], pa.binary())],
-            ["doc_id", "node", "bands", "sig"],
+            [
+                pa.array([k[0] for k in keys], pa.int64()),
+                pa.array([k[1] for k in keys], pa.int64()),
+                pa.array(_node(words, sizes), pa.binary()),
+                pa.array(bands, pa.list_(pa.int64())),
+                pa.array([s.tobytes() for s in sig], pa.binary()),
+            ],
+            ["doc_id", "row", "node", "bands", "sig"],
         )
 
 
@@ -162,19 +168,28 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def row_hash(columns: Iterable[str]) -> Column:
+    """64 bits that name a row by these columns; never null, and a null is no other value's like."""
+    columns = list(columns)
+    return F.xxhash64(*columns, *(F.col(c).isNull() for c in columns))
+
+
 class Duplicates:
-    """The tables that lead to classes: signed documents, nodes, verified links."""
+    """The tables that lead to classes: signed documents, nodes, verified links. Rows are told apart by `columns`."""
 
-    def __init__(self, docs: DataFrame, similarity: float = SIMILARITY) -> None:
+    def __init__(self, docs: DataFrame, similarity: float = SIMILARITY, columns: Iterable[str] = ("doc_id", "text")) -> None:
         self.similarity = similarity
-        texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-        self.signed = written(texts.mapInArrow(_signed, "doc_id long, node binary, bands array<long>, sig binary"))
-        self.nodes = written(self.signed.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("sig").alias("sig")))
+        texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), row_hash(columns).alias("row"))
+        self.signed = written(texts.mapInArrow(_signed, "doc_id long, row long, node binary, bands array<long>, sig binary"))
+        first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))  # null ids last
+        nodes = self.signed.groupBy("node").agg(first.alias("first"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
+        self.nodes = written(nodes.select("node", "first", F.col("first.doc_id").alias("doc_id"), "bands", "sig"))
         keyed = self.nodes.select("node", F.explode("bands").alias("key"))
         shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node", "key"), "node"))["node"].alias("pivot")).where("n > 1")
         self.members = written(keyed.join(shared, "key"))
-        wanted = self.nodes.join(self.members.select("node").distinct(), "node", "left_semi").select("node", "doc_id")
-        bags_ = texts.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(_shingled, "node binary, bag binary")
+        wanted = self.nodes.join(self.members.select("node").distinct(), "node", "left_semi").select("node", F.col("first.row").alias("row"))
+        # by row, as a doc_id may be null or shared; another text of the same row hash goes with the node
+        bags_ = texts.join(wanted.select("row").distinct(), "row", "left_semi").select("doc_id", "text", "row").mapInArrow(_shingled, "node binary, bag binary")
         self.bags = written(bags_.join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.first("bag").alias("bag")))
         self.links, self.labels = self._linked()
 
@@ -239,10 +254,17 @@ class Duplicates:
         several = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi")
         return written(labelled.join(several.select("key"), "key"))
 
+    def _labelled(self) -> DataFrame:
+        label = F.coalesce("label", "node")
+        return self.nodes.select("node", "doc_id", "first").join(self.labels, "node", "left").select("node", "doc_id", "first", label.alias("label"))
+
+    def firsts(self) -> DataFrame:
+        """The row hash of one row of each class: the smallest doc_id's, null ids last."""
+        return self._labelled().groupBy("label").agg(F.min("first")["row"].alias("row")).select("row").distinct()
+
     def classes(self) -> DataFrame:
         """doc_id, class_id (the smallest doc_id of the class) for each row."""
-        label = F.coalesce("label", "node")
-        nodes = self.nodes.select("node", "doc_id").join(self.labels, "node", "left").select("node", "doc_id", label.alias("label"))
+        nodes = self._labelled()
         first = nodes.groupBy("label").agg(F.min("doc_id").alias("class_id"))
         of_node = nodes.join(first, "label").select("node", "class_id")
         return self.signed.select("doc_id", "node").join(of_node, "node").select("doc_id", "class_id")

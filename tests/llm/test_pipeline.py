@@ -45,3 +45,15 @@ def test_stages(spark, made):
     packed = out.collect()
     assert {r["doc_id"] for r in packed} == set(left["personal_data"])
     assert {tuple(r) for r in corpus_pipeline.run(spark, made).collect()} == {tuple(r) for r in packed}
+
+
+def test_near_duplicates_with_null_and_shared_ids(spark):
+    rng = np.random.default_rng(4)
+    a, b, c, d, e = (" ".join(f"w{k}" for k in rng.integers(0, 4000, 80)) for _ in range(5))
+    near = "other " + b.split(" ", 1)[1]
+    rows = [(None, a, "en", None), (None, a, None, "en"), (None, b, "en", "s"), (None, near, "en", "s"), (1, c, "en", "s"), (7, c, "en", "s"), (7, d, "en", "s"), (7, e, "en", "s"), (7, e, "en", "s")]
+    docs = corpus_pipeline.written(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()]
+    near_copies = [t for t in got if t[1] in (b, near)]
+    assert len(near_copies) == 1 and near_copies[0][0] is None
+    assert sorted((i or 0, t) for i, t in got if t not in (b, near)) == sorted([(0, a), (1, c), (7, d), (7, e)])
