@@ -11,7 +11,8 @@ headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
 comments, which are told by element or by class, id or role.
 
 Defined cases: null, empty or text-free html gives the empty text; unclosed
-elements end with their parents, stray end tags are passed over; a tie between
+elements end with their parents, stray end tags are passed over; a `<![` of no
+known section is a comment up to the next `>`; a tie between
 articles goes to the first; repeated rows give a row each; an empty table gives
 no rows; other columns play no part.
 """
@@ -44,6 +45,7 @@ BARRED_NAMES = frozenset(
 HEADER_NAMES = frozenset(("header", "masthead", "topbar"))
 _NAMES = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
+_SECTION = re.compile(r"<!\[(?:temp|cdata|ignore|include|rcdata)(?![-_.a-z0-9])", re.IGNORECASE)
 
 
 class _Lines(HTMLParser):
@@ -128,6 +130,10 @@ class _Lines(HTMLParser):
         if tag not in VOID:
             self.handle_endtag(tag)
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """Any other name, or none, makes a comment up to the next `>`; the parser would stop at it."""
+        return super().parse_marked_section(i, report) if _SECTION.match(self.rawdata, i) else self.parse_bogus_comment(i)
+
     def handle_data(self, data: str) -> None:
         self.parts.append(data)
 
@@ -142,11 +148,8 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     parser = _Lines()
-    try:
-        parser.feed(html)
-        parser.close()
-    except AssertionError:  # the parser's answer to some broken declarations: what came before them stays
-        pass
+    parser.feed(html)
+    parser.close()
     parser.flush()
     lines = parser.lines
     if not lines:

@@ -90,6 +90,14 @@ def test_main_text():
     assert html_text.main_text("<p>only") == "only"
 
 
+def test_main_text_goes_on_after_unknown_declarations():
+    for odd in ("<![foo[x]]>", "<![>", "<![ if x]>", "<![1]>", "<![endif]-->", "<![if !IE]>", "<![cdatax[ ]]>"):
+        got = html_text.main_text(f"<p>alpha</p>{odd}<p>omega</p>")
+        assert got.startswith("alpha") and got.endswith("omega") and "foo" not in got
+    assert html_text.main_text("<p>alpha</p><p>in <![ prose</p><p>omega</p>").endswith("omega")
+    assert html_text.main_text("<p>alpha</p><![foo").startswith("alpha")
+
+
 def test_edit_distances_against_the_recurrence():
     rng = np.random.default_rng(4)
     for _ in range(50):
