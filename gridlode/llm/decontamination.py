@@ -9,7 +9,9 @@ word, advancing when the bit is set; sequences at a small edit distance agree
 at many steps. Items are classed by length. In each class, a repeat samples
 STEPS_SAMPLED steps of the walk, and a window whose sampled words are all those
 of an item's becomes a candidate. The number of repeats is raised until items
-edited as heavily as allowed are found with the target recall. Candidates are
+edited as heavily as allowed, with other words behind them, are found with the
+target recall. Items too short for an edit are looked up by a hash of their
+words, all of them. Candidates are
 verified by the edit distance itself, over the window and its surroundings.
 
 Every position of every text starts a window. Windows that hold too few word
@@ -49,6 +51,7 @@ WORDS_AT_ONCE = 1 << 20
 OTHER, PAD = 0, 1
 
 _SEED = 0x5851F42D4C957F2D
+_BASE = 0x9E3779B97F4A7C15
 
 
 def words(text: str | None) -> list[str]:
@@ -126,7 +129,7 @@ class LengthClass:
         return got
 
     def _repeats(self, items, own, bits, rng, recall: float) -> int:
-        """Edit items as heavily as is allowed and count in which repeat each is found first."""
+        """Edit items as heavily as is allowed, inside a longer text, and count in which repeat each is found first."""
         picks = np.resize(np.arange(len(self.members)), TRIALS)
         starts = int(self.allowed.max()) + 1  # later windows over the same stretch find it too
         edited, of = [], []
@@ -141,8 +144,8 @@ class LengthClass:
                 else:
                     row.insert(at, OTHER)
             for s in range(starts):
-                part = row[s : s + self.high]
-                edited.append(part + [PAD] * (self.high - len(part)))
+                part = row[s : s + self.steps]
+                edited.append(part + [OTHER] * (self.steps - len(part)))  # the document goes on with other words
                 of.append(n)
         walked = self.walk(np.array(edited, np.int64), bits)
         same = walked == own[:, picks[of]]
@@ -168,6 +171,52 @@ class LengthClass:
         return pairs // len(self.members), pairs % len(self.members)
 
 
+class Exact:
+    """Items of one length that allow no edit, by a hash of their words."""
+
+    def __init__(self, members: list[int], items: list[np.ndarray], word_hashes: np.ndarray) -> None:
+        self.members, self.size = np.array(members), len(items[members[0]])
+        self.table = np.stack([items[m] for m in members])
+        keys = _prefix(word_hashes[self.table.T])[-1]
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.owners = keys[order], order
+
+    def find(self, sequence, start, hashes: np.ndarray, powers: np.ndarray, text: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(text, item number, place) of the first place of each item in each text; `hashes` are the sequence's prefixes."""
+        # both sides times the power of the start: no division
+        got = (hashes[start + self.size] - hashes[start]) * powers[len(powers) - 1 - start]
+        keys = self.keys * powers[-1]
+        order = np.argsort(keys, kind="stable")
+        keys, owners = keys[order], self.owners[order]
+        lo = np.searchsorted(keys, got)
+        hit = np.flatnonzero(keys[np.minimum(lo, len(keys) - 1)] == got)
+        many = np.searchsorted(keys, got[hit], side="right") - lo[hit]
+        at = np.repeat(start[hit], many)
+        nth = np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)
+        member = owners[np.repeat(lo[hit], many) + nth]
+        same = np.ones(len(at), bool)
+        for k in range(self.size):
+            same &= sequence[at + k] == self.table[member, k]
+        at, member = at[same], member[same]
+        _, one = np.unique(text[at] * len(self.members) + member, return_index=True)
+        # `at` rises, so the first of equals is the first place
+        return zip(text[at[one]].tolist(), self.members[member[one]].tolist(), at[one].tolist())
+
+
+def _powers(n: int) -> np.ndarray:
+    """Powers 0 to n of an odd base, modulo 2^64."""
+    out = np.full(n + 1, _BASE, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def _prefix(hashes: np.ndarray) -> np.ndarray:
+    """Sums of hash times power along the first axis, from nothing on."""
+    powers = _powers(len(hashes) - 1 if len(hashes) else 0)[: len(hashes)]
+    sums = np.cumsum(hashes * powers.reshape(-1, *[1] * (hashes.ndim - 1)), axis=0, dtype=np.uint64)
+    return np.concatenate([np.zeros((1, *hashes.shape[1:]), np.uint64), sums])
+
+
 class Benchmark:
     """One block of items, ready to be looked for."""
 
@@ -182,8 +231,13 @@ class Benchmark:
         for item in items:
             self.pairs[pair_code(item[:-1], item[1:], PAIR_BITS)] = True
         groups: dict[int, list[int]] = {}
+        exact: dict[int, list[int]] = {}
         for n in sorted((n for n in range(len(items)) if len(items[n])), key=lambda n: len(items[n])):
-            groups.setdefault(int(np.log(len(items[n])) / np.log(1.25)), []).append(n)
+            if int((1 - similarity) * len(items[n]) + 1e-9):
+                groups.setdefault(int(np.log(len(items[n])) / np.log(1.25)), []).append(n)
+            else:
+                exact.setdefault(len(items[n]), []).append(n)
+        self.exact = [Exact(m, items, mix(self._seeds)) for m in exact.values()]
         self.classes = [LengthClass(m, items, self.bits, similarity, recall) for m in groups.values()]
 
     def bits(self, j: int) -> np.ndarray:
@@ -205,12 +259,22 @@ class Benchmark:
         pairs = np.zeros(len(sequence) + 1, np.int32)
         pairs[both[self.pairs[pair_code(sequence[both], sequence[both + 1], PAIR_BITS)]] + 1] = 1
         begun = np.cumsum(pairs, dtype=np.int32)  # pairs that begin before each position
+        found: dict[tuple[int, int], tuple[int, int]] = {}
+        if self.exact:
+            hashes, powers = _prefix(mix(self._seeds)[sequence]), _powers(len(sequence))
+            text = np.repeat(np.arange(len(texts)), sizes + 1)
+            begin = ends - sizes
+            places = np.flatnonzero(known)
+            for e in self.exact:
+                start = places[places + e.size <= end_of[places]]
+                start = start[begun[start + e.size - 1] - begun[start] == e.size - 1]
+                for t, i, p in e.find(sequence, start, hashes, powers, text):
+                    found[t, i] = 0, int(p - begin[t])
         if not self.classes:
-            return []
+            return [(t, i, d, p) for (t, i), (d, p) in sorted(found.items())]
         most, least = max(c.high for c in self.classes), min(c.need for c in self.classes)
         at = np.arange(len(sequence), dtype=np.int32)
         at = np.flatnonzero(begun[np.minimum(at + np.int32(most - 1), end_of)] - begun[:-1] >= least)
-        found: dict[tuple[int, int], tuple[int, int]] = {}
         for c in self.classes:
             start = at[begun[np.minimum(at + c.high - 1, end_of[at])] - begun[at] >= c.need]
             if not len(start):

@@ -127,6 +127,35 @@ def test_items_are_found_and_others_left_alone():
     assert found <= expected and len(found) >= 0.95 * len(expected)
 
 
+def test_short_items_inside_longer_texts():
+    rng = np.random.default_rng(12)
+    items = [[f"s{n}x{k}" for k in range(1 + n % 4)] for n in range(200)] + [["s0x0"], ["s1x0", "s1x1"]]
+    bench = decontamination.Benchmark([(n, " ".join(i)) for n, i in enumerate(items)])
+    texts = [[f"w{k}" for k in rng.integers(0, 500, 20)] + i + [f"w{k}" for k in rng.integers(0, 500, 20)] + i for i in items]
+    expected = []
+    for t, text in enumerate(texts):
+        for n, i in enumerate(items):
+            places = [p for p in range(len(text)) if text[p : p + len(i)] == i]
+            expected += [(t, n, 0, places[0])] if places else []
+    assert bench.find(texts) == expected and len(expected) == 206
+
+
+def test_recall_of_edited_items_inside_longer_texts():
+    rng = np.random.default_rng(13)
+    items = [[f"e{n}x{k}" for k in range(5 + n % 8)] for n in range(240)]
+    bench = decontamination.Benchmark([(n, " ".join(i)) for n, i in enumerate(items)])
+    texts = []
+    for i in items:
+        edited = list(i)
+        for _ in range(len(i) // 5):
+            edited[int(rng.integers(len(i)))] = "edit"
+        texts.append([f"w{k}" for k in rng.integers(0, 500, 20)] + edited + [f"w{k}" for k in rng.integers(0, 500, 20)])
+    found = {(t, n) for t, n, _, _ in bench.find(texts)}
+    share = np.mean([(n, n) in found for n in range(len(items))])
+    print("recall", share, [(c.low, c.high, c.repeats, c.recall) for c in bench.classes])
+    assert share >= 0.95
+
+
 def test_packing_plan_places_everything_once_and_tightly():
     rng = np.random.default_rng(6)
     counts = Counter(rng.integers(1, 2049, 4000).tolist()) + Counter({2048: 500, 7: 900})
