@@ -1,7 +1,9 @@
 """Hierarchical Pitman-Yor language model, seated by Gibbs sampling.
 
-A text is a sequence of words and one end. The word restaurant has every
-training token as a customer; its base is an open-vocabulary model of spelling:
+A text is a sequence of words and one end. Each context, the word before or the
+text's start, has a restaurant of the words and ends that follow it; its base
+is the word restaurant, whose customers are the tables of all contexts. There
+each known word has customers; the word restaurant's base is an open-vocabulary model of spelling:
 restaurants of letter contexts (the ORDER - 1 letters before, none of the word
 before), each sharing the restaurant of its shorter context as its parent, down
 to a uniform base. A word's tables are customers of the spelling restaurants,
@@ -10,6 +12,10 @@ one outcome; so does `score`, whose unseen outcome has the mass that the word
 restaurant leaves to words outside training. `open_score` gives each unseen
 word the probability of its own spelling.
 
+The contexts are seated first, in PAIR_SWEEPS sweeps from one table for each
+pair on, given the totals before; their tables then stay, and the samples below
+are of words and spelling. Pairs stay distributed, as do their answers.
+
 Sweeps alternate: each word's customers are seated anew in turn, opening a
 table with the Chinese-restaurant probability, given the totals of the sweep
 before; then the spelling restaurants are seated on the tables' letters, from
@@ -54,6 +60,9 @@ END_SHARE = 1e-3  # of the word restaurant's base
 BLOCK_TOKENS = 4_000_000
 FLUSH = 400_000  # different words that a counting task holds at once
 CODE_POINTS = 0x110000
+PAIR_SWEEPS = 2
+PAIRS_AT_ONCE = 1 << 21
+WORD, START, END = 0, 2, 3  # in place of a word's hash: no word after it, text's start, text's end
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 
@@ -202,6 +211,54 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
+def _pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different pairs and how often each occurs."""
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    at = np.flatnonzero(new)
+    return a[at], b[at], np.diff(np.append(at, len(a)))
+
+
+class _Hashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        got = self[word] = xxhash.xxh64_intdigest(word)
+        return got
+
+    def followed(self, text: str | None) -> np.ndarray:
+        """The text's word hashes between START and END."""
+        words = split(text)
+        out = np.empty(len(words) + 2, np.uint64)
+        out[0], out[-1] = START, END
+        out[1:-1] = np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+        return out.view(np.int64)
+
+
+def _followers(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return _pairs(np.concatenate([t[:-1] for t in texts]), np.concatenate([t[1:] for t in texts]))
+
+
+def _paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Partial counts (a, b, count): b follows a in training texts."""
+    texts, size, cache = [], 0, _Hashes()
+
+    def flush():
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in _followers(texts)], ["a", "b", "c"])
+
+    for batch in batches:
+        for held_out, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            if held_out:
+                continue
+            texts.append(cache.followed(text.as_py()))
+            size += len(texts[-1])
+            if size > PAIRS_AT_ONCE:
+                yield flush()
+                texts, size, cache = [], 0, _Hashes()
+    if texts:
+        yield flush()
+
+
 def _letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(CODE_POINTS, np.int64)
     for batch in batches:
@@ -224,12 +281,48 @@ class LanguageModel:
         texts = self.rows.agg(F.count_if(~F.col("held_out")).alias("ends"), F.count("*").alias("all")).first()
         got = self.words.agg(F.sum("c").alias("n"), F.count_if(F.col("c") > 0).alias("v"), F.count_if(F.col("c") == 1).alias("n1"), F.count_if(F.col("c") == 2).alias("n2")).first()
         self.ends = texts["ends"]
+        self.word_counts = self.words
+        self.pairs = written(self.rows.select("held_out", "text").mapInArrow(_paired, "a long, b long, c long").groupBy("a", "b").agg(F.sum("c").alias("c")))
+        self._seat_pairs()
         self.tokens = (got["n"] or 0) + self.ends
         self.distinct = got["v"] + (self.ends > 0)
-        self.discount = discount(got["n1"], got["n2"])
+        n = self.words.agg(F.sum("n").alias("n"), F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2")).first()
+        self.customers = (n["n"] or 0) + self.end_customers
+        self.discount = discount(n["n1"], n["n2"])
         self.blocks = max(1, -(-self.tokens * max(1, texts["all"]) // max(1, self.ends) // BLOCK_TOKENS))
         self.samples, self.totals = self._sampled()
 
+    def _seat_pairs(self) -> None:
+        """Tables of each pair; of them each word's customers `n` and each context's tables `t`."""
+        got = self.pairs.agg(F.count_if(F.col("c") == 1).alias("n1"), F.count_if(F.col("c") == 2).alias("n2")).first()
+        self.pair_discount = d = discount(got["n1"], got["n2"])
+        single = self.pairs.where("c = 1").select("a", "b", "c", F.lit(1).cast("long").alias("t"))  # always one table
+        seats = self.pairs.select("a", "b", "c", F.lit(1).cast("long").alias("t"))
+        for sweep in range(PAIR_SWEEPS + 1):
+            below = written(seats.groupBy(F.col("b").alias("h")).agg(F.sum("t").alias("n")))
+            tables = written(seats.groupBy(F.col("a").alias("h")).agg(F.sum("t").alias("t")))
+            if sweep == PAIR_SWEEPS:
+                break
+            total = below.agg(F.sum("n")).first()[0] or 1
+
+            def run(batches: Iterator[pa.RecordBatch], total=total, sweep=sweep, d=d) -> Iterator[pa.RecordBatch]:
+                for batch in batches:
+                    a, b, c, n, t = (x.to_numpy() for x in batch.columns)
+                    base = n / total  # the word restaurant's estimate
+                    seed = mix(mix(a.view(np.uint64)) + b.view(np.uint64) * _A + np.uint64(sweep * int(_B) % 2**64))
+                    got = seat(c, base, STRENGTH + d * t, d, seed)
+                    yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(got.astype(np.int64))], ["a", "b", "c", "t"])
+
+            several = self.pairs.where("c > 1").join(below.select(F.col("h").alias("b"), "n"), "b").join(tables.select(F.col("h").alias("a"), "t"), "a")
+            seats = single.unionByName(written(several.select("a", "b", "c", "n", "t").mapInArrow(run, "a long, b long, c long, t long")))
+        self.seats = seats
+        marks = {r["h"]: r["n"] for r in below.where(F.col("h") == END).collect()}
+        self.end_customers = marks.get(END, 0)
+        self.start_tables = sum(r["t"] for r in tables.where(F.col("h") == START).collect())
+        zero = lambda name: F.coalesce(name, F.lit(0)).alias(name)
+        joined = self.word_counts.join(below, "h", "left").join(tables, "h", "left")
+        self.words = written(joined.select("word", "h", zero("n"), "c", zero("t")))
+
     def _alphabet(self) -> np.ndarray:
         counts = self.words.where("c > 0").select("word").mapInArrow(_letters, "point int, n long").groupBy("point").agg(F.sum("n").alias("n"))
         top = counts.orderBy(F.desc("n"), "point").limit(SYMBOLS - 2).collect()
@@ -272,12 +365,13 @@ class LanguageModel:
         return samples, totals
 
     def scored_words(self) -> DataFrame:
-        """h, c, lp, lo: each word's count and log10 of its averaged predictive probability.
+        """h, c, t, lp, lo: each word's count, its tables as a context, and log10 of its averaged
+        predictive probability in the word restaurant.
 
         In lp all words that training has not seen are one outcome, as they are for the
         base score; lo keeps them apart by their spelling.
         """
-        model = shared(self.spark, (self.samples, self.totals, float(self.tokens)))
+        model = shared(self.spark, (self.samples, self.totals, float(self.customers)))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             samples, totals, tokens = model()
@@ -293,16 +387,16 @@ class LanguageModel:
                     unseen += float(s.predict(0, 0, max(1 - END_SHARE - known, 1e-12), tokens, t))
                 lo = np.log10(np.maximum(total / len(samples), 1e-300))
                 lp = np.where(counts > 0, lo, np.log10(unseen / len(samples)))
-                yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(lp), pa.array(lo)], ["h", "c", "lp", "lo"])
+                yield pa.RecordBatch.from_arrays([batch.column(1), *batch.columns[3:], pa.array(lp), pa.array(lo)], ["h", "c", "t", "lp", "lo"])
 
-        return self.words.mapInArrow(run, "h long, c long, lp double, lo double")
+        return self.words.mapInArrow(run, "h long, c long, t long, lp double, lo double")
 
     def end_log(self) -> float:
-        n = np.array([self.ends], np.float64)
+        n = np.array([self.end_customers], np.float64)
         base, total = np.array([END_SHARE]), 0.0
         for s, (t, _) in zip(self.samples, self.totals):
             seats = s.seats(np.array([1], np.uint64), n, base)
-            total += float(s.predict(n, seats, base, float(self.tokens), t)[0])
+            total += float(s.predict(n, seats, base, float(self.customers), t)[0])
         return float(np.log10(total / len(self.samples)))
 
     def score(self) -> DataFrame:
@@ -310,22 +404,36 @@ class LanguageModel:
         texts = self.rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(self.blocks)).cast("int"))
 
         def ask(table: pa.Table) -> pa.Table:
-            seen: set[bytes] = set()
-            for text in table.column("text"):
-                seen.update(split(text.as_py()))
-            hashes = np.fromiter(map(xxhash.xxh64_intdigest, seen), np.uint64, len(seen)).view(np.int64)
+            """Different words and different pairs of a block."""
+            cache = _Hashes()
+            a, b, _ = _followers([cache.followed(text.as_py()) for text in table.column("text")])
+            h = np.fromiter(cache.values(), np.uint64, len(cache)).view(np.int64)
+            a, b = np.concatenate([a, h]), np.concatenate([b, np.full(len(h), WORD)])
             block = table.column("block")[0].as_py()
-            return pa.table({"block": pa.array(np.full(len(seen), block, np.int32)), "h": pa.array(hashes)})
+            return pa.table({"block": pa.array(np.full(len(a), block, np.int32)), "a": pa.array(a), "b": pa.array(b)})
 
-        asked = texts.groupBy("block").applyInArrow(ask, "block int, h long")
-        answers = asked.join(self.scored_words(), "h").select("block", "h", "c", F.col("lp").cast("float").alias("lp"), F.col("lo").cast("float").alias("lo"))
+        asked = texts.groupBy("block").applyInArrow(ask, "block int, a long, b long")
+        words = self.scored_words().select(F.col("h").alias("a"), F.lit(WORD).cast("long").alias("b"), "c", "t", F.col("lp").cast("float").alias("lp"), F.col("lo").cast("float").alias("lo"))
+        nothing = F.lit(0).cast("float")
+        answers = asked.join(words.unionByName(self.seats.select("a", "b", "c", "t", nothing.alias("lp"), nothing.alias("lo"))), ["a", "b"])
         n, floor, end = self.tokens, self.tokens + 0.5 * (self.distinct + 1), (self.ends, self.end_log())
+        d, start_tables = self.pair_discount, self.start_tables
 
         def add(left: pa.Table, right: pa.Table) -> pa.Table:
-            h, c, lp, lo = (right.column(name).to_numpy() for name in ("h", "c", "lp", "lo"))
-            order = np.argsort(h)
-            h, c, lp, lo = h[order], c[order], lp[order].astype(np.float64), lo[order].astype(np.float64)
-            base = np.log10((c + 0.5) / floor)
+            a, b, c, t, lp, lo = (right.column(name).to_numpy() for name in ("a", "b", "c", "t", "lp", "lo"))
+            word, pair = b == WORD, b != WORD
+            order = np.flatnonzero(word)[np.argsort(a[word], kind="stable")]
+            h = a[order]
+            # words by place, then start and end
+            count, table = np.append(c[order], [end[0], 0]), np.append(t[order], [start_tables, 0])
+            known = np.append(c[order], [0, end[0]])
+            lp, lo = (np.append(x[order].astype(np.float64), [0, end[1]]) for x in (lp, lo))
+            base = np.log10((known + 0.5) / floor)
+            room = STRENGTH + d * table
+            place = lambda x, mark: np.where(x == mark, len(h) + (mark == END), np.searchsorted(h, x))
+            code = place(a[pair], START) * (len(h) + 2) + place(b[pair], END)
+            sort = np.argsort(code)
+            code, own = code[sort], (c[pair] - d * t[pair])[sort]
 
             class Places(dict):
                 def __missing__(self, word: bytes) -> int:
@@ -335,8 +443,20 @@ class LanguageModel:
             places, out = Places(), []
             for text in left.column("text"):
                 words = split(text.as_py())
-                at = np.fromiter(map(places.__getitem__, words), np.int64, len(words))
-                out.append((len(words) + 1, int((c[at] > 0).sum()) + (end[0] > 0), float(base[at].sum()) + float(np.log10((end[0] + 0.5) / floor)), float(lp[at].sum()) + end[1], float(lo[at].sum()) + end[1]))
+                at = np.append(np.fromiter(map(places.__getitem__, words), np.int64, len(words)), len(h) + 1)
+                before = np.append(len(h), at[:-1])
+                got = np.zeros(len(at))
+                if len(code):
+                    want = before * (len(h) + 2) + at
+                    k = np.minimum(np.searchsorted(code, want), len(code) - 1)
+                    got = np.where(code[k] == want, own[k], 0.0)
+                total = np.log10(STRENGTH + count[before])
+
+                def logs(below, got=got, before=before, total=total):
+                    # without own customers in logs alone, as a spelling can be too small for a power
+                    return np.where(got > 0, np.log10(np.maximum(got + room[before] * 10.0**below, 1e-300)), below + np.log10(room[before])) - total
+
+                out.append((len(at), int((known[at] > 0).sum()), float(base[at].sum()), float(logs(lp[at]).sum()), float(logs(lo[at]).sum())))
             cols = list(zip(*out)) or [()] * 5
             return pa.table(
                 {

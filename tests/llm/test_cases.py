@@ -75,6 +75,18 @@ def test_language_model(docs, none):
     assert language_model.LanguageModel(none, held).score().count() == 0
 
 
+def test_language_model_hears_the_word_before(spark):
+    order = "the cat sat on a mat while it rained all day".split()
+    rows = [(n, " ".join(order)) for n in range(20)] + [(100, " ".join(order)), (101, " ".join(order[::-1])), (102, "unseen cat")]
+    held = F.col("doc_id") >= 100
+    model = language_model.LanguageModel(spark.createDataFrame(rows, "doc_id long, text string"), held)
+    got = {r["doc_id"]: r for r in model.score().collect()}
+    assert got[100]["base_score"] == pytest.approx(got[101]["base_score"])
+    assert got[100]["score"] > got[101]["score"] + 5 and got[100]["open_score"] > got[101]["open_score"] + 5
+    assert got[102]["open_score"] < got[102]["score"] < 0
+    assert model.customers < model.tokens  # tables of the contexts, not tokens
+
+
 def test_pages(spark):
     pages = spark.createDataFrame([(1, "http://A.Example.com/en/1?x", None), (2, None, ""), (3, "http://x.net/fr/", "<p>a</p>"), (3, "http://www.example.com/en/", "<p>a</p>"), (4, "ftp://h#f", "x")], "page_id long, url string, html string")
     assert sorted(r["n_chars"] for r in html_text.extract(pages).collect()) == [0, 0, 1, 1, 1]
