@@ -1,46 +1,46 @@
 """Hierarchical Pitman-Yor language model, seated by Gibbs sampling.
 
-A text is a sequence of words and one end. Each context, the word before or the
-text's start, has a restaurant of the words and ends that follow it; its base
-is the word restaurant, whose customers are the tables of all contexts. There
-each known word has customers; the word restaurant's base is an open-vocabulary model of spelling:
-restaurants of letter contexts (the ORDER - 1 letters before, none of the word
-before), each sharing the restaurant of its shorter context as its parent, down
-to a uniform base. A word's tables are customers of the spelling restaurants,
-so frequent words don't swamp them. The base score takes all unseen words for
-one outcome; so does `score`, whose unseen outcome has the mass that the word
-restaurant leaves to words outside training. `open_score` gives each unseen
-word the probability of its own spelling.
-
-The contexts are seated first, in PAIR_SWEEPS sweeps from one table for each
-pair on, given the totals before; their tables then stay, and the samples below
-are of words and spelling. Pairs stay distributed, as do their answers.
-
-Sweeps alternate: each word's customers are seated anew in turn, opening a
-table with the Chinese-restaurant probability, given the totals of the sweep
-before; then the spelling restaurants are seated on the tables' letters, from
-the longest contexts to the shortest. Large counts are seated in steps of
-STEP_SHARE of the customers so far, with a normal draw for a step's tables.
-Draws are hashes of word and sweep, so lost tasks repeat them exactly. After
-BURN_IN sweeps, SAMPLES of them are kept and their probabilities averaged.
-
-Word counts cover all training texts and stay distributed. Spelling works on
-SYMBOLS symbols (the most frequent letters, one symbol for any other letter,
-whose code point is then uniform, and the word's end), so its tables are
-bounded by SYMBOLS ** ORDER cells whatever the corpus; they are seated on the
-driver and broadcast. For scoring, texts are dealt into blocks of some
-BLOCK_TOKENS tokens; each block asks for its different words once.
+A text is a sequence of words and one end. Outcomes are those of the base score:
+each training token and, as one outcome, every word that training hasn't seen.
+Each context, the word before or the text's start, has a restaurant of the
+tokens that follow it. All share one parent, the word restaurant, whose customers
+are the contexts' tables and whose base is uniform over the outcomes. `score` is
+the log10 probability of a text's tokens in this model, averaged over SAMPLES.
+
+Gibbs sampling: all customers of one dish leave their restaurant and are seated
+again, given the tables of all other dishes there and the parent's probability
+of the dish. For c customers the number of tables t has the exact conditional
+
+    S(c, t) * product of (strength + discount * (other tables + i)), i < t, * p^t
+
+with the generalised Stirling numbers S. Dishes of more than EXACT customers are
+seated customer by customer instead, in steps of STEP_SHARE of those seated, with
+a normal draw for a step's tables. A dish of one customer has one table always. A
+restaurant's dishes go in GROUPS turns, each given the tables of the turns before;
+up to GROUPS dishes, that is one by one. Restaurants that many tasks share (the
+word restaurant, and contexts dealt to several shards) use the totals of the
+sweep before for the other tasks' dishes. After BURN_IN sweeps of contexts and
+words, each further one is a sample. Draws are hashes of dish and sweep.
+
+How it is spread: texts are cut to blocks of BLOCK_TOKENS tokens or one text. A block asks
+each shard for its different (context, word) pairs, once each, with their counts
+in training texts; shards own contexts by hash, contexts with a large share of all
+tokens (HOT_SHARE of a shard in a sample of the texts) by hash of the pair, so a
+common word or pair is spread and reaches a shard once a block at most. Sweeps
+exchange only tables of words in pairs that occur twice or more. A shard's answers
+are in the order of the block's question and need no keys. The sample steers where
+pairs go, never what is counted.
 
 Defined cases: a null text is empty; an empty text is the end alone; without
-training texts N and V are 0 and spelling is uniform; repeated rows give a row
-each; an empty table gives no rows; other columns play no part.
+training texts N and V are 0 and the unseen outcome is certain; equal texts score
+alike and repeated rows give a row each, null ids too; a tie can't arise; an empty
+table gives no rows; a very long text is one block of its own, whose words one
+Python worker holds (some 150 bytes a word); other columns play no part.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,23 +48,21 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlode.llm.common import crc_mod, shared, written
+from gridlode.llm.common import crc_mod, erase, kept, packed, unpacked, written
 from gridlode.llm.shingles import mix
 
-SYMBOLS, ORDER = 64, 4
-BURN_IN, SAMPLES = 1, 3
-LETTER_SWEEPS = 3
 STRENGTH = 1.0
-STEP_SHARE = 0.05
-END_SHARE = 1e-3  # of the word restaurant's base
-BLOCK_TOKENS = 4_000_000
-FLUSH = 400_000  # different words that a counting task holds at once
-CODE_POINTS = 0x110000
-PAIR_SWEEPS = 2
-PAIRS_AT_ONCE = 1 << 21
-WORD, START, END = 0, 2, 3  # in place of a word's hash: no word after it, text's start, text's end
+BURN_IN, SAMPLES = 2, 3
+EXACT, GROUPS, STEP_SHARE = 256, 8, 0.05
+BLOCK_TOKENS = 1 << 20
+SHARD_TOKENS = 1 << 21
+HOT_SHARE = 0.25
+SAMPLED = 1 / 32
+CACHE = 300_000
+START, END = 2, 3  # in place of a word's hash
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
+_QUESTION, _TEXTS, _SHARD = 0, 1, 2
 
 
 def split(text: str | None) -> list[bytes]:
@@ -72,202 +70,205 @@ def split(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
+class _Hashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        got = self[word] = xxhash.xxh64_intdigest(word)
+        return got
+
+    def sequence(self, text: str | None) -> np.ndarray:
+        """The text's word hashes between START and END."""
+        words = split(text)
+        out = np.empty(len(words) + 2, np.uint64)
+        out[0], out[-1] = START, END
+        out[1:-1] = np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+        if len(self) > CACHE:
+            self.clear()
+        return out
+
+
 def _uniform(seed: np.ndarray, turn: int) -> np.ndarray:
     bits = mix(seed + np.uint64((turn * 0x9E3779B97F4A7C15) % 2**64))
     return ((bits >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
 
 
-def seat(counts: np.ndarray, base: np.ndarray, weight: np.ndarray, discount: float, seed: np.ndarray) -> np.ndarray:
-    """Tables of each dish: customers come in turn and open a table with probability
-    w b / (n - d t + w b), for n customers and t tables before, w = strength + discount * all tables."""
-    tables = np.minimum(counts, 1).astype(np.float64)
+def discount(ones: float, twos: float) -> float:
+    return float(np.clip(ones / (ones + 2 * twos), 0.1, 0.9)) if ones else 0.5
+
+
+def log_stirling(most: int, d: float) -> np.ndarray:
+    """log S(c, t) for c and t up to `most`: S(c + 1, t) = S(c, t - 1) + (c - t d) S(c, t)."""
+    out = np.full((most + 1, most + 1), -np.inf)
+    out[0, 0] = 0.0
+    t = np.arange(1, most + 1)
+    with np.errstate(divide="ignore"):
+        for c in range(most):
+            out[c + 1, 1:] = np.logaddexp(out[c, :-1], out[c, 1:] + np.log(np.maximum(c - t * d, 0)))
+    return out
+
+
+def _stepped(counts: np.ndarray, base: np.ndarray, others: np.ndarray, d: float, seed: np.ndarray) -> np.ndarray:
+    """Tables of dishes whose customers come in turn, many at a step once many are seated."""
     order = np.argsort(-counts, kind="stable")
-    c, open_, s = counts[order].astype(np.float64), (weight * base)[order], seed[order]
-    t = tables[order]
-    done, turn = 1.0, 0
+    c, p, s, more = counts[order].astype(np.float64), base[order], seed[order], others[order]
+    t, done, turn = np.ones(len(c)), 1.0, 0
     while (live := int(np.searchsorted(-c, -done))) > 0:  # dishes with more than `done` customers
         n = max(1.0, np.floor(done * STEP_SHARE))
         k = np.minimum(n, c[:live] - done)
-        p = open_[:live] / (done - discount * t[:live] + open_[:live])
+        new = (STRENGTH + d * (more[:live] + t[:live])) * p[:live]
+        share = new / (done - d * t[:live] + new)
         turn += 2
         u = _uniform(s[:live], turn)
         if n == 1:
-            t[:live] += u < p
+            t[:live] += u < share
         else:
             normal = np.sqrt(-2 * np.log(u)) * np.cos(2 * np.pi * _uniform(s[:live], turn + 1))
-            t[:live] += np.clip(np.rint(k * p + np.sqrt(k * p * (1 - p)) * normal), 0, k)
+            t[:live] += np.clip(np.rint(k * share + np.sqrt(k * share * (1 - share)) * normal), 0, k)
         done += n
-    tables[order] = t
-    return tables
-
-
-def discount(ones: float, twos: float) -> float:
-    return float(np.clip(ones / (ones + 2 * twos), 0.1, 0.9)) if ones else 0.5
+    out = np.empty(len(c))
+    out[order] = t
+    return out
+
+
+def reseated(counts: np.ndarray, base: np.ndarray, others: np.ndarray, d: float, seed: np.ndarray, stirling: np.ndarray) -> np.ndarray:
+    """New numbers of tables of dishes, given the other dishes' tables in their restaurants and the parent's probabilities."""
+    out = np.ones(len(counts))
+    width = 2
+    while width <= 2 * EXACT:
+        at = np.flatnonzero((counts > width // 2) & (counts <= min(width, EXACT)))
+        for part in np.array_split(at, max(1, -(-len(at) * width // (1 << 20)))) if len(at) else ():
+            w = min(width, EXACT)
+            rise = np.log(STRENGTH + d * (others[part, None] + np.arange(w))) + np.log(np.maximum(base[part, None], 1e-300))
+            logs = stirling[counts[part], 1 : w + 1] + np.cumsum(rise, axis=1)
+            share = np.cumsum(np.exp(logs - logs.max(axis=1, keepdims=True)), axis=1)
+            draw = _uniform(seed[part], 1) * share[:, -1]
+            out[part] = 1 + (share < draw[:, None]).sum(axis=1)
+        width *= 2
+    large = counts > EXACT
+    if large.any():
+        out[large] = _stepped(counts[large], base[large], others[large], d, seed[large])
+    return out
+
+
+def route(a: np.ndarray, b: np.ndarray, hot: np.ndarray, n: int) -> np.ndarray:
+    """The shard of each pair: the context's, or the pair's own where the context is hot."""
+    key = mix(a ^ _B)
+    if len(hot):
+        own = np.isin(a, hot)
+        key[own] = mix(key[own] + b[own] * _A)
+    return (key % np.uint64(n)).astype(np.int64)
+
+
+def _runs(sorted_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of equal values begin, and their lengths."""
+    new = np.ones(len(sorted_), bool)
+    new[1:] = sorted_[1:] != sorted_[:-1]
+    at = np.flatnonzero(new)
+    return at, np.diff(np.append(at, len(sorted_)))
 
 
-class Spelling:
-    """One sample of the letter restaurants, as what prediction needs."""
-
-    def __init__(self, letters: np.ndarray) -> None:
-        self.letters = letters  # of each code point, its symbol
-        k = SYMBOLS
-        self.short = np.full(k ** (ORDER - 1), 1.0 / k)  # predictive of the contexts one letter shorter, and a letter
-        self.codes, self.own = np.zeros(1, np.int64), np.zeros(1)
-        self.back = np.ones(k ** (ORDER - 1))
-
-    def sampled(self, codes: np.ndarray, counts: np.ndarray, sweep: int) -> Spelling:
-        """The next sample, from the customers (tables of words) of each full context and letter."""
-        k, new = SYMBOLS, Spelling(self.letters)
-        predict = {o: np.full(k**o, 1.0 / k) for o in range(1, ORDER)}  # by context and letter
-        tables: dict[int, np.ndarray] = {}
-        for turn in range(LETTER_SWEEPS):
-            at, c, seated = codes, counts.astype(np.float64), {}
-            for order in range(ORDER, 0, -1):
-                context, d = at // k, discount((c == 1).sum(), (c == 2).sum())
-                base = predict[order - 1][at % k ** (order - 1)] if order > 1 else np.full(len(at), 1.0 / k)
-                before = tables.get(order, np.bincount(context, np.minimum(c, 1), k ** (order - 1)))
-                seed = mix(at.astype(np.uint64) * _A + np.uint64((sweep * LETTER_SWEEPS + turn) * ORDER + order))
-                t = seat(c, base, (STRENGTH + d * before)[context], d, seed)
-                tables[order] = np.bincount(context, t, k ** (order - 1))
-                seated[order] = at, context, c, t, d
-                if order > 1:  # a table is a customer of the context without its furthest letter
-                    at, where = np.unique(at % k ** (order - 1), return_inverse=True)
-                    c = np.bincount(where, t)
-            for order in range(1, ORDER + 1):
-                at, context, c, t, d = seated[order]
-                total = STRENGTH + np.bincount(context, c, k ** (order - 1))
-                back, own = (STRENGTH + d * tables[order]) / total, (c - d * t) / total[context]
-                if order == ORDER:
-                    new.codes, new.own, new.back, new.short = at, own, back, predict[order - 1]
-                    break
-                parent = predict[order - 1].reshape(-1, k) if order > 1 else np.full((1, k), 1.0 / k)
-                dense = back[:, None] * parent[np.arange(len(back)) % len(parent)]
-                dense[context, at % k] += own
-                predict[order] = dense.ravel()
-        return new
-
-    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(word number, code, whether an unlisted letter) of every letter and end, in order."""
-        points = np.frombuffer((b"\n".join(words) + b"\n").decode("utf-8", "replace").encode("utf-32-le"), "<u4")
-        symbol = self.letters[points].astype(np.int64)
-        ends = points == 10
-        word = np.cumsum(ends) - ends
-        start = np.concatenate([[0], np.flatnonzero(ends)[:-1] + 1]) if len(points) else np.zeros(0, np.int64)
-        place = np.arange(len(points)) - start[word]
-        code, scale = symbol.copy(), 1
-        for back in range(1, ORDER):
-            scale *= SYMBOLS
-            before = np.concatenate([np.zeros(back, np.int64), symbol[:-back]])[: len(symbol)]
-            code += scale * np.where(place >= back, before, 0)
-        return word, code, symbol == 1
-
-    def word_logs(self, words: list[bytes], encoded=None) -> np.ndarray:
-        """Natural log probability of each word's spelling."""
-        word, code, other = encoded or self.encode(words)
-        at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
-        own = np.where(self.codes[at] == code, self.own[at], 0.0)
-        short = self.short[code % SYMBOLS ** (ORDER - 1)]
-        logs = np.log(own + self.back[code // SYMBOLS] * short) - other * np.log(CODE_POINTS)
-        return np.bincount(word, logs, len(words))
-
-
-class Sample:
-    """A sweep's state: spelling, tables of all words, and the seats that they give each word."""
-
-    def __init__(self, spelling: Spelling, tables: float, discount_: float, sweep: int) -> None:
-        self.spelling, self.tables, self.discount, self.sweep = spelling, tables, discount_, sweep
-
-    def base(self, words: list[bytes], encoded=None) -> np.ndarray:
-        return (1 - END_SHARE) * np.exp(self.spelling.word_logs(words, encoded))
-
-    def seats(self, hashes: np.ndarray, counts: np.ndarray, base: np.ndarray) -> np.ndarray:
-        weight = np.full(len(counts), STRENGTH + self.discount * self.tables)
-        return seat(counts, base, weight, self.discount, mix(hashes + np.uint64(self.sweep * int(_B) % 2**64)))
-
-    def predict(self, counts, seats, base, all_tokens: float, all_tables: float) -> np.ndarray:
-        return (counts - self.discount * seats + (STRENGTH + self.discount * all_tables) * base) / (STRENGTH + all_tokens)
-
-
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Partial counts (word, hash, count in training texts); held-out words come with 0."""
-    seen: Counter[bytes] = Counter()
-    held: set[bytes] = set()
-
-    def flush():
-        words = [*seen, *(w for w in held if w not in seen)]
-        hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-        counts = np.zeros(len(words), np.int64)
-        counts[: len(seen)] = list(seen.values())
-        seen.clear()
-        held.clear()
-        return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(hashes.view(np.int64)), pa.array(counts)], ["word", "h", "c"])
+_FIELDS = ("x1", "x2", "x3", "x4", "x5", "x6")
+#: One table holds questions, texts and shards, so that the texts are read once.
+_ROW = "to int, kind int, source long, " + ", ".join(f"{x} binary" for x in _FIELDS) + ", ids array<long>, parts array<binary>"
+_TYPES = (pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * len(_FIELDS), pa.list_(pa.int64()), pa.list_(pa.binary()))
+_NAMES = ("to", "kind", "source", *_FIELDS, "ids", "parts")
 
-    for batch in batches:
-        for held_out, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            (held if held_out else seen).update(split(text.as_py()))
-            if len(seen) + len(held) > FLUSH:
-                yield flush()
-    if seen or held:
-        yield flush()
-
-
-def _pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Different pairs and how often each occurs."""
-    order = np.lexsort((b, a))
-    a, b = a[order], b[order]
-    new = np.ones(len(a), bool)
-    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    at = np.flatnonzero(new)
-    return a[at], b[at], np.diff(np.append(at, len(a)))
 
+def _row(to: int, kind: int, source: int, arrays=(), ids=None, parts=None) -> pa.RecordBatch:
+    data = [packed(x) for x in arrays]
+    values = (to, kind, source, *data, *[None] * (len(_FIELDS) - len(data)), ids, parts)
+    return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, _TYPES)], list(_NAMES))
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        got = self[word] = xxhash.xxh64_intdigest(word)
-        return got
 
-    def followed(self, text: str | None) -> np.ndarray:
-        """The text's word hashes between START and END."""
-        words = split(text)
-        out = np.empty(len(words) + 2, np.uint64)
-        out[0], out[-1] = START, END
-        out[1:-1] = np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-        return out.view(np.int64)
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows as dictionaries, their arrays unpacked."""
+    for batch in batches:
+        for n in range(len(batch)):
+            row = {name: batch.column(k)[n] for k, name in enumerate(batch.schema.names)}
+            out = {name: row[name].as_py() for name in ("to", "kind", "source", "ids", "parts")}
+            yield out | {x: unpacked(row[x].as_buffer()) if row[x].is_valid else None for x in _FIELDS}
+
+
+def _asking(shards: int, hot: np.ndarray):
+    """Texts to questions and coded texts, block by block."""
+
+    def block(number: int, ids: list, held: list[bool], sequences: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        sizes = np.array([len(s) - 1 for s in sequences])
+        words, code = np.unique(np.concatenate(sequences), return_inverse=True)
+        last = np.cumsum(sizes + 1) - 1
+        left, right = np.delete(code, last), np.delete(code, np.append(0, last[:-1] + 1))
+        pairs, where = np.unique(left * len(words) + right, return_inverse=True)
+        count = np.bincount(where, np.repeat(~np.array(held, bool), sizes), len(pairs)).astype(np.int64)
+        a, b = pairs // len(words), pairs % len(words)
+        shard = route(words[a], words[b], hot, shards)
+        order = np.argsort(shard, kind="stable")
+        place = np.empty(len(pairs), np.int64)
+        place[order] = np.arange(len(pairs))
+        codes = place[where].astype(np.int32)
+        yield _row(int(mix(np.array([number], np.uint64))[0] % np.uint64(shards)), _TEXTS, number, (codes, sizes, np.array(held, np.uint8)), ids)
+        at, lengths = _runs(shard[order])
+        for begin, n in zip(at.tolist(), lengths.tolist()):
+            own = order[begin : begin + n]
+            first, run = _runs(a[own])
+            follow, index = np.unique(b[own], return_inverse=True)
+            arrays = (words[a[own[first]]], run.astype(np.int32), words[follow], index.astype(np.int32), count[own])
+            yield _row(int(shard[own[0]]), _QUESTION, number, arrays)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        cache, number = kept("language", _Hashes), TaskContext.get().partitionId() << 32
+        ids, held, sequences, size = [], [], [], 0
+        for batch in batches:
+            for doc, out, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                ids.append(doc)
+                held.append(out)
+                sequences.append(cache.sequence(text.as_py()))
+                size += len(sequences[-1])
+                if size >= BLOCK_TOKENS:
+                    yield from block(number, ids, held, sequences)
+                    number += 1
+                    ids, held, sequences, size = [], [], [], 0
+        if ids:
+            yield from block(number, ids, held, sequences)
+
+    return run
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A shard's questions to one table of pairs and each block's places in it; texts pass through."""
+    asked: dict[int, list[dict]] = {}
+    for row in _rows(batches):
+        if row["kind"] == _TEXTS:
+            yield _row(row["to"], _TEXTS, row["source"], [row[x] for x in _FIELDS[:3]], row["ids"])
+        else:
+            asked.setdefault(row["to"], []).append(row)
+    for to, rows in asked.items():
+        contexts, words = (np.unique(np.concatenate([r[x] for r in rows])) for x in ("x1", "x3"))
+        codes = [np.repeat(np.searchsorted(contexts, r["x1"]), r["x2"]) * len(words) + np.searchsorted(words, r["x3"])[r["x4"]] for r in rows]
+        pairs, where = np.unique(np.concatenate(codes), return_inverse=True)
+        count = np.bincount(where, np.concatenate([r["x5"] for r in rows]), len(pairs)).astype(np.int64)
+        ends = np.cumsum([len(c) for c in codes])
+        parts = [packed(np.diff(where[e - len(c) : e], prepend=0).astype(np.int32)) for c, e in zip(codes, ends)]  # places rise
+        sizes = np.bincount(pairs // len(words), minlength=len(contexts)).astype(np.int32)
+        yield _row(to, _SHARD, 0, (contexts, sizes, words, (pairs % len(words)).astype(np.int32), count), [r["source"] for r in rows], parts)
 
 
-def _followers(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return _pairs(np.concatenate([t[:-1] for t in texts]), np.concatenate([t[1:] for t in texts]))
+class _Shard:
+    """A shard's pairs, from its row."""
 
+    def __init__(self, row: dict) -> None:
+        self.contexts, self.sizes, self.words, self.word, self.count = (row[x] for x in _FIELDS[:5])
+        self.context = np.repeat(np.arange(len(self.contexts)), self.sizes)
+        self.heavy = np.flatnonzero(self.count > 1)
 
-def _paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Partial counts (a, b, count): b follows a in training texts."""
-    texts, size, cache = [], 0, _Hashes()
+    def context_sums(self, values: np.ndarray, at=slice(None)) -> np.ndarray:
+        return np.bincount(self.context[at], values, len(self.contexts))
 
-    def flush():
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in _followers(texts)], ["a", "b", "c"])
 
-    for batch in batches:
-        for held_out, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            if held_out:
-                continue
-            texts.append(cache.followed(text.as_py()))
-            size += len(texts[-1])
-            if size > PAIRS_AT_ONCE:
-                yield flush()
-                texts, size, cache = [], 0, _Hashes()
-    if texts:
-        yield flush()
-
-
-def _letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(CODE_POINTS, np.int64)
-    for batch in batches:
-        words = batch.column(0).to_pylist()
-        points = np.frombuffer(b"".join(words).decode("utf-8", "replace").encode("utf-32-le"), "<u4")
-        found, n = np.unique(points, return_counts=True)
-        total[found] += n
-    at = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["point", "n"])
+def _given(base: np.ndarray, totals: tuple[float, float, float, int]) -> np.ndarray:
+    """The word restaurant's probabilities from its dishes' own mass, its discount, customers, tables and outcomes."""
+    d, customers, tables, outcomes = totals
+    return (base + (STRENGTH + d * tables) / outcomes) / (STRENGTH + customers)
 
 
 class LanguageModel:
@@ -276,203 +277,304 @@ class LanguageModel:
     def __init__(self, docs: DataFrame, held_out) -> None:
         self.spark = docs.sparkSession
         self.rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), F.col("text"))
-        counted = self.rows.select("held_out", "text").mapInArrow(_counted, "word binary, h long, c long")
-        self.words = written(counted.groupBy("word", "h").agg(F.sum("c").alias("c")))
-        texts = self.rows.agg(F.count_if(~F.col("held_out")).alias("ends"), F.count("*").alias("all")).first()
-        got = self.words.agg(F.sum("c").alias("n"), F.count_if(F.col("c") > 0).alias("v"), F.count_if(F.col("c") == 1).alias("n1"), F.count_if(F.col("c") == 2).alias("n2")).first()
-        self.ends = texts["ends"]
-        self.word_counts = self.words
-        self.pairs = written(self.rows.select("held_out", "text").mapInArrow(_paired, "a long, b long, c long").groupBy("a", "b").agg(F.sum("c").alias("c")))
-        self._seat_pairs()
-        self.tokens = (got["n"] or 0) + self.ends
-        self.distinct = got["v"] + (self.ends > 0)
-        n = self.words.agg(F.sum("n").alias("n"), F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2")).first()
-        self.customers = (n["n"] or 0) + self.end_customers
-        self.discount = discount(n["n1"], n["n2"])
-        self.blocks = max(1, -(-self.tokens * max(1, texts["all"]) // max(1, self.ends) // BLOCK_TOKENS))
-        self.samples, self.totals = self._sampled()
-
-    def _seat_pairs(self) -> None:
-        """Tables of each pair; of them each word's customers `n` and each context's tables `t`."""
-        got = self.pairs.agg(F.count_if(F.col("c") == 1).alias("n1"), F.count_if(F.col("c") == 2).alias("n2")).first()
-        self.pair_discount = d = discount(got["n1"], got["n2"])
-        single = self.pairs.where("c = 1").select("a", "b", "c", F.lit(1).cast("long").alias("t"))  # always one table
-        seats = self.pairs.select("a", "b", "c", F.lit(1).cast("long").alias("t"))
-        for sweep in range(PAIR_SWEEPS + 1):
-            below = written(seats.groupBy(F.col("b").alias("h")).agg(F.sum("t").alias("n")))
-            tables = written(seats.groupBy(F.col("a").alias("h")).agg(F.sum("t").alias("t")))
-            if sweep == PAIR_SWEEPS:
-                break
-            total = below.agg(F.sum("n")).first()[0] or 1
-
-            def run(batches: Iterator[pa.RecordBatch], total=total, sweep=sweep, d=d) -> Iterator[pa.RecordBatch]:
-                for batch in batches:
-                    a, b, c, n, t = (x.to_numpy() for x in batch.columns)
-                    base = n / total  # the word restaurant's estimate
-                    seed = mix(mix(a.view(np.uint64)) + b.view(np.uint64) * _A + np.uint64(sweep * int(_B) % 2**64))
-                    got = seat(c, base, STRENGTH + d * t, d, seed)
-                    yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(got.astype(np.int64))], ["a", "b", "c", "t"])
-
-            several = self.pairs.where("c > 1").join(below.select(F.col("h").alias("b"), "n"), "b").join(tables.select(F.col("h").alias("a"), "t"), "a")
-            seats = single.unionByName(written(several.select("a", "b", "c", "n", "t").mapInArrow(run, "a long, b long, c long, t long")))
-        self.seats = seats
-        marks = {r["h"]: r["n"] for r in below.where(F.col("h") == END).collect()}
-        self.end_customers = marks.get(END, 0)
-        self.start_tables = sum(r["t"] for r in tables.where(F.col("h") == START).collect())
-        zero = lambda name: F.coalesce(name, F.lit(0)).alias(name)
-        joined = self.word_counts.join(below, "h", "left").join(tables, "h", "left")
-        self.words = written(joined.select("word", "h", zero("n"), "c", zero("t")))
-
-    def _alphabet(self) -> np.ndarray:
-        counts = self.words.where("c > 0").select("word").mapInArrow(_letters, "point int, n long").groupBy("point").agg(F.sum("n").alias("n"))
-        top = counts.orderBy(F.desc("n"), "point").limit(SYMBOLS - 2).collect()
-        letters = np.ones(CODE_POINTS, np.uint8)  # 1: any other letter
-        letters[[r["point"] for r in top]] = np.arange(2, 2 + len(top))
-        letters[10] = 0
-        return letters
-
-    def _sampled(self) -> tuple[list[Sample], list[tuple[float, float]]]:
-        spelling = Spelling(self._alphabet())
-        tables, samples, totals = float(self.distinct), [], []
-        for sweep in range(BURN_IN + SAMPLES):
-            state = Sample(spelling, tables, self.discount, sweep)
-            state_of = shared(self.spark, state)  # SYMBOLS ** ORDER cells at most
-
-            def run(batches: Iterator[pa.RecordBatch], state_of=state_of, first=sweep == 0) -> Iterator[pa.RecordBatch]:
-                s = state_of()
-                for batch in batches:
-                    words, counts = batch.column(0).to_pylist(), batch.column(2).to_numpy()
-                    if not words:
-                        continue
-                    hashes, encoded = batch.column(1).to_numpy().view(np.uint64), s.spelling.encode(words)
-                    base = np.zeros(len(words)) if first else s.base(words, encoded)
-                    seats = np.ones(len(words)) if first else s.seats(hashes, counts, base)
-                    code, where = np.unique(encoded[1], return_inverse=True)
-                    n = np.bincount(where, seats[encoded[0]])
-                    yield pa.RecordBatch.from_arrays([pa.array(np.append(code, [-1, -2])), pa.array(np.append(n, [seats.sum(), base.sum()]))], ["code", "n"])
-
-            found = self.words.where("c > 0").mapInArrow(run, "code long, n double").groupBy("code").agg(F.sum("n").alias("n"))
-            got = found.toArrow()  # a row for each cell
-            code, n = got.column(0).to_numpy(), got.column(1).to_numpy()
-            order = np.argsort(code)
-            code, n = code[order], n[order]
-            tables = float(n[code == -1].sum()) + 1
-            if sweep >= BURN_IN:
-                samples.append(state)
-                totals.append((tables, float(n[code == -2].sum())))
-            if (code >= 0).any():
-                spelling = spelling.sampled(code[code >= 0], n[code >= 0], sweep)
-        return samples, totals
-
-    def scored_words(self) -> DataFrame:
-        """h, c, t, lp, lo: each word's count, its tables as a context, and log10 of its averaged
-        predictive probability in the word restaurant.
-
-        In lp all words that training has not seen are one outcome, as they are for the
-        base score; lo keeps them apart by their spelling.
-        """
-        model = shared(self.spark, (self.samples, self.totals, float(self.customers)))
+        self.shards, self.hot = self._layout()
+        asked = self.rows.mapInArrow(_asking(self.shards, self.hot), _ROW)
+        self.table = written(asked.repartitionById(self.shards, "to").mapInArrow(_merged, _ROW), partition="kind")
+        self.texts, self.pairs = (self.table.where(F.col("kind") == k).select(*_NAMES) for k in (_TEXTS, _SHARD))
+        self.trace: list[dict] = []
+        self._counted()
+        self._sampled()
+
+    def _layout(self) -> tuple[int, np.ndarray]:
+        """The number of shards and the contexts that all of them share, from a sample of the texts."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            samples, totals, tokens = model()
+            cache = kept("language", _Hashes)
             for batch in batches:
-                words, counts = batch.column(0).to_pylist(), batch.column(2).to_numpy()
-                if not words:
-                    continue
-                hashes, encoded = batch.column(1).to_numpy().view(np.uint64), samples[0].spelling.encode(words)
-                total, unseen = np.zeros(len(words)), 0.0
-                for s, (t, known) in zip(samples, totals):
-                    base = s.base(words, encoded)
-                    total += s.predict(counts, s.seats(hashes, counts, base), base, tokens, t)
-                    unseen += float(s.predict(0, 0, max(1 - END_SHARE - known, 1e-12), tokens, t))
-                lo = np.log10(np.maximum(total / len(samples), 1e-300))
-                lp = np.where(counts > 0, lo, np.log10(unseen / len(samples)))
-                yield pa.RecordBatch.from_arrays([batch.column(1), *batch.columns[3:], pa.array(lp), pa.array(lo)], ["h", "c", "t", "lp", "lo"])
-
-        return self.words.mapInArrow(run, "h long, c long, t long, lp double, lo double")
-
-    def end_log(self) -> float:
-        n = np.array([self.end_customers], np.float64)
-        base, total = np.array([END_SHARE]), 0.0
-        for s, (t, _) in zip(self.samples, self.totals):
-            seats = s.seats(np.array([1], np.uint64), n, base)
-            total += float(s.predict(n, seats, base, float(self.customers), t)[0])
-        return float(np.log10(total / len(self.samples)))
+                if len(batch):
+                    h, n = np.unique(np.concatenate([cache.sequence(t.as_py())[:-1] for t in batch.column(0)]), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
+
+        seen = self.rows.select("text").sample(SAMPLED, 1).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+        seen = written(seen)
+        total = seen.agg(F.sum("n")).first()[0] or 0
+        shards = max(self.spark.sparkContext.defaultParallelism, int(total / SAMPLED / SHARD_TOKENS) + 1)
+        least = total * HOT_SHARE / shards  # so there are shards / HOT_SHARE of them at most
+        hot = [r["h"] for r in seen.where(F.col("n") > least).select("h").collect()] if total else []
+        erase(seen)
+        return shards, np.array(sorted(hot), np.int64).view(np.uint64)
+
+    def _counted(self) -> None:
+        """Totals, each shard's repeated pairs, and each word's tables so far: one for each pair."""
+        hot = self.hot
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for row in _rows(batches):
+                s = _Shard(row)
+                trained = (s.count > 0).astype(np.float64)
+                ones, twos, all_ = int((s.count == 1).sum()), int((s.count == 2).sum()), int(s.count.sum())
+                singles = s.context_sums(s.count == 1)
+                of, words = np.unique(s.word[s.heavy], return_inverse=True)
+                contexts, run_ = _runs(s.context[s.heavy])
+                contexts = s.context[s.heavy][contexts]
+                heavy = (s.contexts[contexts], run_.astype(np.int32), singles[contexts].astype(np.int64), s.words[of], words.astype(np.int32), s.count[s.heavy])
+                yield _row(row["to"], 0, 0, heavy, [ones, twos, all_])
+                tables = np.bincount(s.word, trained, len(s.words)).astype(np.int64)
+                mark = np.zeros(len(s.words), np.uint8)
+                mark[of] = 1
+                to = (mix(s.words ^ _A) % np.uint64(shards)).astype(np.int64)
+                order = np.argsort(to, kind="stable")
+                for begin, n in zip(*(x.tolist() for x in _runs(to[order]))):
+                    own = order[begin : begin + n]
+                    yield _row(int(to[own[0]]), 1, row["to"], (s.words[own], tables[own], mark[own], np.bincount(s.word[s.heavy], minlength=len(s.words))[own]))
+                if len(hot):
+                    at = np.flatnonzero(np.isin(s.contexts, hot))
+                    sums = s.context_sums(s.count)
+                    yield _row(row["to"], 2, 0, (s.contexts[at], sums[at], s.context_sums(trained)[at]), s.contexts[at].view(np.int64).tolist())
+
+        shards = self.shards
+        got = written(self.pairs.mapInArrow(run, _ROW), partition="kind")
+        self.heavy = got.where("kind = 0").select(*_NAMES)
+        said = self.heavy.select(*(F.sum(F.col("ids")[k]).alias(n) for k, n in enumerate(("ones", "twos", "all")))).first()
+        self.tokens, self.discount = said["all"] or 0, discount(said["ones"] or 0, said["twos"] or 0)
+        self.ends = self.rows.where(~F.col("held_out")).count()
+        self.hot_counts = self._hot_sums(got.where("kind = 2").select(*_NAMES), "x2")
+        self.hot_tables = [self._hot_sums(got.where("kind = 2").select(*_NAMES), "x3")]
+
+        def parents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """One row for each part of the word restaurant: its words, singles and messages' places."""
+            by: dict[int, list[dict]] = {}
+            for row in _rows(batches):
+                by.setdefault(row["to"], []).append(row)
+            for to, rows in by.items():
+                words, where = np.unique(np.concatenate([r["x1"] for r in rows]), return_inverse=True)
+                tables = np.bincount(where, np.concatenate([r["x2"] for r in rows]), len(words))
+                heavy = np.bincount(where, np.concatenate([r["x4"] for r in rows]), len(words))
+                ends = np.cumsum([len(r["x1"]) for r in rows])
+                places = [where[e - len(r["x1"]) : e].astype(np.int32) for r, e in zip(rows, ends)]
+                parts = [p for r, at in zip(rows, places) for p in (packed(at), packed(r["x3"]))]
+                yield _row(to, 3, 0, (words, (tables - heavy).astype(np.int64), tables.astype(np.int64)), [r["source"] for r in rows], parts)
+
+        self.parents = written(got.where("kind = 1").select(*_NAMES).repartitionById(shards, "to").mapInArrow(parents, _ROW))
+        self._counted_table = got
+
+    def _hot_sums(self, rows: DataFrame, field: str) -> dict[int, float]:
+        """Sums over shards for the contexts that many share; there are few of them, by _layout."""
+        if not len(self.hot):
+            return {}
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for row in _rows(batches):
+                yield pa.RecordBatch.from_arrays([pa.array(row["ids"], pa.int64()), pa.array(row[field], pa.float64())], ["h", "n"])
+
+        got = rows.mapInArrow(run, "h long, n double").groupBy("h").agg(F.sum("n").alias("n"))
+        return {r["h"] % 2**64: r["n"] for r in got.collect()}
+
+    def _parent_sweep(self, sweep: int, messages: DataFrame | None, totals) -> DataFrame:
+        """Seat the word restaurant. Rows: to a shard (0: for its repeated pairs' words, 1: for all its words), and sums (2)."""
+        final = sweep >= BURN_IN
+        d, tables, outcomes = totals
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            stirling = log_stirling(EXACT, d)
+            own, said = {}, {}
+            for row in _rows(batches):
+                if row["kind"] == 3:
+                    own[row["to"]] = row
+                else:
+                    said[row["to"], row["source"]] = row["x1"]
+            for to, row in own.items():
+                words, n = row["x1"], row["x3"]
+                places = [unpacked(p) for p in row["parts"]]
+                places, marks = places[::2], places[1::2]
+                if said:
+                    n = row["x2"].astype(np.float64)
+                    for source, at, mark in zip(row["ids"], places, marks):
+                        if (to, source) in said:
+                            n[at[mark > 0]] += said[to, source]
+                n = n.astype(np.int64)
+                seed = mix(words + np.uint64((sweep * int(_B) + 7) % 2**64))
+                t = np.minimum(n, 1).astype(np.float64)
+                many = np.flatnonzero(n > 1)
+                t[many] = reseated(n[many], np.full(len(many), 1 / outcomes), np.full(len(many), tables - 1.0), d, seed[many], stirling)
+                mass = (n - d * t).astype(np.float32)
+                yield _row(to, 2, 0, (), [int(n.sum()), int(t.sum())])
+                for source, at, mark in zip(row["ids"], places, marks):
+                    if final:
+                        yield _row(source, 1, to, (mass[at],))
+                    if (mark > 0).any():
+                        yield _row(source, 0, to, (mass[at[mark > 0]],))
+
+        rows = self.parents if messages is None else self.parents.unionByName(messages)
+        return written(rows.repartitionById(self.shards, "to").mapInArrow(run, _ROW), partition="kind")
+
+    def _context_sweep(self, sweep: int, replies: DataFrame, state: DataFrame | None, totals) -> DataFrame:
+        """Seat the contexts' repeated pairs. Rows: new tables (4), messages to the word restaurant (5), shared contexts' tables (2)."""
+        d, shards, hot = self.discount, self.shards, self.hot
+        hot_tables = self.hot_tables[-1]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            stirling = log_stirling(EXACT, d)
+            own, tables, mass = {}, {}, {}
+            for row in _rows(batches):
+                if row["kind"] == 4:
+                    tables[row["to"]] = row["x1"].astype(np.float64)
+                elif row["x2"] is None:
+                    mass[row["to"], row["source"]] = row["x1"]
+                else:
+                    own[row["to"]] = row
+            for to, row in own.items():
+                contexts, run_, singles, words, word, count = (row[x] for x in _FIELDS)
+                at = np.repeat(np.arange(len(contexts)), run_)
+                t = tables.get(to, np.ones(len(count)))
+                parent = (mix(words ^ _A) % np.uint64(shards)).astype(np.int64)
+                order = np.argsort(parent, kind="stable")
+                base = np.empty(len(words))
+                begins, lengths = _runs(parent[order])
+                for begin, n in zip(begins.tolist(), lengths.tolist()):
+                    mine = order[begin : begin + n]
+                    base[mine] = mass[to, int(parent[mine[0]])]
+                base = _given(base, totals)[word]
+                total = singles + np.bincount(at, t, len(contexts))
+                shared_ = np.flatnonzero(np.isin(contexts, hot))
+                total[shared_] = [hot_tables[int(h)] for h in contexts[shared_]]
+                seed = mix(mix(contexts)[at] + words[word] * _A + np.uint64(sweep * int(_B) % 2**64))
+                rank = np.arange(len(at)) - np.repeat(np.cumsum(run_) - run_, run_)
+                for g in range(GROUPS):
+                    now = np.flatnonzero(rank % GROUPS == g)
+                    if len(now):
+                        new = reseated(count[now], base[now], total[at[now]] - t[now], d, seed[now], stirling)
+                        total += np.bincount(at[now], new - t[now], len(contexts))
+                        t[now] = new
+                yield _row(to, 4, 0, (t.astype(np.int64),))
+                sums = np.bincount(word, t, len(words)).astype(np.int64)
+                for begin, n in zip(begins.tolist(), lengths.tolist()):
+                    mine = order[begin : begin + n]
+                    yield _row(int(parent[mine[0]]), 5, to, (sums[mine],))
+                if len(shared_):
+                    more = np.bincount(at, t - 1, len(contexts))[shared_]
+                    yield _row(to, 2, 0, (more,), contexts[shared_].view(np.int64).tolist())
+
+        rows = self.heavy.unionByName(replies)
+        rows = rows if state is None else rows.unionByName(state)
+        return written(rows.repartitionById(shards, "to").mapInArrow(run, _ROW), partition="kind")
+
+    def _sampled(self) -> None:
+        of = lambda df, k: df.where(F.col("kind") == k).select(*_NAMES)
+        got = self.parents.mapInArrow(_sizes, "n1 long, n2 long, v long")
+        n = got.agg(F.sum("n1").alias("n1"), F.sum("n2").alias("n2"), F.sum("v").alias("v")).first()
+        self.distinct = n["v"] or 0
+        parent_discount, tables = discount(n["n1"] or 0, n["n2"] or 0), float(self.distinct)
+        first_tables = self.hot_tables[0]
+        self.samples: list[tuple] = []
+        messages = state = seated = None
+        for sweep in range(BURN_IN + SAMPLES):
+            parent = self._parent_sweep(sweep, messages, (parent_discount, tables, self.distinct + 1))
+            sums = of(parent, 2).select(F.sum(F.col("ids")[0]).alias("n"), F.sum(F.col("ids")[1]).alias("t")).first()
+            tables = float(sums["t"] or 0)
+            totals = (parent_discount, float(sums["n"] or 0), tables, self.distinct + 1)
+            self.trace.append({"sweep": sweep, "context tables": totals[1], "word tables": tables})
+            if sweep >= BURN_IN:  # the words, given the contexts as they are
+                self.samples.append((totals, self.hot_tables[-1], of(parent, 1), state))
+            if sweep == BURN_IN + SAMPLES - 1:
+                break
+            before, seated = seated, self._context_sweep(sweep, of(parent, 0), state, totals)
+            more = self._hot_sums(of(seated, 2), "x1")
+            self.hot_tables.append({h: t + more.get(h, 0) for h, t in first_tables.items()})
+            state, messages = of(seated, 4), of(seated, 5)
+            if sweep < BURN_IN:
+                erase(parent, *([before] if before is not None else []))
+        erase(self._counted_table, self.parents)
+
+    def _answers(self) -> DataFrame:
+        """(block, shard, log10 probabilities, context counts) in the order of each block's question."""
+        d, hot, shards = self.discount, self.hot, self.shards
+        known, hot_counts = [(totals, tables) for totals, tables, _, _ in self.samples], self.hot_counts
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own, mass, tables = {}, {}, {}
+            for row in _rows(batches):
+                if row["kind"] == _SHARD:
+                    own[row["to"]] = row
+                elif row["kind"] % 10 == 4:
+                    tables[row["to"], row["kind"] // 10] = row["x1"]
+                else:
+                    mass[row["to"], row["kind"] // 10, row["source"]] = row["x1"]
+            for to, row in own.items():
+                s = _Shard(row)
+                parent = (mix(s.words ^ _A) % np.uint64(shards)).astype(np.int64)
+                order = np.argsort(parent, kind="stable")
+                begins, lengths = _runs(parent[order])
+                shared_ = np.flatnonzero(np.isin(s.contexts, hot))
+                customers = s.context_sums(s.count)
+                customers[shared_] = [hot_counts[int(h)] for h in s.contexts[shared_]]
+                total = np.zeros(len(s.count))
+                for k, (totals, hot_tables) in enumerate(known):
+                    base = np.empty(len(s.words))
+                    for begin, n in zip(begins.tolist(), lengths.tolist()):
+                        mine = order[begin : begin + n]
+                        base[mine] = mass[to, k + 1, int(parent[mine[0]])]
+                    t = np.minimum(s.count, 1).astype(np.float64)
+                    t[s.heavy] = tables[to, k + 1]
+                    opened = s.context_sums(t)
+                    opened[shared_] = [hot_tables[int(h)] for h in s.contexts[shared_]]
+                    room = STRENGTH + d * opened
+                    total += (s.count - d * t + room[s.context] * _given(base, totals)[s.word]) / (STRENGTH + customers)[s.context]
+                logs = np.log10(total / len(known)).astype(np.float32)
+                count = customers.astype(np.int64)[s.context]
+                for block, part in zip(row["ids"], row["parts"]):
+                    at = np.cumsum(unpacked(part))
+                    yield _row(0, 0, block, (logs[at], count[at]), [to])
+
+        marked = lambda df, k, n: df.withColumn("kind", F.lit(10 * k + n))  # noqa: E731  a sample's rows
+        rows = self.pairs
+        for k, (_, _, replies, state) in enumerate(self.samples, 1):
+            rows = rows.unionByName(marked(replies, k, 1)).unionByName(marked(state, k, 4))
+        return rows.repartitionById(shards, "to").mapInArrow(run, _ROW)
 
     def score(self) -> DataFrame:
         """A row for each text."""
-        texts = self.rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(self.blocks)).cast("int"))
-
-        def ask(table: pa.Table) -> pa.Table:
-            """Different words and different pairs of a block."""
-            cache = _Hashes()
-            a, b, _ = _followers([cache.followed(text.as_py()) for text in table.column("text")])
-            h = np.fromiter(cache.values(), np.uint64, len(cache)).view(np.int64)
-            a, b = np.concatenate([a, h]), np.concatenate([b, np.full(len(h), WORD)])
-            block = table.column("block")[0].as_py()
-            return pa.table({"block": pa.array(np.full(len(a), block, np.int32)), "a": pa.array(a), "b": pa.array(b)})
-
-        asked = texts.groupBy("block").applyInArrow(ask, "block int, a long, b long")
-        words = self.scored_words().select(F.col("h").alias("a"), F.lit(WORD).cast("long").alias("b"), "c", "t", F.col("lp").cast("float").alias("lp"), F.col("lo").cast("float").alias("lo"))
-        nothing = F.lit(0).cast("float")
-        answers = asked.join(words.unionByName(self.seats.select("a", "b", "c", "t", nothing.alias("lp"), nothing.alias("lo"))), ["a", "b"])
-        n, floor, end = self.tokens, self.tokens + 0.5 * (self.distinct + 1), (self.ends, self.end_log())
-        d, start_tables = self.pair_discount, self.start_tables
-
-        def add(left: pa.Table, right: pa.Table) -> pa.Table:
-            a, b, c, t, lp, lo = (right.column(name).to_numpy() for name in ("a", "b", "c", "t", "lp", "lo"))
-            word, pair = b == WORD, b != WORD
-            order = np.flatnonzero(word)[np.argsort(a[word], kind="stable")]
-            h = a[order]
-            # words by place, then start and end
-            count, table = np.append(c[order], [end[0], 0]), np.append(t[order], [start_tables, 0])
-            known = np.append(c[order], [0, end[0]])
-            lp, lo = (np.append(x[order].astype(np.float64), [0, end[1]]) for x in (lp, lo))
-            base = np.log10((known + 0.5) / floor)
-            room = STRENGTH + d * table
-            place = lambda x, mark: np.where(x == mark, len(h) + (mark == END), np.searchsorted(h, x))
-            code = place(a[pair], START) * (len(h) + 2) + place(b[pair], END)
-            sort = np.argsort(code)
-            code, own = code[sort], (c[pair] - d * t[pair])[sort]
-
-            class Places(dict):
-                def __missing__(self, word: bytes) -> int:
-                    got = self[word] = int(np.searchsorted(h, np.array(xxhash.xxh64_intdigest(word), np.uint64).view(np.int64)))
-                    return got
-
-            places, out = Places(), []
-            for text in left.column("text"):
-                words = split(text.as_py())
-                at = np.append(np.fromiter(map(places.__getitem__, words), np.int64, len(words)), len(h) + 1)
-                before = np.append(len(h), at[:-1])
-                got = np.zeros(len(at))
-                if len(code):
-                    want = before * (len(h) + 2) + at
-                    k = np.minimum(np.searchsorted(code, want), len(code) - 1)
-                    got = np.where(code[k] == want, own[k], 0.0)
-                total = np.log10(STRENGTH + count[before])
-
-                def logs(below, got=got, before=before, total=total):
-                    # without own customers in logs alone, as a spelling can be too small for a power
-                    return np.where(got > 0, np.log10(np.maximum(got + room[before] * 10.0**below, 1e-300)), below + np.log10(room[before])) - total
-
-                out.append((len(at), int((known[at] > 0).sum()), float(base[at].sum()), float(logs(lp[at]).sum()), float(logs(lo[at]).sum())))
-            cols = list(zip(*out)) or [()] * 5
-            return pa.table(
-                {
-                    "doc_id": left.column("doc_id"),
-                    "held_out": left.column("held_out"),
-                    "n_tokens": pa.array(cols[0], pa.int64()),
-                    "n_known": pa.array(cols[1], pa.int64()),
-                    "train_tokens": pa.array([n] * len(out), pa.int64()),
-                    "base_score": pa.array(cols[2], pa.float64()),
-                    "score": pa.array(cols[3], pa.float64()),
-                    "open_score": pa.array(cols[4], pa.float64()),
-                }
-            )
-
-        schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, open_score double"
-        return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(add, schema)
+        n, ends = self.tokens, self.ends
+        floor = n + 0.5 * (self.distinct + 1)
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            texts, answers = {}, {}
+            for row in _rows(batches):
+                if row["kind"] == _TEXTS:
+                    texts[row["source"]] = row
+                else:
+                    answers.setdefault(row["source"], {})[row["ids"][0]] = row["x1"], row["x2"]
+            for block, row in texts.items():
+                logs, counts = (np.concatenate(x) for x in zip(*(got for _, got in sorted(answers.pop(block).items()))))
+                codes, sizes, held = row["x1"], row["x2"], row["x3"].astype(bool)
+                base = np.log10((counts + 0.5) / floor)[codes]
+                known = (counts > 0)[codes].astype(np.int64)
+                begin = np.cumsum(sizes) - sizes  # at the start's pair, whose context is no token; the end is one
+                base[begin], known[begin] = np.log10((ends + 0.5) / floor), int(ends > 0)
+                sums = [np.add.reduceat(x, begin) for x in (logs[codes].astype(np.float64), base, known)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(row["ids"], pa.int64()),
+                        pa.array(held),
+                        pa.array(sizes),
+                        pa.array(sums[2]),
+                        pa.array(np.full(len(sizes), n)),
+                        pa.array(sums[1]),
+                        pa.array(sums[0]),
+                        pa.array(10.0 ** (-sums[0] / sizes)),
+                    ],
+                    ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"],
+                )
+
+        rows = self.texts.unionByName(self._answers())
+        rows = rows.withColumn("to", F.pmod(F.xxhash64("source"), F.lit(self.shards)).cast("int")).repartitionById(self.shards, "to")
+        return rows.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double")
+
+
+def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of one table, of two, and of any."""
+    for row in _rows(batches):
+        n = row["x3"]
+        yield pa.RecordBatch.from_arrays([pa.array([int(x)]) for x in ((n == 1).sum(), (n == 2).sum(), (n > 0).sum())], ["n1", "n2", "v"])
 
 
 def query(spark, sf_dir):

@@ -82,9 +82,9 @@ def test_language_model_hears_the_word_before(spark):
     model = language_model.LanguageModel(spark.createDataFrame(rows, "doc_id long, text string"), held)
     got = {r["doc_id"]: r for r in model.score().collect()}
     assert got[100]["base_score"] == pytest.approx(got[101]["base_score"])
-    assert got[100]["score"] > got[101]["score"] + 5 and got[100]["open_score"] > got[101]["open_score"] + 5
-    assert got[102]["open_score"] < got[102]["score"] < 0
-    assert model.customers < model.tokens  # tables of the contexts, not tokens
+    assert got[100]["score"] > got[101]["score"] + 5
+    assert got[102]["score"] < got[102]["n_tokens"] * -0.3 and got[102]["n_known"] == 2
+    assert model.trace[-1]["context tables"] < model.tokens
 
 
 def test_pages(spark):

@@ -1,11 +1,14 @@
 """Operators' cores against plain versions, without Spark."""
 
+import itertools
+import math
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gridlode.llm import bagminhash, decontamination, html_text, language_model, neighbours, packing, pii, toxicity, url_rules
 from gridlode.llm.shingles import Words, bags, occurrences, shingle
@@ -232,26 +235,98 @@ def test_chi_square_quantile():
     assert neighbours.chi_square_quantile(0.95) == pytest.approx(15.507, abs=1e-3)
 
 
-def test_seating():
-    counts = np.array([1.0, 1, 5, 100, 100000, 0])
-    t = language_model.seat(counts, np.full(6, 1e-4), np.full(6, 50.0), 0.5, np.arange(6, dtype=np.uint64))
-    assert (t <= counts).all() and (t[counts > 0] >= 1).all() and t[5] == 0 and t[0] == 1
-
-
-def test_spelling_is_a_distribution():
-    letters = np.ones(language_model.CODE_POINTS, np.uint8)
-    letters[[ord(c) for c in "abc"]], letters[10] = [2, 3, 4], 0
-    words = [b"ab", b"abc", b"ca", b"b"]
-    code, n = np.unique(language_model.Spelling(letters).encode(words)[1], return_counts=True)
-    s = language_model.Spelling(letters).sampled(code, n, 0)
-    k = language_model.SYMBOLS
-    for context in (0, 2, 2 * k + 3):
-        own = np.zeros(k)
-        here = s.codes // k == context
-        own[s.codes[here] % k] = s.own[here]
-        total = own + s.back[context] * s.short.reshape(-1, k)[context % k ** (language_model.ORDER - 2)]
-        assert total.sum() == pytest.approx(1) and (total > 0).all()
-    assert (s.word_logs([b"ab"]) > s.word_logs([b"cc"])).all()
+def _seatings(c, d, strength, others, p):
+    """Weights of the numbers of tables of c customers of one dish, customer by customer over all partitions."""
+    states = {((1,)): (strength + d * others) * p}
+    for n in range(1, c):
+        after = {}
+        for tables, w in states.items():
+            for k, size in enumerate(tables):
+                key = tuple(sorted((*tables[:k], size + 1, *tables[k + 1 :])))
+                after[key] = after.get(key, 0) + w * (size - d)
+            key = tuple(sorted((*tables, 1)))
+            after[key] = after.get(key, 0) + w * (strength + d * (others + len(tables))) * p
+        states = after
+    out = np.zeros(c + 1)
+    for tables, w in states.items():
+        out[len(tables)] += w
+    return out / out.sum()
+
+
+def test_a_dish_is_seated_by_its_exact_conditional():
+    d, others, p, draws = 0.6, 7.0, 0.05, 40_000
+    stirling = language_model.log_stirling(language_model.EXACT, d)
+    for c in (2, 3, 6):
+        t = language_model.reseated(np.full(draws, c), np.full(draws, p), np.full(draws, others), d, language_model.mix(np.arange(draws, dtype=np.uint64)), stirling)
+        seen = np.bincount(t.astype(int), minlength=c + 1) / draws
+        assert np.abs(seen - _seatings(c, d, language_model.STRENGTH, others, p)).max() < 0.012
+
+
+def test_large_dishes_are_seated_within_bounds():
+    counts = np.array([1, 257, 5000, 10**9])
+    t = language_model.reseated(counts, np.full(4, 1e-4), np.full(4, 50.0), 0.5, np.arange(4, dtype=np.uint64), language_model.log_stirling(language_model.EXACT, 0.5))
+    assert (t <= counts).all() and (t >= 1).all() and t[0] == 1
+
+
+def _plain_counts(rows, held):
+    trained = [w for i, text in rows if not held(i) for w in (*language_model.split(text), None)]
+    counts = {w: trained.count(w) for w in set(trained)}
+    floor = len(trained) + 0.5 * (len(counts) + 1)
+    for i, text in rows:
+        words = [*language_model.split(text), None]
+        yield i, len(words), sum(w in counts for w in words), len(trained), sum(math.log10((counts.get(w, 0) + 0.5) / floor) for w in words)
+
+
+def test_language_model_counts_equal_plain_ones(spark):
+    rng = np.random.default_rng(3)
+    rows = [(n, " ".join(f"w{k}" for k in rng.zipf(1.4, int(rng.integers(0, 60))) % 500)) for n in range(60)]
+    model = language_model.LanguageModel(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") % 5 == 1)
+    got = {r["doc_id"]: r for r in model.score().collect()}
+    for i, n, known, total, base in _plain_counts(rows, lambda i: i % 5 == 1):
+        assert (got[i]["n_tokens"], got[i]["n_known"], got[i]["train_tokens"]) == (n, known, total)
+        assert got[i]["base_score"] == pytest.approx(base) and got[i]["perplexity"] == pytest.approx(10 ** (-got[i]["score"] / n))
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_language_model_probabilities_sum_to_one(spark, monkeypatch, hot):
+    """After any context, known or not, over all known words, the end and the unseen outcome; shared contexts too."""
+    rng = np.random.default_rng(5)
+    rows = [(n, " ".join(f"w{k}" for k in rng.zipf(1.5, 40) % 30)) for n in range(30)]
+    known = sorted({w for _, text in rows for w in text.split()})
+    contexts = [known[0], known[5], "never"]
+    asked = [(1000 + n, f"{a} {b}") for n, (a, b) in enumerate((a, b) for a in contexts for b in (*known, "unseen"))]
+    cache = language_model._Hashes()
+    if hot:
+        shared = np.array([cache[known[0].encode()], language_model.START], np.uint64)
+        monkeypatch.setattr(language_model.LanguageModel, "_layout", lambda self: (3, np.sort(shared)))
+    held = F.col("doc_id") >= 1000
+    model = language_model.LanguageModel(spark.createDataFrame(rows + asked, "doc_id long, text string").repartition(1), held)
+    words = np.array(sorted({int(h) for _, t in rows + asked for h in cache.sequence(t)}), np.uint64)
+    pairs = sorted({(int(x), int(y)) for _, t in rows + asked for x, y in itertools.pairwise(cache.sequence(t))})
+    a, b = (np.array(x, np.uint64) for x in zip(*pairs))
+    shard = language_model.route(a, b, model.hot, model.shards)
+    log = {}
+    for row in language_model._rows(model._answers().toArrow().to_batches()):
+        at = np.flatnonzero(shard == row["ids"][0])
+        assert len(at) == len(row["x1"])
+        log |= {(int(a[i]), int(b[i])): x for i, x in zip(at, row["x1"])}
+    for context in contexts:
+        own = cache[context.encode()]
+        # a text may end after any of these, as `asked` ends after each word
+        total = sum(10.0 ** log[own, cache[w.encode()]] for w in (*known, "unseen"))
+        end = log.get((own, language_model.END))
+        assert total <= 1 + 1e-4
+        if end is not None:
+            assert total + 10.0**end == pytest.approx(1, abs=1e-4)
+    assert len(words) > 2 and any((cache[c.encode()], language_model.END) in log for c in contexts)
+
+
+def test_sweeps_settle(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "BURN_IN", 5)
+    rng = np.random.default_rng(6)
+    rows = [(n, " ".join(f"w{k}" for k in rng.zipf(1.3, 200) % 2000)) for n in range(100)]
+    tables = [x["context tables"] for x in language_model.LanguageModel(spark.createDataFrame(rows, "doc_id long, text string"), F.lit(False)).trace]
+    assert abs(tables[-1] - tables[-3]) < 0.01 * tables[-1] < abs(tables[-1] - tables[0])
 
 
 def test_words_split_at_the_given_white_space():
