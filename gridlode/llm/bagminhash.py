@@ -10,17 +10,25 @@ position with a probability of exactly their weighted Jaccard similarity. A
 process ends once its time is past the latest of the signature, so large bags
 need about one point a shingle.
 
-Different texts are banded. Buckets up to SMALL members give all their pairs;
-in larger ones each member meets the bucket's pivot, another one for each band,
-and a further pivot while the bucket falls into several components; what is
-still apart in round ROUNDS is compared in full, but for pairs that the number of
-elements no other bag has, or the signatures, rule out; no bucket is capped. Pairs are verified on the shingles themselves. Classes are
-the connected components of verified pairs.
+Different texts are banded, and all pairs of a bucket that can be similar are
+found without forming all pairs: buckets up to SMALL members give theirs. In
+larger ones, members are linked to a pivot. Then, as long as a bucket falls into
+several components, only members of those matter, and of them only nodes that
+can have a partner: one that is similar enough shares SIMILARITY of its elements
+with others, so elements that no other such node has rule a node out. The rest
+are linked to the pivot with the fewest elements of its own, and what is still
+apart is joined on rare elements: with elements in order of frequency, two bags
+that are similar enough have an element in common among the first few of each
+(prefix filter). No pair of different components is passed over. Pairs are
+verified on the shingles themselves. Classes are the connected components of
+verified pairs.
 
 Defined cases: a null text counts as empty; texts that are equal but for case
 and white space are one class, empty ones among themselves too; a text under
-five words is one shingle; repeated rows give a row each; an empty table gives
-no rows; other columns play no part.
+five words is one shingle; repeated rows give a row each; of equal doc_ids or
+sizes the smaller node counts as first, so a tie can't change a class; an empty
+table gives no rows; a text is handled whole, at some 300 bytes of a worker's
+memory a word; other columns play no part.
 """
 
 from __future__ import annotations
@@ -33,16 +41,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlode.llm.common import kept, written
+from gridlode.llm.common import erase, kept, written
 from gridlode.llm.components import components
 from gridlode.llm.shingles import Words, bags, mix, occurrences, shingle
 
 SIMILARITY = 0.8
 BANDS, ROWS = 26, 5
 SMALL = 8
-ROUNDS = 2
-SURELY_LESS = 0.66  # of the signature, 4 standard deviations under 0.8
-CHUNK = 1 << 23  # characters handled at once
+CHUNK = 1 << 20  # characters handled at once
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7))
 
@@ -120,9 +126,8 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([k[1] for k in keys], pa.int64()),
                 pa.array(_node(words, sizes), pa.binary()),
                 pa.array(bands, pa.list_(pa.int64())),
-                pa.array([s.tobytes() for s in sig], pa.binary()),
             ],
-            ["doc_id", "row", "node", "bands", "sig"],
+            ["doc_id", "row", "node", "bands"],
         )
 
 
@@ -133,7 +138,8 @@ def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         owner, found, weights = bags(*shingle(words, sizes))
         cut = np.searchsorted(owner, np.arange(len(texts) + 1))
         bag = [occurrences(found[a:b], weights[a:b]).tobytes() for a, b in zip(cut, cut[1:])]
-        yield pa.RecordBatch.from_arrays([pa.array(_node(words, sizes), pa.binary()), pa.array(bag, pa.binary())], ["node", "bag"])
+        size = pa.array([len(b) // 8 for b in bag], pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(_node(words, sizes), pa.binary()), pa.array(bag, pa.binary()), size], ["node", "bag", "size"])
 
 
 def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,13 +160,9 @@ def _similarity(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(got, pa.float64())], ["a", "b", "similarity"])
 
 
-def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose signatures agree often enough."""
-    for batch in batches:
-        if not len(batch):
-            continue
-        x, y = (np.stack([np.frombuffer(v.as_buffer(), np.uint32) for v in batch.column(k)]) for k in (2, 3))
-        yield batch.filter(pa.array((x == y).mean(axis=1) >= SURELY_LESS)).select([0, 1])
+def _several(labelled: DataFrame) -> DataFrame:
+    """Keys of the buckets that hold more than one component."""
+    return written(labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("key"))
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -180,18 +182,21 @@ class Duplicates:
     def __init__(self, docs: DataFrame, similarity: float = SIMILARITY, columns: Iterable[str] = ("doc_id", "text")) -> None:
         self.similarity = similarity
         texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), row_hash(columns).alias("row"))
-        self.signed = written(texts.mapInArrow(_signed, "doc_id long, row long, node binary, bands array<long>, sig binary"))
+        self.signed = written(texts.mapInArrow(_signed, "doc_id long, row long, node binary, bands array<long>"))
         first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))  # null ids last
-        nodes = self.signed.groupBy("node").agg(first.alias("first"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
-        self.nodes = written(nodes.select("node", "first", F.col("first.doc_id").alias("doc_id"), "bands", "sig"))
+        nodes = self.signed.groupBy("node").agg(first.alias("first"), F.first("bands").alias("bands"))
+        self.nodes = written(nodes.select("node", "first", F.col("first.doc_id").alias("doc_id"), "bands"))
         keyed = self.nodes.select("node", F.explode("bands").alias("key"))
-        shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node", "key"), "node"))["node"].alias("pivot")).where("n > 1")
-        self.members = written(keyed.join(shared, "key"))
-        wanted = self.nodes.join(self.members.select("node").distinct(), "node", "left_semi").select("node", F.col("first.row").alias("row"))
+        pivot = F.min(F.struct(F.xxhash64("node"), "node"))["node"]  # mostly the same in all bands of a group
+        buckets = written(keyed.groupBy("key").agg(F.count("*").alias("n"), pivot.alias("pivot")).where("n > 1"))
+        self.members = written(keyed.join(buckets, "key"))
+        wanted = written(self.nodes.join(self.members.select("node").distinct(), "node", "left_semi").select("node", F.col("first.row").alias("row")))
         # by row, as a doc_id may be null or shared; another text of the same row hash goes with the node
-        bags_ = texts.join(wanted.select("row").distinct(), "row", "left_semi").select("doc_id", "text", "row").mapInArrow(_shingled, "node binary, bag binary")
-        self.bags = written(bags_.join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.first("bag").alias("bag")))
+        bags_ = texts.join(wanted.select("row").distinct(), "row", "left_semi").select("doc_id", "text", "row").mapInArrow(_shingled, "node binary, bag binary, size long")
+        self.bags = written(bags_.join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.first("bag").alias("bag"), F.first("size").alias("size")))
+        erase(buckets, wanted)
         self.links, self.labels = self._linked()
+        erase(self.members, self.bags)
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
         a = self.bags.select(F.col("node").alias("a"), F.col("bag").alias("x"))
@@ -203,56 +208,58 @@ class Duplicates:
         """Verified links, and the label of each linked node."""
         small = self.members.where(F.col("n") <= SMALL).select("key", "node")
         pairs = small.select("key", F.col("node").alias("a")).join(small.select("key", F.col("node").alias("b")), "key").where("a < b").select("a", "b")
-        large = self.members.where(F.col("n") > SMALL).select("key", "node", "pivot")
+        large = self.members.where(F.col("n") > SMALL)
         star = large.select(F.col("node").alias("a"), F.col("pivot").alias("b"))
         links = written(self._verified(_ordered(pairs.unionByName(star))))
-        for turn in range(1, ROUNDS + 1):
-            labels = written(components(links.select("a", "b")))
-            apart = self._apart(large, labels)
-            if apart.isEmpty():
+        labels = components(links.select("a", "b"))
+        for more in (self._to_best_pivots, self._by_rare_elements):
+            able = self._able(large.select("key", "node"), labels)
+            if able.isEmpty():
                 return links, labels
-            if turn < ROUNDS:
-                pivots = apart.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", "key", F.lit(turn)), "node", "label")).alias("p"))
-                pairs = apart.join(pivots, "key").where(F.col("label") != F.col("p.label")).select(F.col("node").alias("a"), F.col("p.node").alias("b"))
-            else:
-                pairs = self._possible(apart)
-            links = written(links.unionByName(self._verified(self._near(_ordered(pairs)))))
-        return links, written(components(links.select("a", "b")))
-
-    def _possible(self, apart: DataFrame) -> DataFrame:
-        """All pairs of a bucket that are in two components and can be similar enough.
-
-        An element that no other of these nodes has is shared with none of them.
-        With n elements each, of which s are shared with any other, two bags have
-        min(s, s') elements in common at most; that bounds their similarity.
-        """
-        nodes = apart.select("node").distinct()
-        elements = self.bags.join(nodes, "node").mapInArrow(_elements, "node binary, element long")
-        often = elements.groupBy("element").agg(F.count("*").alias("n"))
-        sizes = written(elements.join(often, "element").groupBy("node").agg(F.count("*").alias("size"), F.count_if(F.col("n") > 1).alias("shared")))
-        # a node whose own elements rule out every partner needs none
-        able = sizes.where(F.col("shared") >= self.similarity * F.col("size"))
-        able = written(apart.join(able, "node").join(self.nodes.select("node", "bands", "sig"), "node"))
-        side = lambda node, mark: able.select("key", F.col("node").alias(node), *(F.col(c).alias(f"{c}_{mark}") for c in ("label", "size", "shared", "bands", "sig")))
-        x, y = side("a", "x").alias("x"), side("b", "y").alias("y")
-        common = F.least("shared_x", "shared_y")
-        can = common >= self.similarity * (F.col("size_x") + F.col("size_y") - common)
-        # a pair comes from the first of its common bands alone, and only if the signatures are near
-        first = F.element_at(F.array_intersect("bands_x", "bands_y"), 1) == F.col("x.key")
-        same = F.size(F.filter(F.sequence(F.lit(1), F.lit(BANDS * ROWS)), lambda k: F.substring(F.col("sig_x"), k * 4 - 3, F.lit(4)) == F.substring(F.col("sig_y"), k * 4 - 3, F.lit(4))))
-        on = (F.col("x.key") == F.col("y.key")) & (F.col("a") < F.col("b")) & (F.col("label_x") != F.col("label_y")) & can & first & (same >= SURELY_LESS * BANDS * ROWS)
-        return x.join(y, on).select("a", "b")
-
-    def _near(self, pairs: DataFrame) -> DataFrame:
-        sig = self.nodes.select("node", "sig")
-        both = pairs.join(sig.select(F.col("node").alias("a"), F.col("sig").alias("x")), "a").join(sig.select(F.col("node").alias("b"), F.col("sig").alias("y")), "b")
-        return both.select("a", "b", "x", "y").mapInArrow(_alike, "a binary, b binary")
-
-    def _apart(self, large: DataFrame, labels: DataFrame) -> DataFrame:
-        """Members of the large buckets that hold more than one component, with their labels."""
+            found = written(self._verified(_ordered(more(able))))
+            before, links = links, written(links.unionByName(found))
+            erase(before, found, able, labels)
+            labels = components(links.select("a", "b"))
+        return links, labels
+
+    def _able(self, large: DataFrame, labels: DataFrame) -> DataFrame:
+        """Members of buckets with several components, without nodes that share too little to have a partner."""
         labelled = large.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-        several = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi")
-        return written(labelled.join(several.select("key"), "key"))
+        apart = written(labelled.join(_several(labelled), "key", "left_semi"))
+        nodes = apart.select("node", "label").distinct()
+        found = self.bags.join(nodes.select("node"), "node").select("node", "bag").mapInArrow(_elements, "node binary, element long")
+        own = found.groupBy("element").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1").groupBy("node").agg(F.count("*").alias("own"))
+        sizes = self.bags.select("node", "size").join(written(own), "node", "left").select("node", "size", F.coalesce("own", F.lit(0)).alias("own"))
+        able = apart.join(sizes, "node").where(F.col("size") - F.col("own") >= self.similarity * F.col("size"))
+        able = written(able)
+        out = written(able.join(_several(able), "key", "left_semi"))
+        erase(apart, able)
+        return out
+
+    def _to_best_pivots(self, able: DataFrame) -> DataFrame:
+        """Pairs of each bucket's members with the one that has the smallest share of elements of its own."""
+        best = F.min(F.struct(F.col("own") / F.col("size"), F.xxhash64("node"), "node", "label")).alias("p")
+        pivots = written(able.groupBy("key").agg(best))
+        return able.join(pivots, "key").where(F.col("label") != F.col("p.label")).select(F.col("node").alias("a"), F.col("p.node").alias("b"))
+
+    def _by_rare_elements(self, able: DataFrame) -> DataFrame:
+        """All pairs of different components that can be similar enough.
+
+        With n and m >= n elements, such bags have 2 s / (1 + s) n elements in common at least, and
+        s m, so one of them is among the first n - 2 s / (1 + s) n + 1 of the smaller and the
+        first m - s m + 1 of the larger.
+        """
+        nodes = written(able.select("node", "label", "size").distinct())
+        found = written(self.bags.join(nodes.select("node"), "node").select("node", "bag").mapInArrow(_elements, "node binary, element long"))
+        often = written(found.groupBy("element").agg(F.count("*").alias("n")))
+        ranked = found.join(often, "element").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("n", "element"))).alias("elements"))
+        least = lambda share: F.col("size") - F.ceil(share * F.col("size") - 1e-9) + 1
+        s = self.similarity
+        first = ranked.join(nodes, "node").select("node", "label", "size", least(2 * s / (1 + s)).alias("short"), F.posexplode(F.slice("elements", 1, least(s).cast("int"))).alias("place", "e"))
+        first = written(first.where("e.n > 1").select("node", "label", "size", F.col("e.element").alias("element"), (F.col("place") < F.col("short")).alias("early")))
+        x, y = (first.select("element", "early", *(F.col(c).alias(f"{c}_{m}") for c in ("node", "label", "size"))) for m in "xy")
+        on = (F.col("size_x") >= s * F.col("size_y") - 1e-9) & (F.struct("size_x", "node_x") < F.struct("size_y", "node_y")) & (F.col("label_x") != F.col("label_y"))
+        return x.where("early").drop("early").join(y.drop("early"), "element").where(on).select(F.col("node_x").alias("a"), F.col("node_y").alias("b"))
 
     def _labelled(self) -> DataFrame:
         label = F.coalesce("label", "node")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlode.llm.common import written
+from gridlode.llm.common import erase, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -13,8 +13,10 @@ def components(edges: DataFrame) -> DataFrame:
 
     Large stars hook each neighbour that is larger than a node to the node's
     smallest neighbour, small stars the smaller ones; both keep connectivity,
-    and in a logarithmic number of turns only stars are left. Each turn joins a
-    node's edges with its minimum, so no neighbour list is ever gathered.
+    and in a logarithmic number of turns only stars are left. Each turn joins
+    edges with the minima of their ends, which are aggregated before the
+    exchange and written, so a join deals a hot node's edges out again where
+    there are many, and no neighbour list is ever gathered.
     """
     at = written(edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     seen = None
@@ -23,13 +25,15 @@ def components(edges: DataFrame) -> DataFrame:
         if state == seen:
             break
         seen = state
-        # each star deals its edges out once: minimum and join find them in place
-        both = at.unionByName(at.select(F.col("v").alias("u"), F.col("u").alias("v"))).repartition("u")
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        both = at.unionByName(at.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         large = both.where("v > u").join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        down = large.repartition("u").distinct()
-        low = down.groupBy("u").agg(F.min("v").alias("m"))
-        hooked = down.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        at = written(hooked.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        down = written(large.distinct())
+        least = written(down.groupBy("u").agg(F.min("v").alias("m")))
+        hooked = down.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        before, at = at, written(hooked.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        erase(before, low, down, least)
     ends = at.select(F.col("u").alias("node"), F.col("v").alias("label"))
-    return ends.unionByName(at.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
+    out = written(ends.unionByName(at.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()))
+    erase(at)
+    return out

@@ -8,7 +8,7 @@ import numpy as np
 import xxhash
 
 WIDTH = 5
-CACHE = 600_000
+CACHE = 200_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _ODDS = [np.uint64((0x9E3779B97F4A7C15 + 2 * k * 0xBF58476D1CE4E5B9) % 2**64) for k in range(16)]

@@ -37,7 +37,7 @@ FOLDS = 4
 THRESHOLD = 0.3
 PREFIX = 5
 NEAR = 4
-CACHE = 600_000
+CACHE = 200_000
 
 # Words of the second person, and letters that marks and digits stand for.
 SECOND = frozenset("you your yours yourself u ur du dich dir dein deine ihr euch sie tu te toi vous votre ton tes usted ustedes tú tus vos".split())

@@ -333,3 +333,56 @@ def test_words_split_at_the_given_white_space():
     text = "A\x1cb c\td\x0be É"
     assert language_model.split(text) == [w.encode() for w in re.findall(r"[^\x20\x09-\x0D]+", text.replace("A", "a"))]
     assert zlib.crc32(b"1") % 5 == zlib.crc32(str(1).encode()) % 5
+
+
+def _classes(bags_):
+    """Connected components of all pairs of at least 0.8, by brute force."""
+    root = list(range(len(bags_)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    sizes = [sum(b.values()) for b in bags_]
+    for i, x in enumerate(bags_):
+        for j in range(i):
+            both = sum((x & bags_[j]).values())
+            if both >= 0.8 * (sizes[i] + sizes[j] - both):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return [find(i) for i in range(len(root))]
+
+
+def test_near_duplicate_classes_equal_brute_force(spark):
+    """Copies with few to many words changed, chains of copies, texts with a passage in common."""
+    rng = np.random.default_rng(12)
+    words = lambda n: [f"w{k}" for k in rng.integers(0, 3000, n)]
+    base, passage, texts = words(150), words(60), []
+    for _ in range(160):
+        copy = list(base)
+        for at in rng.integers(0, 150, int(rng.integers(0, 14))):
+            copy[at] = words(1)[0]
+        texts.append(copy)
+    texts += [words(20) + passage + words(int(rng.integers(0, 30))) for _ in range(120)]
+    chain = words(120)
+    for _ in range(60):
+        chain = chain[3:] + words(3)
+        texts.append(chain)
+    texts = [" ".join(t) for t in texts]
+    true = _classes([bag(t) for t in texts])
+    for small in (0, bagminhash.SMALL):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(bagminhash, "SMALL", small)
+            got = bagminhash.Duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+            assert {r["doc_id"]: r["class_id"] for r in got.classes().collect()} == dict(enumerate(true))
+
+
+def test_near_duplicate_classes_of_the_small_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = sorted((r["doc_id"], r["text"] or "") for r in docs.collect())
+    true = _classes([bag(t) for _, t in rows])
+    got = {r["doc_id"]: r["class_id"] for r in bagminhash.Duplicates(docs).classes().collect()}
+    empty = [i for i, t in rows if not t.split()]
+    assert {i: c for i, c in got.items() if i not in empty} == {i: rows[c][0] for (i, _), c in zip(rows, true) if i not in empty}
+    assert {got[i] for i in empty} <= {min(empty, default=None)}
