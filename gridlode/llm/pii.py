@@ -3,16 +3,18 @@
 Base spans come from four patterns, leftmost and non-overlapping for each kind.
 A CRF, trained on a small labelled table, tags the words of every line with a
 kind or OUT by Viterbi and adds what the patterns don't cover: numbers without
-a country code, spelled-out addresses, keys and tokens. An added span that
-touches a base span is dropped; base spans always stay.
+a country code, spelled-out addresses, keys and tokens, national numbers (id).
+An added span that touches a base span is dropped; base spans always stay.
 
 Lines in which no word can win against OUT, whatever its neighbours, are all
 OUT without a search: a word's best lead over OUT plus the best two transitions
 is not positive. The other lines are decoded in numpy, many at a time.
 
-Defined cases: a null text is empty; an empty text has no spans; repeated rows
-give a row each; an empty table gives no rows; other columns play no part and,
-in redact(), pass through.
+Defined cases: a null text is empty; an empty text has no spans; where two labels
+score alike the first of the list goes, OUT before all; repeated rows give a row
+each; an empty table gives no rows; a very long text is read whole, in time that
+grows with its length, at some 200 bytes of a worker's memory a word; other
+columns play no part and, in redact(), pass through.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import chain
 
@@ -30,7 +33,7 @@ from pyspark.sql import functions as F
 
 from gridlode.llm.common import kept, shared
 
-KINDS = ("email", "ip", "card", "phone", "secret")
+KINDS = ("email", "ip", "card", "phone", "secret", "id")
 OUT = 0  # label of other words; kind k has label k + 1
 
 # The patterns that the contract fixes, in forms that never rescan a run: an
@@ -84,12 +87,16 @@ def written_out(spans: list[tuple[int, int, int]]) -> str:
 
 
 _CUES = frozenset(
-    "[at] [dot] (at) (dot) mail email e-mail tel tel. phone call mobile fax key token secret password passwd api_key = : is my".split()
+    "[at] [dot] (at) (dot) mail email e-mail tel tel. phone call mobile fax key token secret password passwd api_key bearer ssn = : is my".split()
 )
 _RUN = re.compile(r"([a-z])[a-z]*|([A-Z])[A-Z]*|([0-9])[0-9]*|(\w)\w*|(.)\5*", re.S)
 _HEX = re.compile(r"[\"'(]*[0-9a-fA-F]{20,}[\"').,;!?#$%&*]*\Z")
 
 
+_ENDING = re.compile(r"[^\W\d_]+[0-9]+\Z")  # a word with a number behind it
+_GROUPS = re.compile(r"\(?[0-9]{1,6}(?:[-.()]+[0-9]{1,6}){0,4}")
+
+
 def _shape(word: str) -> str:
     """Runs of letters, capitals, digits and marks, one character each, six at most."""
     marks = ("x", "X", "9", "w")
@@ -117,10 +124,19 @@ def features(word: str) -> tuple[str, ...]:
             out.append("checked number" if luhn("".join(c for c in word if c in "0123456789")) else "long number")
     if core[:1] in "([" or word[:1] in "([":
         out.append("opens")
+    if "@" in core:
+        out.append("at sign")
+    elif "=" not in core and 0 < digits < len(core) and (digits > 1 or len(core) > 15):
+        letters = sum(c.isalpha() for c in core)
+        if letters > 3 and not _ENDING.match(core):
+            out.append(f"mixed {min(len(core) // 8, 4)}")
+    groups = _GROUPS.fullmatch(core)
+    if groups:
+        out.append("groups " + " ".join(str(len(g)) for g in re.split(r"[-.()]+", core) if g))
     return tuple(out)
 
 
-def labelled_table(rows: int = 600, seed: int = 7) -> list[tuple[list[str], list[int]]]:
+def labelled_table(rows: int = 900, seed: int = 7) -> list[tuple[list[str], list[int]]]:
     """The training table: sentences of filler with an item of one kind, or with numbers that are none."""
     rng = random.Random(seed)
     syllables = "the an ing re ion den er que ment le os ado ver ge sch pa ou th en ich".split()
@@ -131,8 +147,21 @@ def labelled_table(rows: int = 600, seed: int = 7) -> list[tuple[list[str], list
         word = rng.choice((word, word, word, word.capitalize(), word.upper()))
         return word + rng.choice(("", "", "", "", ",", ".", "!!", "###", "%%%", " |")).strip(" ")
 
+    def secret() -> str:
+        mixed = lambda n, chars: "".join(rng.choice(chars) for _ in range(n))
+        small, digit = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+        large = small.upper()
+        return rng.choice((
+            '"' + mixed(rng.choice((32, 40, 64)), digit + "abcdef") + '"',
+            mixed(rng.choice((24, 32, 40, 64)), digit + "abcdef"),
+            rng.choice((small[:3], "sk", "pk", "key")) + "_" + rng.choice(("live", "test", "prod")) + "_" + mixed(rng.randrange(16, 33), small + large + digit),
+            rng.choice(("AK", "AS", "AG")) + mixed(2, large) + mixed(16, large * rng.choice((1, 3)) + digit),
+            rng.choice(("ghp", "glpat", "xoxb")) + rng.choice("_-") + mixed(rng.randrange(20, 37), small + large + digit),
+            mixed(rng.randrange(20, 45), small + large + digit * 2 + "+/"),
+        ))
+
     def item() -> tuple[list[str], int]:
-        kind = rng.randrange(9)
+        kind = rng.randrange(12)
         name, host = rng.choice(syllables) + rng.choice(syllables), rng.choice(syllables) + rng.choice((".com", ".org", ".net"))
         if kind == 0:
             return [rng.choice(("", "", name + ".")) + name + digits(rng.randrange(3)) + "@" + host], 1
@@ -152,12 +181,16 @@ def labelled_table(rows: int = 600, seed: int = 7) -> list[tuple[list[str], list
             return [f"({digits(3)})", f"{digits(3)}-{digits(4)}"], 4
         if kind == 6:
             return [f"{digits(3)}-{digits(3)}-{digits(4)}"], 4
-        return ['"' + "".join(rng.choice("0123456789abcdef") for _ in range(rng.choice((32, 40, 64)))) + '"'], 5
+        if kind == 7:
+            return rng.choice(([digits(3), digits(3), digits(4)], [f"{digits(3)}.{digits(3)}.{digits(4)}"], [f"({digits(3)}){digits(3)}-{digits(4)}"], ["0" + digits(2), digits(4), digits(4)])), 4
+        if kind == 8:
+            return [f"{digits(3)}-{digits(2)}-{digits(4)}"], 6
+        return [secret()], 5
 
     def other() -> list[str]:
         """Numbers that are nobody's."""
         return rng.choice(
-            ([digits(rng.randrange(1, 6))], [f"{digits(1)}.{digits(1)}"], [f"{digits(1)}.{digits(1)}."], ["version", f"{digits(1)}."], [f"{digits(4)}-{digits(2)}-{digits(2)}"], [f"{digits(2)}:{digits(2)}"], ["$" + digits(3)], [f"({digits(4)})"], [filler() + digits(1)], [filler().strip(".,!#%| ") + digits(rng.randrange(2, 5))], ["BY-NC", "4.0."], [digits(15) + "0"], [digits(14) + "17"], ["at", filler(), "dot"])
+            ([digits(rng.randrange(1, 6))], [f"{digits(1)}.{digits(1)}"], [f"{digits(1)}.{digits(1)}."], ["version", f"{digits(1)}."], [f"{digits(4)}-{digits(2)}-{digits(2)}"], [f"{digits(2)}:{digits(2)}"], ["$" + digits(3)], [f"({digits(4)})"], [filler() + digits(1)], [filler().strip(".,!#%| ") + digits(rng.randrange(2, 5))], ["BY-NC", "4.0."], [digits(15) + "0"], [digits(14) + "17"], ["at", filler(), "dot"], [digits(3), filler(), digits(4)], [digits(4), digits(2)], [f"{digits(2)}/{digits(2)}/{digits(4)}"], [f"{digits(1)}.{digits(2)}.{digits(1)}"], ["token", "=", filler()])
         )
 
     out = []
@@ -170,7 +203,7 @@ def labelled_table(rows: int = 600, seed: int = 7) -> list[tuple[list[str], list
             if rng.random() < 0.55:
                 found, label = item()
                 if label == 5:
-                    cue = rng.choice((["token", "="], ["key", "="], ["password:"], ["secret", ":"], ["api_key", "="]))
+                    cue = rng.choice((["token", "="], ["key", "="], ["password:"], ["secret", ":"], ["api_key", "="], ["bearer"], [], []))
                     words += cue
                     labels += [OUT] * len(cue)
                 elif rng.random() < 0.3:
@@ -238,16 +271,19 @@ class Crf:
 class WordTypes(dict):
     """word -> number of its feature set; the scores of each set are summed up once."""
 
-    LIMIT = 600_000
+    LIMIT = 200_000
 
     def __init__(self, crf: Crf) -> None:
-        self.crf, self.known = crf, {(): 0}
-        self.rows = [crf.emit[:, len(crf.names)]]  # 0: beyond the line's ends
-        self._table = np.zeros((0, 3, crf.move.shape[0]))
+        self.crf = crf
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.known = {(): 0}
+        self.rows = [self.crf.emit[:, len(self.crf.names)]]  # 0: beyond the line's ends
+        self._table = np.zeros((0, 3, self.crf.move.shape[0]))
 
     def __missing__(self, word: str) -> int:
-        if len(self) > self.LIMIT:
-            self.clear()
         key = features(word)
         got = self.known.get(key)
         if got is None:
@@ -258,7 +294,7 @@ class WordTypes(dict):
 
     def table(self) -> np.ndarray:
         if len(self._table) < len(self.rows):
-            self._table = np.stack(self.rows)
+            self._table = np.concatenate([self._table, np.stack(self.rows[len(self._table) :])])
         return self._table
 
 
@@ -289,6 +325,8 @@ _TRIM = ".,;:!?\"'#$%&*|"
 
 def added_spans(texts: list[str], types: WordTypes) -> list[list[tuple[int, int, int]]]:
     """Spans that the CRF sees in each text."""
+    if len(types) > types.LIMIT:
+        types.forget()
     lines = [t.split("\n") for t in texts]
     words = [line.split() for text in lines for line in text]
     sizes = np.fromiter(map(len, words), np.int64, len(words))
@@ -311,13 +349,14 @@ def added_spans(texts: list[str], types: WordTypes) -> list[list[tuple[int, int,
         labels = viterbi(score, move, starts[open_lines], sizes[open_lines])
     out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     first_line = np.cumsum([0, *map(len, lines)])
+    ends = np.cumsum([0, *(len(x) + 1 for own in lines for x in own)])  # of all lines in a row
     for n in open_lines.tolist():
         tags = labels[starts[n] : starts[n] + sizes[n]]
         if not tags.any():
             continue
         text = int(np.searchsorted(first_line, n, side="right")) - 1
         own = lines[text]
-        begin = sum(len(x) + 1 for x in own[: n - first_line[text]])
+        begin = int(ends[n] - ends[first_line[text]])
         places = [m.span() for m in _WORD.finditer(own[n - first_line[text]])]
         i = 0
         while i < len(tags):
@@ -341,12 +380,21 @@ def all_spans(texts: list[str], types: WordTypes) -> list[tuple[list[tuple[int,
     out = []
     for text, more in zip(texts, added_spans(texts, types)):
         base = base_spans(text)
-        free = [s for s in more if all(s[2] <= a or b <= s[1] for _, a, b in base)]
-        out.append((base, sorted(base + free)))
+        out.append((base, sorted(base + _apart(more, base))))
     return out
 
 
-CHARS_AT_ONCE = 1 << 22
+def _apart(more: list[tuple[int, int, int]], base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Those of `more` that touch no base span. Base spans of different kinds can overlap, so each start knows the furthest end so far."""
+    starts, ends, far = [], [], 0
+    for _, a, b in sorted(base, key=lambda s: s[1]):
+        far = max(far, b)
+        starts.append(a)
+        ends.append(far)
+    return [s for s in more if not (n := bisect_left(starts, s[2])) or ends[n - 1] <= s[1]]
+
+
+CHARS_AT_ONCE = 1 << 20
 
 
 def chunks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[str]]]:
@@ -363,7 +411,7 @@ def chunks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[str]]
 
 
 def find(docs: DataFrame, crf: Crf) -> DataFrame:
-    """doc_id, numbers of base spans by kind, base_sha256 and spans."""
+    """doc_id, numbers of base spans by kind, base_sha256 and spans; then the numbers of all spans, in all and by kind."""
     crf_of, stamp = shared(docs.sparkSession, crf), crf.stamp
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -372,14 +420,15 @@ def find(docs: DataFrame, crf: Crf) -> DataFrame:
             for begin, texts in chunks(batch, 1):
                 got = all_spans(texts, types)
                 counts = [pa.array([sum(k == kind for k, _, _ in b) for b, _ in got], pa.int64()) for kind in range(4)]
+                more = [pa.array([len(a) for _, a in got], pa.int64()), *(pa.array([sum(k == kind for k, _, _ in a) for _, a in got], pa.int64()) for kind in range(len(KINDS)))]
                 digest = [hashlib.sha256(written_out(b).encode()).hexdigest() for b, _ in got]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(begin, len(texts)), *counts, pa.array(digest, pa.string()), pa.array([written_out(a) for _, a in got], pa.string())],
-                    ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"],
+                    [batch.column(0).slice(begin, len(texts)), *counts, pa.array(digest, pa.string()), pa.array([written_out(a) for _, a in got], pa.string()), *more],
+                    ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_spans", *(f"n_all_{k}" for k in KINDS)],
                 )
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    return texts.mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    return texts.mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long, " + ", ".join(f"n_all_{k} long" for k in KINDS))
 
 
 def redacted(text: str, spans: list[tuple[int, int, int]]) -> str:
