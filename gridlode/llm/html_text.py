@@ -1,20 +1,30 @@
 """Main text of web pages by text-to-tag ratio.
 
 A streaming parser turns a page into lines, one for each block of text, each
-with the tags seen since the line before. A line's text-to-tag ratio is
-smoothed by a Gaussian over its neighbours; lines at or over the standard
-deviation of the smoothed ratios are content. The article or main element that
-holds most content is the page's article; without one it is the stretch of
-lines from the first content line to the last, with headings right above it.
-Of that region every line is kept, however short, but for lines inside menus,
-headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
-comments, which are told by element or by class, id or role.
+with the tags seen since the line before. A line's text-to-tag ratio, 0 inside
+barred elements and FAVOUR times as much inside article and main, is smoothed by a
+Gaussian over its neighbours; free lines at or over the standard deviation of
+the smoothed ratios are content. Content lines select regions, and a region is
+kept whole, however short some of its lines are: the nearest container of more
+than one line around a content line, or the article or main element around it,
+if it has LEAST_SHARE of the characters of content that the largest one has. A
+container with two selected parts is selected itself. Where a line's container is
+the page's body, the region is the stretch from the first to the last such
+content line, with the headings and paragraphs that adjoin it. Several articles
+are all kept.
+
+Barred are lines inside menus, headers, footers, sidebars, notices, adverts,
+forms, scripts, styles and reader comments, told by element or by whole names in
+class, id or role: a name of the list, one that ends in such a name behind a
+hyphen, or begins with it and goes on with a word for a box.
 
 Defined cases: null, empty or text-free html gives the empty text; unclosed
-elements end with their parents, stray end tags are passed over; a `<![` of no
-known section is a comment up to the next `>`; a tie between
-articles goes to the first; repeated rows give a row each; an empty table gives
-no rows; other columns play no part.
+elements end with their parents, a head at the first tag or text that can't
+be in one; stray end tags are passed over; a `<![` of no known section is a
+comment up to the next `>`; a line exactly at the threshold is content; without
+content lines all free lines are kept; repeated rows give a row each; an empty
+table gives no rows; a very long page is one string in a Python worker, with its
+lines, in time that grows with its length; other columns play no part.
 """
 
 from __future__ import annotations
@@ -22,6 +32,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -29,59 +40,92 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SIGMA, RADIUS = 1.0, 2
+FAVOUR = 2.0
+LEAST_SHARE = 0.1
 
-# Elements by their part in a page.
+# Elements by their part in a page, and names that classes, ids and roles are made of.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br".split())
 CLOSES_P = frozenset("address article aside blockquote center details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
+IN_HEAD = frozenset("html head title base basefont link meta style script noscript template bgsound".split())
 BARRED = frozenset("nav footer aside form script style noscript template head title button select textarea svg iframe object canvas dialog menu".split())
 ROOTS = frozenset(("article", "main"))
-NEVER_BARRED = frozenset(("html", "body", "article", "main"))
+CONTAINERS = frozenset("article main section div td center details figure".split())
+PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 BARRED_NAMES = frozenset(
     "ad ads adbox advert adverts advertisement advertising sponsor sponsored promo banner cookie cookies consent gdpr notice notices alert popup modal "
     "overlay newsletter subscribe signup sidebar sidebars aside widget widgets related recommended recommendations share sharing social comment comments "
     "commentlist disqus replies respond menu menus nav navbar navigation breadcrumb breadcrumbs footer pagination pager toolbar login search complementary contentinfo".split()
 )
 HEADER_NAMES = frozenset(("header", "masthead", "topbar"))
-_NAMES = re.compile(r"[a-z]+")
+BOX_NAMES = frozenset(
+    "area bar block body bottom box col column container content footer form group header holder inner item items left link links list main outer panel right row "
+    "section slot text top unit widget wrap wrapper".split()
+)
+STATE_NAMES = frozenset("no non not has have with without is js hide show".split())
 _SPACE = re.compile(r"\s+")
+_NUMBER = re.compile(r"[0-9]*\Z")
 _SECTION = re.compile(r"<!\[(?:temp|cdata|ignore|include|rcdata)(?![-_.a-z0-9])", re.IGNORECASE)
 
 
+def named(value: str, names: frozenset[str], whole: bool = False) -> bool:
+    """Whether one of the names in a class, id or role is of the list, as it is or (unless `whole`) with parts that say where or what box."""
+    for name in value.lower().replace("_", "-").split():
+        if name in names:
+            return True
+        parts = [_NUMBER.sub("", x) for x in name.split("-")]
+        parts = [x for x in parts if x]
+        if whole or not parts or parts[0] in STATE_NAMES:
+            continue
+        if parts[-1] in names or parts[0] in names and all(x in BOX_NAMES or x in names for x in parts[1:]):
+            return True
+    return False
+
+
+class Line(NamedTuple):
+    text: str
+    tags: int
+    barred: bool
+    paragraph: bool
+    container: int
+
+
 class _Lines(HTMLParser):
-    """Collects (text, tags, root, barred, heading) for each block of text."""
+    """Collects the lines and the containers, each with its parent (0: the page) and whether it is an article or main."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, bool, bool]] = []
-        self.stack: list[tuple[str, bool, int]] = []  # element, barred, root
+        self.lines: list[Line] = []
+        self.parents, self.roots = [0], [False]
+        self.stack: list[tuple[str, bool, int]] = []  # element, and barred and container before it
         self.parts: list[str] = []
-        self.tags = self.roots = 0
-        self.barred, self.root, self.heading = False, 0, False
+        self.tags = self.container = 0
+        self.barred = self.paragraph = False
 
     def flush(self) -> None:
         if self.parts:
             text = _SPACE.sub(" ", "".join(self.parts)).strip()
             if text:
-                self.lines.append((text, self.tags, self.root, self.barred, self.heading))
+                self.lines.append(Line(text, self.tags, self.barred, self.paragraph, self.container))
                 self.tags = 0
             self.parts = []
 
+    def _in_root(self) -> bool:
+        return any(s[0] in ROOTS for s in self.stack)
+
     def _bars(self, tag: str, attrs: list) -> bool:
-        if tag in BARRED:
-            return True
-        if tag == "header" and not self.root:
+        if tag in BARRED or tag == "header" and not self._in_root():
             return True
-        if attrs and tag not in NEVER_BARRED:
-            for name, value in attrs:
-                if value and name in ("class", "id", "role"):
-                    names = _NAMES.findall(value.lower())
-                    if not BARRED_NAMES.isdisjoint(names) or (not self.root and not HEADER_NAMES.isdisjoint(names)):
-                        return True
+        for name, value in attrs:
+            if value and name in ("class", "id", "role") and tag not in ("html", "body"):
+                if named(value, BARRED_NAMES, tag in ROOTS) or tag not in ROOTS and named(value, HEADER_NAMES) and not self._in_root():
+                    return True
         return False
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         self.tags += 1
+        if tag not in IN_HEAD and self.stack and any(s[0] == "head" for s in self.stack[-2:]):
+            self._close("head")
         if tag in INLINE:
             if tag == "br":
                 self.parts.append(" ")
@@ -96,25 +140,25 @@ class _Lines(HTMLParser):
             self._close("li")
         if tag in VOID:
             return
-        if tag in ROOTS and not self.root and not any(s[0] in BARRED for s in self.stack):
-            self.roots += 1
-            self.stack.append((tag, self.barred, self.root))
-            self.barred, self.root = False, self.roots
-        else:
-            self._open(tag, self.barred or self._bars(tag, attrs))
-        self.heading = len(tag) == 2 and tag[0] == "h" and tag[1].isdigit()
+        first = tag in ROOTS and not self._in_root() and not any(s[0] in BARRED for s in self.stack)
+        self._open(tag, self._bars(tag, attrs) or self.barred and not first)
+        if tag in CONTAINERS:
+            self.parents.append(self.container)
+            self.roots.append(tag in ROOTS)
+            self.container = len(self.parents) - 1
+        self.paragraph = tag in PARAGRAPHS
 
     def _open(self, tag: str, barred: bool) -> None:
-        self.stack.append((tag, self.barred, self.root))
+        self.stack.append((tag, self.barred, self.container))
         self.barred = barred
 
     def _close(self, tag: str) -> None:
         for n in range(len(self.stack) - 1, -1, -1):
             if self.stack[n][0] == tag:
                 self.flush()
-                _, self.barred, self.root = self.stack[n]
+                _, self.barred, self.container = self.stack[n]
                 del self.stack[n:]
-                self.heading = False
+                self.paragraph = False
                 return
 
     def handle_endtag(self, tag: str) -> None:
@@ -135,6 +179,8 @@ class _Lines(HTMLParser):
         return super().parse_marked_section(i, report) if _SECTION.match(self.rawdata, i) else self.parse_bogus_comment(i)
 
     def handle_data(self, data: str) -> None:
+        if self.stack and self.stack[-1][0] == "head" and data.strip():
+            self._close("head")
         self.parts.append(data)
 
 
@@ -144,6 +190,60 @@ def _smoothed(ratios: np.ndarray) -> np.ndarray:
     return np.convolve(padded, near / near.sum(), mode="valid")
 
 
+def content_lines(lines: list[Line], inside: list[bool]) -> np.ndarray:
+    """Which lines the smoothed text-to-tag ratios make content. inside: of each container, whether it is in an article or main."""
+    ratios = np.array([0.0 if x.barred else len(x.text) / max(1, x.tags) * (FAVOUR if inside[x.container] else 1.0) for x in lines])
+    smooth = _smoothed(ratios)
+    return (smooth >= smooth.std()) & ~np.array([x.barred for x in lines])
+
+
+def regions(lines: list[Line], parents: list[int], roots: list[bool]) -> list[int]:
+    """Numbers of the lines of the selected regions."""
+    inside, outermost = list(roots), list(range(len(parents)))  # parents come before their children
+    for c in range(1, len(parents)):
+        if inside[parents[c]]:
+            inside[c], outermost[c] = True, outermost[parents[c]]
+    content = content_lines(lines, inside)
+    free = [n for n, x in enumerate(lines) if not x.barred]
+    if not content.any():
+        return free
+    count = [0] * len(parents)
+    for n in free:
+        count[lines[n].container] += 1
+    for c in range(len(parents) - 1, 0, -1):
+        count[parents[c]] += count[c]
+    region = list(range(len(parents)))  # of each container, the region that its lines stand for
+    for c in range(1, len(parents)):
+        region[c] = outermost[c] if inside[c] else c if count[c] > 1 else region[parents[c]]
+    mass: dict[int, int] = {}
+    for n in np.flatnonzero(content).tolist():
+        at = region[lines[n].container]
+        mass[at] = mass.get(at, 0) + len(lines[n].text)
+    least = LEAST_SHARE * max(mass.values())
+    picked = {c for c, m in mass.items() if m >= least}
+    selected = [c in picked for c in range(len(parents))]
+    parts: dict[int, int] = {}
+    for c in range(len(parents) - 1, 0, -1):  # children come first
+        if not selected[c] and parts.get(c, 0) > 1:
+            selected[c] = True
+        if selected[c] or parts.get(c):
+            parts[parents[c]] = parts.get(parents[c], 0) + 1
+    whole = [False] * len(parents)
+    for c in range(1, len(parents)):
+        whole[c] = selected[c] or whole[parents[c]]
+    out = {n for n in free if whole[lines[n].container]}
+    if selected[0]:
+        own = [n for n in free if region[lines[n].container] == 0]
+        hits = [k for k, n in enumerate(own) if content[n]]
+        first, last = hits[0], hits[-1]
+        while first and lines[own[first - 1]].paragraph and own[first - 1] == own[first] - 1:
+            first -= 1
+        while last + 1 < len(own) and lines[own[last + 1]].paragraph and own[last + 1] == own[last] + 1:
+            last += 1
+        out.update(own[first : last + 1])
+    return sorted(out)
+
+
 def main_text(html: str | None) -> str:
     if not html:
         return ""
@@ -151,26 +251,9 @@ def main_text(html: str | None) -> str:
     parser.feed(html)
     parser.close()
     parser.flush()
-    lines = parser.lines
-    if not lines:
-        return ""
-    smooth = _smoothed(np.array([len(x[0]) / max(1, x[1]) for x in lines]))
-    content = smooth >= smooth.std()
-    free = [n for n, x in enumerate(lines) if not x[3]]
-    mass: dict[int, int] = {}
-    for n in free:
-        if lines[n][2]:
-            mass[lines[n][2]] = mass.get(lines[n][2], 0) + len(lines[n][0]) * (1 + 1000 * bool(content[n]))
-    if mass:
-        root = max(mass, key=lambda r: (mass[r], -r))
-        return "\n\n".join(lines[n][0] for n in free if lines[n][2] == root)
-    picked = [n for n in free if content[n]] or free
-    if not picked:
+    if not parser.lines:
         return ""
-    first, last = picked[0], picked[-1]
-    while first - 1 in free and lines[first - 1][4]:
-        first -= 1
-    return "\n\n".join(lines[n][0] for n in free if first <= n <= last)
+    return "\n\n".join(parser.lines[n].text for n in regions(parser.lines, parser.parents, parser.roots))
 
 
 def extract(pages: DataFrame) -> DataFrame:
