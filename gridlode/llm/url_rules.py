@@ -1,30 +1,35 @@
 """URL verdicts: a fixed rule list first, then association rules mined by FP-growth.
 
 A URL is the set of its tokens: host labels by place, path segments, query
-names, with digits as #. Labelled URLs, with a token for the class "block" where
-the label says so, go to Spark's FP-growth. Frequent sets that hold the class
-token give rules "tokens -> block"; those under the confidence are pruned, and
-those that only add tokens to another rule. Rules match by an inverted index
-from a rule's rarest token; it goes to the workers in parts of INDEX_PART rules.
+names, with digits as #. Half of the labelled URLs (by a hash of the URL), with a
+token for the class "block" where the label says so, go to Spark's FP-growth.
+Frequent sets that hold the class token give rules "tokens -> block". A rule stays
+if its confidence is CONFIDENCE of the way from the share of blocked URLs to
+certainty, in the half it was mined on and again in the other, each time on
+LEAST_ROWS URLs at least; and if no other rule's tokens are among its own. Rules match by an
+inverted index: they are joined with URLs on their rarest token, so neither
+side is ever gathered.
 
 Defined cases: a null URL, or one without "://", has an empty host and path,
 fits no listed rule and has no tokens, so it is allowed; labels that are null
 or belong to no URL are unused; without labels nothing is mined and all is
-allowed; repeated rows give a row each; an empty table gives no rows; other
-columns play no part.
+allowed; of equally rare tokens the smaller one is the index's; of listed rules
+that fit the longest wins, and two different ones are never equally long; a very
+long URL is a set of its tokens, all of them; repeated rows give a row each; an
+empty table gives no rows; other columns play no part.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructType
 
-from gridlode.llm.common import shared
+from gridlode.llm.common import written
 
 # Fixed values: (verdict, host, path).
 RULES = (
@@ -37,8 +42,7 @@ RULES = (
 
 SUPPORT = 0.002
 LEAST_ROWS = 5
-CONFIDENCE = 0.8
-INDEX_PART = 100_000
+CONFIDENCE = 0.5
 BLOCK = "=block"
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -92,90 +96,76 @@ def tokenized(rows: DataFrame, column: str) -> DataFrame:
             got = pa.array([tokens(u.as_py()) for u in batch.column(at)], pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays([*batch.columns, got], names=[*batch.schema.names, "tokens"])
 
-    from pyspark.sql.types import ArrayType, StringType, StructType
-
     return rows.mapInArrow(run, StructType([*rows.schema.fields]).add("tokens", ArrayType(StringType())))
 
 
+def holding(rows: DataFrame, rules: DataFrame) -> DataFrame:
+    """rows with `antecedent`, once for each rule whose tokens are all among the row's `tokens`."""
+    each = rules.select("antecedent", F.explode("antecedent").alias("token"))
+    often = each.groupBy("token").agg(F.count("*").alias("n"))
+    index = each.join(often, "token").groupBy("antecedent").agg(F.min(F.struct("n", "token"))["token"].alias("token"))
+    found = rows.withColumn("token", F.explode("tokens")).join(index, "token").drop("token")
+    return found.where(F.size(F.array_except("antecedent", "tokens")) == 0)
+
+
 def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame | None:
-    """(antecedent, support rows, confidence) from rows (url, bad)."""
+    """antecedent, rows, confidence, held_rows, held_confidence from rows (url, bad); None where nothing is mined."""
     from pyspark.ml.fpm import FPGrowth
 
-    rows = tokenized(labelled.where("url is not null and bad is not null"), "url")
-    rows = rows.select(F.when(F.col("bad"), F.array_append("tokens", F.lit(BLOCK))).otherwise(F.col("tokens")).alias("items")).where("size(items) > 0")
-    n = rows.count()
-    if not n:
-        return None
-    least = max(support, LEAST_ROWS / n)
-    if least > 1:
+    rows = labelled.where("url is not null and bad is not null").select("url", F.col("bad").cast("boolean").alias("bad"))
+    rows = tokenized(rows, "url").where("size(tokens) > 0").withColumn("held", F.crc32(F.col("url").cast("binary")) % 2 == 1)
+    rows = written(rows.select("tokens", "bad", "held"))
+    counts = {r["held"]: (r["n"], r["bad"] / r["n"]) for r in rows.groupBy("held").agg(F.count("*").alias("n"), F.count_if("bad").alias("bad")).collect()}
+    if len(counts) < 2 or counts[False][0] < LEAST_ROWS:
         return None
-    found = FPGrowth(itemsCol="items", minSupport=least).fit(rows).freqItemsets
+    need = {held: share + confidence * (1 - share) for held, (_, share) in counts.items()}
+    items = rows.where("not held").select(F.when(F.col("bad"), F.array_append("tokens", F.lit(BLOCK))).otherwise(F.col("tokens")).alias("items"))
+    found = FPGrowth(itemsCol="items", minSupport=max(support, LEAST_ROWS / counts[False][0])).fit(items).freqItemsets
     found = found.select(F.array_sort("items").alias("items"), "freq")
     whole = found.where(~F.array_contains("items", BLOCK)).select(F.col("items").alias("antecedent"), F.col("freq").alias("rows"))
     bad = found.where(F.array_contains("items", BLOCK) & (F.size("items") > 1)).select(F.array_remove("items", BLOCK).alias("antecedent"), F.col("freq").alias("blocked"))
     rules = bad.join(whole, "antecedent").withColumn("confidence", F.col("blocked") / F.col("rows"))
-    return rules.where(F.col("confidence") >= confidence).select("antecedent", "rows", "confidence")
-
-
-def pruned(rules: Iterator) -> Iterator[tuple[str, ...]]:
-    """Antecedents, shortest first, without those that hold another one."""
-    kept: set[tuple[str, ...]] = set()
-    for row in rules:
-        items = tuple(row[0])
-        n = len(items)
-        if n <= 12 and any(tuple(items[i] for i in range(n) if bits >> i & 1) in kept for bits in range(1, 2**n - 1)):
-            continue
-        kept.add(items)
-        yield items
-
-
-def matched(rows: DataFrame, column: str, rules: DataFrame | None, spread: dict[str, int] | None = None) -> DataFrame:
-    """rows with a column `mined`: whether some rule's tokens are all there."""
-    rows = rows.withColumn("mined", F.lit(False))
-    if rules is None:
-        return rows
-    ordered = pruned(rules.orderBy(F.size("antecedent"), "antecedent").toLocalIterator())
-    at = rows.columns.index(column)
-    while part := list(islice(ordered, INDEX_PART)):
-        often: dict[str, int] = {}
-        for items in part:
-            for t in items:
-                often[t] = often.get(t, 0) + 1
-        index: dict[str, list[frozenset[str]]] = {}
-        for items in part:
-            index.setdefault(min(items, key=lambda t: (often[t], t)), []).append(frozenset(items))
-        index_of = shared(rows.sparkSession, index)
-
-        def run(batches: Iterator[pa.RecordBatch], index_of=index_of) -> Iterator[pa.RecordBatch]:
-            index = index_of()
-            for batch in batches:
-                out = []
-                for url, before in zip(batch.column(at), batch.column(len(batch.schema.names) - 1)):
-                    if before.as_py():
-                        out.append(True)
-                        continue
-                    own = set(tokens(url.as_py()))
-                    out.append(any(rule <= own for t in own for rule in index.get(t, ())))
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.bool_())], names=batch.schema.names)
-
-        rows = rows.mapInArrow(run, rows.schema)
-    return rows
+    rules = written(rules.where(F.col("confidence") >= need[False]).select("antecedent", "rows", "confidence"))
+    checked = holding(rows.where("held").select("tokens", "bad"), rules)
+    checked = checked.groupBy("antecedent").agg(F.count("*").alias("held_rows"), (F.count_if("bad") / F.count("*")).alias("held_confidence"))
+    return rules.join(checked.where((F.col("held_rows") >= LEAST_ROWS) & (F.col("held_confidence") >= need[True])), "antecedent")
+
+
+def pruned(rules: DataFrame) -> DataFrame:
+    """Rules without those whose tokens hold another rule's."""
+    own = rules.select(F.col("antecedent").alias("tokens"))
+    more = holding(own, rules).where(F.size("tokens") > F.size("antecedent")).select(F.col("tokens").alias("antecedent")).distinct()
+    return rules.join(more, "antecedent", "left_anti")
+
+
+def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:
+    """The different ones of `urls` (column url) that some rule blocks."""
+    return holding(tokenized(urls.where("url is not null").distinct(), "url"), rules).select("url").distinct()
 
 
 def judge(pages: DataFrame, labelled: DataFrame) -> DataFrame:
     """page_id, host, path, rule, verdict."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"))
-    rows = matched(rows, "url", mine(labelled))
-    rows = rows.select("page_id", "mined", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
+    rows = rows.withColumn("host", host(F.col("url"))).withColumn("path", path(F.col("url")))
     rows = rows.withColumn("listed", listed(F.col("host"), F.col("path")))
+    rules = mine(labelled)
+    rules = written(pruned(rules)) if rules is not None else None
+    if rules is None or rules.isEmpty():
+        rows = rows.withColumn("mined", F.lit(False))
+    else:
+        blocked = written(matched(rows.where("listed is null").select("url"), rules.select("antecedent")))
+        rows = rows.join(blocked.withColumn("mined", F.lit(True)), "url", "left")
     verdict = F.coalesce("listed.verdict", F.when(F.col("mined"), "block").otherwise("allow"))
     return rows.select("page_id", "host", "path", F.col("listed.rule").alias("rule"), verdict.alias("verdict"))
 
 
+def labelled_urls(pages: DataFrame, labels: DataFrame) -> DataFrame:
+    """(url, bad): a URL's label is that of the document whose number is the last in its path; toxic or low quality means block."""
+    number = F.regexp_extract(path(F.col("url")), r"([0-9]{1,18})[^0-9]*$", 1).try_cast("long")
+    bad = labels.groupBy("doc_id").agg(F.max(((F.col("toxic") == 1) | (F.col("quality") == 0))).alias("bad"))
+    return pages.select("url", number.alias("doc_id")).join(bad, "doc_id").select("url", "bad")
+
+
 def query(spark, sf_dir):
-    """A page's label is the row of `labels` with its number; toxic or low quality means block."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    bad = labels.groupBy("doc_id").agg(F.max(((F.col("toxic") == 1) | (F.col("quality") == 0))).alias("bad"))
-    labelled = pages.join(bad, pages["page_id"] == bad["doc_id"]).select("url", "bad")
-    return judge(pages, labelled)
+    return judge(pages, labelled_urls(pages, spark.read.parquet(f"{sf_dir}/labels.parquet")))

@@ -2,7 +2,9 @@
 
 import itertools
 import math
+import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -386,3 +388,140 @@ def test_near_duplicate_classes_of_the_small_table(spark):
     empty = [i for i, t in rows if not t.split()]
     assert {i: c for i, c in got.items() if i not in empty} == {i: rows[c][0] for (i, _), c in zip(rows, true) if i not in empty}
     assert {got[i] for i in empty} <= {min(empty, default=None)}
+
+
+def test_mined_rules_equal_brute_force(spark):
+    """All token sets up to the largest URL, on 50 URLs; matching and pruning against plain sets."""
+    rng = np.random.default_rng(21)
+    hosts = ["bad.org", "good.org", "shop.net"]
+    urls = [f"http://{hosts[rng.integers(3)]}/{'ab'[rng.integers(2)]}/{'xyz'[rng.integers(3)]}{'?buy' if rng.integers(2) else ''}" for _ in range(50)]
+    rows = [(u, bool("bad" in u and rng.random() < 0.95 or "?buy" in u and "/b/" in u)) for u in urls]
+    held = [zlib.crc32(u.encode()) % 2 == 1 for u in urls]
+    share = {h: np.mean([bad for (_, bad), x in zip(rows, held) if x == h]) for h in (False, True)}
+    n = held.count(False)
+    true = {}
+    sets = {frozenset(c) for u in urls for k in range(1, len(url_rules.tokens(u)) + 1) for c in itertools.combinations(url_rules.tokens(u), k)}
+    for s in sets:
+        fits = {h: [bad for (u, bad), x in zip(rows, held) if x == h and s <= set(url_rules.tokens(u))] for h in (False, True)}
+        if sum(fits[False]) >= max(url_rules.SUPPORT * n, url_rules.LEAST_ROWS) and len(fits[True]) >= url_rules.LEAST_ROWS:
+            if all(np.mean(fits[h]) >= share[h] + url_rules.CONFIDENCE * (1 - share[h]) for h in fits):
+                true[s] = len(fits[False]), np.mean(fits[False]), len(fits[True]), np.mean(fits[True])
+    rules = url_rules.mine(spark.createDataFrame(rows, "url string, bad boolean"))
+    got = {frozenset(r["antecedent"]): (r["rows"], r["confidence"], r["held_rows"], r["held_confidence"]) for r in rules.collect()}
+    assert true and got.keys() == true.keys() and all(got[s] == pytest.approx(true[s]) for s in got)
+    least = {s for s in true if not any(o < s for o in true)}
+    rules = url_rules.pruned(rules)
+    assert {frozenset(r["antecedent"]) for r in rules.collect()} == least
+    blocked = {r["url"] for r in url_rules.matched(spark.createDataFrame([(u,) for u in urls], "url string"), rules).collect()}
+    assert blocked == {u for u in urls if any(s <= set(url_rules.tokens(u)) for s in least)}
+
+
+def test_labels_go_by_the_number_in_the_path(spark):
+    pages = spark.createDataFrame([(1, "http://a.b/en/12?page=7"), (2, "http://a.b/34.html#9"), (3, "http://a.b/"), (4, None), (5, "x12")], "page_id long, url string")
+    labels = spark.createDataFrame([(12, 1, 1), (34, 1, 0), (7, 0, 0), (9, 0, 1), (None, 0, 0)], "doc_id long, quality int, toxic int")
+    got = {(r["url"], r["bad"]) for r in url_rules.labelled_urls(pages, labels).collect()}
+    assert got == {("http://a.b/en/12?page=7", True), ("http://a.b/34.html#9", False)}
+
+
+def test_personal_data_of_other_shapes_than_trained():
+    """Kinds that the CRF adds, on lines that the generator doesn't make; precision and recall."""
+    rng = random.Random(99)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    chars = lambda n, of: "".join(rng.choice(of) for _ in range(n))
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    plain = "please the invoice arrived late and nobody in Berlin or Paris could tell why it rained so much".split()
+    made = []
+    for _ in range(300):
+        kind, item = rng.choice([
+            (3, f"{digits(3)} {digits(3)} {digits(4)}"), (3, f"({digits(3)}) {digits(3)}-{digits(4)}"), (3, f"{digits(3)}.{digits(3)}.{digits(4)}"),
+            (4, f"sk_live_{chars(24, letters + '0123456789')}"), (4, f"AKIA{chars(16, letters.upper() + '0123456789')}"), (4, chars(40, "0123456789abcdef")),
+            (4, f"ghp_{chars(36, letters + '0123456789')}"), (5, f"{digits(3)}-{digits(2)}-{digits(4)}"), (0, "anna [at] firma [dot] de"),
+            (None, f"on {digits(4)}-{digits(2)}-{digits(2)}"), (None, f"{digits(2)}:{digits(2)}"), (None, f"costs ${digits(3)}"), (None, f"page {digits(3)}"), (None, "version 4.0.1"),
+        ])
+        made.append((kind, item, " ".join([*rng.sample(plain, 5), item, *rng.sample(plain, 4)])))
+    types = pii.trained().types()
+    got = pii.added_spans([t for _, _, t in made], types)
+    true = [(k, t.index(i), t.index(i) + len(i)) if k is not None else None for k, i, t in made]
+    found = sum(t in g for t, g in zip(true, got) if t)
+    assert found >= 0.95 * sum(t is not None for t in true)
+    assert found >= 0.95 * sum(map(len, got))
+
+
+def test_long_texts_of_many_lines_take_linear_time():
+    types = pii.trained().types()
+    line = "call (555) 123-4567 now"
+    began = time.perf_counter()
+    got = pii.added_spans(["\n".join([line] * 40_000)], types)[0]
+    assert len(got) == 40_000 and got[-1][1] == 39_999 * (len(line) + 1) + 5
+    assert time.perf_counter() - began < 20
+
+
+def test_word_types_are_bounded(monkeypatch):
+    monkeypatch.setattr(pii.WordTypes, "LIMIT", 100)
+    types = pii.Crf(pii.labelled_table(60), epochs=1).types()
+    first = pii.added_spans(["a (555) 123-4567 b"], types)
+    for n in range(5):
+        pii.added_spans([" ".join(f"q{k}x{k}y{n}" for k in range(150))], types)
+    assert len(types.rows) <= 400 and pii.added_spans(["a (555) 123-4567 b"], types) == first
+
+
+def _plain_content(lines, inside):
+    """Smoothed ratios and their threshold, one by one."""
+    ratios = [0 if x.barred else len(x.text) / max(1, x.tags) * (html_text.FAVOUR if inside[x.container] else 1) for x in lines]
+    weights = [math.exp(-0.5 * (k / html_text.SIGMA) ** 2) for k in range(-html_text.RADIUS, html_text.RADIUS + 1)]
+    smooth = []
+    for n in range(len(ratios)):
+        near = [ratios[min(max(n + k, 0), len(ratios) - 1)] for k in range(-html_text.RADIUS, html_text.RADIUS + 1)]
+        smooth.append(sum(w * r for w, r in zip(weights, near)) / sum(weights))
+    mean = sum(smooth) / len(smooth)
+    least = math.sqrt(sum((x - mean) ** 2 for x in smooth) / len(smooth))
+    return [x >= least and not line.barred for x, line in zip(smooth, lines)]
+
+
+def test_content_lines_equal_plain_ones():
+    rng = random.Random(4)
+    for _ in range(200):
+        parents = [0, 0, 1, 0]
+        lines = [html_text.Line("x" * rng.randrange(1, 200), rng.randrange(0, 9), rng.random() < 0.3, False, rng.randrange(4)) for _ in range(rng.randrange(1, 25))]
+        inside = [False, rng.random() < 0.5, False, False]
+        inside[2] = inside[parents[2]]
+        assert html_text.content_lines(lines, inside).tolist() == _plain_content(lines, inside)
+
+
+LONG_P = "A paragraph that goes on for some time so that its ratio of text to tags is high, as content's is."
+MENU = "<ul><li><a href=a>One</a></li><li><a href=b>Two</a></li><li><a href=c>Three</a></li></ul>"
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (f"<body>{MENU}<div><h1>T</h1><p>{LONG_P}</p><p>Short.</p><p>{LONG_P}</p></div>{MENU}", f"T\n\n{LONG_P}\n\nShort.\n\n{LONG_P}"),  # no article
+        (f"<body>{MENU}<h1>T</h1><p>Short.</p><p>{LONG_P}</p><p>End.</p>{MENU}", f"T\n\nShort.\n\n{LONG_P}\n\nEnd."),
+        (f"<div>{MENU}</div><div id=x><div><p>{LONG_P}</p></div><div><p>Hm.</p></div><div><p>{LONG_P}</p></div></div>", f"{LONG_P}\n\nHm.\n\n{LONG_P}"),
+        (f"<html><head><title>t</title><body><article><p>{LONG_P}</article>", LONG_P),  # head's end tag left out
+        (f"<html><head><title>t</title><article><p>{LONG_P}</article>", LONG_P),
+        (f"<article><h1>A</h1><p>{LONG_P}</p></article><article><p>{LONG_P}</p><p>B.</p></article>", f"A\n\n{LONG_P}\n\n{LONG_P}\n\nB."),
+        (f"<article><p>{LONG_P}</p><article class=comment><p>{LONG_P} I disagree.</p></article></article>", LONG_P),
+        (f"<div class='layout no-sidebar'><p>{LONG_P}</p></div>", LONG_P),
+        (f"<article><div class='post social-ready'><p>{LONG_P}</p></div><div class='post-comments'><p>{LONG_P}</p></div></article>", LONG_P),
+        (f"<article><p>a&amp;b &lt;c&gt;\n  d</p><p>{LONG_P}</p></article><div class='cookie-banner-2'>{LONG_P}</div>", f"a&b <c> d\n\n{LONG_P}"),
+        ("<p>one</p>", "one"),
+        ("<nav>only a menu</nav>", ""),
+        ("   ", ""),
+    ],
+)
+def test_main_text(html, text):
+    assert html_text.main_text(html) == text
+
+
+def test_main_text_needs_no_article_element(spark):
+    """On the given pages the clusters find the same text with the article tags taken out."""
+    pages = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect()]
+    for html in pages:
+        bare = html.replace("<article>", "").replace("</article>", "")
+        assert html_text.main_text(bare) == html_text.main_text(html) != ""
+
+
+def test_a_very_long_page():
+    html = f"<body>{MENU * 2000}<article>" + f"<p>{LONG_P}</p>" * 30_000 + "</article>"
+    assert html_text.main_text(html) == "\n\n".join([LONG_P] * 30_000)
