@@ -6,13 +6,17 @@ of floor((1 - similarity) * words of the item).
 
 The CGK embedding walks over a sequence with one random bit for each step and
 word, advancing when the bit is set; sequences at a small edit distance agree
-at many steps. Items are classed by length. In each class, a repeat samples
+at many steps. An item of over PIECE words is looked for by its pieces, of equal
+length: of edits within the item's bound, some piece has no more than its own
+bound. Items and pieces are classed by length. In each class, a repeat samples
 STEPS_SAMPLED steps of the walk, and a window whose sampled words are all those
-of an item's becomes a candidate. The number of repeats is raised until items
+of a piece becomes a candidate. The number of repeats is raised until pieces
 edited as heavily as allowed, with other words behind them, are found with the
-target recall. Items too short for an edit are looked up by a hash of their
-words, all of them. Candidates are
-verified by the edit distance itself, over the window and its surroundings.
+target recall, to MOST_REPEATS. A class that misses the target even so takes all
+windows for candidates that hold enough of the piece's word pairs (see below),
+which loses none. Items too short for an edit are looked up by a hash of their
+words, all of them. Candidates are verified by the edit distance itself, of the
+whole item, over the window and its surroundings.
 
 Every position of every text starts a window. Windows that hold too few word
 pairs of the benchmark are skipped before the walk: an edit breaks two pairs at
@@ -23,7 +27,9 @@ own, so no more than that is ever broadcast. The passes are narrow.
 
 Defined cases: a null text or item is empty; an empty item is contained in
 nothing; a tie between places goes to the first; repeated rows of documents and
-items give a row each; empty tables give no rows; other columns play no part.
+items give a row each; empty tables give no rows; a very long text is held whole,
+at some 150 bytes of a worker's memory a word, and all else in parts of CELLS
+numbers, however long an item is; other columns play no part.
 """
 
 from __future__ import annotations
@@ -47,7 +53,9 @@ MOST_REPEATS = 512
 PAIR_BITS, OWN_BITS = 20, 11
 BLOCK_WORDS = 1 << 20
 TRIALS = 256  # edited items from which a class's repeats are set
-WORDS_AT_ONCE = 1 << 20
+WORDS_AT_ONCE = 1 << 19
+PIECE = 128
+CELLS = 1 << 22
 OTHER, PAD = 0, 1
 
 _SEED = 0x5851F42D4C957F2D
@@ -79,28 +87,38 @@ def pair_code(a: np.ndarray, b: np.ndarray, bits: int) -> np.ndarray:
     return (a.astype(np.int64) * 0x9E3779B1 + b.astype(np.int64) * 0x85EBCA77 >> 12) & ((1 << bits) - 1)
 
 
+def allowed(sizes, similarity: float):
+    return np.floor((1 - similarity) * np.asarray(sizes) + 1e-9).astype(np.int64)
+
+
+def own_pairs(item: np.ndarray) -> np.ndarray:
+    """Which word pairs the item has, by hash: a clash only lets a window through."""
+    out = np.zeros(1 << OWN_BITS, bool)
+    out[pair_code(item[:-1], item[1:], OWN_BITS)] = True
+    return out
+
+
 class LengthClass:
-    """Items of similar length, their walks' samples and the repeats that the recall takes."""
+    """Pieces of similar length, their walks' samples and the repeats that the recall takes."""
 
-    def __init__(self, members: list[int], items: list[np.ndarray], bits, similarity: float, recall: float) -> None:
-        sizes = np.array([len(items[m]) for m in members])
+    def __init__(self, members: list[int], pieces: list[np.ndarray], bits, similarity: float, recall: float) -> None:
+        sizes = np.array([len(pieces[m]) for m in members])
         self.members, self.low, self.high = np.array(members), int(sizes.min()), int(sizes.max())
         self.sizes = sizes
-        self.allowed = np.floor((1 - similarity) * sizes + 1e-9).astype(np.int64)
+        self.allowed = allowed(sizes, similarity)
         self.need = int((sizes - 1 - 2 * self.allowed).min())  # word pairs that survive the edits
         self.table = np.full((len(members), self.high), -1, np.int64)
         for k, m in enumerate(members):
-            self.table[k, : len(items[m])] = items[m]
+            self.table[k, : len(pieces[m])] = pieces[m]
         self.own_need = sizes - 1 - 2 * self.allowed
-        self.own_pairs = np.zeros((len(members), 1 << OWN_BITS), bool)  # by hash, as above
-        for k, m in enumerate(members):
-            self.own_pairs[k, pair_code(items[m][:-1], items[m][1:], OWN_BITS)] = True
+        self.own_pairs = np.stack([own_pairs(pieces[m]) for m in members])
         self.steps = max(STEPS_SAMPLED, int(1.5 * self.low))
         rng = np.random.default_rng([self.low, self.high])
         self.samples = np.stack([np.sort(rng.choice(self.steps, STEPS_SAMPLED, replace=False)) for _ in range(MOST_REPEATS)])
         own = self.walk(np.where(self.table < 0, PAD, self.table), bits)
-        self.repeats = self._repeats(items, own, bits, rng, recall)
-        self.samples = self.samples[: self.repeats]
+        self.repeats = self._repeats(pieces, own, bits, rng, recall)
+        self.exhaustive = self.recall < recall
+        self.samples = self.samples[: 0 if self.exhaustive else self.repeats]
         signed = [self._signature(own, s) for s in self.samples]
         order = [np.argsort(s, kind="stable") for s in signed]
         self.keys = [s[o] for s, o in zip(signed, order)]
@@ -128,13 +146,13 @@ class LengthClass:
             got = (got << 21) | walked[j]  # exact: word numbers have 21 bits at most
         return got
 
-    def _repeats(self, items, own, bits, rng, recall: float) -> int:
-        """Edit items as heavily as is allowed, inside a longer text, and count in which repeat each is found first."""
+    def _repeats(self, pieces, own, bits, rng, recall: float) -> int:
+        """Edit pieces as heavily as is allowed, inside a longer text, and count in which repeat each is found first."""
         picks = np.resize(np.arange(len(self.members)), TRIALS)
         starts = int(self.allowed.max()) + 1  # later windows over the same stretch find it too
         edited, of = [], []
         for n, k in enumerate(picks):
-            row = list(items[self.members[k]])
+            row = list(pieces[self.members[k]])
             for _ in range(int(self.allowed[k])):
                 kind, at = rng.integers(3), int(rng.integers(max(1, len(row))))
                 if kind == 0 and row:
@@ -155,8 +173,21 @@ class LengthClass:
         self.recall = float(found[enough[0]] if len(enough) else found[-1])
         return int(enough[0]) + 1 if len(enough) else MOST_REPEATS
 
-    def candidates(self, walked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(window, member) pairs that agree in a repeat, each once."""
+    def candidates(self, sequence, start: np.ndarray, end: np.ndarray, bits) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(place, member) pairs that agree in a repeat, each once, in parts."""
+        if self.exhaustive:
+            many = max(1, CELLS // len(self.members))
+            for k in range(0, len(start), many):
+                part = start[k : k + many]
+                yield np.repeat(part, len(self.members)), np.tile(np.arange(len(self.members)), len(part))
+            return
+        many = max(1, CELLS // self.steps)
+        for k in range(0, len(start), many):
+            part = start[k : k + many]
+            window, member = self._agreeing(self.walk_at(sequence, part, end[k : k + many], bits))
+            yield part[window], member
+
+    def _agreeing(self, walked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         out = []
         for sample, keys, owners in zip(self.samples, self.keys, self.owners):
             got = self._signature(walked, sample)
@@ -230,15 +261,25 @@ class Benchmark:
         items = [np.array([self.vocabulary[w] for w in t], np.int64) for t in texts]
         for item in items:
             self.pairs[pair_code(item[:-1], item[1:], PAIR_BITS)] = True
-        groups: dict[int, list[int]] = {}
+        self.items, self.similarity = items, similarity
+        pieces: list[np.ndarray] = []
+        of: list[tuple[int, int]] = []  # of each piece, its item and its place there
         exact: dict[int, list[int]] = {}
         for n in sorted((n for n in range(len(items)) if len(items[n])), key=lambda n: len(items[n])):
-            if int((1 - similarity) * len(items[n]) + 1e-9):
-                groups.setdefault(int(np.log(len(items[n])) / np.log(1.25)), []).append(n)
-            else:
+            if not allowed(len(items[n]), similarity):
                 exact.setdefault(len(items[n]), []).append(n)
+                continue
+            at = 0
+            for part in np.array_split(items[n], -(-len(items[n]) // PIECE)):
+                pieces.append(part)
+                of.append((n, at))
+                at += len(part)
+        self.of = np.array(of, np.int64).reshape(-1, 2)
+        groups: dict[int, list[int]] = {}
+        for k, part in enumerate(pieces):
+            groups.setdefault(int(np.log(len(part)) / np.log(1.25)), []).append(k)
         self.exact = [Exact(m, items, mix(self._seeds)) for m in exact.values()]
-        self.classes = [LengthClass(m, items, self.bits, similarity, recall) for m in groups.values()]
+        self.classes = [LengthClass(m, pieces, self.bits, similarity, recall) for m in groups.values()]
 
     def bits(self, j: int) -> np.ndarray:
         if j not in self._bits:
@@ -260,6 +301,7 @@ class Benchmark:
         pairs[both[self.pairs[pair_code(sequence[both], sequence[both + 1], PAIR_BITS)]] + 1] = 1
         begun = np.cumsum(pairs, dtype=np.int32)  # pairs that begin before each position
         found: dict[tuple[int, int], tuple[int, int]] = {}
+        tried: set[tuple[int, int, int]] = set()  # places of long items
         if self.exact:
             hashes, powers = _prefix(mix(self._seeds)[sequence]), _powers(len(sequence))
             text = np.repeat(np.arange(len(texts)), sizes + 1)
@@ -279,31 +321,54 @@ class Benchmark:
             start = at[begun[np.minimum(at + c.high - 1, end_of[at])] - begun[at] >= c.need]
             if not len(start):
                 continue
-            window, member = c.candidates(c.walk_at(sequence, start, end_of[start].astype(np.int64), self.bits))
-            if not len(window):
-                continue
-            start = start[window]
-            # one stretch serves all windows of an item that begin within the same `spare` words
-            spare = int(c.allowed.max())
-            _, one = np.unique(np.stack([member, np.searchsorted(ends, start), start // (spare + 1)]), axis=1, return_index=True)
-            for k in range(0, len(one), 1 << 14):
-                n = one[k : k + (1 << 14)]
-                self._verify(c, sequence, ends, end_of, start[n], member[n], found)
+            for place, member in c.candidates(sequence, start, end_of[start].astype(np.int64), self.bits):
+                if len(place):
+                    self._checked(c, sequence, ends, end_of, place, member, found, tried)
         return [(t, i, d, p) for (t, i), (d, p) in sorted(found.items())]
 
-    def _verify(self, c, sequence, ends, end_of, start, member, found) -> None:
+    def _checked(self, c, sequence, ends, end_of, place, member, found, tried) -> None:
+        # one stretch serves all windows of a piece that begin within the same `spare` words
+        spare = int(c.allowed.max())
+        text = np.searchsorted(ends, place)
+        _, one = np.unique(np.stack([member, text, place // (spare + 1)]), axis=1, return_index=True)
+        place, member, text = place[one], member[one], text[one]
+        many = max(1, CELLS // (c.high + 4 * spare))
+        for k in range(0, len(place), many):
+            self._verify(c, sequence, ends, end_of, *(x[k : k + many] for x in (place, member, text)), found, tried)
+
+    def _verify(self, c, sequence, ends, end_of, start, member, text, found, tried) -> None:
         spare = int(c.allowed.max())
-        text = np.searchsorted(ends, start)
         begin = np.concatenate([[0], ends[:-1] + 1])[text]
         first = np.maximum(start - spare, begin)
         reach = first[:, None] + np.arange(c.high + 4 * spare)
         stretch = np.where(reach < end_of[start][:, None], sequence[np.minimum(reach, len(sequence) - 1)], -2)
         own = c.own_pairs[member[:, None], pair_code(stretch[:, :-1], stretch[:, 1:], OWN_BITS)].sum(axis=1)
-        keep = own >= c.own_need[member]  # the bound on pairs again, for this very item
+        keep = own >= c.own_need[member]  # the bound on pairs again, for this very piece
         start, member, text, begin, stretch = (x[keep] for x in (start, member, text, begin, stretch))
         distance = edit_distances(c.table[member], c.sizes[member], stretch)
         for n in np.flatnonzero(distance <= c.allowed[member]):
-            key, got = (int(text[n]), int(c.members[member[n]])), (int(distance[n]), int(start[n] - begin[n]))
+            item, at = self.of[c.members[member[n]]].tolist()
+            if len(self.items[item]) > PIECE:
+                self._whole(item, int(start[n]) - at, int(text[n]), int(begin[n]), int(ends[text[n]]), sequence, found, tried)
+                continue
+            key, got = (int(text[n]), item), (int(distance[n]), int(start[n] - begin[n]))
+            found[key] = min(found.get(key, got), got)
+
+    def _whole(self, item: int, start: int, text: int, begin: int, end: int, sequence, found, tried) -> None:
+        """Verify a long item of which a piece was found; `start` is where the item would begin without edits."""
+        words_ = self.items[item]
+        most = int(allowed(len(words_), self.similarity))
+        cell = (start - begin) // (most + 1)
+        if (text, item, cell) in tried:
+            return
+        tried.add((text, item, cell))
+        low = begin + cell * (most + 1) - most  # edits before the piece move it by `most` at most
+        stretch = sequence[max(begin, low) : max(begin, min(end, low + len(words_) + 4 * most + 2))]
+        if own_pairs(words_)[pair_code(stretch[:-1], stretch[1:], OWN_BITS)].sum() < len(words_) - 1 - 2 * most:
+            return
+        distance = int(edit_distances(words_[None], np.array([len(words_)]), stretch[None])[0])
+        if distance <= most:
+            key, got = (text, item), (distance, max(0, start - begin))
             found[key] = min(found.get(key, got), got)
 
 

@@ -2,11 +2,15 @@
 
 import itertools
 import math
+import os
 import random
 import re
+import subprocess
+import sys
 import time
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -525,3 +529,48 @@ def test_main_text_needs_no_article_element(spark):
 def test_a_very_long_page():
     html = f"<body>{MENU * 2000}<article>" + f"<p>{LONG_P}</p>" * 30_000 + "</article>"
     assert html_text.main_text(html) == "\n\n".join([LONG_P] * 30_000)
+
+
+def _edited(item, share, rng):
+    row = list(item)
+    for _ in range(int(share * len(item) + 1e-9)):
+        kind, at = rng.integers(3), int(rng.integers(len(row)))
+        if kind == 0:
+            row[at] = f"other{rng.integers(10**6)}"
+        elif kind == 1:
+            row.pop(at)
+        else:
+            row.insert(at, f"other{rng.integers(10**6)}")
+    return row
+
+
+def test_decontamination_recall_at_the_allowed_edits():
+    """Substitutions, insertions and deletions, as many as allowed, in items of all lengths, inside longer texts."""
+    rng = np.random.default_rng(31)
+    words = lambda n: [f"w{k}" for k in rng.integers(0, 20_000, n)]
+    sizes = [*range(5, 60, 1), *range(60, 300, 12), 400, 700]
+    items = [words(n) for n in sizes * 4]
+    bench = decontamination.Benchmark(list(enumerate(" ".join(x) for x in items)))
+    texts = [words(40) + _edited(x, 1 - decontamination.SIMILARITY, rng) + words(40) for x in items]
+    found = {(t, i) for t, i, _, _ in bench.find(texts)}
+    assert sum((n, n) in found for n in range(len(items))) >= decontamination.RECALL * len(items)
+    assert all(t == i for t, i in found)
+    assert not bench.find([words(300) for _ in range(50)])
+
+
+def test_a_very_long_item_needs_little_memory():
+    """An item and a text of 20,000 words, in a process of 2 GB."""
+    code = """
+import resource, numpy as np
+resource.setrlimit(resource.RLIMIT_DATA, (2 << 30, 2 << 30))
+from gridlode.llm import decontamination as D
+rng = np.random.default_rng(2)
+item = [f"w{k}" for k in rng.integers(0, 30_000, 20_000)]
+bench = D.Benchmark([(5, " ".join(item)), (6, " ".join(item[:2_500]))])
+text = list(item)
+for at in rng.integers(0, 20_000, 1_000):
+    text[at] = "other"
+got = {(t, i): d for t, i, d, _ in bench.find([["a"] * 50 + text + ["b"] * 50, ["c"] * 100])}
+assert set(got) == {(0, 0), (0, 1)} and 900 < got[0, 0] <= 1_000, got
+"""
+    assert subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parents[2], timeout=300, env=os.environ | {"OMP_NUM_THREADS": "1", "OPENBLAS_NUM_THREADS": "1"}).returncode == 0
