@@ -215,13 +215,26 @@ class Duplicates:
         for more in (self._to_best_pivots, self._by_rare_elements):
             able = self._able(large.select("key", "node"), labels)
             if able.isEmpty():
-                return links, labels
+                break
             found = written(self._verified(_ordered(more(able))))
+            erase(able)
+            if found.isEmpty():
+                continue
             before, links = links, written(links.unionByName(found))
-            erase(before, found, able, labels)
-            labels = components(links.select("a", "b"))
+            labels, old = self._joined(labels, found), labels
+            erase(before, found, old)
         return links, labels
 
+    def _joined(self, labels: DataFrame, found: DataFrame) -> DataFrame:
+        """labels after more links: components of the components that these join."""
+        of = lambda side: labels.select(F.col("node").alias(side), F.col("label").alias(f"_{side}"))
+        both = found.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left")
+        over = components(both.select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b")))
+        over = over.select(F.col("node").alias("_node"), F.col("label").alias("_label"))
+        known = labels.join(over, labels["label"] == over["_node"], "left").select("node", F.coalesce("_label", "label").alias("label"))
+        fresh = over.join(labels.select("node"), over["_node"] == labels["node"], "left_anti").select(F.col("_node").alias("node"), F.col("_label").alias("label"))
+        return written(known.unionByName(fresh))
+
     def _able(self, large: DataFrame, labels: DataFrame) -> DataFrame:
         """Members of buckets with several components, without nodes that share too little to have a partner."""
         labelled = large.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
@@ -245,9 +258,10 @@ class Duplicates:
     def _by_rare_elements(self, able: DataFrame) -> DataFrame:
         """All pairs of different components that can be similar enough.
 
-        With n and m >= n elements, such bags have 2 s / (1 + s) n elements in common at least, and
-        s m, so one of them is among the first n - 2 s / (1 + s) n + 1 of the smaller and the
-        first m - s m + 1 of the larger.
+        With n and m >= n elements, such bags have s / (1 + s) (n + m) elements in common at least: no less
+        than 2 s / (1 + s) n, and than s m. So one of them is among the first n - 2 s / (1 + s) n + 1
+        of the smaller and the first m - s m + 1 of the larger, and behind the first one, with it, either
+        bag has that many left.
         """
         nodes = written(able.select("node", "label", "size").distinct())
         found = written(self.bags.join(nodes.select("node"), "node").select("node", "bag").mapInArrow(_elements, "node binary, element long"))
@@ -256,9 +270,10 @@ class Duplicates:
         least = lambda share: F.col("size") - F.ceil(share * F.col("size") - 1e-9) + 1
         s = self.similarity
         first = ranked.join(nodes, "node").select("node", "label", "size", least(2 * s / (1 + s)).alias("short"), F.posexplode(F.slice("elements", 1, least(s).cast("int"))).alias("place", "e"))
-        first = written(first.where("e.n > 1").select("node", "label", "size", F.col("e.element").alias("element"), (F.col("place") < F.col("short")).alias("early")))
-        x, y = (first.select("element", "early", *(F.col(c).alias(f"{c}_{m}") for c in ("node", "label", "size"))) for m in "xy")
-        on = (F.col("size_x") >= s * F.col("size_y") - 1e-9) & (F.struct("size_x", "node_x") < F.struct("size_y", "node_y")) & (F.col("label_x") != F.col("label_y"))
+        first = written(first.where("e.n > 1").select("node", "label", "size", F.col("e.element").alias("element"), (F.col("size") - F.col("place")).alias("left"), (F.col("place") < F.col("short")).alias("early")))
+        x, y = (first.select("element", "early", *(F.col(c).alias(f"{c}_{m}") for c in ("node", "label", "size", "left"))) for m in "xy")
+        common = F.ceil(s / (1 + s) * (F.col("size_x") + F.col("size_y")) - 1e-9)
+        on = (F.least("left_x", "left_y") >= common) & (F.col("size_x") >= s * F.col("size_y") - 1e-9) & (F.struct("size_x", "node_x") < F.struct("size_y", "node_y")) & (F.col("label_x") != F.col("label_y"))
         return x.where("early").drop("early").join(y.drop("early"), "element").where(on).select(F.col("node_x").alias("a"), F.col("node_y").alias("b"))
 
     def _labelled(self) -> DataFrame:
