@@ -54,8 +54,8 @@ from gridlode.llm.shingles import mix
 STRENGTH = 1.0
 BURN_IN, SAMPLES = 2, 3
 EXACT, GROUPS, STEP_SHARE = 256, 8, 0.05
-BLOCK_TOKENS = 1 << 20
-SHARD_TOKENS = 1 << 21
+BLOCK_TOKENS = 1 << 21
+SHARD_TOKENS = 1 << 22
 HOT_SHARE = 0.25
 SAMPLED = 1 / 32
 CACHE = 300_000
@@ -397,13 +397,14 @@ class LanguageModel:
                 t = np.minimum(n, 1).astype(np.float64)
                 many = np.flatnonzero(n > 1)
                 t[many] = reseated(n[many], np.full(len(many), 1 / outcomes), np.full(len(many), tables - 1.0), d, seed[many], stirling)
-                mass = (n - d * t).astype(np.float32)
+                t = t.astype(np.int64)
                 yield _row(to, 2, 0, (), [int(n.sum()), int(t.sum())])
                 for source, at, mark in zip(row["ids"], places, marks):
                     if final:
-                        yield _row(source, 1, to, (mass[at],))
+                        yield _row(source, 1, to, (n[at], t[at]))
                     if (mark > 0).any():
-                        yield _row(source, 0, to, (mass[at[mark > 0]],))
+                        at = at[mark > 0]
+                        yield _row(source, 0, to, (n[at], t[at]))
 
         rows = self.parents if messages is None else self.parents.unionByName(messages)
         return written(rows.repartitionById(self.shards, "to").mapInArrow(run, _ROW), partition="kind")
@@ -419,8 +420,8 @@ class LanguageModel:
             for row in _rows(batches):
                 if row["kind"] == 4:
                     tables[row["to"]] = row["x1"].astype(np.float64)
-                elif row["x2"] is None:
-                    mass[row["to"], row["source"]] = row["x1"]
+                elif row["x3"] is None:
+                    mass[row["to"], row["source"]] = row["x1"] - totals[0] * row["x2"]
                 else:
                     own[row["to"]] = row
             for to, row in own.items():
@@ -499,7 +500,8 @@ class LanguageModel:
                 elif row["kind"] % 10 == 4:
                     tables[row["to"], row["kind"] // 10] = row["x1"]
                 else:
-                    mass[row["to"], row["kind"] // 10, row["source"]] = row["x1"]
+                    k = row["kind"] // 10
+                    mass[row["to"], k, row["source"]] = row["x1"] - known[k - 1][0][0] * row["x2"]
             for to, row in own.items():
                 s = _Shard(row)
                 parent = (mix(s.words ^ _A) % np.uint64(shards)).astype(np.int64)
