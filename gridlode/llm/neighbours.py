@@ -18,7 +18,8 @@ Defined cases: vectors that are null, empty, zero, of another length than most,
 or hold null or non-finite components take no part; equal scores go to the
 smaller vec_id; of rows with the same vec_id each is a candidate, one is a
 query, and none is a candidate for itself; with fewer than 20 candidates all
-are returned; an empty table gives no rows; other columns play no part.
+are returned; an empty table gives no rows; other columns play no part; a very
+long vector costs a row of the matrices that a task holds, BLOCK vectors at once.
 """
 
 from __future__ import annotations

@@ -15,8 +15,10 @@
    on the length.
 
 Defined cases: a null or empty text is the end token alone; repeated rows are
-packed as often as they occur; an empty table gives no rows; other columns play
-no part.
+packed as often as they occur; pieces of equal length are interchangeable, so a tie
+is broken by the row's place in the table; a very long text is tokenized whole, at
+some 100 bytes of a worker's memory a word; an empty table gives no rows; other
+columns play no part.
 """
 
 from __future__ import annotations
@@ -36,8 +38,8 @@ from gridlode.llm.common import kept, written
 CAPACITY = 2048
 GROUPS = 64
 SMALL = 4  # lengths up to capacity / SMALL are small
-SALTS = 64
-CACHE = 600_000  # chunks that a worker remembers
+SALT_PIECES = 100_000  # pieces of one length that a task ranks, about
+CACHE = 200_000  # chunks that a worker remembers
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -224,23 +226,26 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROU
     return out
 
 
-def ranked(found: DataFrame) -> DataFrame:
-    """Add rank, from 0 within each length, gathering no length in one task."""
-    salted = found.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(SALTS)).cast("int"))
-    # length <= capacity and salt < SALTS, so these counts are bounded
-    parts = salted.groupBy("length", "salt").count().withColumn("before", F.sum("count").over(Window.partitionBy("length").orderBy("salt")) - F.col("count"))
-    within = F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")) - 1
-    return salted.withColumn("within", within).join(parts.drop("count"), ["length", "salt"]).withColumn("rank", F.col("within") + F.col("before")).drop("salt", "within", "before")
+def ranked(found: DataFrame, counts: dict[int, int]) -> DataFrame:
+    """Add rank, from 0 within each length; a length is ranked by as many tasks as its pieces need."""
+    salts = found.sparkSession.createDataFrame([(n, -(-c // SALT_PIECES)) for n, c in counts.items()] or [(0, 1)], "length long, salts long")
+    salted = found.join(F.broadcast(salts), "length")  # a row for each length, at most `capacity`
+    salted = salted.withColumn("salt", F.pmod(F.xxhash64("nr"), "salts")).drop("salts")  # equal rows part too
+    parts = salted.groupBy("length", "salt").count()
+    # of one length there are as many parts as salts: their number is by SALT_PIECES smaller than the pieces'
+    parts = parts.withColumn("before", F.sum("count").over(Window.partitionBy("length").orderBy("salt")) - F.col("count"))
+    within = F.row_number().over(Window.partitionBy("length", "salt").orderBy("nr")) - 1
+    return salted.withColumn("within", within).join(parts.drop("count"), ["length", "salt"]).withColumn("rank", F.col("within") + F.col("before")).drop("salt", "within", "before", "nr")
 
 
 def pack(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     """Every piece with the sequence it goes to and its offset there."""
-    found = written(pieces(docs, path, capacity))
+    found = written(pieces(docs, path, capacity).withColumn("nr", F.monotonically_increasing_id()))
     counts = {r[0]: r[1] for r in found.groupBy("length").count().collect()}  # at most `capacity` rows
     runs = docs.sparkSession.createDataFrame(
         plan(counts, capacity) or [(0, 0, 0, 0, 0)], "length long, first long, last long, sequence long, offset long"
     )
-    placed = _place(ranked(found), runs)
+    placed = _place(ranked(found, counts), runs)
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("sequence") + F.col("rank") - F.col("first")).alias("sequence_id"), "offset")
 
 

@@ -16,7 +16,9 @@ all-zero features; labels that are null or neither 0 nor 1, or of unknown
 documents, are unused; of repeated labels one is used; with fewer than two
 labelled classes every score is the share of toxic ones (0 with no labels);
 repeated rows give a row each; an empty table gives no rows; other columns play
-no part.
+no part. A tie between cuts of a tree goes to the first feature and cut, one
+between labelled rows' hashes to the smaller doc_id; a very long text is split
+whole, at some 100 bytes of a worker's memory a word.
 """
 
 from __future__ import annotations
@@ -208,15 +210,14 @@ class Model:
             return
         n = len(texts)
         fold = np.random.default_rng(3).permutation(n) % FOLDS
-        least = 3 if n >= 2000 else 2
-        parts = [lexicon([t for t, f in zip(texts, fold) if f != k], toxic[fold != k], least) for k in range(FOLDS)]
+        parts = [lexicon([t for t, f in zip(texts, fold) if f != k], toxic[fold != k]) for k in range(FOLDS)]
         x = np.zeros((n, len(NAMES)))
         for k in range(FOLDS):
             x[fold == k] = features([t for t, f in zip(texts, fold) if f == k], WordKinds(parts[k]))
         raw = np.zeros(n)
         for k in range(FOLDS):
             raw[fold == k] = Trees(x[fold != k], toxic[fold != k]).raw(x[fold == k])
-        self.lexicon, self.trees = lexicon(texts, toxic, least), Trees(x, toxic)
+        self.lexicon, self.trees = lexicon(texts, toxic), Trees(x, toxic)
         self.knots = isotonic(raw, toxic)
 
     def kinds(self) -> WordKinds:
@@ -243,7 +244,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     return Model([t for _, _, t in got], np.array([float(y) for _, y, _ in got]))
 
 
-CHARS_AT_ONCE = 1 << 22
+CHARS_AT_ONCE = 1 << 20
 
 
 def _chunks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[str]]]:
