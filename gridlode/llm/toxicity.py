@@ -61,7 +61,7 @@ def bare(word: str) -> str:
     return word.strip(MARKS).lower()
 
 
-def lexicon(texts: list[str], toxic: np.ndarray, least: int = 3, lead: float = 2.0) -> dict[str, float]:
+def lexicon(texts: list[str], toxic: np.ndarray, least: int = 2, lead: float = 2.0) -> dict[str, float]:
     """Entry -> log ratio of its document shares, for entries that lean clearly to the toxic class."""
     seen = (Counter(), Counter())
     for text, t in zip(texts, toxic):
@@ -189,16 +189,16 @@ class Trees:
 
 
 def isotonic(raw: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Knots of the best non-decreasing map from raw scores to labels, by pooling adjacent violators."""
+    """Knots of the best non-decreasing map from raw scores to labels, by pooling adjacent violators: both ends of each pool."""
     order = np.argsort(raw, kind="stable")
-    blocks: list[list[float]] = []  # mean, weight, sum of raw
+    blocks: list[list[float]] = []  # mean, weight, least and largest raw
     for r, t in zip(raw[order], y[order]):
-        blocks.append([float(t), 1.0, float(r)])
+        blocks.append([float(t), 1.0, float(r), float(r)])
         while len(blocks) > 1 and blocks[-2][0] >= blocks[-1][0]:
-            m, w, s = blocks.pop()
+            m, w, _, high = blocks.pop()
             a = blocks[-1]
-            blocks[-1] = [(a[0] * a[1] + m * w) / (a[1] + w), a[1] + w, a[2] + s]
-    return np.array([s / w for _, w, s in blocks]), np.array([m for m, _, _ in blocks])
+            blocks[-1] = [(a[0] * a[1] + m * w) / (a[1] + w), a[1] + w, a[2], high]
+    return np.array([r for b in blocks for r in b[2:]]), np.array([b[0] for b in blocks for _ in range(2)])
 
 
 class Model:

@@ -57,3 +57,26 @@ def test_near_duplicates_with_null_and_shared_ids(spark):
     near_copies = [t for t in got if t[1] in (b, near)]
     assert len(near_copies) == 1 and near_copies[0][0] is None
     assert sorted((i or 0, t) for i, t in got if t not in (b, near)) == sorted([(0, a), (1, c), (7, d), (7, e)])
+
+
+ODD = "doc_id long, text string, lang string, row string, _row long, node binary, key int, n_chars long"
+
+
+@pytest.mark.parametrize("n", range(5))
+def test_stages_take_odd_tables(spark, made, n):
+    """Nulls in any column, empty and very long texts, repeated rows, an empty table, columns of the operators' own names."""
+    pytest.importorskip("public_tokenizers")
+    name, stage = corpus_pipeline.STAGES[n]
+    long_ = " ".join(f"word{k}" for k in range(150_000))
+    rows = [(None, None, None, None, None, None, None, None), (1, "", "en", "r", 5, b"n", 2, 0), (2, long_, "en", "r", 5, b"n", 2, 9), (None, "some text of a few words", "en", "x", 6, b"n", 2, 9)]
+    rows += [(3, "another text of some words here", "en", "y", 7, b"n", 2, 9)] * 2
+    docs = corpus_pipeline.written(spark.createDataFrame(rows, ODD))
+    got = stage(spark, docs, made)
+    if name == "packing":
+        assert got.where("piece = 0").count() == 6 and got.groupBy("sequence_id").agg({"length": "sum"}).where("`sum(length)` > 2048").isEmpty()
+    else:
+        assert got.columns == docs.columns
+        kept = sorted(map(repr, got.drop("n_chars").collect()))  # which redacting counts anew
+        wanted = [r for r in docs.drop("n_chars").collect() if name != "near_duplicates" or r["doc_id"] is not None or r["text"]]
+        assert kept == sorted(map(repr, {repr(r): r for r in wanted}.values() if name == "near_duplicates" else wanted))
+    assert stage(spark, docs.limit(0), made).count() == 0
