@@ -34,18 +34,19 @@ def normalize(x: Column) -> Column:
     return fold(nfkc(F.coalesce(x, F.lit(""))))
 
 
-# Transliteration of Cyrillic capitals, one to many and one to one.
+# Transliteration of Cyrillic letters, one to many and, for translate() takes no more, one to one.
 _MANY = {"Є": "IE", "Ж": "ZH", "Х": "KH", "Ц": "TS", "Ч": "CH", "Ш": "SH", "Щ": "SHCH", "Ь": "", "Ъ": "", "Ю": "IU", "Я": "IA"}
 _ONE = ("АБВГҐДЕЗИІЇЙКЛМНОПРСТУФЫЭ", "ABVHGDEZYIIIKLMNOPRSTUFYE")
+_LETTERS = "".join((*_MANY, _ONE[0]))
 
 
 def slug_stable(x: Column) -> Column:
-    """slug() of text that is in NFKC form already."""
-    x = F.upper(x)
+    """slug() of text that is in NFKC form already. Only letters of the map and ASCII count, whatever capitals others have."""
+    x = F.translate(x, _LETTERS.lower(), _LETTERS)
     for letter, latin in _MANY.items():
         x = F.replace(x, F.lit(letter), F.lit(latin))
-    x = F.regexp_replace(F.translate(x, *_ONE), "[^A-Z0-9]+", "-")
-    return F.trim(x, F.lit("-"))
+    x = F.regexp_replace(F.translate(x, *_ONE), "[^A-Za-z0-9]+", "-")
+    return F.trim(F.upper(x), F.lit("-"))
 
 
 def slug(x: Column) -> Column:
@@ -113,8 +114,12 @@ def confidence_bucket(x: Column) -> Column:
     return F.when(value >= 0.90, BUCKETS[0]).when(value >= 0.75, BUCKETS[1]).when(value >= 0.50, BUCKETS[2]).otherwise(BUCKETS[3])
 
 
-def flag_list(x: Column) -> Column:
-    return F.coalesce(x, F.array().cast("array<string>"))
+def flag_list(x: Column, kind: str = "array<string>") -> Column:
+    """Flags as a list of texts: none for null, the empty text, 0 and false; one for any other single value."""
+    if kind.startswith("array"):
+        return F.coalesce(x.cast("array<string>"), F.array().cast("array<string>"))
+    text = F.when(x, "True") if kind == "boolean" else F.when(x != 0, x.cast("string")) if kind != "string" else filled(x)
+    return F.array_compact(F.array(text))
 
 
 def filled(x: Column) -> Column:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,14 +16,71 @@ def _formatted(x: Column, form: str) -> Column:
     return F.call_function("format_number", x, F.lit(form))
 
 
+def _scientific(x: Column, digits: int) -> Column:
+    """A finite double to so many significant digits, as d.ddde+xx."""
+    return F.format_string(f"%.{digits - 1}e", x)
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once and its code apart."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _laid_out(text: Column, widest: int, point: str) -> Column:
+    """d.ddde+xx without trailing zeros: plain from 1e-4 to 10^widest, `point` behind whole numbers there, else with an exponent."""
+    zeros = lambda n: F.repeat(F.lit("0"), n)
+
+    def put(n: Column) -> Column:
+        digits, e = n["digits"], n["e"]
+        plain = (
+            F.when(e < 0, F.concat(F.lit("0."), zeros(-e - 1), digits))
+            .when(F.length(digits) <= e + 1, F.concat(digits, zeros(e + 1 - F.length(digits)), F.lit(point)))
+            .otherwise(F.concat(F.substr(digits, F.lit(1), e + 1), F.lit("."), F.substr(digits, e + 2)))
+        )
+        more = F.when(F.length(digits) > 1, F.concat(F.lit("."), F.substring(digits, 2, 20))).otherwise("")
+        power_ = F.concat(F.when(e < 0, "e-").otherwise("e+"), F.when(F.abs(e) < 10, "0").otherwise(""), F.abs(e).cast("string"))
+        return F.concat(n["sign"], F.when((e < -4) | (e >= widest), F.concat(F.substring(digits, 1, 1), more, power_)).otherwise(plain))
+
+    def read(t: Column) -> Column:
+        digits = F.regexp_replace(F.regexp_replace(F.substring_index(t, "e", 1), "[-.]", ""), "(?<=.)0+$", "")
+        sign = F.when(F.startswith(t, F.lit("-")), "-").otherwise("")
+        return _let(F.struct(sign.alias("sign"), digits.alias("digits"), F.substring_index(t, "e", -1).try_cast("int").alias("e")), put)
+
+    return _let(text, read)
+
+
+def _whole(x: Column, below: float, point: str) -> Column:
+    """The text of a whole number under a bound, which most are; null for others."""
+    return F.when((x == F.floor(x).cast("double")) & (F.abs(x) < below) & (x != 0), F.concat(x.cast("bigint").cast("string"), F.lit(point)))
+
+
+def _special(x: Column, nan: str, infinity: str) -> Column:
+    return F.when(F.isnan(x), nan).when(x == float("inf"), infinity).when(x == float("-inf"), f"-{infinity}")
+
+
 def float_text(x: Column) -> Column:
-    """Shortest text of a double as JSON has it; plain digits between 1e-4 and 1e16."""
-    return _formatted(x, "0.0###############")
+    """Shortest text of a double that reads back as the same, as JSON has it; plain from 1e-4 to 1e16."""
+
+    def shortest(v: Column) -> Column:
+        tries = F.array(*(_scientific(v, digits) for digits in (15, 16, 17)))
+        return _laid_out(F.get(F.filter(tries, lambda t: t.try_cast("double") == v), 0), 16, ".0")
+
+    return F.when(x.isNotNull(), F.coalesce(_special(x, "NaN", "Infinity"), _whole(x, 1e15, ".0"), _let(x, shortest)))
 
 
 def general_text(x: Column) -> Column:
-    """A double to 12 decimals without trailing zeros; the same as 12 significant digits below 10^12 with few decimals."""
-    return _formatted(x, "0.############")
+    """A double to 12 significant digits without trailing zeros; plain from 1e-4 to 1e12."""
+    return F.when(x.isNotNull(), F.coalesce(_special(x, "nan", "inf"), _whole(x, 1e12, ""), _let(x, lambda v: _laid_out(_scientific(v, 12), 12, ""))))
+
+
+#: Decimal digits of all scripts beside ASCII's, and theirs.
+_DIGITS = "".join(chr(c) for c in range(128, sys.maxunicode + 1) if unicodedata.decimal(chr(c), None) is not None)
+_ASCII_DIGITS = "".join(str(unicodedata.decimal(c)) for c in _DIGITS)
+
+
+def ascii_digits(x: Column) -> Column:
+    """Digits of any script as ASCII ones, which casts need."""
+    return F.when(x.rlike(r"\A[\x00-\x7F]*\z"), x).otherwise(F.translate(x, _DIGITS, _ASCII_DIGITS))
 
 
 def json_text(x: Column, kind: str) -> Column:
@@ -53,7 +114,7 @@ def iso_date(x: Column) -> Column:
 
 def power(x: Column) -> Column:
     """A registry number: a comma or point before decimals, spaces anywhere; else null."""
-    text = F.replace(fold(nfkc(x)), F.lit(" "), F.lit(""))
+    text = ascii_digits(F.replace(fold(nfkc(x)), F.lit(" "), F.lit("")))
     return F.when(text.rlike(r"(?U)\A[-+]?\d+(?:\.\d+)?\z"), text.try_cast("double"))
 
 
