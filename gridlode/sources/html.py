@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from html.parser import HTMLParser
 from urllib.parse import parse_qsl, urlencode, urlsplit, urlunsplit
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
 from gridlode.functions.text import filled, fold, nfkc, normalize
 from gridlode.functions.values import power, registry_date
@@ -87,14 +88,17 @@ def table_rows(html: str | None) -> tuple[list[str], list[tuple[int, list[str]]]
     return texts[head], [(n, cells) for n, cells in enumerate(body, 1) if cells]
 
 
-_CELLS = ArrayType(StringType())
-_TABLE = ArrayType(StructType().add("source_row_index", IntegerType()).add("cells", _CELLS).add("header", _CELLS))
+_CELLS = pa.list_(pa.string())
+_ROWS = pa.list_(pa.struct([("source_row_index", pa.int32()), ("cells", _CELLS)]))
+_TABLES = "source_url string, source_page int, fetched_at timestamp, header array<string>, rows array<struct<source_row_index:int, cells:array<string>>>"
 
 
-@F.udf(returnType=_TABLE)
-def parse_table(html: str):
-    header, rows = table_rows(html)
-    return [(n, cells, header) for n, cells in rows]
+def _tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages to their header, once each, and rows."""
+    for batch in batches:
+        found = [table_rows(html.as_py()) for html in batch.column(3)]
+        rows = [[{"source_row_index": n, "cells": cells} for n, cells in rows] for _, rows in found]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([h for h, _ in found], _CELLS), pa.array(rows, _ROWS)], names=["source_url", "source_page", "fetched_at", "header", "rows"])
 
 
 def _key(low: Column) -> Column:
@@ -118,12 +122,13 @@ def table_records(pages: DataFrame, source: str) -> DataFrame:
     two headers for a field counts. An empty cell is null. Header texts, cells
     and dates are normalized in one pass over the joined cells.
     """
-    rows = pages.select("source_url", "source_page", "fetched_at", F.explode(parse_table("html")).alias("r")).select("source_url", "source_page", "fetched_at", "r.*")
-    # one Python visit for all of a row's text: unit separators keep the cells apart
     sep = "\u001f"
-    rows = rows.withColumn("cells", F.transform(F.split(nfkc(F.array_join("cells", sep)), sep), fold)).withColumn("header", F.split(nfkc(F.array_join("header", sep)), sep))
+    read = pages.select(F.col("source_url").cast("string").alias("source_url"), F.col("source_page").cast("int").alias("source_page"), F.col("fetched_at").cast("timestamp").alias("fetched_at"), "html")
+    read = read.mapInArrow(_tables, _TABLES).withColumn("header", F.split(nfkc(F.array_join("header", sep)), sep))
     keys = F.transform(F.transform("header", lambda h: F.lower(fold(h))), lambda h: F.coalesce(_key(h), F.lit("")))
-    rows = rows.withColumn("keys", keys).withColumn("shift", F.greatest(F.lit(0), F.size("cells") - F.size("header")))
+    rows = read.withColumn("keys", keys).select("source_url", "source_page", "fetched_at", "keys", F.size("header").alias("headers"), F.explode("rows").alias("r")).select("*", "r.*")
+    # one Python visit for all of a row's text: unit separators keep the cells apart
+    rows = rows.withColumn("cells", F.transform(F.split(nfkc(F.array_join("cells", sep)), sep), fold)).withColumn("shift", F.greatest(F.lit(0), F.size("cells") - F.col("headers")))
     place = {key: F.size("keys") - F.array_position(F.reverse("keys"), F.lit(key)) for key, _ in HEADERS}
 
     def cell(key: str) -> Column:

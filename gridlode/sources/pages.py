@@ -3,38 +3,44 @@
 from __future__ import annotations
 
 import datetime
+import http.client
 import time
-import urllib.error
-import urllib.request
 from collections.abc import Callable, Iterator
+from urllib.request import urlopen
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from gridlode.functions.schemas import PARSED
+from gridlode.sources.files import written
 from gridlode.sources.html import last_page, page_url, table_records
 
 TIMEOUT, RETRIES, PAUSE = 15.0, 2, 0.25
 
 
+FAILURES = (OSError, http.client.HTTPException)  # a cut transfer is of the second kind alone
+
+
 class CollectError(RuntimeError):
-    def __init__(self, page: int, cause: str) -> None:
+    """A page that could not be fetched, with the records of the pages before it."""
+
+    def __init__(self, page: int, cause: str, partial: DataFrame | None) -> None:
         super().__init__(f"page {page}: {cause}")
-        self.page = page
+        self.page, self.partial = page, partial
 
 
 def fetch(url: str, timeout: float = TIMEOUT, retries: int = RETRIES, get: Callable | None = None) -> str:
-    """The page's text; any failure, client errors too, is tried again after a growing pause."""
+    """The page's text; any failure of the request, client errors too, is tried again after a growing pause."""
 
-    def read() -> str:
-        with urllib.request.urlopen(url, timeout=timeout) as answer:
+    def read(address: str) -> str:
+        with urlopen(address, timeout=timeout) as answer:
             return answer.read().decode(answer.headers.get_content_charset() or "utf-8", "replace")
 
     for attempt in range(retries + 1):
         try:
-            return (get or (lambda _: read()))(url)
-        except (OSError, urllib.error.URLError):
+            return (get or read)(url)
+        except FAILURES:
             if attempt == retries:
                 raise
             time.sleep(PAUSE * (attempt + 1))
@@ -68,25 +74,31 @@ class PageReader(DataSourceReader):
         url, error, html = page_url(self.base, partition.value), None, None
         try:
             html = fetch(url, self.timeout, self.retries)
-        except OSError as e:
+        except FAILURES as e:
             if not self.lenient:
                 raise
-            error = str(e)
+            error = str(e) or type(e).__name__
         yield partition.value, url, datetime.datetime.now(datetime.timezone.utc), html, error
 
 
 def scan(spark: SparkSession, base_url: str, start_page: int = 1, end_page: int | None = None, on_error: str = "fail") -> DataFrame:
-    """Pages of a registry. Without an end, the first page that is fetched tells the last one."""
+    """Pages of a registry. Without an end, the first page tells the last one; it is fetched once."""
     spark.dataSource.register(RegistryPages)
     read = lambda first, last: spark.read.format("registry_pages").options(base_url=base_url, start_page=first, end_page=last, on_error=on_error).load()
-    if end_page is None:
-        html = fetch(page_url(base_url, start_page))
-        end_page = spark.createDataFrame([(html,)], "html string").select(last_page(F.col("html"), start_page)).first()[0]
-    return read(start_page, max(start_page, end_page))
+    if end_page is not None:
+        return read(start_page, end_page)
+    first = spark.createDataFrame(list(PageReader({"base_url": base_url, "start_page": start_page, "end_page": start_page, "on_error": on_error}).read(InputPartition(start_page))), RegistryPages({}).schema())
+    last = first.select(last_page(F.coalesce("html", F.lit("")), start_page)).first()[0]
+    return first.unionByName(read(start_page + 1, last)) if last > start_page else first
 
 
 def collect_pages(spark: SparkSession, base_url: str, source: str, start_page: int = 1, end_page: int | None = None) -> DataFrame:
-    return table_records(scan(spark, base_url, start_page, end_page), source)
+    """Records of a registry, in the order of its pages. A page that can't be fetched ends the scan with a CollectError that holds the records before it."""
+    pages_ = written(scan(spark, base_url, start_page, end_page, on_error="row"))
+    failed = pages_.where("error is not null").select("source_page", "error").orderBy("source_page").first()
+    if failed is None:
+        return table_records(pages_, source)
+    raise CollectError(failed["source_page"], failed["error"], table_records(pages_.where(F.col("source_page") < failed["source_page"]), source))
 
 
 def saved_pages(spark: SparkSession, path: str, base_url: str = "") -> DataFrame:
@@ -96,6 +108,27 @@ def saved_pages(spark: SparkSession, path: str, base_url: str = "") -> DataFrame
     return text.select(page.alias("source_page"), F.concat(F.lit(base_url), "_file").alias("source_url"), F.current_timestamp().alias("fetched_at"), F.col("value").alias("html"))
 
 
+def _first_character(spark: SparkSession, path: str) -> str:
+    """The first character of a file, or of a folder's first file, that is no white space."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.getFileStatus(at).isDirectory():
+        at = min((f.getPath() for f in files.listStatus(at) if f.getPath().getName()[0] not in "_."), key=str)
+    opened = files.open(at)
+    try:
+        while (c := opened.read()) >= 0:
+            if chr(c) not in " \t\r\n\ufeff":
+                return chr(c)
+        return ""
+    finally:
+        opened.close()
+
+
 def parsed_json(spark: SparkSession, path: str) -> DataFrame:
-    """Parsed records from a JSON array of objects; unknown fields are left out."""
+    """Parsed records from a JSON array of objects; unknown fields are left out.
+
+    A text that is no list is a ValueError at once, an element that is no object an error where it is read.
+    """
+    if _first_character(spark, path) != "[":
+        raise ValueError("the file must hold a list of objects")
     return spark.read.schema(PARSED).option("multiLine", True).option("mode", "FAILFAST").json(path)

@@ -9,12 +9,33 @@ seen only if the run log calls the run a success.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from gridlode.functions.schemas import METRICS, PARSED, RAW
+
 RUNS = "id long, source string, status string, started_at timestamp, finished_at timestamp, counts map<string,long>, error string"
 
+_SEEN = "first_seen_at timestamp, last_seen_at timestamp"
+#: Columns of each table, and the column that parts it.
+TABLES = {
+    "pipeline_runs": (RUNS, None),
+    "tu_raw": (f"record_key string, {RAW}, {_SEEN}", None),
+    "tu_parsed": (f"record_key string, {PARSED}", None),
+    "tu_row_versions": (f"row_fingerprint string, logical_tu_key string, {RAW}, {_SEEN}", None),
+    "tu_observations": ("observation_key string, row_fingerprint string, source_page int, source_row_index int, fetched_at timestamp, run_id long", "run_id"),
+    "tu_snapshot_resolution": (
+        "logical_tu_key string, status string, representative_fingerprint string, observation_count long, row_version_count long, material_signature_count long, "
+        "conflict_fields array<string>, ambiguous_capacity_min_kw double, ambiguous_capacity_max_kw double, run_id long",
+        "run_id",
+    ),
+    "tu_canonical_parsed": (f"logical_tu_key string, row_fingerprint string, {PARSED}, run_id long", "run_id"),
+    "grid_nodes": (f"canonical_node_id string, object_type string, number string, name string, voltage_levels_kv array<double>, {_SEEN}", None),
+    "node_metrics": ("canonical_node_id string, " + ", ".join(f"{c} {'int' if c.endswith(('_count', '_pressure')) else 'double'}" for c in METRICS) + ", snapshot_date date", "snapshot_date"),
+}
+
 RULES = {
     "replace": lambda old, new: new,
     "keep_old": lambda old, new: old,
@@ -100,10 +121,16 @@ class Store:
             self._files.delete(self._path(f"{folder}/{old}"), True)
 
     def upsert(self, table: str, new: DataFrame, key: list[str], rules: dict[str, str] | None = None) -> int:
-        """new has a row for each key. Returns how many rows it had."""
-        old = self.read(table)
+        """new has a row for each key. Returns how many rows it had, counted as they are written."""
+        old, seen = self.read(table), Observation()
+        new = new.observe(seen, F.count("*").alias("n"))
         self.replace(table, new if old is None else merged(old, new, key, rules))
-        return new.count()
+        return seen.get["n"]
+
+    def read_parts(self, table: str) -> DataFrame:
+        """All parts of a table that is upserted part by part (as table/name=value); parts hold their own value."""
+        names = sorted(x.getPath().getName() for x in self._files.listStatus(self._path(f"{self.path}/{table}")))
+        return reduce(DataFrame.unionByName, (self.read(f"{table}/{name}") for name in names))
 
     def write_run(self, table: str, run_id: int, df: DataFrame) -> None:
         """A run's part of a table; written again, it is replaced."""
@@ -145,16 +172,18 @@ class Store:
         self.replace("pipeline_runs", done.coalesce(1))
 
 
-CURRENT_VIEW = """
-SELECT m.* FROM {metrics} m JOIN {runs} r ON r.id = m.run_id
-WHERE r.status = 'success'
-  AND r.id = (SELECT max(x.id) FROM {runs} x WHERE x.source = r.source AND x.status = 'success')
-"""
-
-
 def current_view(metrics: DataFrame, runs: DataFrame) -> DataFrame:
     """Metrics of the latest successful run of each source."""
-    return metrics.sparkSession.sql(CURRENT_VIEW, metrics=metrics, runs=runs)
+    latest = runs.where(F.col("status") == "success").groupBy("source").agg(F.max("id").alias("run_id")).select("run_id")
+    return metrics.join(F.broadcast(latest), "run_id", "left_semi")  # a row for each source
+
+
+def create_tables(spark: SparkSession, path: str, database: str = "default") -> list[str]:
+    """The registry's tables in the session's catalogue, over the folders of a store; tables that are there stay. Returns their names."""
+    for name, (columns, partition) in TABLES.items():
+        by = f" PARTITIONED BY ({partition})" if partition else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet{by} LOCATION '{path.rstrip('/')}/_tables/{name}'")
+    return list(TABLES)
 
 
 def violations(resolutions: DataFrame, runs: DataFrame) -> DataFrame:
