@@ -14,6 +14,7 @@ from gridlode.operators import metrics, quality
 from gridlode.operators.points import parse_records
 from gridlode.plans import update
 from gridlode.sources import export, pages
+from gridlode.sources.files import written
 from gridlode.sources.html import table_records
 from gridlode.sources.store import Store
 
@@ -24,7 +25,7 @@ def arguments() -> argparse.ArgumentParser:
     for name, options in {
         "collect": {"--base-url": {"required": True}, "--source": {"default": "registry"}, "--start-page": {"type": int, "default": 1}, "--end-page": {"type": int}, "--output-dir": {"default": "data"}},
         "aggregate": {"--input": {"required": True}, "--output": {"required": True}, "--as-of": {"type": datetime.date.fromisoformat}},
-        "quality": {"--store": {}, "--output-dir": {"default": "data"}, "--examples": {"type": int, "default": 5}, "--patterns": {"type": int, "default": 30}, "--top": {"type": int, "default": 10}},
+        "quality": {"--store": {}, "--output-dir": {"default": "data"}, "--examples": {"type": int, "default": 5}, "--patterns": {"type": int, "default": 30}, "--top": {"type": int, "default": 10}, "--run-id": {"type": int}},
         "update": {"--base-url": {}, "--input": {}, "--source": {"default": "registry"}, "--store": {}, "--as-of": {"type": datetime.date.fromisoformat}},
     }.items():
         command = commands.add_parser(name)
@@ -43,17 +44,23 @@ def main(argv: list[str] | None = None) -> int:
 
 
 def collect(spark: SparkSession, args) -> int:
-    scanned = pages.scan(spark, args.base_url, args.start_page, args.end_page, on_error="row").persist()
-    for failed in scanned.where("error is not null").orderBy("source_page").collect():
-        print(f"failed page {failed['source_page']}: {failed['error']}")
-    raw = table_records(scanned.where("error is null"), args.source).persist()
-    parsed = parse_records(raw)
-    export.write_json(raw.orderBy("source_page", "source_row_index"), os.path.join(args.output_dir, "raw.json"))
-    export.write_json(parsed, os.path.join(args.output_dir, "parsed.json"))
-    export.write_csv(parsed, os.path.join(args.output_dir, "parsed.csv"))
+    """Pages to files. If a page fails, what came before it is written, and the exit code is 1."""
+    failed = None
+    try:
+        raw = pages.collect_pages(spark, args.base_url, args.source, args.start_page, args.end_page)
+    except pages.CollectError as e:
+        failed, raw = e, e.partial
+    raw = written(raw)
+    parsed = written(parse_records(raw))
+    by_place = ("source_page", "source_row_index")
+    export.write_json(raw.orderBy(*by_place), os.path.join(args.output_dir, "raw.json"))
+    export.write_json(parsed.orderBy(*by_place).drop("source_row_index"), os.path.join(args.output_dir, "parsed.json"))
+    export.write_csv(parsed.orderBy(*by_place).drop("source_row_index"), os.path.join(args.output_dir, "parsed.csv"))
     counts = parsed.agg(F.count("*"), F.count("canonical_node_id"), F.count_if("needs_review")).first()
     print(f"raw={raw.count()} parsed={counts[0]} nodes={counts[1]} review={counts[2]}")
-    return 0
+    if failed is not None:
+        print(f"failed: {failed}", file=sys.stderr)
+    return int(failed is not None)
 
 
 def aggregate(spark: SparkSession, args) -> int:
@@ -69,11 +76,13 @@ def aggregate(spark: SparkSession, args) -> int:
 
 
 def report(spark: SparkSession, args) -> int:
-    rows = update.quality_rows_v1(Store(spark, args.store))
+    """The quality of all legacy records; with a run's number, that of its canonical records."""
+    store = Store(spark, args.store)
+    rows = update.quality_rows_v1(store) if args.run_id is None else update.quality_rows_v2(store, args.run_id)
     found = quality.report(rows, args.examples, args.patterns)
     export.write_report(found, os.path.join(args.output_dir, "quality.json"))
     export.write_review_csv(rows, os.path.join(args.output_dir, "review.csv"))
-    print(quality.render(found, args.top))
+    print(quality.render(found, args.top, "QUALITY" if args.run_id is None else "QUALITY_V2"))
     return 0
 
 

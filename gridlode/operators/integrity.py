@@ -34,7 +34,9 @@ def audit(ided: DataFrame) -> DataFrame:
 
 def collision_groups(ided: DataFrame, top: int | None = 20) -> DataFrame:
     """Legacy keys that several observations share, the largest first."""
-    versions = ided.groupBy("record_key", "row_fingerprint", *SOURCE_FIELDS).agg(F.count("*").alias("rows"))
+    # few keys are shared; only their rows go on
+    shared = ided.groupBy("record_key").agg(F.count("*").alias("n")).where("n > 1").select("record_key")
+    versions = ided.join(shared, "record_key", "left_semi").groupBy("record_key", "row_fingerprint", *SOURCE_FIELDS).agg(F.count("*").alias("rows"))
     several = [(F.min(F.struct(F.col(c).isNull(), c)) != F.max(F.struct(F.col(c).isNull(), c))).alias(f"_{c}") for c in SOURCE_FIELDS]
     groups = versions.groupBy(F.col("record_key").alias("legacy_record_key")).agg(
         F.sum("rows").alias("observation_count"),
@@ -42,7 +44,7 @@ def collision_groups(ided: DataFrame, top: int | None = 20) -> DataFrame:
         F.array_sort(F.collect_set(filled(F.col("tu_number")))).alias("tu_numbers"),
         *several,
     )
-    groups = groups.where("observation_count > 1").select(
+    groups = groups.select(
         "legacy_record_key", "observation_count", "distinct_row_versions", "tu_numbers", F.array_compact(F.array(*(F.when(F.col(f"_{c}"), c) for c in SOURCE_FIELDS))).alias("differing_fields")
     )
     if top is None:
@@ -50,10 +52,16 @@ def collision_groups(ided: DataFrame, top: int | None = 20) -> DataFrame:
     return groups.orderBy(F.desc("observation_count"), F.desc("distinct_row_versions"), "legacy_record_key").limit(top)
 
 
+# Labels and line forms of the console report.
+_LABELS = (
+    ("fetched", "fetched_rows"), ("observations", None), ("row_versions", "unique_row_versions"), ("logical_tus", "unique_logical_tus"),
+    ("legacy_unique", "legacy_unique_records"), ("legacy_loss", "legacy_collision_loss"), ("duplicates", "duplicate_observations"), ("multi_version_tus", "logical_tus_with_multiple_versions"),
+)
+
+
 def render(found: dict, observations: int, groups: list) -> str:
     """The console lines of an audit row and its collision groups."""
-    names = (("fetched", "fetched_rows"), ("observations", None), ("row_versions", "unique_row_versions"), ("logical_tus", "unique_logical_tus"), ("legacy_unique", "legacy_unique_records"), ("legacy_loss", "legacy_collision_loss"), ("duplicates", "duplicate_observations"), ("multi_version_tus", "logical_tus_with_multiple_versions"))
-    lines = ["INTEGRITY " + " ".join(f"{n}={observations if c is None else found[c]}" for n, c in names)]
+    lines = ["INTEGRITY " + " ".join(f"{n}={observations if c is None else found[c]}" for n, c in _LABELS)]
     if groups:
         lines.append("LEGACY COLLISIONS")
     for g in groups[:20]:

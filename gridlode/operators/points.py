@@ -7,11 +7,17 @@ choose the parent, so only the chosen stretch is read further.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
-from gridlode.functions.schemas import PARSED_FIELDS
+from gridlode.functions.schemas import PARSED_FIELDS, POINT, POINT_FIELDS
 from gridlode.functions.text import LETTER, activity, filled, normalize, slug_stable
+from gridlode.functions.values import ascii_digits
 
 # Parent tokens by rank of their type, and connection tokens.
 PARENTS = (("ПС", "PS", 0), ("ЦРП", "CRP", 1), ("РП", "RP", 2), ("КТПП", "KTP", 3), ("СКТП", "KTP", 3), ("КТП", "KTP", 3), ("ЗТП", "ZTP", 4), ("ЩТП", "TP", 5), ("ТП", "TP", 5))
@@ -71,10 +77,10 @@ def _fields(text: Column, parents: Column, code: Column, number: Column, name: C
     flags = F.when(none, F.array(F.lit("unknown_object_type"))).otherwise(
         F.array_compact(F.array(F.when(many, "multiple_parent_candidates"), F.when(number.isNull(), "missing_parent_identifier")))
     )
-    levels = F.transform(F.split(volts, "/"), lambda v: F.trim(v).cast("double"))
+    levels = F.transform(F.split(ascii_digits(volts), "/"), lambda v: F.trim(v).cast("double"))
     return F.struct(
         connection.alias("connection_object_type"),
-        voltage.cast("double").alias("connection_voltage_kv"),
+        ascii_digits(voltage).cast("double").alias("connection_voltage_kv"),
         F.lit(None).cast("string").alias("connection_object_number"),
         F.lit(None).cast("string").alias("connection_object_name"),
         feeder.alias("feeder_id"),
@@ -129,22 +135,42 @@ def published_voltage(x: Column) -> Column:
 
 
 def parse_records(raw: DataFrame) -> DataFrame:
-    """Raw records to parsed ones; each different text is parsed once and joined back.
+    """Raw records to parsed ones, in one narrow pass: no text is gathered, however often it occurs."""
+    text = F.coalesce("connection_point_raw", F.lit(""))
+    found = parse_points(raw.withColumn("_point", text), "_point").drop("_point")
+    return _finished(found.withColumn("parse_error", F.lit(None).cast("string")))
+
+
+def parse_records_with(raw: DataFrame, parse: Callable[[str], dict]) -> DataFrame:
+    """Raw records parsed by a Python function of the text, which gives the point's fields by name.
 
-    The parsed texts are kept: filters on parsed fields would otherwise move
-    below the distinct texts and parse every row again.
+    A record on which it fails is kept with the error's text, without a node and for review.
     """
-    texts = parse_points(raw.select(F.coalesce("connection_point_raw", F.lit("")).alias("point_text_")).distinct(), "point_text_").persist()
-    joined = raw.withColumn("point_text_", F.coalesce("connection_point_raw", F.lit(""))).join(texts, "point_text_").drop("point_text_")
-    return _finished(joined)
+    schema = StructType([*raw.schema.fields, *StructType.fromDDL(f"{POINT}, parse_error string").fields])
+    kinds = [to_arrow_type(f.dataType) for f in schema.fields[len(raw.columns) :]]
+    at = raw.columns.index("connection_point_raw")
+
+    def one(text: str | None) -> dict:
+        try:
+            return dict(parse(text or "")) | {"parse_error": None}
+        except Exception as e:
+            return {"confidence": 0.0, "needs_review": True, "flags": ["parse_error"], "parse_error": str(e), "parent_voltage_levels_kv": []}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = [one(t) for t in batch.column(at).to_pylist()]
+            more = [pa.array([g.get(n) for g in got], kind) for n, kind in zip((*POINT_FIELDS, "parse_error"), kinds)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=schema.names)
+
+    return _finished(raw.mapInArrow(run, schema))
 
 
 def _finished(df: DataFrame) -> DataFrame:
     apart = F.abs(published_voltage(F.col("voltage_raw")) - F.col("connection_voltage_kv")) > 1e-9
-    df = df.withColumn("_apart", F.coalesce(apart, F.lit(False)))
+    df = df.withColumn("_apart", F.coalesce(apart, F.lit(False)) & F.col("parse_error").isNull())
     df = df.withColumn("flags", F.when(F.col("_apart"), F.array_append("flags", F.lit("conflicting_voltage_context"))).otherwise(F.col("flags")))
     df = df.withColumn("confidence", F.when(F.col("_apart"), F.least("confidence", F.lit(0.60))).otherwise(F.col("confidence")))
     df = df.withColumn("needs_review", F.col("needs_review") | F.col("_apart")).drop("_apart")
-    df = df.withColumn("activity_type", activity(F.col("installation_type"))).withColumn("parse_error", F.lit(None).cast("string"))
+    df = df.withColumn("activity_type", activity(F.col("installation_type")))
     extra = [c for c in df.columns if c not in PARSED_FIELDS]
     return df.select(*PARSED_FIELDS, *extra)

@@ -2,41 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlode.functions.schemas import MATERIAL_FIELDS
 from gridlode.operators.identity import order
 from gridlode.operators.points import parse_records
-
-
-def distinct_values(name: str) -> Column:
-    """Different values, null being one of them."""
-    return F.count_distinct(name) + F.max(F.col(name).isNull()).cast("int")
+from gridlode.sources.files import written
 
 
 def versions(ided: DataFrame) -> DataFrame:
-    """The first observation of each fingerprint."""
+    """The first observation of each fingerprint, with the number of all."""
     columns = F.struct(*(c for c in ided.columns if c not in ("logical_tu_key", "row_fingerprint")))
     first = ided.groupBy("logical_tu_key", "row_fingerprint").agg(F.count("*").alias("observations"), F.min_by(columns, order()).alias("r"))
     return first.select("logical_tu_key", "row_fingerprint", "observations", "r.*")
 
 
-def resolve(ided: DataFrame) -> DataFrame:
+def _counted(ided: DataFrame) -> DataFrame:
+    """versions() with the material fields only, which a fingerprint settles: no row is carried along."""
+    return ided.groupBy("logical_tu_key", "row_fingerprint", *MATERIAL_FIELDS).agg(F.count("*").alias("observations"))
+
+
+def resolve(found: DataFrame) -> DataFrame:
     """A row for each logical record: counts, status, conflicts, range and representative.
 
-    Observations are first summed up by version, which a hot record has few of.
+    `found` are observations or versions(). They are summed up by version and
+    by material signature first, which a hot record has few of.
     """
-    v = versions(ided)
-    material = F.struct(*MATERIAL_FIELDS)
-    by_key = v.groupBy("logical_tu_key").agg(
+    v = found if "observations" in found.columns else _counted(found)
+    signatures = v.groupBy("logical_tu_key", *MATERIAL_FIELDS).agg(F.sum("observations").alias("observations"), F.count("*").alias("versions"), F.min("row_fingerprint").alias("first"))
+    differs = lambda c: F.coalesce(F.min(c) != F.max(c), F.lit(False)) | ((F.count(c) > 0) & (F.count(c) < F.count("*")))
+    by_key = signatures.groupBy("logical_tu_key").agg(
         F.sum("observations").alias("observation_count"),
-        F.count("*").alias("row_version_count"),
-        F.count_distinct(material).alias("material_signature_count"),
-        F.min("row_fingerprint").alias("first"),
+        F.sum("versions").alias("row_version_count"),
+        F.count("*").alias("material_signature_count"),
+        F.min("first").alias("first"),
         F.min("requested_power_kw").alias("low"),
         F.max("requested_power_kw").alias("high"),
-        *((F.min(F.struct(F.col(c).isNull(), c)) != F.max(F.struct(F.col(c).isNull(), c))).alias(f"_{c}") for c in MATERIAL_FIELDS),
+        *(differs(c).alias(f"_{c}") for c in MATERIAL_FIELDS),
     )
     clear = F.col("material_signature_count") == 1
     conflicts = F.array_compact(F.array(*(F.when(F.col(f"_{c}"), c) for c in MATERIAL_FIELDS)))
@@ -53,21 +56,41 @@ def resolve(ided: DataFrame) -> DataFrame:
     )
 
 
-def representatives(ided: DataFrame, resolved: DataFrame) -> DataFrame:
-    """The record that stands for each canonical logical record."""
+def representatives(found: DataFrame, resolved: DataFrame) -> DataFrame:
+    """The version that stands for each canonical logical record."""
     chosen = resolved.where(F.col("status") == "canonical").select("logical_tu_key", F.col("representative_fingerprint").alias("row_fingerprint"))
-    return versions(ided).drop("observations").join(chosen, ["logical_tu_key", "row_fingerprint"])
+    return found.drop("observations").join(chosen, ["logical_tu_key", "row_fingerprint"])
 
 
-def parse_canonical(ided: DataFrame, resolved: DataFrame) -> DataFrame:
-    """Canonical records parsed once, with key and fingerprint."""
-    return parse_records(representatives(ided, resolved))
+def parse_canonical(found: DataFrame, resolved: DataFrame) -> DataFrame:
+    """Canonical records of versions() parsed once, with key and fingerprint, by key."""
+    return parse_records(representatives(found, resolved)).orderBy("logical_tu_key")
 
 
-def ambiguous_variants(ided: DataFrame, resolved: DataFrame) -> DataFrame:
-    """Of each material signature of the ambiguous records, the version of the smallest fingerprint, parsed."""
+def ambiguous_variants(found: DataFrame, resolved: DataFrame) -> DataFrame:
+    """Of each material signature of the ambiguous records, the version of the smallest fingerprint, parsed: the nodes' evidence, by key."""
     keys = resolved.where(F.col("status") == "ambiguous").select("logical_tu_key")
-    v = versions(ided).drop("observations").join(keys, "logical_tu_key")
+    v = found.drop("observations").join(keys, "logical_tu_key")
     rest = F.struct(*(c for c in v.columns if c not in ("logical_tu_key", *MATERIAL_FIELDS)))
     one = v.groupBy("logical_tu_key", *MATERIAL_FIELDS).agg(F.min_by(rest, F.col("row_fingerprint")).alias("r"))
-    return parse_records(one.select("logical_tu_key", *MATERIAL_FIELDS, "r.*"))
+    return parse_records(one.select("logical_tu_key", *MATERIAL_FIELDS, "r.*")).orderBy("logical_tu_key", "row_fingerprint")
+
+
+class Snapshot:
+    """One snapshot's versions and their resolution, each computed once and written."""
+
+    def __init__(self, ided: DataFrame) -> None:
+        self.versions = written(versions(ided))
+        self.resolved = written(resolve(self.versions))
+
+    def canonical(self) -> DataFrame:
+        return parse_canonical(self.versions, self.resolved)
+
+    def variants(self) -> DataFrame:
+        return ambiguous_variants(self.versions, self.resolved)
+
+    def as_of(self) -> DataFrame:
+        """default_as_of() of the canonical records, without parsing them."""
+        from gridlode.operators.metrics import default_as_of
+
+        return default_as_of(representatives(self.versions.select("logical_tu_key", "row_fingerprint", "tu_date", "fetched_at"), self.resolved))

@@ -63,6 +63,63 @@ def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_records(with_identities(records(spark, sf_dir)))
 
 
+def observed(spark: SparkSession, sf_dir: str, first_run: bool = False) -> DataFrame:
+    """Records of a small registry, one for each customer, three of which share a number: the second has another
+    contract and page, the third is a copy of the first or has more power. In the first run the third is missing."""
+    key, n, j = F.col("c_custkey"), F.floor(F.col("c_custkey") / 3).cast("bigint"), F.col("c_custkey") % 3
+    text = lambda *parts: F.concat(*(p.cast("string") if not isinstance(p, str) else F.lit(p) for p in parts))
+    node = n % 97
+    kind = n % 5
+    point = (
+        F.when(kind == 0, text("РУ-10 кВ ПС 35/10 кВ №", node, " Вузол")).when(kind == 1, text("ПЛ-0,4 кВ КТП-", node, "-1 Л-2"))
+        .when(kind == 2, text("КЛ-0,4 кВ ЗТП-", node, " 10/0,4 кВ")).when(kind == 3, text("опора ", node, " біля дороги")).otherwise(text("ПС №", node, " Вузол КТП-", node))
+    )
+    columns = {
+        "source": F.lit("reg"),
+        "source_url": F.lit("http://registry.example/"),
+        "source_page": key,
+        "source_row_index": F.lit(1),
+        "fetched_at": F.lit("2001-12-01 00:00:00" if first_run else "2001-12-31 00:00:00"),
+        "tu_number": text("T", n),
+        "tu_date": text("2001-", F.lpad((n % 12 + 1).cast("string"), 2, "0"), "-15"),
+        "installation_type": F.element_at(F.array(*map(F.lit, ("генерація", "споживання", "УЗЕ", "інше"))), (n % 4 + 1).cast("int")),
+        "connection_point_raw": point,
+        "voltage_raw": F.when(kind.isin(1, 2), "0,4").otherwise("10"),
+        "requested_power_kw": F.when(n % 9 != 0, (n % 50) * 10.25 + F.when((j == 2) & (n % 2 == 0), 100.125).otherwise(0.0)),
+        "connection_type": F.lit("c"),
+        "rem": F.lit("r"),
+        "contract_number": F.when(j == 1, text("D-", n, "-x")).otherwise(text("D-", n)),
+        "contract_date": F.lit(None),
+        "commissioning_stages": F.lit(None),
+        "payment_date": F.lit(None),
+    }
+    kinds = dict(c.split() for c in RAW.split(", "))
+    rows = table(spark, sf_dir, "customer")
+    return (rows.where("c_custkey % 3 < 2") if first_run else rows).select(*(columns[c].cast(k).alias(c) for c, k in kinds.items()))
+
+
+#: The small registry in SQL, from the base columns alone.
+OBSERVED_SQL = """
+sb AS (SELECT c_custkey AS source_page, c_custkey // 3 AS n, c_custkey % 3 AS j FROM customer),
+sr AS (SELECT *, n % 5 AS kind, n % 97 AS node, 'reg' AS source, 1 AS source_row_index, 'T' || n AS tu_number, '2001-' || lpad(CAST(n % 12 + 1 AS VARCHAR), 2, '0') || '-15' AS tu_date,
+  ['генерація', 'споживання', 'УЗЕ', 'інше'][n % 4 + 1] AS installation_type, ['generation', 'consumption', 'bess', 'unknown'][n % 4 + 1] AS activity_type,
+  CASE WHEN n % 9 <> 0 THEN (n % 50) * 10.25::DOUBLE + CASE WHEN j = 2 AND n % 2 = 0 THEN 100.125::DOUBLE ELSE 0 END END AS requested_power_kw,
+  'D-' || n || CASE WHEN j = 1 THEN '-x' ELSE '' END AS contract_number FROM sb),
+st AS (SELECT *, CASE WHEN kind IN (1, 2) THEN '0,4' ELSE '10' END AS voltage_raw, coalesce(CAST(requested_power_kw AS VARCHAR), 'null') AS power_json,
+  CASE kind WHEN 0 THEN 'РУ-10 кВ ПС 35/10 кВ №' || node || ' Вузол' WHEN 1 THEN 'ПЛ-0,4 кВ КТП-' || node || '-1 Л-2' WHEN 2 THEN 'КЛ-0,4 кВ ЗТП-' || node || ' 10/0,4 кВ'
+    WHEN 3 THEN 'опора ' || node || ' біля дороги' ELSE 'ПС №' || node || ' Вузол КТП-' || node END AS connection_point_raw,
+  CASE kind WHEN 0 THEN 'PS-' || node || '-VUZOL' WHEN 1 THEN 'KTP-' || node || '-1' WHEN 2 THEN 'ZTP-' || node WHEN 4 THEN 'PS-' || node || '-VUZOL' END AS canonical_node_id,
+  CASE kind WHEN 3 THEN 0.0 WHEN 4 THEN 0.6 WHEN 1 THEN 0.9 ELSE 1.0 END::DOUBLE AS confidence, kind > 2 AS needs_review,
+  CASE kind WHEN 3 THEN 'unknown_object_type' WHEN 4 THEN 'multiple_parent_candidates' ELSE '' END AS flags,
+  CASE kind WHEN 0 THEN 'PS' WHEN 1 THEN 'KTP' WHEN 2 THEN 'ZTP' WHEN 4 THEN 'PS' END AS parent_object_type FROM sr),
+so AS (SELECT *,
+  sha256(concat_ws(chr(31), source, tu_number, tu_date, connection_point_raw, coalesce(printf('%.12g', requested_power_kw), ''))) AS record_key,
+  sha256('["reg","' || tu_number || '","' || tu_date || '","' || contract_number || '",null,"' || installation_type || '",null,"' || connection_point_raw || '","' || voltage_raw || '",'
+    || power_json || ',"c","r",null]') AS row_fingerprint,
+  sha256('["reg","' || tu_number || '"]') AS logical_tu_key,
+  sha256('["reg",2,' || source_page || ',1]') AS observation_key FROM st)
+"""
+
 #: The same records in SQL, from the base columns alone: no text is parsed.
 SQL = """
 base AS (SELECT *, l_linenumber % 5 AS kind, l_partkey % 7 = 0 AND l_linenumber % 5 < 3 AS conflict,

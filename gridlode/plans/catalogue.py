@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,22 +13,23 @@ from gridlode.functions import values as V
 from gridlode.functions.schemas import FAMILIES, MATERIAL_FIELDS, SOURCE_FIELDS
 from gridlode.operators import ambiguity, integrity, metrics, quality, snapshot
 from gridlode.operators.identity import observation_key, order, with_identities
-from gridlode.operators.points import parse_points
+from gridlode.operators.points import parse_points, parse_records
 from gridlode.plans import adapter
 from gridlode.plans.adapter import table
 from gridlode.sources import html, store
+from gridlode.sources.files import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(sql: str | None = None, records: bool = True):
-    """Register a function as a query; its SQL starts from the records' common table expressions."""
+def query(sql: str | None = None, records: bool | str = True):
+    """Register a function as a query; its SQL starts from the common table expressions of the records, or of the small registry ("observed")."""
 
     def add(f):
         QUERIES[f.__name__] = f
         if sql is not None:
-            ORACLE[f.__name__] = (f"WITH {adapter.SQL} " if records else "") + sql
+            ORACLE[f.__name__] = (f"WITH {adapter.OBSERVED_SQL if records == 'observed' else adapter.SQL} " if records else "") + sql
         return f
 
     return add
@@ -37,6 +39,10 @@ def _ided(spark, d):
     return with_identities(adapter.records(spark, d))
 
 
+def _observed(spark, d):
+    return with_identities(adapter.observed(spark, d))
+
+
 _MW = "coalesce(requested_power_kw, 0) / 1000"
 _AS_OF = "(SELECT max(d) FROM tu)"
 _mw = lambda keep: f"coalesce(CAST(sum(CASE WHEN {keep} THEN CAST({_MW} AS DECIMAL(28,6)) END) AS DOUBLE), 0)"
@@ -80,7 +86,7 @@ def node_metrics(spark, d):
 
 @query(f", {_NODES}, more AS (SELECT *, {_DERIVED} FROM nodes) SELECT canonical_node_id, generation_mw, load_mw, bess_mw, {_PRESSURE} FROM more")
 def node_pressure(spark, d):
-    nodes = metrics.with_pressure(metrics.node_sums(adapter.parsed(spark, d), metrics.default_as_of(adapter.records(spark, d))))
+    nodes = metrics.with_pressure(written(metrics.node_sums(adapter.parsed(spark, d), metrics.default_as_of(adapter.records(spark, d)))))
     return nodes.select("canonical_node_id", *(f"{f}_mw" for f in FAMILIES), *(f"{f}_pressure" for f in FAMILIES))
 
 
@@ -92,7 +98,7 @@ def node_pressure(spark, d):
 def node_pressure_by_customer(spark, d):
     joined = table(spark, d, "customer").join(table(spark, d, "orders"), F.col("o_custkey") == F.col("c_custkey"))
     sums = joined.groupBy("c_custkey").agg(ambiguity.exact_sum(F.col("o_totalprice")).alias("total"))
-    return metrics.mid_rank(sums, {"total": "pct"}, "c_custkey").select("c_custkey", "total", "pct")
+    return metrics.mid_rank(written(sums), {"total": "pct"}, "c_custkey").select("c_custkey", "total", "pct")
 
 
 @query(
@@ -104,17 +110,18 @@ def agg_stats(spark, d):
     return metrics.stats(rows).crossJoin(metrics.default_as_of(rows).select(F.col("as_of").cast("string")))  # one row each
 
 
+_MONTHS = lambda m: f"CAST(tu_date AS DATE) BETWEEN DATE '2001-09-30' - INTERVAL {m} MONTH AND DATE '2001-09-30'"
+
+
 @query(
-    """SELECT o_orderpriority, count(*) FILTER (o_orderdate >= m - INTERVAL 3 MONTH) AS m3, count(*) FILTER (o_orderdate >= m - INTERVAL 6 MONTH) AS m6,
-    count(*) FILTER (o_orderdate >= m - INTERVAL 12 MONTH) AS m12, count(*) FILTER (o_orderdate >= m - INTERVAL 3 MONTH) / CAST(3 AS DOUBLE) AS velocity
-    FROM (SELECT o_orderpriority, CAST(o_orderdate AS DATE) AS o_orderdate, max(CAST(o_orderdate AS DATE)) OVER () AS m FROM orders) GROUP BY 1""",
-    records=False,
+    f"""SELECT canonical_node_id, {", ".join(f"CAST(count(*) FILTER (n % 4 = 0 AND {_MONTHS(m)}) AS INTEGER) AS generation_tu_{m}m_count" for m in (3, 12))},
+    {", ".join(f"coalesce(CAST(sum(CAST(CASE WHEN n % 4 = 1 AND {_MONTHS(m)} THEN coalesce(requested_power_kw, 0) / 1000 END AS DECIMAL(28,6))) AS DOUBLE), 0) AS load_{m}m_mw" for m in (3, 6, 12))}
+    FROM so WHERE canonical_node_id IS NOT NULL GROUP BY 1""",
+    records="observed",
 )
 def windowed_counts(spark, d):
-    rows = table(spark, d, "orders").select("o_orderpriority", F.to_date("o_orderdate").alias("day"))
-    rows = rows.crossJoin(F.broadcast(rows.agg(F.max("day").alias("m"))))  # one row
-    inside = lambda n: F.count_if(F.col("day").between(F.add_months("m", -n), F.col("m")))
-    return rows.groupBy("o_orderpriority").agg(inside(3).alias("m3"), inside(6).alias("m6"), inside(12).alias("m12"), (inside(3) / 3.0).alias("velocity"))
+    found = metrics.node_sums(parse_records(_observed(spark, d)), datetime.date(2001, 9, 30))
+    return found.select("canonical_node_id", "generation_tu_3m_count", "generation_tu_12m_count", "load_3m_mw", "load_6m_mw", "load_12m_mw")
 
 
 @query(
@@ -189,12 +196,13 @@ def text_normalize(spark, d):
 
 @query(
     r"""SELECT p_partkey, trim(regexp_replace(upper(p_name), '[^A-Z0-9]+', '-', 'g'), '-') AS slug,
-    'SHCHYRETSKA-' || p_partkey || '-YIE' AS native FROM part""",
+    'SHCHYRETSKA-' || p_partkey || '-YIE' AS native, 'STRA-E-' || p_partkey AS odd FROM part""",
     records=False,
 )
 def slugify(spark, d):
     native = F.concat(F.lit("  Щирецька, "), F.col("p_partkey").cast("string"), F.lit(" ыЄ!ъ "))
-    return table(spark, d, "part").select("p_partkey", T.slug(F.col("p_name")).alias("slug"), T.slug(native).alias("native"))
+    odd = F.concat(F.lit("Straße ıё-"), F.col("p_partkey").cast("string"), F.lit("_ñ"))
+    return table(spark, d, "part").select("p_partkey", T.slug(F.col("p_name")).alias("slug"), T.slug(native).alias("native"), T.slug(odd).alias("odd"))
 
 
 @query("SELECT family, count(*) AS n FROM tu GROUP BY 1")
@@ -273,8 +281,7 @@ def metadata_collapse(spark, d):
 
 @query(f", {_RESOLVED} SELECT r.logical_tu_key, r.representative_fingerprint AS row_fingerprint, any_value(t.connection_point_raw) AS point, any_value(t.canonical_node_id) AS node FROM resolved r JOIN tu t ON t.row_fingerprint = r.representative_fingerprint WHERE status = 'canonical' GROUP BY 1, 2")
 def representatives(spark, d):
-    ided = _ided(spark, d)
-    found = snapshot.parse_canonical(ided, snapshot.resolve(ided))
+    found = snapshot.Snapshot(_ided(spark, d)).canonical()
     return found.select("logical_tu_key", "row_fingerprint", F.col("connection_point_raw").alias("point"), F.col("canonical_node_id").alias("node"))
 
 
@@ -285,19 +292,18 @@ _BUCKET = f"CAST(count(*) AS INTEGER) AS ambiguous_tu_count, {_WHOLE('lo')} AS a
 
 
 def _attributed(spark, d):
-    ided = _ided(spark, d)
-    resolved = snapshot.resolve(ided)
-    return ided, resolved, ambiguity.attributed(snapshot.ambiguous_variants(ided, resolved), resolved)
+    snap = snapshot.Snapshot(_ided(spark, d))
+    return snap, ambiguity.attributed(snap.variants(), snap.resolved)
 
 
 @query(f", {_ATTRIBUTED} SELECT node AS canonical_node_id, {_BUCKET} FROM att WHERE node IS NOT NULL GROUP BY 1")
 def ambiguity_by_node(spark, d):
-    return ambiguity.by_node(_attributed(spark, d)[2])
+    return ambiguity.by_node(_attributed(spark, d)[1])
 
 
 @query(f", {_ATTRIBUTED} SELECT {_BUCKET} FROM att WHERE node IS NULL")
 def ambiguity_unassigned(spark, d):
-    return ambiguity.unassigned(_attributed(spark, d)[2])
+    return ambiguity.unassigned(_attributed(spark, d)[1])
 
 
 @query(f", {_ATTRIBUTED} SELECT {_BUCKET} FROM att")
@@ -314,8 +320,8 @@ def ambiguity_overall(spark, d):
     FROM cn FULL OUTER JOIN am ON canonical_node_id = node"""
 )
 def metrics_with_ambiguity(spark, d):
-    ided, resolved, found = _attributed(spark, d)
-    nodes = metrics.node_sums(snapshot.parse_canonical(ided, resolved))
+    snap, found = _attributed(spark, d)
+    nodes = metrics.node_sums(snap.canonical(), snap.as_of())
     both = ambiguity.with_ambiguity(nodes, ambiguity.by_node(found))
     return both.select("canonical_node_id", "generation_mw", "load_tu_count", "ambiguous_tu_count", "ambiguous_capacity_min_mw", "ambiguous_capacity_max_mw")
 
@@ -330,22 +336,22 @@ def integrity_audit(spark, d):
 
 
 _COLLISIONS = f"""SELECT record_key AS legacy_record_key, count(*) AS observation_count, count(DISTINCT row_fingerprint) AS distinct_row_versions,
-  coalesce(array_to_string(list_sort(list(DISTINCT tu_number) FILTER (tu_number <> '')), ','), '') AS tu_numbers, {_VARIES([c for c in SOURCE_FIELDS if c not in ('contract_date', 'commissioning_stages')])} AS differing_fields
-  FROM tu GROUP BY 1 HAVING count(*) > 1"""
+  array_to_string(list_sort(list(DISTINCT tu_number)), ',') AS tu_numbers, {_VARIES(["tu_number", "tu_date", "contract_number", "installation_type", "connection_point_raw", "requested_power_kw"])} AS differing_fields
+  FROM so GROUP BY 1 HAVING count(*) > 1"""
 
 
 def _joined(found):
     return found.withColumn("tu_numbers", F.array_join("tu_numbers", ",")).withColumn("differing_fields", F.array_join("differing_fields", ","))
 
 
-@query(f"{_COLLISIONS} ORDER BY 2 DESC, 3 DESC, 1 LIMIT 20")
+@query(f", c AS ({_COLLISIONS}) SELECT * FROM c ORDER BY 2 DESC, 3 DESC, 1 LIMIT 20", records="observed")
 def collision_groups(spark, d):
-    return _joined(integrity.collision_groups(_ided(spark, d)))
+    return _joined(integrity.collision_groups(_observed(spark, d)))
 
 
-@query(_COLLISIONS)
+@query(_COLLISIONS, records="observed")
 def collision_groups_all(spark, d):
-    return _joined(integrity.collision_groups(_ided(spark, d), None))
+    return _joined(integrity.collision_groups(_observed(spark, d), None))
 
 
 _P = lambda part, whole: f"coalesce(CAST(printf('%.2f', 100.0::DOUBLE * {part} / nullif({whole}, 0)) AS DOUBLE), 0)"
@@ -396,22 +402,8 @@ def best_record_per_node(spark, d):
     return store.best_by_node(adapter.parsed(spark, d), order()).select("canonical_node_id", "record_key", "confidence", "row_fingerprint")
 
 
-@query("SELECT l_orderkey, l_linenumber, o_orderstatus, o_totalprice, l_quantity FROM lineitem JOIN orders ON o_orderkey = l_orderkey", records=False)
-def quality_join_v1(spark, d):
-    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    return lines.join(table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus", "o_totalprice"), "l_orderkey")
-
-
-@query("SELECT l_suppkey AS run_id, l_orderkey AS record_key, l_linenumber, o_custkey FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_suppkey = 7", records=False)
-def quality_join_v2(spark, d):
-    lines = table(spark, d, "lineitem").where("l_suppkey = 7").select(F.col("l_suppkey").alias("run_id"), F.col("l_orderkey").alias("record_key"), "l_linenumber")
-    return lines.join(table(spark, d, "orders").select(F.col("o_orderkey").alias("record_key"), "o_custkey"), "record_key")
-
-
 @query(
-    """WITH runs AS (SELECT event_id AS id, event_type AS source, CASE WHEN event_id % 3 = 0 THEN 'failed' ELSE 'success' END AS status FROM events)
-    SELECT m.event_id AS run_id, m.value FROM events m JOIN runs r ON r.id = m.event_id WHERE r.status = 'success'
-    AND r.id = (SELECT max(x.id) FROM runs x WHERE x.source = r.source AND x.status = 'success')""",
+    """SELECT event_id AS run_id, value FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY event_id DESC) AS age FROM events WHERE event_id % 3 <> 0) WHERE age = 1""",
     records=False,
 )
 def current_view(spark, d):
@@ -470,13 +462,34 @@ def page_discovery(spark, d):
     return table(spark, d, "pages").select("page_id", html.last_page(more).alias("last_page"))
 
 
+_HEADERS = (
+    ("Номер ТУ", "tu_number"), ("Дата  Видачі ТУ", "tu_date"), ("Дата выдачи: дата видачи ТУ", "tu_date"), ("№ Договору (за наявності)", "contract_number"), ("No договору", "contract_number"),
+    ("НОМЕР ДОГОВОРУ", "contract_number"), ("Дата Договору", "contract_date"), ("Тип електроустановки, споживання/генерація", "installation_type"),
+    ("Черги введення потужності за роками", "commissioning_stages"), ("Точка забезпечення потужності (назва ПС, ТП,KТП тощо)", "connection_point_raw"),
+    ("Напруга в точці приєднання", "voltage_raw"), ("Потужність замовлена до приєднання", "requested_power_kw"), ("Тип приєднання", "connection_type"),
+    ("Назва територіальної одиниці ОСР", "rem"), ("Дата надходження коштів від замовника", "payment_date"), ("Примітка", None), ("номер ту, дата договору", "tu_number"),
+)
+
+
 @query(
-    "SELECT * FROM (VALUES (" + "), (".join(f"'{a}', {b}" for a, b in (("Номер ТУ", "'tu_number'"), ("Дата  Видачі ТУ", "'tu_date'"), ("№ Договору (за наявності)", "'contract_number'"), ("Дата Договору", "'contract_date'"), ("Тип приєднання", "'connection_type'"), ("Примітка", "NULL"))) + ")) t(header, field)",
+    "SELECT n_nationkey, header || ' ' || n_name AS header, field FROM nation, (VALUES " + ", ".join(f"('{h}', {repr(f) if f else 'NULL'})" for h, f in _HEADERS) + ") t(header, field)",
     records=False,
 )
 def header_mapping(spark, d):
-    rows = spark.createDataFrame([(h,) for h in ("Номер ТУ", "Дата  Видачі ТУ", "№ Договору (за наявності)", "Дата Договору", "Тип приєднання", "Примітка")], "header string")
-    return rows.select("header", html.header_key(F.col("header")).alias("field"))
+    heads = F.explode(F.array(*(F.lit(h) for h, _ in _HEADERS)))
+    rows = table(spark, d, "nation").select("n_nationkey", "n_name", heads.alias("h")).select("n_nationkey", F.concat("h", F.lit(" "), "n_name").alias("header"))
+    return rows.select("*", html.header_key(F.col("header")).alias("field"))
+
+
+@query(
+    """SELECT l_orderkey, l_linenumber, x, CAST(x AS VARCHAR) AS shortest, printf('%.12g', x) AS general FROM (SELECT l_orderkey, l_linenumber, l_quantity * CAST(CASE l_linenumber
+    WHEN 1 THEN 1e12 WHEN 2 THEN 1e-7 WHEN 3 THEN 24691.357 WHEN 4 THEN 1e16 WHEN 5 THEN 0.0001 WHEN 6 THEN -1e-5 ELSE 0.5 END AS DOUBLE) AS x FROM lineitem)""",
+    records=False,
+)
+def number_text(spark, d):
+    scale = F.element_at(F.array(*map(F.lit, (1e12, 1e-7, 24691.357, 1e16, 0.0001, -1e-5, 0.5))), F.col("l_linenumber").cast("int"))
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_quantity") * scale).alias("x"))
+    return rows.select("*", V.float_text(F.col("x")).alias("shortest"), V.general_text(F.col("x")).alias("general"))
 
 
 @query(

@@ -14,7 +14,7 @@ from gridlode.functions.values import iso_date
 from gridlode.operators import ambiguity, integrity, metrics, quality, snapshot
 from gridlode.operators.identity import observation_key, order, with_identities
 from gridlode.operators.points import parse_records
-from gridlode.sources.store import Store, best_by_node, first_wins, inserted, last_wins
+from gridlode.sources.store import Store, best_by_node, first_wins, last_wins
 
 
 @dataclass
@@ -60,7 +60,7 @@ def run_update(spark: SparkSession, raw: DataFrame, store: Store, source: str, a
 
 
 def _run(raw: DataFrame, store: Store, run_id: int, as_of: datetime.date) -> Summary:
-    spark, s = raw.sparkSession, Summary(run_id, as_of)
+    s = Summary(run_id, as_of)
     # the run's own copy: later steps read it, not the registry, again
     store.write_run("staged", run_id, with_identities(raw))
     ided = store.read_run("staged", run_id)
@@ -70,20 +70,21 @@ def _run(raw: DataFrame, store: Store, run_id: int, as_of: datetime.date) -> Sum
     seen = [F.col("fetched_at").alias("first_seen_at"), F.col("fetched_at").alias("last_seen_at")]
     at_first = first_wins(ided, ["row_fingerprint"], order())
     s.row_version_count = store.upsert("tu_row_versions", at_first.select("*", *seen), ["row_fingerprint"], {"first_seen_at": "keep_old", "last_seen_at": "greatest"})
-    keyed = ided.select(observation_key(F.lit(run_id)).alias("observation_key"), F.lit(run_id).cast("long").alias("run"), "row_fingerprint", "source_page", "source_row_index", "fetched_at")
-    observed = first_wins(keyed, ["observation_key"], order())
-    before = store.read("tu_observations")
-    store.replace("tu_observations", observed if before is None else before.unionByName(inserted(before, observed, ["observation_key"])))
-    s.observation_count = store.read("tu_observations").where(F.col("run") == run_id).count()
+    keyed = ided.select(observation_key(F.lit(run_id)).alias("observation_key"), "row_fingerprint", "source_page", "source_row_index", "fetched_at")
+    # the key holds the run, so a run's observations are a part of their own and no other is touched
+    store.write_run("tu_observations", run_id, first_wins(keyed, ["observation_key"], order()))
+    s.observation_count = store.read_run("tu_observations", run_id).count()
 
-    store.write_run("tu_snapshot_resolution", run_id, snapshot.resolve(ided))
+    snap = snapshot.Snapshot(ided)
+    store.write_run("tu_snapshot_resolution", run_id, snap.resolved)
     resolved = store.read_run("tu_snapshot_resolution", run_id)
     by_status = {r["status"]: (r["n"], r["m"]) for r in resolved.groupBy("status").agg(F.count("*").alias("n"), F.count_if(F.col("row_version_count") > 1).alias("m")).collect()}
     (s.canonical_count, s.metadata_collapsed_count), (s.ambiguous_count, _) = by_status.get("canonical", (0, 0)), by_status.get("ambiguous", (0, 0))
-    store.write_run("tu_canonical_parsed", run_id, snapshot.parse_canonical(ided, resolved))
+    store.write_run("tu_canonical_parsed", run_id, snap.canonical())
     canonical = store.read_run("tu_canonical_parsed", run_id)
 
-    found = ambiguity.attributed(snapshot.ambiguous_variants(ided, resolved), resolved)
+    store.write_run("node_evidence", run_id, snap.variants())
+    found = ambiguity.attributed(store.read_run("node_evidence", run_id), resolved)
     s.unassigned_ambiguous_count = ambiguity.unassigned(found).first()[AMBIGUITY_METRICS[0]]
     _, s.ambiguous_capacity_min_mw, s.ambiguous_capacity_max_mw = ambiguity.overall(resolved).first()
 
@@ -104,7 +105,7 @@ def _run(raw: DataFrame, store: Store, run_id: int, as_of: datetime.date) -> Sum
     rules = {"object_type": "coalesce", "number": "coalesce", "name": "coalesce", "voltage_levels_kv": "filled_array", "first_seen_at": "least", "last_seen_at": "greatest"}
     s.node_count = store.upsert("grid_nodes", best, ["canonical_node_id"], rules)
     day = F.lit(as_of).alias("snapshot_date")
-    store.upsert("node_metrics", nodes_v1.select("canonical_node_id", day, *METRICS), ["canonical_node_id", "snapshot_date"])
+    store.upsert(f"node_metrics/snapshot_date={as_of}", nodes_v1.select("canonical_node_id", day, *METRICS), ["canonical_node_id", "snapshot_date"])
     store.write_run("node_metrics_v2", run_id, nodes_v2.select("canonical_node_id", day, *METRICS, *AMBIGUITY_METRICS))
     s.canonical_node_count = store.read_run("node_metrics_v2", run_id).count()
 
@@ -114,17 +115,21 @@ def _run(raw: DataFrame, store: Store, run_id: int, as_of: datetime.date) -> Sum
     return s
 
 
+QUALITY_FIELDS = ("record_key", "tu_number", "connection_point_raw", "activity_type", "canonical_node_id", "confidence", "needs_review", "flags", "parse_error", "parent_object_type")
+
+
 def quality_rows_v1(store: Store) -> DataFrame:
-    """Legacy records with their raw text."""
+    """Legacy records with their raw text, by key."""
     raw = store.read("tu_raw").select("record_key", "tu_number", "connection_point_raw")
-    return store.read("tu_parsed").drop("tu_number", "connection_point_raw").join(raw, "record_key")
+    rows = store.read("tu_parsed").drop("tu_number", "connection_point_raw").join(raw, "record_key")
+    return rows.select(*QUALITY_FIELDS).orderBy("record_key")
 
 
 def quality_rows_v2(store: Store, run_id: int) -> DataFrame:
-    """A run's canonical records with their version's text; the logical key stands for the record key."""
+    """A run's canonical records with their version's text, by key; the logical key stands for the record key."""
     versions = store.read("tu_row_versions").select("row_fingerprint", "tu_number", "connection_point_raw")
     rows = store.read_run("tu_canonical_parsed", run_id).drop("record_key", "tu_number", "connection_point_raw").withColumnRenamed("logical_tu_key", "record_key")
-    return rows.join(versions, "row_fingerprint")
+    return rows.join(versions, "row_fingerprint").select(*QUALITY_FIELDS).orderBy("record_key")
 
 
 def mw_text(value: float | None) -> str:
