@@ -114,7 +114,7 @@ def test_update_is_idempotent_and_failures_stay_hidden(spark, tmp_path):
     one = update.run_update(spark, rows, store, "reg", day)
     assert (one.raw_count, one.observation_count, one.row_version_count, one.canonical_count, one.ambiguous_count, one.metadata_collapsed_count) == (4, 4, 4, 1, 1, 1)
     two = update.run_update(spark, rows, store, "reg", day)
-    assert store.read("tu_row_versions").count() == 4 and store.read("tu_observations").count() == 8 and two.run_id == 2
+    assert store.read("tu_row_versions").count() == 4 and store.read_runs("tu_observations").count() == 8 and two.run_id == 2
     bad = rows.withColumn("tu_date", F.expr("raise_error('no')").cast("string"))
     with pytest.raises(Exception):
         update.run_update(spark, bad, store, "reg", day)
