@@ -18,6 +18,7 @@ from pyspark.sql.types import StructType
 from gridlode.functions.schemas import PARSED_FIELDS, POINT, POINT_FIELDS
 from gridlode.functions.text import LETTER, activity, filled, normalize, slug_stable
 from gridlode.functions.values import ascii_digits
+from gridlode.sources.files import written
 
 # Parent tokens by rank of their type, and connection tokens.
 PARENTS = (("ПС", "PS", 0), ("ЦРП", "CRP", 1), ("РП", "RP", 2), ("КТПП", "KTP", 3), ("СКТП", "KTP", 3), ("КТП", "KTP", 3), ("ЗТП", "ZTP", 4), ("ЩТП", "TP", 5), ("ТП", "TP", 5))
@@ -135,9 +136,16 @@ def published_voltage(x: Column) -> Column:
 
 
 def parse_records(raw: DataFrame) -> DataFrame:
-    """Raw records to parsed ones, in one narrow pass: no text is gathered, however often it occurs."""
+    """Raw records to parsed ones. Each different text is parsed once and written; records join it by their text.
+
+    Parsing costs some hundred times what a join's row does, and registries
+    repeat their texts. Both sides of the join are plain tables, so it deals the
+    rows of a hot text, such as the empty one, out again, or needs no exchange
+    where the texts are few.
+    """
     text = F.coalesce("connection_point_raw", F.lit(""))
-    found = parse_points(raw.withColumn("_point", text), "_point").drop("_point")
+    texts = written(parse_points(raw.select(text.alias("_point")).distinct(), "_point"))
+    found = raw.withColumn("_point", text).join(texts, "_point").drop("_point")
     return _finished(found.withColumn("parse_error", F.lit(None).cast("string")))
 
 
