@@ -9,10 +9,17 @@ leaf's squared distance is past the RECALL quantile times the 20th best squared
 distance: a better vector would have come by then with that probability.
 
 The upper tree has MOST_CELLS cells at most. It is fitted on SAMPLE vectors, and
-every vector is put in its cell. Cells are cut into blocks of about BLOCK rows,
-each with a tree of its own, and queries into chunks, so no task holds a whole
-cell. A query first searches its home cell; its 20th best there and the cells'
-true boxes tell, by the same stop, which other cells it must see.
+every vector is put in its cell. A cell of more than LARGE rows gets a tree of its
+own, fitted on PART_SAMPLE of its vectors, that parts it again, in MOST_PARTS parts
+at most; so cells stay at some CELL_ROWS rows up to MOST_CELLS * MOST_PARTS of
+them. Parts are cut into blocks of about BLOCK rows, each with a tree for the
+search, and queries into chunks, so no task holds a whole part. A query first
+searches its home part; its 20th best there and the true boxes of cells and, in
+them, parts tell, by the same stop, where else it must look.
+
+Of many equal vectors a query can only get the NEAREST smallest vec_ids besides
+its own, so no more than these are candidates: exactly the same result, and no
+part grows with the copies of one vector.
 
 Defined cases: vectors that are null, empty, zero, of another length than most,
 or hold null or non-finite components take no part; equal scores go to the
@@ -25,12 +32,14 @@ long vector costs a row of the matrices that a task holds, BLOCK vectors at once
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import ceil, exp
+from math import exp
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 from pyspark.sql.window import Window
 
 from gridlode.llm.common import written
@@ -41,6 +50,10 @@ NEAREST = 20
 SAMPLE = 20_000
 CELL_ROWS = 2_048
 MOST_CELLS = 4_096
+LARGE = 8_192
+PART_SAMPLE = 8_192
+MOST_PARTS = 1_024
+PARTED_AT_ONCE = 1 << 16  # rows of a large cell that one task parts
 BLOCK = 4_096
 CHUNK = 1_024
 LEAF = 64
@@ -171,8 +184,25 @@ def _valid(df: DataFrame) -> DataFrame:
     return rows.where("forall(v, x -> x is not null and abs(x) < double('Infinity')) and exists(v, x -> x != 0)")
 
 
+_SIDES = tuple(f"p{k}" for k in range(DIMS))
+
+
+def _box() -> list[Column]:
+    return [f(p).alias(f"{name}{k}") for name, f in (("low", F.min), ("high", F.max)) for k, p in enumerate(_SIDES)]
+
+
+def _boxes(rows: list) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.array([[r[f"{name}{k}"] for k in range(DIMS)] for r in rows]) for name in ("low", "high"))
+
+
+def _salted(rows: DataFrame, counts: DataFrame, most: int, key: str) -> DataFrame:
+    """rows with a salt, so that `most` rows or so of a part share one; counts: cell, part, n."""
+    salts = counts.select("cell", "part", F.ceil(F.col("n") / most).alias("salts"))
+    return rows.join(salts, ["cell", "part"]).withColumn("salt", F.pmod(F.xxhash64(key, F.lit(5)), "salts")).drop("salts")
+
+
 class Index:
-    """The vectors in cells and blocks."""
+    """The vectors in cells, parts and blocks."""
 
     def __init__(self, df: DataFrame) -> None:
         self.spark, rows = df.sparkSession, _valid(df)
@@ -194,28 +224,69 @@ class Index:
                 p = project(x, norm)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array([r.tobytes() for r in x], pa.binary()), pa.array(tree.find(p).astype(np.int32)), *(pa.array(c) for c in p.T.copy())],
-                    ["vec_id", "v", "cell", *(f"p{k}" for k in range(DIMS))],
+                    ["vec_id", "v", "cell", *_SIDES],
                 )
 
-        self.rows = written(rows.mapInArrow(assign, "vec_id long, v binary, cell int, " + ", ".join(f"p{k} double" for k in range(DIMS))))
-        sides = [f(f"p{k}").alias(f"{name}{k}") for name, f in (("low", F.min), ("high", F.max)) for k in range(DIMS)]
-        stats = self.rows.groupBy("cell").agg(F.count("*").alias("n"), *sides).orderBy("cell").collect()  # MOST_CELLS rows at most
-        self.cells = np.array([s["cell"] for s in stats])
-        self.low, self.high = (np.array([[s[f"{name}{k}"] for k in range(DIMS)] for s in stats]) for name in ("low", "high"))
-        blocks = self._salted(self.rows, {s["cell"]: ceil(s["n"] / BLOCK) for s in stats}, "vec_id")
-        self.blocks = written(blocks.groupBy("cell", "salt").agg(F.collect_list(F.struct("vec_id", "v")).alias("x")).drop("salt"))
-
-    def _salted(self, rows: DataFrame, salts: dict[int, int], key: str) -> DataFrame:
-        counts = self.spark.createDataFrame(list(salts.items()), "cell int, salts int")
-        return rows.join(F.broadcast(counts), "cell").withColumn("salt", F.pmod(F.xxhash64(key, F.lit(5)), "salts"))
+        rows = rows.mapInArrow(assign, "vec_id long, v binary, cell int, " + ", ".join(f"{p} double" for p in _SIDES))
+        rows = written(rows.withColumn("nr", F.monotonically_increasing_id()))
+        cells = rows.groupBy("cell").agg(F.count("*").alias("n"), *_box()).orderBy("cell").collect()  # MOST_CELLS rows at most
+        self.cells, (self.low, self.high) = np.array([s["cell"] for s in cells]), _boxes(cells)
+        large = {s["cell"]: s["n"] for s in cells if s["n"] > LARGE}
+        self.rows = self._parted(rows, large) if large else rows.withColumn("part", F.lit(0))
+        candidates = self._candidates()
+        found = written(candidates.groupBy("cell", "part").agg(F.count("*").alias("n"), *_box()))
+        self.large = set(large)
+        sides = F.struct("part", *(c for c in found.columns if c not in ("cell", "part", "n")))
+        self.parts = written(found.where(F.col("cell").isin(*large)).groupBy("cell").agg(F.collect_list(sides).alias("parts"))) if large else None  # MOST_PARTS a row
+        blocks = _salted(candidates.select("vec_id", "v", "cell", "part", "nr"), found, BLOCK, "nr")
+        self.blocks = written(blocks.groupBy("cell", "part", "salt").agg(F.collect_list(F.struct("vec_id", "v")).alias("x")).drop("salt"))
+
+    def _parted(self, rows: DataFrame, large: dict[int, int]) -> DataFrame:
+        """rows with their part of their cell."""
+        spark = self.spark
+        inside = rows.where(F.col("cell").isin(*large))
+        salts = F.broadcast(spark.createDataFrame([(c, -(-n // PARTED_AT_ONCE), max(1, min(MOST_PARTS, n // CELL_ROWS))) for c, n in large.items()], "cell int, salts long, parts long"))
+        order = Window.partitionBy("cell").orderBy(F.xxhash64("nr"), "nr")
+        sample = inside.select("cell", "nr", *_SIDES).withColumn("k", F.row_number().over(order)).where(F.col("k") <= PART_SAMPLE).join(salts, "cell")
+
+        def fit(table: pa.Table) -> pa.Table:
+            points = np.column_stack([table.column(p).to_numpy() for p in _SIDES])
+            tree = Tree(points, 1, table.column("parts")[0].as_py())
+            return pa.table({"cell": table.column("cell").slice(0, 1), "tree": pa.array([cloudpickle.dumps(tree)], pa.binary())})
+
+        trees = written(sample.groupBy("cell").applyInArrow(fit, "cell int, tree binary"))
+        each = trees.join(salts, "cell").select("cell", "tree", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+        dealt = inside.join(salts, "cell").withColumn("salt", F.pmod(F.xxhash64("nr"), "salts")).drop("salts", "parts")
+
+        def put(left: pa.Table, right: pa.Table) -> pa.Table:
+            if not len(left):
+                return left.drop(["salt"]).append_column("part", pa.array([], pa.int32()))
+            tree = cloudpickle.loads(right.column("tree")[0].as_py())
+            points = np.column_stack([left.column(p).to_numpy() for p in _SIDES])
+            return left.drop(["salt"]).append_column("part", pa.array(tree.find(points).astype(np.int32)))
+
+        schema = StructType([*rows.schema.fields, StructField("part", IntegerType())])
+        parted = dealt.groupBy("cell", "salt").cogroup(each.groupBy("cell", "salt")).applyInArrow(put, schema)
+        return written(parted.unionByName(rows.where(~F.col("cell").isin(*large)).withColumn("part", F.lit(0))))
+
+    def _candidates(self) -> DataFrame:
+        """rows without those that no query can get: NEAREST of any one vec_id and NEAREST others come before them."""
+        rows = self.rows.withColumn("same", F.md5("v"))
+        often = written(rows.groupBy("same").agg(F.count("*").alias("n")).where(F.col("n") > 2 * NEAREST).select("same"))
+        if often.isEmpty():
+            return self.rows
+        many = rows.join(often, "same", "left_semi")
+        one = F.row_number().over(Window.partitionBy("same", "v", "vec_id").orderBy("nr"))
+        all_ = F.row_number().over(Window.partitionBy("same", "v").orderBy("vec_id", "nr"))
+        many = many.withColumn("k", one).where(F.col("k") <= NEAREST).withColumn("k", all_).where(F.col("k") <= 2 * NEAREST).drop("k")
+        return written(rows.join(often, "same", "left_anti").unionByName(many).drop("same"))
 
     def _search(self, asked: DataFrame) -> DataFrame:
-        """asked: query_id, q, bound, cell."""
-        counts = {r[0]: ceil(r[1] / CHUNK) for r in asked.groupBy("cell").count().collect()}  # by cell
-        if not counts:
-            return self.spark.createDataFrame([], "query_id long, vec_id long, score double")
-        chunks = self._salted(asked, counts, "query_id").groupBy("cell", "salt").agg(F.collect_list(F.struct("query_id", "q", "bound")).alias("asked"))
-        norm = self.norm
+        """asked: query_id, q, bound, cell, part."""
+        asked = written(asked)
+        counts = written(asked.groupBy("cell", "part").agg(F.count("*").alias("n")))
+        chunks = _salted(asked, counts, CHUNK, "query_id").groupBy("cell", "part", "salt").agg(F.collect_list(F.struct("query_id", "q", "bound")).alias("asked"))
+        chunks, norm = written(chunks.drop("salt")), self.norm
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -229,36 +300,68 @@ class Index:
                             ["query_id", "vec_id", "score"],
                         )
 
-        return self.blocks.join(chunks, "cell").select("x", "asked").mapInArrow(run, "query_id long, vec_id long, score double")
+        return self.blocks.join(chunks, ["cell", "part"]).select("x", "asked").mapInArrow(run, "query_id long, vec_id long, score double")
 
     def nearest(self, queries: DataFrame) -> DataFrame:
         """query_id, rank, vec_id, score for queries among the rows."""
         best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
         top = lambda found: found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= NEAREST)
-        own = queries.groupBy(F.col("vec_id").alias("query_id")).agg(F.min(F.struct("v", "cell")).alias("m")).select("query_id", F.col("m.v").alias("q"), F.col("m.cell").alias("cell"))
-        own = written(own)
+        own = queries.groupBy(F.col("vec_id").alias("query_id")).agg(F.min(F.struct("v", "cell", "part")).alias("m"))
+        own = written(own.select("query_id", F.col("m.v").alias("q"), F.col("m.cell").alias("cell"), F.col("m.part").alias("part")))
         home = written(top(self._search(own.withColumn("bound", F.lit(float("-inf"))))).drop("rank"))
         bound = home.groupBy("query_id").agg(F.count("*").alias("k"), F.min("score").alias("worst"))
-        bound = own.join(bound, "query_id", "left").select("query_id", "q", "cell", F.when(F.col("k") >= NEAREST, F.col("worst")).otherwise(float("-inf")).alias("bound"))
-        cells, low, high, norm = self.cells, self.low, self.high, self.norm
+        bound = own.join(bound, "query_id", "left").select("query_id", "q", "cell", "part", F.when(F.col("k") >= NEAREST, F.col("worst")).otherwise(float("-inf")).alias("bound"))
+        found = home.unionByName(self._search(self._elsewhere(written(bound))))
+        return top(found).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+    def _elsewhere(self, bound: DataFrame) -> DataFrame:
+        """The parts, besides its own, that each query must search."""
+        cells, low, high, norm, large = self.cells, self.low, self.high, self.norm, self.large
+
+        def reach(q: np.ndarray, scores: np.ndarray) -> np.ndarray:
+            square = (q * q).sum(axis=1) + norm * norm
+            return (chi_square_quantile(RECALL) * np.maximum(0, square - 2 * scores) + 1e-9 * square)[:, None]
 
         def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            stop = chi_square_quantile(RECALL)
             for batch in batches:
                 for at in range(0, len(batch), 1024):
                     part = batch.slice(at, 1024)
                     q = _matrix(part.column(1))
-                    square = (q * q).sum(axis=1) + norm * norm
-                    reach = stop * np.maximum(0, square - 2 * part.column(3).to_numpy()) + 1e-9 * square
-                    go = box_distance(project(q, 0), low, high) <= reach[:, None]
-                    go &= part.column(2).to_numpy()[:, None] != cells[None]
+                    go = box_distance(project(q, 0), low, high) <= reach(q, part.column(4).to_numpy())
+                    # the home cell is done, unless it has other parts
+                    go &= (part.column(2).to_numpy()[:, None] != cells[None]) | np.isin(cells, list(large))[None]
                     who, cell = np.nonzero(go)
                     picked = part.take(pa.array(who))
-                    yield pa.RecordBatch.from_arrays([picked.column(0), picked.column(1), picked.column(3), pa.array(cells[cell].astype(np.int32))], ["query_id", "q", "bound", "cell"])
-
-        asked = written(bound.mapInArrow(spread, "query_id long, q binary, bound double, cell int"))
-        found = home.unionByName(self._search(asked))
-        return top(found).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+                    yield pa.RecordBatch.from_arrays(
+                        [*picked.columns[:2], picked.column(4), pa.array(cells[cell].astype(np.int32)), picked.column(2), picked.column(3)], ["query_id", "q", "bound", "cell", "own_cell", "own_part"]
+                    )
+
+        asked = bound.mapInArrow(spread, "query_id long, q binary, bound double, cell int, own_cell int, own_part int")
+        if self.parts is None:
+            return asked.select("query_id", "q", "bound", "cell", F.lit(0).alias("part"))
+        asked = written(asked)
+
+        def inside(left: pa.Table, right: pa.Table) -> pa.Table:
+            """Of one cell, the parts within reach of some of its queries."""
+            names = ["query_id", "q", "bound", "cell"]
+            if not len(left):
+                return left.select(names).append_column("part", pa.array([], pa.int32()))
+            parts = right.column("parts").combine_chunks()[0].values
+            number = parts.field("part").to_numpy()
+            low_, high_ = (np.column_stack([parts.field(f"{side}{k}").to_numpy() for k in range(DIMS)]) for side in ("low", "high"))
+            q = _matrix(left.column("q").combine_chunks())
+            go = box_distance(project(q, 0), low_, high_) <= reach(q, left.column("bound").to_numpy())
+            home = left.column("own_cell").to_numpy() == left.column("cell").to_numpy()
+            go &= ~(home[:, None] & (left.column("own_part").to_numpy()[:, None] == number[None]))
+            who, part = np.nonzero(go)
+            return left.select(names).take(pa.array(who)).append_column("part", pa.array(number[part].astype(np.int32)))
+
+        split = F.col("cell").isin(*self.large)
+        counts = asked.where(split).groupBy("cell").agg(F.ceil(F.count("*") / CHUNK).alias("salts"))
+        each = written(self.parts.join(counts, "cell").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))))
+        dealt = asked.where(split).join(counts, "cell").withColumn("salt", F.pmod(F.xxhash64("query_id"), "salts")).drop("salts")
+        within = dealt.groupBy("cell", "salt").cogroup(each.select("cell", "salt", "parts").groupBy("cell", "salt")).applyInArrow(inside, "query_id long, q binary, bound double, cell int, part int")
+        return within.unionByName(asked.where(~split).select("query_id", "q", "bound", "cell", F.lit(0).alias("part")))
 
 
 def nearest(df: DataFrame, every: int = 20) -> DataFrame:

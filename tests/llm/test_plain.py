@@ -574,3 +574,46 @@ got = {(t, i): d for t, i, d, _ in bench.find([["a"] * 50 + text + ["b"] * 50, [
 assert set(got) == {(0, 0), (0, 1)} and 900 < got[0, 0] <= 1_000, got
 """
     assert subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parents[2], timeout=300, env=os.environ | {"OMP_NUM_THREADS": "1", "OPENBLAS_NUM_THREADS": "1"}).returncode == 0
+
+
+def _nearest_by_brute_force(rows, every):
+    valid = [(i, np.array(v, float)) for i, v in rows]
+    ids, x = np.array([i for i, _ in valid]), np.stack([v for _, v in valid])
+    out = {}
+    for who in sorted({i for i in ids.tolist() if i % every == 0}):
+        q = min((tuple(v) for i, v in valid if i == who))
+        score = neighbours.dots(x, np.array(q))
+        mine = ids != who
+        order = np.lexsort((ids[mine], -score[mine]))[:20]
+        out[who] = ids[mine][order].tolist()
+    return out
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_nearest_equals_brute_force(spark, monkeypatch, small):
+    """Recall through cells, parts and blocks, with many copies of one vector and repeated vec_ids."""
+    if small:  # many cells, large ones parted again, several blocks and chunks
+        for name, value in {"CELL_ROWS": 64, "MOST_CELLS": 4, "LARGE": 100, "PARTED_AT_ONCE": 150, "PART_SAMPLE": 200, "BLOCK": 32, "CHUNK": 16, "LEAF": 8}.items():
+            monkeypatch.setattr(neighbours, name, value)
+    rng = np.random.default_rng(40)
+    centres = rng.normal(size=(12, 16))
+    rows = [(n, (centres[rng.integers(12)] + 0.3 * rng.normal(size=16)).tolist()) for n in range(1200)]
+    rows += [(n, rows[5][1]) for n in range(1200, 1800)] + [(1300, rows[5][1])] * 45 + [(40, rows[7][1])]
+    got = {}
+    for r in neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    true = _nearest_by_brute_force(rows, 20)
+    assert got.keys() == true.keys() and all(len(g) == 20 for g in got.values())
+    hits = sum((Counter(got[q]) & Counter(true[q])).total() for q in true)
+    assert hits >= 0.97 * 20 * len(true)
+    assert got[1300] == true[1300]
+
+
+def test_recall_on_the_given_vectors(spark):
+    folder = "/root/testdata/sf0.01"
+    rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding").collect() if r["embedding"]]
+    true = _nearest_by_brute_force(rows, 20)
+    got = {}
+    for r in neighbours.query(spark, folder).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert sum(len(got[q] & set(t)) for q, t in true.items()) >= 0.95 * sum(map(len, true.values()))
