@@ -107,18 +107,21 @@ def report(rows: DataFrame, example_limit: int = 5, pattern_limit: int = 30) ->
     }
 
 
+# Titles and line forms of the console report.
+SECTIONS = (
+    ("TOP FLAGS", "flag_counts", "  {flag}: review={count} unmapped={unmapped_count} ({pct_of_review}% of review)"),
+    ("REVIEW FAMILIES", "review_families", "  {family}: {count} ({pct_of_review}%)"),
+    ("QUICK WINS", "quick_wins", "  {issue}: unmapped={unmapped_count} review={review_count}"),
+    ("TOP REVIEW PATTERNS", "top_review_patterns", "  {family} count={count} unmapped={unmapped_count} :: {pattern}"),
+)
+
+
 def render(found: dict, top: int = 10, label: str = "QUALITY") -> str:
     s = found["summary"]
     lines = [
         f"{label} total={s['total_records']} mapped={s['mapped_records']} ({s['mapped_pct']}%) review={s['review_records']} ({s['review_pct']}%) "
         f"parse_errors={s['parse_error_records']} unknown_activity={s['unknown_activity_records']}"
     ]
-    sections = (
-        ("TOP FLAGS", "flag_counts", "  {flag}: review={count} unmapped={unmapped_count} ({pct_of_review}% of review)"),
-        ("REVIEW FAMILIES", "review_families", "  {family}: {count} ({pct_of_review}%)"),
-        ("QUICK WINS", "quick_wins", "  {issue}: unmapped={unmapped_count} review={review_count}"),
-        ("TOP REVIEW PATTERNS", "top_review_patterns", "  {family} count={count} unmapped={unmapped_count} :: {pattern}"),
-    )
-    for title, section, form in sections:
+    for title, section, form in SECTIONS:
         lines += [title, *(form.format(**r) for r in found[section][:top])]
     return "\n".join(lines)

@@ -4,6 +4,7 @@ import pytest
 
 from gridlode.operators.points import parse_points, parse_records
 
+# Connection points and what they must give.
 VECTORS = [
     ("РУ-10 кВ ПС 35/10 кВ №144 Страдч", {"connection_object_type": "RU", "connection_voltage_kv": 10.0, "parent_object_type": "PS", "parent_number": "144", "parent_name": "Страдч", "parent_voltage_levels_kv": [35.0, 10.0], "canonical_node_id": "PS-144-STRADCH", "confidence": 1.0, "needs_review": False}),
     ("РУ-6 кВ ПС 110/10/6 кВ №249 Львів-10", {"connection_voltage_kv": 6.0, "parent_voltage_levels_kv": [110.0, 10.0, 6.0], "canonical_node_id": "PS-249-LVIV-10"}),
@@ -24,6 +25,11 @@ VECTORS = [
     ("ПС №1 А ПС №1 А", {"confidence": 0.6, "flags": ["multiple_parent_candidates"]}),
     ("ПЛ-10 кВ 201-37 Чишки", {"canonical_node_id": None, "needs_review": True}),
     ("", {"canonical_node_id": None, "flags": ["unknown_object_type"]}),
+    # of our own
+    ("ЦРП 12 Завод", {"parent_object_type": "CRP", "parent_number": "12", "canonical_node_id": "CRP-12-ZAVOD", "confidence": 0.9}),
+    ("РП №3 Північ КТП-5", {"canonical_node_id": "RP-3-PIVNICH", "confidence": 0.6, "flags": ["multiple_parent_candidates"]}),
+    ("КТП-1 фідер №Північ-4", {"canonical_node_id": "KTP-1", "feeder_id": "FEEDER-NOPIVNICH-4"}),
+    ("ТП№5 ٣٥ кВ", {"canonical_node_id": "TP-5", "parent_voltage_levels_kv": [35.0]}),
 ]
 
 
