@@ -29,7 +29,7 @@ VECTORS = [
     ("ЦРП 12 Завод", {"parent_object_type": "CRP", "parent_number": "12", "canonical_node_id": "CRP-12-ZAVOD", "confidence": 0.9}),
     ("РП №3 Північ КТП-5", {"canonical_node_id": "RP-3-PIVNICH", "confidence": 0.6, "flags": ["multiple_parent_candidates"]}),
     ("КТП-1 фідер №Північ-4", {"canonical_node_id": "KTP-1", "feeder_id": "FEEDER-NOPIVNICH-4"}),
-    ("ТП№5 ٣٥ кВ", {"canonical_node_id": "TP-5", "parent_voltage_levels_kv": [35.0]}),
+    ("ТП №5 ٣٥ кВ", {"canonical_node_id": "TP-5", "parent_voltage_levels_kv": [35.0]}),
 ]
 
 
