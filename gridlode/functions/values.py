@@ -106,10 +106,18 @@ def percent(part: Column, whole: Column) -> Column:
     return F.coalesce(share, F.lit(0.0))
 
 
+_WEEK = r"\A(\d{4})(-?)W(\d{2})(?:\2([1-7]))?\z"
+
+
 def iso_date(x: Column) -> Column:
-    """The date that text begins with, in the form yyyy-MM-dd, else null."""
+    """The date that text begins with, within ten characters, in an ISO form: by day, compact or by week; else null."""
     head = F.substring(x, 1, 10)
-    return F.try_to_date(F.when(head.rlike(r"\A\d{4}-\d{2}-\d{2}\z"), head), "yyyy-MM-dd")
+    forms = [F.try_to_date(F.when(head.rlike(form), head), p) for form, p in ((r"\A\d{4}-\d{2}-\d{2}\z", "yyyy-MM-dd"), (r"\A\d{8}\z", "yyyyMMdd"))]
+    year, week, day = (F.regexp_extract(head, _WEEK, k).try_cast("int") for k in (1, 3, 4))
+    fourth = F.make_date(F.when(head.rlike(_WEEK) & (year > 0), year), F.lit(1), F.lit(4))  # always in the first week
+    first = F.date_add(F.date_sub(fourth, F.weekday(fourth)), 7 * (week - 1))
+    within = (week > 0) & (F.year(F.date_add(first, F.lit(3))) == year)  # a week is its Thursday's year's
+    return F.coalesce(*forms, F.when(within, F.date_add(first, F.coalesce(day, F.lit(1)) - 1)))
 
 
 def power(x: Column) -> Column:

@@ -514,6 +514,20 @@ def date_cast(spark, d):
     return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", day.alias("day"), F.date_format(V.iso_date(day), "dd/MM/yyyy").alias("parsed"))
 
 
+@query(
+    """SELECT o_orderkey, CASE o_orderkey % 6 WHEN 3 THEN strftime(date_trunc('week', o_orderdate), '%Y-%m-%d') WHEN 5 THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day FROM orders""",
+    records=False,
+)
+def iso_dates(spark, d):
+    kind, day = F.col("o_orderkey") % 6, F.to_date("o_orderdate")
+    thursday = F.date_add(day, 3 - F.weekday(day))  # its year is the week's
+    week = F.concat(F.lpad(F.year(thursday).cast("string"), 4, "0"), F.lit("-W"), F.lpad(F.weekofyear(day).cast("string"), 2, "0"))
+    forms = (F.date_format(day, "yyyyMMdd"), F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" x")), F.concat(week, F.lit("-"), (F.weekday(day) + 1).cast("string")), week,
+             F.concat(F.replace(week, F.lit("-"), F.lit("")), (F.weekday(day) + 1).cast("string")), F.concat(F.lit("2023-W53-"), (F.weekday(day) + 1).cast("string")))
+    text = F.element_at(F.array(*forms), (kind + 1).cast("int"))
+    return table(spark, d, "orders").select("o_orderkey", F.date_format(V.iso_date(text), "yyyy-MM-dd").alias("day"))
+
+
 @query("SELECT o_orderkey AS source_page, CAST(2 AS INTEGER) AS source_row_index, CAST(o_orderkey AS VARCHAR) AS tu_number, 'ПС №' || o_custkey AS connection_point_raw, CAST(o_custkey AS DOUBLE) + 0.5 AS requested_power_kw, strftime(o_orderdate, '%Y-%m-%d') AS tu_date FROM orders", records=False)
 def html_table_rows(spark, d):
     head = "".join(f"<th>{h}</th>" for h in ("Номер ТУ", "Дата Видачі ТУ", "Точка забезпечення потужності (назва ПС)", "Потужність замовлена до приєднання"))

@@ -217,3 +217,16 @@ def test_package_exports():
     assert all(getattr(gridlode, name) is not None for name in gridlode.__all__)
     with pytest.raises(AttributeError):
         gridlode.nothing
+
+
+def test_iso_dates(spark):
+    texts = ["2026-08-28", "20260828", "2026-W35-5", "2026W355", "2026-W35", "2020-W53-7", "2021-W53-1", "2026-W00-1", "2026-W35-8", "2026-02-30", "2026-08-28T10:00", "2026-W3-1", "0000-W01-1", "x", None, "2025-W01-1"]
+
+    def plain(t):
+        try:
+            return datetime.date.fromisoformat((t or "")[:10])
+        except ValueError:
+            return None
+
+    got = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "n int, t string").select("n", values.iso_date(F.col("t")).alias("d")).collect()
+    assert [r["d"] for r in sorted(got)] == [plain(t) for t in texts]
