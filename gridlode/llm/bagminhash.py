@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlode.llm.common import erase, kept, written
+from gridlode.llm.common import erase, kept, small_batches, written
 from gridlode.llm.components import components
 from gridlode.llm.shingles import Words, bags, mix, occurrences, shingle
 
@@ -181,7 +181,7 @@ class Duplicates:
 
     def __init__(self, docs: DataFrame, similarity: float = SIMILARITY, columns: Iterable[str] = ("doc_id", "text")) -> None:
         self.similarity = similarity
-        texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), row_hash(columns).alias("row"))
+        texts = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), row_hash(columns).alias("row"))
         self.signed = written(texts.mapInArrow(_signed, "doc_id long, row long, node binary, bands array<long>"))
         first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))  # null ids last
         nodes = self.signed.groupBy("node").agg(first.alias("first"), F.first("bands").alias("bands"))

@@ -69,8 +69,17 @@ def unpacked(data) -> np.ndarray:
     return np.frombuffer(planes, np.uint8).reshape(kind.itemsize, n).T.copy().view(kind).reshape(n)
 
 
-def text_or_empty(name: str = "text") -> Column:
-    return F.coalesce(F.col(name), F.lit(""))
+#: Rows of texts that Spark hands to Python at once. Its default of 10,000 takes executors hundreds of MB outside the heap.
+TEXTS_AT_ONCE = 1_000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """df, with the session's Arrow batches set to TEXTS_AT_ONCE rows where they are larger. Plans read this when they run."""
+    spark, name = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > TEXTS_AT_ONCE:
+        spark.conf.set(name, str(TEXTS_AT_ONCE))
+    return df
 
 
 def crc_mod(name: str, n: int) -> Column:

@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlode.llm.common import shared
+from gridlode.llm.common import shared, small_batches
 from gridlode.llm.shingles import mix
 
 SIMILARITY = 0.8
@@ -403,7 +403,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     """doc_id, item_id, distance, first_word for each item in each document."""
     schema = "doc_id long, item_id long, distance int, first_word long"
     spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
+    texts = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     out = spark.createDataFrame([], schema)
     for block in blocks(benchmark):
         bench_of = shared(spark, Benchmark(block, similarity, recall))
@@ -438,7 +438,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
                         keep[begin + t] = False
                 yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = small_batches(docs).mapInArrow(run, docs.schema)
     return docs
 
 

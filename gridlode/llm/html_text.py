@@ -39,6 +39,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridlode.llm.common import small_batches
+
 SIGMA, RADIUS = 1.0, 2
 FAVOUR = 2.0
 LEAST_SHARE = 0.1
@@ -266,7 +268,7 @@ def extract(pages: DataFrame) -> DataFrame:
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"]
             )
 
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html"))
+    rows = small_batches(pages).select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html"))
     return rows.mapInArrow(run, "page_id long, url string, text string, n_chars long")
 
 

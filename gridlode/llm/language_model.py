@@ -48,7 +48,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlode.llm.common import crc_mod, erase, kept, packed, unpacked, written
+from gridlode.llm.common import crc_mod, erase, kept, packed, small_batches, unpacked, written
 from gridlode.llm.shingles import mix
 
 STRENGTH = 1.0
@@ -276,7 +276,7 @@ class LanguageModel:
 
     def __init__(self, docs: DataFrame, held_out) -> None:
         self.spark = docs.sparkSession
-        self.rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), F.col("text"))
+        self.rows = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), F.col("text"))
         self.shards, self.hot = self._layout()
         asked = self.rows.mapInArrow(_asking(self.shards, self.hot), _ROW)
         self.table = written(asked.repartitionById(self.shards, "to").mapInArrow(_merged, _ROW), partition="kind")

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gridlode.llm.common import kept, written
+from gridlode.llm.common import kept, small_batches, written
 
 CAPACITY = 2048
 GROUPS = 64
@@ -101,7 +101,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(run, PIECES)
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(run, PIECES)
 
 
 class _Run:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlode.llm.common import kept, shared
+from gridlode.llm.common import kept, shared, small_batches
 
 KINDS = ("email", "ip", "card", "phone", "secret", "id")
 OUT = 0  # label of other words; kind k has label k + 1
@@ -427,7 +427,7 @@ def find(docs: DataFrame, crf: Crf) -> DataFrame:
                     ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_spans", *(f"n_all_{k}" for k in KINDS)],
                 )
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
+    texts = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     return texts.mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long, " + ", ".join(f"n_all_{k} long" for k in KINDS))
 
 
@@ -460,7 +460,7 @@ def redact(docs: DataFrame, crf: Crf) -> DataFrame:
                     columns[length] = pa.array([None if n is None else len(n) for n in new], part.schema.field(length).type)
                 yield pa.RecordBatch.from_arrays(columns, names=part.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)
 
 
 def trained() -> Crf:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlode.llm.common import crc_mod, shared
+from gridlode.llm.common import crc_mod, shared, small_batches
 
 FIT_ROWS = 8_000
 FOLDS = 4
@@ -274,7 +274,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                     ["doc_id", "held_out", "score", "predicted"],
                 )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (crc_mod("doc_id", 4) == 2).alias("held_out"), F.col("text"))
+    rows = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), (crc_mod("doc_id", 4) == 2).alias("held_out"), F.col("text"))
     return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
 
 
@@ -290,7 +290,7 @@ def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
             for begin, texts in _chunks(batch, column):
                 yield batch.slice(begin, len(texts)).filter(pa.array(model.scores(texts, kinds) < THRESHOLD))
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)
 
 
 def query(spark, sf_dir):
