@@ -10,7 +10,8 @@ Defined cases: a null key hashes as the empty text; a null payload weighs 0
 bytes; repeated rows share a hash, so a node whose rows have one single hash
 can't split and stays a shard, with fits = false if it is over the limit (one
 row larger than the limit is such a node); an empty table gives no rows; other
-columns play no part.
+columns play no part. Rows of equal hash share a shard, so a tie can't arise; a
+very long payload counts as one row's bytes.
 """
 
 from __future__ import annotations
@@ -49,11 +50,11 @@ def _leaves(deep: DataFrame, first: int, last: int, limit: int) -> tuple[DataFra
     nodes = nodes.where((F.col("shard_bytes") <= limit) | (F.col("lo") == F.col("hi")))
     found = (
         up.select("depth", "prefix", "deep_prefix")
-        .join(nodes.drop("lo", "hi"), ["depth", "prefix"])
+        .join(nodes.drop("lo", "hi").hint("merge"), ["depth", "prefix"])
         .groupBy("deep_prefix")
         .agg(F.min(F.struct("depth", "prefix", "shard_bytes", "shard_rows")).alias("leaf"))
     )
-    return found, deep.join(found.select("deep_prefix"), "deep_prefix", "left_anti").select("deep_prefix")
+    return found, deep.join(found.select("deep_prefix").hint("merge"), "deep_prefix", "left_anti").select("deep_prefix")
 
 
 def shard(df: DataFrame, key: str, payload: str, limit: int) -> DataFrame:
@@ -75,11 +76,12 @@ def shard(df: DataFrame, key: str, payload: str, limit: int) -> DataFrame:
             )
         )
         found, open_nodes = _leaves(deep, first, last, limit)
-        parts.append(at.join(found, "deep_prefix").select("key", "bytes", "h", "leaf.*"))
-        open_nodes = written(open_nodes)
+        found, open_nodes = written(found), written(open_nodes)
+        # nodes grow with the data, so they are merged, not broadcast; both sides can be dealt out again where a node is hot
+        parts.append(at.join(found.hint("merge"), "deep_prefix").select("key", "bytes", "h", "leaf.*"))
         if last == HASH_BITS or open_nodes.isEmpty():
             break
-        left = written(at.join(open_nodes, "deep_prefix", "left_semi").drop("deep_prefix"))
+        left = written(at.join(open_nodes.hint("merge"), "deep_prefix", "left_semi").drop("deep_prefix"))
         first, last = last + 1, min(HASH_BITS, last + STEP_BITS)
     out = parts[0]
     for more in parts[1:]:
