@@ -47,7 +47,8 @@ def _leaves(deep: DataFrame, first: int, last: int, limit: int) -> tuple[DataFra
     nodes = up.groupBy("depth", "prefix").agg(
         F.sum("bytes").alias("shard_bytes"), F.sum("n").alias("shard_rows"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
     )
-    nodes = nodes.where((F.col("shard_bytes") <= limit) | (F.col("lo") == F.col("hi")))
+    # written, so that the join can deal out again what lies under the nodes next to the root, which hold all
+    nodes = written(nodes.where((F.col("shard_bytes") <= limit) | (F.col("lo") == F.col("hi"))))
     found = (
         up.select("depth", "prefix", "deep_prefix")
         .join(nodes.drop("lo", "hi").hint("merge"), ["depth", "prefix"])
