@@ -26,6 +26,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +39,7 @@ from gridlode.llm.common import kept, small_batches, written
 CAPACITY = 2048
 GROUPS = 64
 SMALL = 4  # lengths up to capacity / SMALL are small
-SALT_PIECES = 100_000  # pieces of one length that a task ranks, about
-CACHE = 200_000  # chunks that a worker remembers
+CHUNKS, PARTS = 300_000, 450_000  # what a worker remembers: chunks with their marks, and the words and marks they are made of
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -79,8 +79,9 @@ class TokenCache(dict):
 
     def ids(self, text: str) -> bytes:
         got = b"".join(map(self.__getitem__, text.replace("\n", " ").replace("\t", " ").split(" ")))
-        if len(self) > CACHE:
-            self.clear()
+        if len(self) > CHUNKS:
+            self.clear()  # made again from parts, which costs less than tokenizing
+        if len(self.parts) > PARTS:
             self.parts = {"": b""}
         return got
 
@@ -227,12 +228,11 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROU
 
 
 def ranked(found: DataFrame, counts: dict[int, int]) -> DataFrame:
-    """Add rank, from 0 within each length; a length is ranked by as many tasks as its pieces need."""
-    salts = found.sparkSession.createDataFrame([(n, -(-c // SALT_PIECES)) for n, c in counts.items()] or [(0, 1)], "length long, salts long")
+    """Add rank, from 0 within each length. The pieces of a length are in some root of their number of parts, and each part has as many."""
+    salts = found.sparkSession.createDataFrame([(n, isqrt(c) + 1) for n, c in counts.items()] or [(0, 1)], "length long, salts long")
     salted = found.join(F.broadcast(salts), "length")  # a row for each length, at most `capacity`
     salted = salted.withColumn("salt", F.pmod(F.xxhash64("nr"), "salts")).drop("salts")  # equal rows part too
     parts = salted.groupBy("length", "salt").count()
-    # of one length there are as many parts as salts: their number is by SALT_PIECES smaller than the pieces'
     parts = parts.withColumn("before", F.sum("count").over(Window.partitionBy("length").orderBy("salt")) - F.col("count"))
     within = F.row_number().over(Window.partitionBy("length", "salt").orderBy("nr")) - 1
     return salted.withColumn("within", within).join(parts.drop("count"), ["length", "salt"]).withColumn("rank", F.col("within") + F.col("before")).drop("salt", "within", "before", "nr")
