@@ -39,7 +39,7 @@ from gridlode.llm.common import kept, small_batches, written
 CAPACITY = 2048
 GROUPS = 64
 SMALL = 4  # lengths up to capacity / SMALL are small
-CHUNKS, PARTS = 300_000, 450_000  # what a worker remembers: chunks with their marks, and the words and marks they are made of
+CHUNKS, PARTS = 450_000, 400_000  # what a worker remembers: chunks with their marks, and the words and marks they are made of
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
