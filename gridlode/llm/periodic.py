@@ -31,6 +31,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -150,7 +151,7 @@ def block_runs(texts: list[list[bytes]]) -> list[list[tuple[int, int, int]]]:
     number: defaultdict[bytes, int] = defaultdict()
     number.default_factory = number.__len__
     sizes = np.array([len(t) for t in texts], np.int64)
-    ids = np.fromiter((number[w] for t in texts for w in t), np.int64, int(sizes.sum()))
+    ids = np.fromiter(map(number.__getitem__, chain.from_iterable(texts)), np.int64, int(sizes.sum()))
     counts, base = lag_counts(ids, sizes)
     ends, stops = np.cumsum(sizes), np.append(base[1:], len(counts))
     return [text_runs(ids[ends[d] - sizes[d] : ends[d]], counts[base[d] : stops[d]]) for d in range(len(texts))]
