@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gridlode.llm import bagminhash, chat, decontamination, html_text, language_model, neighbours, packing, periodic, pii, sharding, toxicity, url_rules
+from gridlode.llm import bagminhash, chat, decontamination, html_text, language_model, neighbours, packing, periodic, pii, ranking, sharding, toxicity, url_rules
 
 QUERIES = {
     "op1_pii": pii.query,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_sharding": sharding.query,
     "op9_language_model": language_model.query,
     "op10_decontamination": decontamination.query,
+    "op11_ranking": ranking.query,
     "op12_chat": chat.query,
     "op13_periodic": periodic.query,
 }
 
 ORACLE = {
     "op8_sharding": sharding.ORACLE,
+    "op11_ranking": ranking.ORACLE,
 }
