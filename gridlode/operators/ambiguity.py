@@ -51,6 +51,21 @@ def overall(resolved: DataFrame) -> DataFrame:
     return _zero_if_none(ranges.agg(*_bucket()))
 
 
+def overall_counters() -> dict[str, Column]:
+    """overall() as aggregates to be observed while resolutions are written."""
+    found = {"ambiguous_n": F.count_if(F.col("status") == "ambiguous")}
+    for s in ("min", "max"):
+        mw = F.when(F.col("status") == "ambiguous", F.col(f"ambiguous_capacity_{s}_kw") / 1000)
+        found |= {f"{s}_known": F.count(mw), f"{s}_mw": exact_sum(mw)}
+    return found
+
+
+def overall_of(found: dict) -> tuple[float | None, float | None]:
+    """The ends of the range in MW from what was observed: 0 of no record, unknown if one part is."""
+    n = found["ambiguous_n"]
+    return tuple(0.0 if not n else found[f"{s}_mw"] if found[f"{s}_known"] == n else None for s in ("min", "max"))
+
+
 def with_ambiguity(nodes: DataFrame, buckets: DataFrame) -> DataFrame:
     """Node metrics with their buckets; a node known only from ambiguous records gets zero metrics."""
     metrics = [c for c in EXPORT_METRICS if c in nodes.columns and c not in AMBIGUITY_METRICS]

@@ -10,18 +10,24 @@ from gridlode.functions.text import filled
 
 
 def audit(ided: DataFrame) -> DataFrame:
-    """One row of seven counts. Rows are first summed up by version, then by logical record."""
-    by_version = ided.groupBy("logical_tu_key", "row_fingerprint").agg(F.count("*").alias("rows"))
-    by_key = by_version.groupBy("logical_tu_key").agg(F.sum("rows").alias("rows"), F.count("*").alias("versions"))
-    counts = by_key.agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("fetched_rows"),
-        F.coalesce(F.sum("versions"), F.lit(0)).alias("unique_row_versions"),  # a fingerprint has one logical key
-        F.count("*").alias("unique_logical_tus"),
-        F.count_if(F.col("versions") > 1).alias("logical_tus_with_multiple_versions"),
+    """One row of seven counts, in one pass over the records.
+
+    Rows are summed up by version first, which settles both other keys; grouping
+    sets then count versions by logical record and by legacy key at once.
+    """
+    by_version = ided.groupBy("logical_tu_key", "row_fingerprint", "record_key").agg(F.count("*").alias("rows"))
+    groups = by_version.groupingSets([["logical_tu_key"], ["record_key"]], "logical_tu_key", "record_key").agg(
+        F.grouping("record_key").alias("logical"), F.sum("rows").alias("rows"), F.count("*").alias("versions")
+    )
+    logical = F.col("logical") == 1
+    counts = groups.agg(
+        F.coalesce(F.sum(F.when(logical, F.col("rows"))), F.lit(0)).alias("fetched_rows"),
+        F.count_if(~logical).alias("legacy_unique_records"),
+        F.coalesce(F.sum(F.when(logical, F.col("versions"))), F.lit(0)).alias("unique_row_versions"),
+        F.count_if(logical).alias("unique_logical_tus"),
+        F.count_if(logical & (F.col("versions") > 1)).alias("logical_tus_with_multiple_versions"),
     )
-    legacy = ided.select("record_key").distinct().agg(F.count("*").alias("legacy_unique_records"))
-    both = counts.crossJoin(legacy)  # one row each
-    return both.select(
+    return counts.select(
         "fetched_rows",
         "legacy_unique_records",
         (F.col("fetched_rows") - F.col("legacy_unique_records")).alias("legacy_collision_loss"),

@@ -7,23 +7,22 @@ the second, of 2001-12-31, has all. Each query reads one of the tables.
 from __future__ import annotations
 
 import contextlib
-import csv
 import datetime
-import io
 import json
-import tempfile
 import uuid
-from pathlib import Path
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from gridlode.functions import text as T
 from gridlode.functions.schemas import MATERIAL_FIELDS, PARSED_FIELDS
 from gridlode.operators import integrity, metrics, quality, snapshot
 from gridlode.operators.points import parse_records, parse_records_with
 from gridlode.plans import adapter, update
-from gridlode.plans.catalogue import _P, _VARIES, _observed, query
-from gridlode.sources import export, pages, store
+from gridlode.plans.catalogue import _P, _VARIES, ORACLE, QUERIES, _observed, query
+from gridlode.sources import buckets, export, pages, store
 from gridlode.sources.files import scratch_dir
 
 DAYS = (datetime.date(2001, 12, 1), datetime.date(2001, 12, 31))
@@ -34,7 +33,7 @@ def updated(spark, sf_dir: str) -> tuple[store.Store, update.Summary]:
     """The store after both runs, filled once a session, and the second run's summary."""
     key = spark.sparkContext.applicationId, sf_dir
     if key not in _runs:
-        kept = store.Store(spark, f"{scratch_dir(spark)}/registry-{uuid.uuid4().hex}")
+        kept = store.Store(spark, _folder(spark, "registry"))
         for first, day in zip((True, False), DAYS):
             summary = update.run_update(spark, adapter.observed(spark, sf_dir, first), kept, "reg", day)
         _runs[key] = kept, summary
@@ -226,15 +225,16 @@ def canonical_console(spark, d):
     SELECT 2, row_number() OVER (ORDER BY count(*) DESC, CASE kind WHEN 3 THEN 'UNKNOWN' ELSE 'PS' END), '  ' || CASE kind WHEN 3 THEN 'UNKNOWN' ELSE 'PS' END || ': ' || count(*) || ' (' || {_P('count(*)', '(SELECT count(*) FROM r)')} || '%)' FROM r GROUP BY kind
     UNION ALL SELECT 3, 0, 'QUICK WINS' UNION ALL
     SELECT 3, row_number() OVER (ORDER BY count(*) FILTER (canonical_node_id IS NULL) DESC, count(*) DESC, flags), '  ' || flags || ': unmapped=' || count(*) FILTER (canonical_node_id IS NULL) || ' review=' || count(*) FROM r GROUP BY flags
-    UNION ALL SELECT 4, 0, 'TOP REVIEW PATTERNS')
+    UNION ALL SELECT 4, 0, 'TOP REVIEW PATTERNS' UNION ALL
+    SELECT 4, row_number() OVER (ORDER BY count(*) DESC, kind), '  ' || CASE kind WHEN 3 THEN 'UNKNOWN' ELSE 'PS' END || ' count=' || count(*) || ' unmapped=' || count(*) FILTER (canonical_node_id IS NULL)
+      || ' :: ' || CASE kind WHEN 3 THEN 'ОПОРА {{N}} БІЛЯ ДОРОГИ' ELSE 'ПС №{{N}} ВУЗОЛ КТП-{{N}}' END FROM r GROUP BY kind)
     SELECT CAST(row_number() OVER (ORDER BY o, k) - 1 AS INTEGER) AS line, text FROM lines""",
     records="observed",
 )
 def quality_console(spark, d):
     rows = parse_records(_observed(spark, d))
-    found = quality.report(rows, 1, 1)
-    text = quality.render(found, 10, "Q")
-    return _lines(spark, text[: text.index("TOP REVIEW PATTERNS") + len("TOP REVIEW PATTERNS")])
+    found = quality.report(rows, 1)
+    return _lines(spark, quality.render(found, 10, "Q"))
 
 
 @query(
@@ -256,22 +256,34 @@ def store_violations(spark, d):
     return store.violations(resolutions, runs)
 
 
+def _folder(spark, what: str) -> str:
+    return f"{scratch_dir(spark)}/{what}-{uuid.uuid4().hex}"
+
+
 @query("SELECT s_suppkey, s_name, s_acctbal, CASE WHEN s_suppkey % 2 = 0 THEN s_nationkey END AS s_nationkey FROM supplier", records=False)
 def json_sink(spark, d):
     rows = adapter.table(spark, d, "supplier").select("s_suppkey", "s_name", "s_acctbal", F.when(F.col("s_suppkey") % 2 == 0, F.col("s_nationkey")).alias("s_nationkey"))
-    with tempfile.TemporaryDirectory() as folder:
-        export.write_json(rows, f"{folder}/x/rows.json")
-        found = json.loads(Path(f"{folder}/x/rows.json").read_text(encoding="utf-8"))
-    return spark.createDataFrame([tuple(r[c] for c in rows.columns) for r in found], rows.schema)
+    export.json_lines(rows, path := _folder(spark, "json"))
+    return spark.read.schema(rows.schema).option("mode", "FAILFAST").json(path)
+
+
+def _csv(spark, path: str, columns):
+    """A folder of CSV files as text; what is empty there is an empty text."""
+    return spark.read.schema(", ".join(f"{c} string" for c in columns)).option("header", True).option("escape", '"').csv(path).fillna("")
 
 
-@query("SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, '[\"' || n_name || '\", null]' AS both, '2001-02-03' AS day, '' AS nothing FROM nation", records=False)
+@query(
+    """SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, '["' || c_mktsegment || '", null]' AS both, '[' || c_custkey || ', ' || c_nationkey || ']' AS numbers, '2001-02-03' AS day, '' AS nothing,
+    'a "' || c_name || '", b' AS quoted FROM customer""",
+    records=False,
+)
 def csv_sink(spark, d):
-    rows = adapter.table(spark, d, "nation").select("n_nationkey", "n_name", F.array("n_name", F.lit(None)).alias("both"), F.lit(datetime.date(2001, 2, 3)).alias("day"), F.lit(None).cast("string").alias("nothing"))
-    with tempfile.TemporaryDirectory() as folder:
-        export.write_csv(rows, f"{folder}/rows.csv")
-        found = list(csv.DictReader(io.StringIO(Path(f"{folder}/rows.csv").read_text(encoding="utf-8"))))
-    return spark.createDataFrame([tuple(r.values()) for r in found], ", ".join(f"{c} string" for c in rows.columns))
+    rows = adapter.table(spark, d, "customer").select(
+        "c_custkey", "c_name", F.array("c_mktsegment", F.lit(None)).alias("both"), F.array(F.col("c_custkey").cast("bigint"), F.col("c_nationkey").cast("bigint")).alias("numbers"),
+        F.lit(datetime.date(2001, 2, 3)).alias("day"), F.lit(None).cast("string").alias("nothing"), F.concat(F.lit('a "'), "c_name", F.lit('", b')).alias("quoted"),
+    )
+    export.csv_folder(rows, path := _folder(spark, "csv"))
+    return _csv(spark, path, rows.columns)
 
 
 @query(
@@ -279,25 +291,41 @@ def csv_sink(spark, d):
     records="observed",
 )
 def review_csv(spark, d):
-    rows = parse_records(_observed(spark, d))
-    with tempfile.TemporaryDirectory() as folder:
-        export.write_review_csv(rows, f"{folder}/review.csv")
-        found = list(csv.DictReader(io.StringIO(Path(f"{folder}/review.csv").read_text(encoding="utf-8"))))
-    return spark.createDataFrame([tuple(r.values()) for r in found], ", ".join(f"{c} string" for c in found[0]))
+    rows = quality.review_rows(parse_records(_observed(spark, d)))
+    export.csv_folder(rows, path := _folder(spark, "review"))
+    return _csv(spark, path, rows.columns)
+
+
+_REPORT = f"""r AS (SELECT *, CASE kind WHEN 3 THEN 'UNKNOWN' ELSE 'PS' END AS family, CASE kind WHEN 3 THEN 'ОПОРА {{N}} БІЛЯ ДОРОГИ' ELSE 'ПС №{{N}} ВУЗОЛ КТП-{{N}}' END AS pattern FROM so WHERE needs_review),
+  f AS (SELECT flags AS flag, count(*) AS n, count(*) FILTER (canonical_node_id IS NULL) AS un, {_P('count(*)', '(SELECT count(*) FROM r)')} AS pct FROM r GROUP BY flags)"""
 
 
 @query(
-    """SELECT count(*) AS total_records, count(*) FILTER (needs_review) AS review_records, count(DISTINCT flags) FILTER (needs_review) AS flags, count(DISTINCT activity_type) FILTER (activity_type = 'unknown') AS unknown,
-    count(*) FILTER (confidence >= 0.9) AS high_0_90_1_00 FROM so""",
+    f""", {_REPORT} SELECT 'flag_counts' AS section, CAST(row_number() OVER (ORDER BY n DESC, flag) - 1 AS INTEGER) AS position, flag AS key, n, un AS unmapped, pct FROM f
+    UNION ALL SELECT 'quick_wins', row_number() OVER (ORDER BY un DESC, n DESC, flag) - 1, flag, n, un, pct FROM f
+    UNION ALL SELECT 'review_families', row_number() OVER (ORDER BY count(*) DESC, family) - 1, family, count(*), NULL, {_P('count(*)', '(SELECT count(*) FROM r)')} FROM r GROUP BY family
+    UNION ALL SELECT 'top_review_patterns', row_number() OVER (ORDER BY count(*) DESC, pattern) - 1, pattern, count(*), count(*) FILTER (canonical_node_id IS NULL), NULL FROM r GROUP BY pattern
+    UNION ALL SELECT 'summary', 0, k, n, NULL, p FROM (SELECT unnest(['total_records', 'mapped_records', 'review_records', 'parse_error_records', 'unknown_activity_records']) AS k,
+      unnest([count(*), count(canonical_node_id), count(*) FILTER (needs_review), 0, count(*) FILTER (activity_type = 'unknown')]) AS n,
+      unnest([NULL, {_P('count(canonical_node_id)', 'count(*)')}, {_P('count(*) FILTER (needs_review)', 'count(*)')}, NULL, NULL]) AS p FROM so)
+    UNION ALL SELECT 'confidence_buckets', 0, k, n, NULL, NULL FROM (SELECT unnest(['high_0_90_1_00', 'medium_0_75_0_89', 'low_0_50_0_74', 'critical_0_00_0_49']) AS k,
+      unnest([count(*) FILTER (confidence >= 0.9), count(*) FILTER (confidence >= 0.75 AND confidence < 0.9), count(*) FILTER (confidence >= 0.5 AND confidence < 0.75), count(*) FILTER (confidence < 0.5)]) AS n FROM so)
+    UNION ALL SELECT 'examples', CAST(k - 1 AS INTEGER), flags || ' ' || tu_number || ' ' || connection_point_raw || ' ' || coalesce(canonical_node_id, '-'), NULL, NULL, confidence
+      FROM (SELECT *, row_number() OVER (PARTITION BY flags ORDER BY record_key, tu_number, connection_point_raw, confidence) AS k FROM r) WHERE k <= 5""",
     records="observed",
 )
 def quality_json(spark, d):
-    with tempfile.TemporaryDirectory() as folder:
-        export.write_report(quality.report(parse_records(_observed(spark, d))), f"{folder}/quality.json")
-        found = json.loads(Path(f"{folder}/quality.json").read_text(encoding="utf-8"))
-    s = found["summary"]
-    row = (s["total_records"], s["review_records"], len(found["flag_counts"]), int(s["unknown_activity_records"] > 0), found["confidence_buckets"]["high_0_90_1_00"])
-    return spark.createDataFrame([row], "total_records bigint, review_records bigint, flags bigint, unknown bigint, high_0_90_1_00 bigint")
+    """Every number of the report, as its JSON has it; the report itself is of bounded size."""
+    found = json.loads(export.report_text(quality.report(parse_records(_observed(spark, d)))))
+    s, rows = found["summary"], []
+    for section, key, n in (("flag_counts", "flag", "count"), ("quick_wins", "issue", "review_count"), ("review_families", "family", "count"), ("top_review_patterns", "pattern", "count")):
+        rows += [(section, k, r[key], r[n], r.get("unmapped_count"), r.get("pct_of_review")) for k, r in enumerate(found[section])]
+    shares = {"mapped_records": s["mapped_pct"], "review_records": s["review_pct"]}
+    rows += [("summary", 0, k, v, None, shares.get(k)) for k, v in s.items() if k.endswith("_records")]
+    rows += [("confidence_buckets", 0, k, v, None, None) for k, v in found["confidence_buckets"].items()]
+    text = lambda flag, r: f"{flag} {r['tu_number']} {r['connection_point_raw']} {r['canonical_node_id'] or '-'}"
+    rows += [("examples", k, text(flag, r), None, None, r["confidence"]) for flag, shown in found["examples"].items() for k, r in enumerate(shown)]
+    return spark.createDataFrame(rows, "section string, position int, key string, n bigint, unmapped bigint, pct double")
 
 
 @query("SELECT n_nationkey, CAST(to_json({'n_nationkey': n_nationkey, 'n_name': n_name, 'note': CASE WHEN n_nationkey % 2 = 0 THEN 'ї\"' END}) AS VARCHAR) AS payload FROM nation", records=False)
@@ -308,11 +336,10 @@ def json_payload(spark, d):
 
 @query("SELECT source_page, tu_number, canonical_node_id, requested_power_kw, flags, CASE WHEN c_mktsegment = 'BUILDING' THEN 'x' END AS parse_error FROM so JOIN customer ON c_custkey = source_page", records="observed")
 def json_scan(spark, d):
-    """Parsed records written as one list with a field more, and read again by the fixed schema."""
+    """Parsed records written as lists, one a task, with a field more, and read again by the fixed schema."""
     segments = adapter.table(spark, d, "customer").select(F.col("c_custkey").cast("int").alias("source_page"), "c_mktsegment")
     rows = parse_records(adapter.observed(spark, d)).join(segments, "source_page").withColumn("parse_error", F.when(F.col("c_mktsegment") == "BUILDING", "x"))
-    path = f"{scratch_dir(spark)}/list-{uuid.uuid4().hex}"
-    rows.select(F.to_json(F.struct(*PARSED_FIELDS, F.lit(1).alias("unknown")), {"ignoreNullFields": "false"}).alias("r")).agg(F.concat(F.lit("["), F.array_join(F.collect_list("r"), ","), F.lit("]")).alias("value")).write.text(path)
+    export.json_lists(rows.select(*PARSED_FIELDS, F.lit(1).alias("unknown")), path := _folder(spark, "lists"))
     return pages.parsed_json(spark, path).select("source_page", "tu_number", "canonical_node_id", "requested_power_kw", F.array_join("flags", ",").alias("flags"), "parse_error")
 
 
@@ -360,20 +387,128 @@ def output_order(spark, d):
         "flags": quality.flag_counts(parsed).select("flag"),
         "quick_wins": quality.quick_wins(parsed).select("issue"),
     }
-    rows = [(name, n, r[0]) for name, df in outputs.items() for n, r in enumerate(df.toLocalIterator())]
-    return spark.createDataFrame(rows, "output string, position bigint, key string")
+    return reduce(DataFrame.unionByName, (positions(spark, df).select(F.lit(name).alias("output"), "position", F.col(df.columns[0]).alias("key")) for name, df in outputs.items()))
+
+
+def positions(spark, df):
+    """df's rows with the position that they have in the files that it is written to: by file, then by row of it."""
+    path = _folder(spark, "ordered")
+    df.write.parquet(path)
+    rows = spark.read.schema(df.schema).parquet(path).select(*df.columns, F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    files = rows.groupBy("_file").agg(F.count("*").alias("_n"))  # a row a task
+    before = files.select("_file", (F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_file")) - F.col("_n")).alias("_before"))
+    return rows.join(F.broadcast(before), "_file").select(*df.columns, (F.col("_before") + F.col("_row")).cast("bigint").alias("position"))
+
+
+_NODES_OF = "count(DISTINCT canonical_node_id)"
+_ROWS = {  # of both runs, the first of which has no conflicts
+    "pipeline_runs": "2",
+    "tu_raw": "(SELECT count(DISTINCT record_key) FROM so)",
+    "tu_parsed": "(SELECT count(DISTINCT record_key) FROM so)",
+    "tu_row_versions": "(SELECT count(DISTINCT row_fingerprint) FROM so)",
+    "tu_observations": "(SELECT count(*) + count(*) FILTER (j < 2) FROM so)",
+    "tu_snapshot_resolution": "(SELECT count(DISTINCT logical_tu_key) + count(DISTINCT logical_tu_key) FILTER (j < 2) FROM so)",
+    "tu_canonical_parsed": "(SELECT count(DISTINCT logical_tu_key) FILTER (j < 2) + (SELECT count(*) FROM res WHERE sigs = 1) FROM so)",
+    "grid_nodes": f"(SELECT {_NODES_OF} FROM so)",
+    "node_metrics": f"(SELECT {_NODES_OF} + {_NODES_OF} FILTER (j < 2) FROM so)",
+    "node_metrics_v2": f"(SELECT {_NODES_OF} + {_NODES_OF} FILTER (j < 2) FROM so)",
+    "current_node_metrics_v2": f"(SELECT {_NODES_OF} FROM so)",
+}
 
 
-@query("SELECT name FROM (VALUES " + ", ".join(f"('{n}')" for n in sorted(store.TABLES)) + ") t(name)", records=False)
-def ddl_apply(spark, d):
-    """The tables of the catalogue after the statements ran twice, in a database of their own."""
+def declared(spark, d) -> str:
+    """A database of its own over the store of both runs."""
     database = f"registry_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE {database}")
+    for _ in range(2):  # a second call changes nothing
+        store.create_tables(spark, updated(spark, d)[0].path, database)
+    return database
+
+
+@query(f", {_RESOLVED} " + " UNION ALL ".join(f"SELECT '{k}' AS name, CAST({v} AS BIGINT) AS n" for k, v in _ROWS.items()), records="observed")
+def ddl_apply(spark, d):
+    """The rows of all tables, and of the view, as the catalogue has them."""
+    database = declared(spark, d)
     try:
-        for _ in range(2):
-            names = store.create_tables(spark, f"{scratch_dir(spark)}/{database}", database)
-        there = {t.name for t in spark.catalog.listTables(database)}
-        return spark.createDataFrame([(n,) for n in names if n in there], "name string")
+        return spark.createDataFrame([(n, spark.table(f"{database}.{n}").count()) for n in (*store.TABLES, store.VIEW)], "name string, n bigint")
     finally:
         with contextlib.suppress(Exception):
             spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+@query(ORACLE["stored_metrics_v2"], records=False)
+def current_metrics(spark, d):
+    """The view of the latest successful run's metrics; folders of other runs are not read."""
+    rows = spark.table(f"{declared(spark, d)}.{store.VIEW}")
+    return rows.select("canonical_node_id", *_NODE_FIELDS, "ambiguous_tu_count", F.col("ambiguous_capacity_min_mw").alias("low"))
+
+
+_BUCKET = "CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT) % 64"
+
+
+@query(
+    f"""WITH b AS (SELECT *, {_BUCKET} AS bucket, o_orderkey % 1000 = 7 AS changed FROM orders)
+    SELECT CAST(bucket AS INTEGER) AS bucket, count(*) AS rows, CASE WHEN bool_or(changed) THEN 2 ELSE 1 END AS version, count(*) FILTER (changed) AS changed,
+    CAST(sum(CAST(CASE WHEN changed THEN o_totalprice + 1 ELSE o_totalprice END AS DECIMAL(28,2))) AS DOUBLE) AS total, CAST(sum(CAST(o_totalprice AS DECIMAL(28,2))) AS DOUBLE) AS before FROM b GROUP BY 1""",
+    records=False,
+)
+def bucketed_upsert(spark, d):
+    """Which version wrote each bucket of a table after an upsert of a thousandth of its rows, and what a reader of the version before still sees."""
+    table = buckets.Table(spark, _folder(spark, "orders"), fewest=64)
+    orders = adapter.table(spark, d, "orders").select("o_orderkey", F.col("o_totalprice").cast("decimal(28,2)").alias("price"), F.lit(0).alias("changed"))
+    table.upsert(orders, ["o_orderkey"])
+    before = table.read()
+    table.upsert(orders.where("o_orderkey % 1000 = 7").withColumns({"price": (F.col("price") + 1).cast("decimal(28,2)"), "changed": F.lit(1)}), ["o_orderkey"])
+    bucket = (buckets.key_hash(["o_orderkey"]) % 64).cast("int").alias("bucket")
+    now = table.read().groupBy(bucket).agg(F.sum("changed").cast("bigint").alias("changed"), F.sum("price").cast("double").alias("total"))
+    old = before.groupBy(bucket).agg(F.sum("price").cast("double").alias("before"))
+    found = table.manifest()
+    versions = {m.write: m.number for m in table.history()}
+    written = spark.createDataFrame([(int(b), found.rows[b], versions[f.split("/")[0]]) for b, f in found.folders.items()], "bucket int, rows bigint, version int")  # a row a bucket
+    return written.join(now, "bucket").join(old, "bucket").select("bucket", "rows", "version", "changed", "total", "before")
+
+
+#: Of each reference, the rows whose names are spoilt below, and the child's rows, in SQL.
+_FIRST = "substr({c}, 1, 1) = '0'"
+_CHILDREN = {
+    ("tu_parsed", "record_key"): ("SELECT DISTINCT record_key AS v FROM so", _FIRST),
+    ("tu_observations", "row_fingerprint"): ("SELECT row_fingerprint AS v FROM so", _FIRST),
+    ("tu_snapshot_resolution", "representative_fingerprint"): ("SELECT CASE WHEN sigs = 1 THEN fp END AS v FROM res", _FIRST),
+    ("tu_canonical_parsed", "row_fingerprint"): ("SELECT fp AS v FROM res WHERE sigs = 1", _FIRST),
+    ("node_metrics", "canonical_node_id"): ("SELECT DISTINCT canonical_node_id AS v FROM so WHERE canonical_node_id IS NOT NULL", "{c} LIKE '%7'"),
+    ("node_metrics_v2", "canonical_node_id"): ("SELECT DISTINCT canonical_node_id AS v FROM so WHERE canonical_node_id IS NOT NULL", "{c} LIKE '%7'"),
+}
+
+
+def _reference(table: str, column: str):
+    rows, spoilt = _CHILDREN[table, column]
+    parent, key = store.REFERENCES[table][column]
+
+    @query(f", {_RESOLVED}, c AS ({rows}) SELECT count(*) FILTER ({spoilt.format(c='v')}) > 0 AS refused, count(*) FILTER ({spoilt.format(c='v')}) AS orphans, count(*) AS rows, 0::BIGINT AS spoilt_rows FROM c", records="observed")
+    def held(spark, d):
+        kept, _ = updated(spark, d)
+        by_run = store.TABLES[table][1] == "run_id"
+        place = table if table != "node_metrics" else f"{table}/snapshot_date={DAYS[1]}"
+        own = kept.read_run(table, 2) if by_run else kept.read(place)
+        bad = F.expr(spoilt.format(c=column))
+        broken = own.withColumn(column, F.when(bad, F.concat(F.lit("no "), column)).otherwise(F.col(column)))
+        refused = False
+        try:
+            if by_run:
+                kept.write_run(table, 2, broken)
+            else:
+                kept.upsert(place, broken, [own.columns[0]])
+        except Exception as e:  # the task's error, as the driver shows it
+            refused = f"{column} names no row" in str(e)
+        orphans = store.orphans(broken.where(F.col(column).isNotNull()), kept.read(parent), column, key).count()
+        now = kept.read_run(table, 2) if by_run else kept.read(place)
+        counts = now.agg(F.count("*").alias("rows"), F.count_if(F.col(column).startswith("no ")).alias("spoilt_rows"))
+        return counts.select(F.lit(refused).alias("refused"), F.lit(orphans).cast("bigint").alias("orphans"), "rows", "spoilt_rows")
+
+    return held
+
+
+for _table, _column in _CHILDREN:
+    _name = f"held_{_table}_{_column}"
+    _query = _reference(_table, _column)
+    QUERIES[_name], ORACLE[_name] = QUERIES.pop("held"), ORACLE.pop("held")

@@ -8,12 +8,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlode.functions.schemas import AMBIGUITY_METRICS, EXPORT_METRICS, METRICS
+from gridlode.functions.schemas import AMBIGUITY_METRICS, EXPORT_METRICS, METRICS, PARSED_FIELDS
 from gridlode.functions.text import filled
 from gridlode.functions.values import iso_date
 from gridlode.operators import ambiguity, integrity, metrics, quality, snapshot
 from gridlode.operators.identity import observation_key, order, with_identities
 from gridlode.operators.points import parse_records
+from gridlode.sources.files import erased_after
 from gridlode.sources.store import Store, best_by_node, first_wins, last_wins
 
 
@@ -51,7 +52,8 @@ def run_update(spark: SparkSession, raw: DataFrame, store: Store, source: str, a
     """One run over raw records. A failure leaves the run's parts unpublished and the run marked as failed."""
     run_id, as_of = store.start_run(source), as_of or today()
     try:
-        summary = _run(raw, store, run_id, as_of)
+        with erased_after(spark):
+            summary = _run(raw, store, run_id, as_of)
     except Exception as e:
         store.finish_run(run_id, "failed", {}, str(e))
         raise
@@ -60,7 +62,9 @@ def run_update(spark: SparkSession, raw: DataFrame, store: Store, source: str, a
 
 
 def _run(raw: DataFrame, store: Store, run_id: int, as_of: datetime.date) -> Summary:
+    """The run's tables in the order of their references. Counters are observed on the rows as they are written."""
     s = Summary(run_id, as_of)
+    every = F.count(F.lit(1))
     # the run's own copy: later steps read it, not the registry, again
     store.write_run("staged", run_id, with_identities(raw))
     ided = store.read_run("staged", run_id)
@@ -72,32 +76,31 @@ def _run(raw: DataFrame, store: Store, run_id: int, as_of: datetime.date) -> Sum
     s.row_version_count = store.upsert("tu_row_versions", at_first.select("*", *seen), ["row_fingerprint"], {"first_seen_at": "keep_old", "last_seen_at": "greatest"})
     keyed = ided.select(observation_key(F.lit(run_id)).alias("observation_key"), "row_fingerprint", "source_page", "source_row_index", "fetched_at")
     # the key holds the run, so a run's observations are a part of their own and no other is touched
-    store.write_run("tu_observations", run_id, first_wins(keyed, ["observation_key"], order()))
-    s.observation_count = store.read_run("tu_observations", run_id).count()
+    s.observation_count = store.write_run("tu_observations", run_id, first_wins(keyed, ["observation_key"], order()), n=every)["n"]
 
     snap = snapshot.Snapshot(ided)
-    store.write_run("tu_snapshot_resolution", run_id, snap.resolved)
+    clear = F.col("status") == "canonical"
+    counters = {"canonical": F.count_if(clear), "ambiguous": F.count_if(~clear), "collapsed": F.count_if(clear & (F.col("row_version_count") > 1))}
+    got = store.write_run("tu_snapshot_resolution", run_id, snap.resolved, **counters, **ambiguity.overall_counters())
+    s.canonical_count, s.ambiguous_count, s.metadata_collapsed_count = (got[c] for c in counters)
+    s.ambiguous_capacity_min_mw, s.ambiguous_capacity_max_mw = ambiguity.overall_of(got)
     resolved = store.read_run("tu_snapshot_resolution", run_id)
-    by_status = {r["status"]: (r["n"], r["m"]) for r in resolved.groupBy("status").agg(F.count("*").alias("n"), F.count_if(F.col("row_version_count") > 1).alias("m")).collect()}
-    (s.canonical_count, s.metadata_collapsed_count), (s.ambiguous_count, _) = by_status.get("canonical", (0, 0)), by_status.get("ambiguous", (0, 0))
-    store.write_run("tu_canonical_parsed", run_id, snap.canonical())
+    mapped, review = F.count_if(filled(F.col("canonical_node_id")).isNotNull()), F.count_if(F.coalesce("needs_review", F.lit(False)))
+    got = store.write_run("tu_canonical_parsed", run_id, snap.canonical(), mapped=mapped, review=review)
+    s.canonical_mapped_count, s.canonical_review_count = got["mapped"], got["review"]
     canonical = store.read_run("tu_canonical_parsed", run_id)
-
     store.write_run("node_evidence", run_id, snap.variants())
-    found = ambiguity.attributed(store.read_run("node_evidence", run_id), resolved)
-    s.unassigned_ambiguous_count = ambiguity.unassigned(found).first()[AMBIGUITY_METRICS[0]]
-    _, s.ambiguous_capacity_min_mw, s.ambiguous_capacity_max_mw = ambiguity.overall(resolved).first()
 
-    store.write_run("legacy_parsed", run_id, parse_records(ided))
+    got = store.write_run("legacy_parsed", run_id, parse_records(ided), parsed=every, mapped=mapped, review=review)
+    s.parsed_count, s.mapped_count, s.review_count = got["parsed"], got["mapped"], got["review"]
     legacy = store.read_run("legacy_parsed", run_id)
     by_place: Column = F.struct("source_page", "source_row_index", "row_fingerprint")
     raw_columns = [c for c in ided.columns if c not in ("row_fingerprint", "logical_tu_key")]
     latest = last_wins(ided, ["record_key"], by_place).select(*raw_columns, *seen)
     store.upsert("tu_raw", latest, ["record_key"], {"first_seen_at": "keep_old"})
-    store.upsert("tu_parsed", last_wins(legacy, ["record_key"], by_place), ["record_key"])
+    own = ["record_key", *PARSED_FIELDS]
+    store.upsert("tu_parsed", last_wins(legacy, ["record_key"], by_place).select(*own), ["record_key"])
 
-    nodes_v1 = metrics.aggregate_nodes(legacy, as_of)
-    nodes_v2 = ambiguity.with_ambiguity(metrics.aggregate_nodes(canonical, as_of), ambiguity.by_node(found))
     best = best_by_node(legacy, by_place).select(
         "canonical_node_id", F.col("parent_object_type").alias("object_type"), F.col("parent_number").alias("number"), F.col("parent_name").alias("name"),
         F.col("parent_voltage_levels_kv").alias("voltage_levels_kv"), F.lit(as_of).cast("timestamp").alias("first_seen_at"), F.lit(as_of).cast("timestamp").alias("last_seen_at"),
@@ -105,13 +108,14 @@ def _run(raw: DataFrame, store: Store, run_id: int, as_of: datetime.date) -> Sum
     rules = {"object_type": "coalesce", "number": "coalesce", "name": "coalesce", "voltage_levels_kv": "filled_array", "first_seen_at": "least", "last_seen_at": "greatest"}
     s.node_count = store.upsert("grid_nodes", best, ["canonical_node_id"], rules)
     day = F.lit(as_of).alias("snapshot_date")
+    nodes_v1 = metrics.aggregate_nodes(legacy, as_of)
     store.upsert(f"node_metrics/snapshot_date={as_of}", nodes_v1.select("canonical_node_id", day, *METRICS), ["canonical_node_id", "snapshot_date"])
-    store.write_run("node_metrics_v2", run_id, nodes_v2.select("canonical_node_id", day, *METRICS, *AMBIGUITY_METRICS))
-    s.canonical_node_count = store.read_run("node_metrics_v2", run_id).count()
 
-    mapped, review = F.count_if(filled(F.col("canonical_node_id")).isNotNull()), F.count_if(F.coalesce("needs_review", F.lit(False)))
-    s.parsed_count, s.mapped_count, s.review_count = legacy.agg(F.count("*"), mapped, review).first()
-    s.canonical_mapped_count, s.canonical_review_count = canonical.agg(mapped, review).first()
+    found = ambiguity.attributed(store.read_run("node_evidence", run_id), resolved)
+    s.unassigned_ambiguous_count = store.write_run("node_ambiguity", run_id, found, n=F.count_if(F.col("canonical_node_id").isNull()))["n"]
+    found = store.read_run("node_ambiguity", run_id)
+    nodes_v2 = ambiguity.with_ambiguity(metrics.aggregate_nodes(canonical, as_of), ambiguity.by_node(found))
+    s.canonical_node_count = store.write_run("node_metrics_v2", run_id, nodes_v2.select("canonical_node_id", day, *METRICS, *AMBIGUITY_METRICS), n=every)["n"]
     return s
 
 

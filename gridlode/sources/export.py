@@ -5,11 +5,15 @@ from __future__ import annotations
 import csv
 import datetime
 import json
+from collections.abc import Iterator
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridlode.functions.values import json_text
+
 
 def plain(value):
     """A value as JSON has it: rows as objects, dates in ISO form."""
@@ -61,9 +65,13 @@ def write_review_csv(rows: DataFrame, path: str) -> None:
             writer.writerow(row)
 
 
+def report_text(report: dict) -> str:
+    return json.dumps(plain(report), ensure_ascii=False, indent=2)
+
+
 def write_report(report: dict, path: str) -> None:
     with _opened(path) as out:
-        out.write(json.dumps(plain(report), ensure_ascii=False, indent=2))
+        out.write(report_text(report))
 
 
 def payload(df: DataFrame, name: str = "payload") -> DataFrame:
@@ -72,11 +80,33 @@ def payload(df: DataFrame, name: str = "payload") -> DataFrame:
 
 
 def json_lines(df: DataFrame, path: str) -> None:
-    """The distributed form of write_json()."""
+    """The distributed form of write_json(), an object a line."""
     df.write.option("ignoreNullFields", "false").json(path)
 
 
+def json_lists(df: DataFrame, path: str) -> None:
+    """The distributed form of write_json(), a list a file: each task writes its rows as one JSON array."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lead = "["
+        for batch in batches:
+            rows = [f"{',' if n or lead != '[' else lead}{text}" for n, text in enumerate(batch.column(0).to_pylist())]
+            lead = "," if rows else lead
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.string())], ["value"])
+        yield pa.RecordBatch.from_arrays([pa.array(["[]" if lead == "[" else "]"])], ["value"])
+
+    payload(df, "_row").select("_row").mapInArrow(run, "value string").write.text(path)
+
+
+def cell_text(name: str, kind: str) -> Column:
+    """A nested value as JSON; lists have a space after each comma, as in write_csv()."""
+    if not kind.startswith("array<") or kind.startswith(("array<array", "array<map", "array<struct")):
+        return F.to_json(name)
+    items = F.transform(name, lambda x: F.coalesce(json_text(x, kind[6:-1]), F.lit("null")))
+    return F.when(F.col(name).isNotNull(), F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]")))
+
+
 def csv_folder(df: DataFrame, path: str) -> None:
     """The distributed form of write_csv()."""
-    nested = {c for c, kind in df.dtypes if kind.startswith(("array", "map", "struct"))}
-    df.select(*(F.to_json(c).alias(c) if c in nested else F.col(c) for c in df.columns)).write.option("header", True).csv(path)
+    nested = {c: kind for c, kind in df.dtypes if kind.startswith(("array", "map", "struct"))}
+    df.select(*(cell_text(c, nested[c]).alias(c) if c in nested else F.col(c) for c in df.columns)).write.option("header", True).option("escape", '"').csv(path)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+_open: list[list[str]] = []  # paths of written(), by the erased_after() that is open
+
 
 def scratch_dir(spark: SparkSession) -> str:
     """The folder that the session names. Only on one machine does the warehouse stand in where none is set."""
@@ -18,10 +22,33 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame) -> DataFrame:
-    """df written as Parquet and read back, so that what is behind it runs once. The folder goes when the driver ends."""
+    """df written as Parquet and read back, so that what is behind it runs once.
+
+    The folder goes when the innermost erased_after() around the call ends, else when the driver does.
+    """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{uuid.uuid4().hex}"
+    if _open:
+        _open[-1].append(path)
     df.write.parquet(path)
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    hadoop, files = _file_system(spark, path)
+    files.deleteOnExit(hadoop)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def erased_after(spark: SparkSession) -> Iterator[None]:
+    """Erase at the end what written() has made within, as a long stream of runs would fill the folder."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            hadoop, files = _file_system(spark, path)
+            files.delete(hadoop, True)
+            files.cancelDeleteOnExit(hadoop)
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 from urllib.parse import parse_qsl, urlencode, urlsplit, urlunsplit
@@ -142,10 +143,19 @@ def table_records(pages: DataFrame, source: str) -> DataFrame:
     )
 
 
+_LINK = r"(?is)<a\s[^>]*?href\s*=\s*[\"'][^\"']*[?&](?:amp;)?page=(\d+)"
+_LABEL = r"(?is)<a\s[^>]*?href\s*=[^>]*>\s*(\d+)\s*</a>"
+
+
+def last_linked(html: str, fallback: int = 1) -> int:
+    """last_page() of one page that is at hand."""
+    return max([fallback, *(int(n) for p in (_LINK, _LABEL) for n in re.findall(p, html))])
+
+
 def last_page(html: Column, fallback: int = 1) -> Column:
     """The largest page number that a page links to, by address or by label."""
-    links = F.regexp_extract_all(html, F.lit(r"(?is)<a\s[^>]*?href\s*=\s*[\"'][^\"']*[?&](?:amp;)?page=(\d+)"), 1)
-    labels = F.regexp_extract_all(html, F.lit(r"(?is)<a\s[^>]*?href\s*=[^>]*>\s*(\d+)\s*</a>"), 1)
+    links = F.regexp_extract_all(html, F.lit(_LINK), 1)
+    labels = F.regexp_extract_all(html, F.lit(_LABEL), 1)
     found = F.transform(F.concat(links, labels), lambda x: x.try_cast("bigint"))
     return F.greatest(F.lit(fallback).cast("bigint"), F.array_max(F.array_compact(found)))
 

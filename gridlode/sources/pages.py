@@ -10,11 +10,11 @@ from urllib.request import urlopen
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from gridlode.functions.schemas import PARSED
 from gridlode.sources.files import written
-from gridlode.sources.html import last_page, page_url, table_records
+from gridlode.sources.html import last_linked, last_page, page_url, table_records
 
 TIMEOUT, RETRIES, PAUSE = 15.0, 2, 0.25
 
@@ -48,7 +48,11 @@ def fetch(url: str, timeout: float = TIMEOUT, retries: int = RETRIES, get: Calla
 
 
 class RegistryPages(DataSource):
-    """format("registry_pages"): a row for each page from start_page to end_page; a partition for each page."""
+    """format("registry_pages"): a row for each page from start_page to end_page; a partition for each page.
+
+    As a stream, each micro-batch has the pages after those of the batches before it,
+    up to the last one that the start page links to.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -60,16 +64,18 @@ class RegistryPages(DataSource):
     def reader(self, schema) -> DataSourceReader:
         return PageReader(self.options)
 
+    def streamReader(self, schema) -> DataSourceStreamReader:
+        return PageStreamReader(self.options)
+
+
+class _Pages:
+    """What both readers do with a page."""
 
-class PageReader(DataSourceReader):
     def __init__(self, options) -> None:
-        self.base, self.start, self.end = options["base_url"], int(options.get("start_page", 1)), int(options["end_page"])
+        self.base, self.start = options["base_url"], int(options.get("start_page", 1))
         self.timeout, self.retries = float(options.get("timeout", TIMEOUT)), int(options.get("retries", RETRIES))
         self.lenient = options.get("on_error", "fail") == "row"
 
-    def partitions(self) -> list[InputPartition]:
-        return [InputPartition(p) for p in range(self.start, self.end + 1)]
-
     def read(self, partition: InputPartition) -> Iterator[tuple]:
         url, error, html = page_url(self.base, partition.value), None, None
         try:
@@ -81,6 +87,42 @@ class PageReader(DataSourceReader):
         yield partition.value, url, datetime.datetime.now(datetime.timezone.utc), html, error
 
 
+class PageReader(_Pages, DataSourceReader):
+    def __init__(self, options) -> None:
+        super().__init__(options)
+        self.end = int(options["end_page"])
+
+    def partitions(self) -> list[InputPartition]:
+        return [InputPartition(p) for p in range(self.start, self.end + 1)]
+
+
+class PageStreamReader(_Pages, DataSourceStreamReader):
+    """Offsets are the last page that is done, so a query that starts again goes on with the next one.
+
+    open_pages: as many of the last pages may still get records; they wait until there are pages after them.
+    """
+
+    def __init__(self, options) -> None:
+        super().__init__(options)
+        self.open = int(options.get("open_pages", 0))
+
+    def initialOffset(self) -> dict:
+        return {"page": self.start - 1}
+
+    def latestOffset(self) -> dict:
+        """The start page is fetched for its links alone; a registry that gives no answer has no new page."""
+        try:
+            first = fetch(page_url(self.base, self.start), self.timeout, self.retries)
+        except FAILURES:
+            if not self.lenient:
+                raise
+            return self.initialOffset()
+        return {"page": max(self.start - 1, last_linked(first, self.start) - self.open)}
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        return [InputPartition(p) for p in range(start["page"] + 1, end["page"] + 1)]
+
+
 def scan(spark: SparkSession, base_url: str, start_page: int = 1, end_page: int | None = None, on_error: str = "fail") -> DataFrame:
     """Pages of a registry. Without an end, the first page tells the last one; it is fetched once."""
     spark.dataSource.register(RegistryPages)
@@ -92,6 +134,12 @@ def scan(spark: SparkSession, base_url: str, start_page: int = 1, end_page: int
     return first.unionByName(read(start_page + 1, last)) if last > start_page else first
 
 
+def scan_stream(spark: SparkSession, base_url: str, start_page: int = 1, open_pages: int = 0, on_error: str = "fail") -> DataFrame:
+    """Pages of a registry as a stream: what a query has read before, by its checkpoint, it doesn't fetch again."""
+    spark.dataSource.register(RegistryPages)
+    return spark.readStream.format("registry_pages").options(base_url=base_url, start_page=start_page, open_pages=open_pages, on_error=on_error).load()
+
+
 def collect_pages(spark: SparkSession, base_url: str, source: str, start_page: int = 1, end_page: int | None = None) -> DataFrame:
     """Records of a registry, in the order of its pages. A page that can't be fetched ends the scan with a CollectError that holds the records before it."""
     pages_ = written(scan(spark, base_url, start_page, end_page, on_error="row"))

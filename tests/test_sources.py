@@ -209,7 +209,8 @@ def test_tables_of_the_catalogue(spark, tmp_path):
     spark.sql("CREATE DATABASE IF NOT EXISTS ddl_test")
     for _ in range(2):
         names = create_tables(spark, str(tmp_path), "ddl_test")
-    assert spark.table("ddl_test.tu_parsed").columns == ["record_key", *(c.split()[0] for c in PARSED.split(", "))] and len(names) == 9
+    assert spark.table("ddl_test.tu_parsed").columns == ["record_key", *(c.split()[0] for c in PARSED.split(", ")), "_bucket"] and len(names) == 11
+    assert all(spark.table(f"ddl_test.{n}").count() == 0 for n in names)
     spark.sql("DROP DATABASE ddl_test CASCADE")
 
 
