@@ -4,14 +4,15 @@ A streaming parser turns a page into lines, one for each block of text, each
 with the tags seen since the line before. A line's text-to-tag ratio, 0 inside
 barred elements and FAVOUR times as much inside article and main, is smoothed by a
 Gaussian over its neighbours; free lines at or over the standard deviation of
-the smoothed ratios are content. Content lines select regions, and a region is
+the smoothed ratios that aren't mostly links are content. Content lines select regions, and a region is
 kept whole, however short some of its lines are: the nearest container of more
-than one line around a content line, or the article or main element around it,
-if it has LEAST_SHARE of the characters of content that the largest one has. A
-container with two selected parts is selected itself. Where a line's container is
-the page's body, the region is the stretch from the first to the last such
-content line, with the headings and paragraphs that adjoin it. Several articles
-are all kept.
+than one line around a content line, whatever its share of the page. Of a page
+with article or main elements, all of those are selected too. A container with
+two selected parts is selected itself. Where a line's container is the page's
+body, the region is the stretch from the first to the last such content line,
+with the headings and paragraphs that adjoin it. A region outside article and main
+grows within the containers around it, the page excepted: over the lines that adjoin
+it, up to a barred line or one that is mostly links.
 
 Barred are lines inside menus, headers, footers, sidebars, notices, adverts,
 forms, scripts, styles and reader comments, told by element or by whole names in
@@ -21,7 +22,8 @@ hyphen, or begins with it and goes on with a word for a box.
 Defined cases: null, empty or text-free html gives the empty text; unclosed
 elements end with their parents, a head at the first tag or text that can't
 be in one; stray end tags are passed over; a `<![` of no known section is a
-comment up to the next `>`; a line exactly at the threshold is content; without
+comment up to the next `>`; a menu, form, header, footer, sidebar or the like that is
+never closed bars its headings and paragraphs no more; a line exactly at the threshold is content; without
 content lines all free lines are kept; repeated rows give a row each; an empty
 table gives no rows; a very long page is one string in a Python worker, with its
 lines, in time that grows with its length; other columns play no part.
@@ -43,7 +45,7 @@ from gridlode.llm.common import small_batches
 
 SIGMA, RADIUS = 1.0, 2
 FAVOUR = 2.0
-LEAST_SHARE = 0.1
+MOST_LINKED = 0.5
 
 # Elements by their part in a page, and names that classes, ids and roles are made of.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -51,6 +53,7 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 CLOSES_P = frozenset("address article aside blockquote center details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 IN_HEAD = frozenset("html head title base basefont link meta style script noscript template bgsound".split())
 BARRED = frozenset("nav footer aside form script style noscript template head title button select textarea svg iframe object canvas dialog menu".split())
+OPEN_ENDED = frozenset("nav footer aside form menu".split())
 ROOTS = frozenset(("article", "main"))
 CONTAINERS = frozenset("article main section div td center details figure".split())
 PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
@@ -90,6 +93,7 @@ class Line(NamedTuple):
     barred: bool
     paragraph: bool
     container: int
+    linked: int = 0  # characters in links, as they stand
 
 
 class _Lines(HTMLParser):
@@ -99,18 +103,18 @@ class _Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
         self.parents, self.roots = [0], [False]
-        self.stack: list[tuple[str, bool, int]] = []  # element, and barred and container before it
+        self.stack: list[tuple[str, bool, int, int]] = []  # element, barred and container before it, and the lines before it
         self.parts: list[str] = []
-        self.tags = self.container = 0
+        self.tags = self.container = self.links = self.linked = 0
         self.barred = self.paragraph = False
 
     def flush(self) -> None:
         if self.parts:
             text = _SPACE.sub(" ", "".join(self.parts)).strip()
             if text:
-                self.lines.append(Line(text, self.tags, self.barred, self.paragraph, self.container))
+                self.lines.append(Line(text, self.tags, self.barred, self.paragraph, self.container, self.linked))
                 self.tags = 0
-            self.parts = []
+            self.parts, self.linked = [], 0
 
     def _in_root(self) -> bool:
         return any(s[0] in ROOTS for s in self.stack)
@@ -129,6 +133,7 @@ class _Lines(HTMLParser):
         if tag not in IN_HEAD and self.stack and any(s[0] == "head" for s in self.stack[-2:]):
             self._close("head")
         if tag in INLINE:
+            self.links += tag == "a"
             if tag == "br":
                 self.parts.append(" ")
             elif attrs and tag not in VOID and not self.barred and self._bars(tag, attrs):
@@ -151,20 +156,36 @@ class _Lines(HTMLParser):
         self.paragraph = tag in PARAGRAPHS
 
     def _open(self, tag: str, barred: bool) -> None:
-        self.stack.append((tag, self.barred, self.container))
+        self.stack.append((tag, self.barred, self.container, len(self.lines)))
         self.barred = barred
 
     def _close(self, tag: str) -> None:
         for n in range(len(self.stack) - 1, -1, -1):
             if self.stack[n][0] == tag:
                 self.flush()
-                _, self.barred, self.container = self.stack[n]
+                self._free(n + 1)
+                _, self.barred, self.container, _ = self.stack[n]
                 del self.stack[n:]
                 self.paragraph = False
                 return
 
+    def _free(self, first: int) -> None:
+        """Of the open elements from `first` on, which get no end tag, the first that bars its lines bars paragraphs no more."""
+        for n in range(first, len(self.stack)):
+            tag, before, _, since = self.stack[n]
+            now = self.stack[n + 1][1] if n + 1 < len(self.stack) else self.barred
+            if now and not before and (tag not in BARRED or tag in OPEN_ENDED):
+                self.lines[since:] = [x._replace(barred=x.barred and not x.paragraph) for x in self.lines[since:]]
+                return
+
+    def close(self) -> None:
+        super().close()
+        self.flush()
+        self._free(0)
+
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
+        self.links -= tag == "a" and self.links > 0
         if tag not in INLINE:
             self.flush()
             self._close(tag)
@@ -184,6 +205,7 @@ class _Lines(HTMLParser):
         if self.stack and self.stack[-1][0] == "head" and data.strip():
             self._close("head")
         self.parts.append(data)
+        self.linked += len(data.strip()) if self.links else 0
 
 
 def _smoothed(ratios: np.ndarray) -> np.ndarray:
@@ -196,7 +218,12 @@ def content_lines(lines: list[Line], inside: list[bool]) -> np.ndarray:
     """Which lines the smoothed text-to-tag ratios make content. inside: of each container, whether it is in an article or main."""
     ratios = np.array([0.0 if x.barred else len(x.text) / max(1, x.tags) * (FAVOUR if inside[x.container] else 1.0) for x in lines])
     smooth = _smoothed(ratios)
-    return (smooth >= smooth.std()) & ~np.array([x.barred for x in lines])
+    return (smooth >= smooth.std()) & ~np.array([x.barred or _links(x) for x in lines])
+
+
+def _links(line: Line) -> bool:
+    """Whether a line is mostly links: such a line selects no region, but stays in one."""
+    return line.linked > MOST_LINKED * len(line.text)
 
 
 def regions(lines: list[Line], parents: list[int], roots: list[bool]) -> list[int]:
@@ -217,12 +244,7 @@ def regions(lines: list[Line], parents: list[int], roots: list[bool]) -> list[in
     region = list(range(len(parents)))  # of each container, the region that its lines stand for
     for c in range(1, len(parents)):
         region[c] = outermost[c] if inside[c] else c if count[c] > 1 else region[parents[c]]
-    mass: dict[int, int] = {}
-    for n in np.flatnonzero(content).tolist():
-        at = region[lines[n].container]
-        mass[at] = mass.get(at, 0) + len(lines[n].text)
-    least = LEAST_SHARE * max(mass.values())
-    picked = {c for c, m in mass.items() if m >= least}
+    picked = {region[lines[n].container] for n in np.flatnonzero(content).tolist()} | {c for c in range(1, len(parents)) if outermost[c] == c and inside[c]}
     selected = [c in picked for c in range(len(parents))]
     parts: dict[int, int] = {}
     for c in range(len(parents) - 1, 0, -1):  # children come first
@@ -234,6 +256,7 @@ def regions(lines: list[Line], parents: list[int], roots: list[bool]) -> list[in
     for c in range(1, len(parents)):
         whole[c] = selected[c] or whole[parents[c]]
     out = {n for n in free if whole[lines[n].container]}
+    out |= _adjoining(lines, parents, [n for n in out if not inside[lines[n].container]])
     if selected[0]:
         own = [n for n in free if region[lines[n].container] == 0]
         hits = [k for k, n in enumerate(own) if content[n]]
@@ -246,13 +269,35 @@ def regions(lines: list[Line], parents: list[int], roots: list[bool]) -> list[in
     return sorted(out)
 
 
+def _adjoining(lines: list[Line], parents: list[int], region: list[int]) -> set[int]:
+    """The lines next to those of a region that lie in a container with it, up to a barred one or one that is mostly links."""
+    found, inner = set(), set(region)
+    for step in (-1, 1):
+        for n in region:
+            if n + step in inner:
+                continue
+            around, c = set(), parents[lines[n].container] if lines[n].container else 0
+            while c:
+                around.add(c)
+                c = parents[c]
+            k = n + step
+            while 0 <= k < len(lines) and k not in inner and not lines[k].barred and not _links(lines[k]):
+                c = lines[k].container
+                while c and c not in around:
+                    c = parents[c]
+                if not c:
+                    break
+                found.add(k)
+                k += step
+    return found
+
+
 def main_text(html: str | None) -> str:
     if not html:
         return ""
     parser = _Lines()
     parser.feed(html)
     parser.close()
-    parser.flush()
     if not parser.lines:
         return ""
     return "\n\n".join(parser.lines[n].text for n in regions(parser.lines, parser.parents, parser.roots))
