@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlode.functions.schemas import RAW
+from gridlode.sources.files import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +29,10 @@ def points() -> Column:
     )
 
 
+#: The columns of lineitem that records are made of.
+LINE = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate")
+
+
 def records(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     """A raw record for each line item, with its columns `keep` besides."""
     part, order, day = F.col("l_partkey"), F.col("l_orderkey"), F.date_format("l_shipdate", "yyyy-MM-dd")
@@ -53,7 +58,7 @@ def records(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
         "payment_date": day,
     }
     kinds = dict(c.split() for c in RAW.split(", "))
-    return table(spark, sf_dir, "lineitem").select(*keep, *(columns[c].cast(k).alias(c) for c, k in kinds.items()))
+    return spread(table(spark, sf_dir, "lineitem").select(*LINE)).select(*keep, *(columns[c].cast(k).alias(c) for c, k in kinds.items()))
 
 
 def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:

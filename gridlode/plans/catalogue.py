@@ -17,7 +17,7 @@ from gridlode.operators.points import parse_points, parse_records
 from gridlode.plans import adapter
 from gridlode.plans.adapter import table
 from gridlode.sources import html, store
-from gridlode.sources.files import written
+from gridlode.sources.files import spread, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -191,7 +191,7 @@ _FOLDED = r"""trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(r
 
 @query(f"SELECT doc_id, {_FOLDED.format(x='nfc_normalize(text)')} AS normalized FROM documents", records=False)
 def text_normalize(spark, d):
-    return table(spark, d, "documents").select("doc_id", T.normalize(F.col("text")).alias("normalized"))
+    return spread(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", T.normalize(F.col("text")).alias("normalized"))
 
 
 @query(
@@ -492,6 +492,16 @@ def number_text(spark, d):
     return rows.select("*", V.float_text(F.col("x")).alias("shortest"), V.general_text(F.col("x")).alias("general"))
 
 
+_TIE = "CAST(l_orderkey * 7919 + l_linenumber + 100000000000 AS VARCHAR) || '5e' || CAST(l_partkey % 90 - 60 AS VARCHAR)"
+
+
+@query(f"SELECT l_orderkey, l_linenumber, x, printf('%.12g', x) AS general FROM (SELECT l_orderkey, l_linenumber, CAST({_TIE} AS DOUBLE) AS x FROM lineitem)", records=False)
+def number_text_ties(spark, d):
+    """Doubles next to a half of the twelfth digit, which their binary value decides."""
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.expr(_TIE.replace("VARCHAR", "STRING")).cast("double").alias("x"))
+    return rows.select("*", V.general_text(F.col("x")).alias("general"))
+
+
 @query(
     "SELECT l_orderkey, l_linenumber, l_quantity, CASE l_linenumber % 4 WHEN 0 THEN l_quantity WHEN 1 THEN l_quantity + 0.5 WHEN 2 THEN l_quantity * 1000 + 5 END::DOUBLE AS power FROM lineitem",
     records=False,

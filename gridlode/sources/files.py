@@ -36,6 +36,20 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of an input that has less than a split for each core, dealt out to all cores.
+
+    A scan can't part a file's row groups, so what is computed next to it would run
+    on few cores. An input of more splits than cores, by its size, is left as it is:
+    it needs no exchange, and one would cost more the larger it is.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return df.repartition(cores) if 1 < cores and size < cores * split else df
+
+
 @contextlib.contextmanager
 def erased_after(spark: SparkSession) -> Iterator[None]:
     """Erase at the end what written() has made within, as a long stream of runs would fill the folder."""

@@ -26,3 +26,25 @@ def test_scans_are_narrow(spark):
 def test_no_cross_join_of_tables(spark):
     for name in ("metrics_with_ambiguity", "node_pressure", "flag_counts"):
         assert "CartesianProduct" not in plan(spark, name)
+
+
+@pytest.mark.parametrize("name", ["integrity_audit", "quality_summary", "flag_counts", "quick_wins"])
+def test_one_scan_for_a_report_s_sections(spark, name):
+    """Each section, and the audit, reads its records once; what parse_records() has written is no scan of the source."""
+    assert plan(spark, name).count("FileScan parquet [l_") == 1
+
+
+def test_a_report_reads_its_rows_twice(spark, tmp_path, monkeypatch):
+    """Once for all counts, once for the examples."""
+    from gridlode.operators import quality
+    from gridlode.plans import adapter
+
+    adapter.parsed(spark, SF).write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    scans = lambda df: df._jdf.queryExecution().executedPlan().toString().count("FileScan parquet")
+    assert scans(quality.profiles(rows)) == 1 and scans(quality.examples(rows)) == 1
+    found = quality.report(rows)
+    assert found["summary"]["total_records"] == rows.count()
+    counted = quality.profiles(rows)
+    for section in (quality.summary, quality.confidence_buckets, quality.flag_counts, quality.quick_wins, quality.family_counts, quality.pattern_counts):
+        assert [r.asDict() for r in section(rows).collect()] == [r.asDict() for r in section(counted).collect()]

@@ -5,6 +5,9 @@ import datetime
 import http.client
 import http.server
 import json
+import math
+import random
+import struct
 import threading
 
 import pytest
@@ -191,6 +194,16 @@ def test_number_texts(spark):
     assert got.pop(-1) == (None, None) and [got[n] for n in range(len(NUMBERS))] == [(f, g) for _, f, g in NUMBERS]
 
 
+def test_twelve_digits_are_exact(spark):
+    """Halves of the twelfth digit, which the binary value decides, subnormal numbers, and any bits."""
+    rng = random.Random(1)
+    some = [float(f"{rng.randrange(10**11, 10**12)}5e{rng.choice((rng.randrange(-335, 295), rng.randrange(-20, 10)))}") * rng.choice((1, -1)) for _ in range(3000)]
+    some += [struct.unpack("<d", struct.pack("<Q", rng.getrandbits(bits)))[0] for bits in (52, 64) for _ in range(1000)] + [5e-324, 2.2250738585072014e-308, 100000000000.5, 999999999999.5, 99999999999.95]
+    some = [x for x in some if math.isfinite(x)]
+    got = spark.createDataFrame(list(enumerate(some)), "n int, x double").repartition(4).select("n", values.general_text(F.col("x"))).collect()
+    assert [(some[n], t) for n, t in got if t != "%.12g" % some[n]] == []
+
+
 def test_digits_of_other_scripts(spark):
     row = spark.createDataFrame([("ПС ٣٥/١٠ кВ №5 А", "٣,٥")], "p string, v string")
     assert points.parse_points(row, "p").first()["parent_voltage_levels_kv"] == [35.0, 10.0] and row.select(values.power(F.col("v"))).first()[0] == 3.5
