@@ -184,8 +184,8 @@ class Duplicates:
         texts = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), row_hash(columns).alias("row"))
         self.signed = written(texts.mapInArrow(_signed, "doc_id long, row long, node binary, bands array<long>"))
         first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))  # null ids last
-        nodes = self.signed.groupBy("node").agg(first.alias("first"), F.first("bands").alias("bands"))
-        self.nodes = written(nodes.select("node", "first", F.col("first.doc_id").alias("doc_id"), "bands"))
+        nodes = self.signed.groupBy("node").agg(first.alias("first"), F.first("bands").alias("bands"), F.count("*").alias("copies"))
+        self.nodes = written(nodes.select("node", "first", F.col("first.doc_id").alias("doc_id"), "copies", "bands"))
         keyed = self.nodes.select("node", F.explode("bands").alias("key"))
         pivot = F.min(F.struct(F.xxhash64("node"), "node"))["node"]  # mostly the same in all bands of a group
         buckets = written(keyed.groupBy("key").agg(F.count("*").alias("n"), pivot.alias("pivot")).where("n > 1"))
@@ -278,18 +278,25 @@ class Duplicates:
 
     def _labelled(self) -> DataFrame:
         label = F.coalesce("label", "node")
-        return self.nodes.select("node", "doc_id", "first").join(self.labels, "node", "left").select("node", "doc_id", "first", label.alias("label"))
+        return self.nodes.select("node", "doc_id", "first", "copies").join(self.labels, "node", "left").select("node", "doc_id", "first", "copies", label.alias("label"))
 
     def firsts(self) -> DataFrame:
         """The row hash of one row of each class: the smallest doc_id's, null ids last."""
         return self._labelled().groupBy("label").agg(F.min("first")["row"].alias("row")).select("row").distinct()
 
     def classes(self) -> DataFrame:
-        """doc_id, class_id (the smallest doc_id of the class) for each row."""
+        """doc_id, class_id (the smallest doc_id of the class), class_size (its rows), n_links and copies for each row.
+
+        n_links are the other texts that this one was verified to be similar to: all of
+        them in buckets of SMALL texts at most, in larger ones those that hold its class
+        together, as all pairs of a large group are never made. copies are the rows of
+        its very text, itself included.
+        """
         nodes = self._labelled()
-        first = nodes.groupBy("label").agg(F.min("doc_id").alias("class_id"))
-        of_node = nodes.join(first, "label").select("node", "class_id")
-        return self.signed.select("doc_id", "node").join(of_node, "node").select("doc_id", "class_id")
+        first = nodes.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.sum("copies").alias("class_size"))
+        ends = self.links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
+        of_node = nodes.join(first, "label").join(ends, "node", "left").select("node", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).alias("n_links"), "copies")
+        return self.signed.select("doc_id", "node").join(of_node, "node").select("doc_id", "class_id", "class_size", "n_links", "copies")
 
 
 def query(spark, sf_dir):

@@ -50,7 +50,7 @@ SIMILARITY = 0.8
 RECALL = 0.97
 STEPS_SAMPLED = 2
 MOST_REPEATS = 512
-PAIR_BITS, OWN_BITS = 20, 11
+BITS_A_PAIR, OWN_BITS = 16, 11
 BLOCK_WORDS = 1 << 20
 TRIALS = 256  # edited items from which a class's repeats are set
 WORDS_AT_ONCE = 1 << 19
@@ -257,10 +257,12 @@ class Benchmark:
         self.vocabulary = {w: n for n, w in enumerate(dict.fromkeys(w for t in texts for w in t), PAD + 1)}
         seeds = np.array([11, 13, *(xxhash.xxh64_intdigest(w) for w in self.vocabulary)], np.uint64)
         self._seeds, self._bits = seeds, {}
-        self.pairs = np.zeros(1 << PAIR_BITS, bool)  # by hash: a clash only lets a window through
         items = [np.array([self.vocabulary[w] for w in t], np.int64) for t in texts]
+        # by hash, where a clash only lets a window through: as many bits as keep nearly all other pairs out
+        self.pair_bits = max(OWN_BITS, (BITS_A_PAIR * sum(len(item) for item in items)).bit_length())
+        self.pairs = np.zeros(1 << self.pair_bits, bool)
         for item in items:
-            self.pairs[pair_code(item[:-1], item[1:], PAIR_BITS)] = True
+            self.pairs[pair_code(item[:-1], item[1:], self.pair_bits)] = True
         self.items, self.similarity = items, similarity
         pieces: list[np.ndarray] = []
         of: list[tuple[int, int]] = []  # of each piece, its item and its place there
@@ -298,7 +300,7 @@ class Benchmark:
         known = sequence > PAD
         both = np.flatnonzero(known[:-1] & known[1:])
         pairs = np.zeros(len(sequence) + 1, np.int32)
-        pairs[both[self.pairs[pair_code(sequence[both], sequence[both + 1], PAIR_BITS)]] + 1] = 1
+        pairs[both[self.pairs[pair_code(sequence[both], sequence[both + 1], self.pair_bits)]] + 1] = 1
         begun = np.cumsum(pairs, dtype=np.int32)  # pairs that begin before each position
         found: dict[tuple[int, int], tuple[int, int]] = {}
         tried: set[tuple[int, int, int]] = set()  # places of long items

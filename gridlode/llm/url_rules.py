@@ -1,9 +1,11 @@
 """URL verdicts: a fixed rule list first, then association rules mined by FP-growth.
 
 A URL is the set of its tokens: host labels by place, path segments, query
-names, with digits as #. Half of the labelled URLs (by a hash of the URL), with a
-token for the class "block" where the label says so, go to Spark's FP-growth.
-Frequent sets that hold the class token give rules "tokens -> block". A rule stays
+names, with digits as #. Tokens that stand in exactly the same of the URLs to be
+mined are one item, so that long URLs that share many tokens don't give all of
+their subsets; a rule has all tokens of its items (it is closed). Half of the labelled URLs
+(by a hash of the URL), with an item for the class "block" where the label says
+so, go to Spark's FP-growth. Frequent sets that hold the class token give rules "tokens -> block". A rule stays
 if its confidence is CONFIDENCE of the way from the share of blocked URLs to
 certainty, in the half it was mined on and again in the other, each time on
 LEAST_ROWS URLs at least; and if no other rule's tokens are among its own. Rules match by an
@@ -21,6 +23,7 @@ empty table gives no rows; other columns play no part.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -108,24 +111,42 @@ def holding(rows: DataFrame, rules: DataFrame) -> DataFrame:
     return found.where(F.size(F.array_except("antecedent", "tokens")) == 0)
 
 
+def item_groups(rows: DataFrame, least: int) -> DataFrame:
+    """item, members: tokens that `least` rows (id, tokens) or more have, together where they are in the same rows; the first names them.
+
+    Sets of rows are told apart by their number and 128 bits over their ids.
+    """
+    each = rows.select("id", F.explode("tokens").alias("token"))
+    tokens_ = each.groupBy("token").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y")).where(F.col("n") >= least)
+    return written(tokens_.groupBy("n", "x", "y").agg(F.min("token").alias("item"), F.array_sort(F.collect_list("token")).alias("members")).select("item", "members"))
+
+
 def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame | None:
     """antecedent, rows, confidence, held_rows, held_confidence from rows (url, bad); None where nothing is mined."""
     from pyspark.ml.fpm import FPGrowth
 
     rows = labelled.where("url is not null and bad is not null").select("url", F.col("bad").cast("boolean").alias("bad"))
     rows = tokenized(rows, "url").where("size(tokens) > 0").withColumn("held", F.crc32(F.col("url").cast("binary")) % 2 == 1)
-    rows = written(rows.select("tokens", "bad", "held"))
+    rows = written(rows.select(F.monotonically_increasing_id().alias("id"), "tokens", "bad", "held"))
     counts = {r["held"]: (r["n"], r["bad"] / r["n"]) for r in rows.groupBy("held").agg(F.count("*").alias("n"), F.count_if("bad").alias("bad")).collect()}
     if len(counts) < 2 or counts[False][0] < LEAST_ROWS:
         return None
     need = {held: share + confidence * (1 - share) for held, (_, share) in counts.items()}
-    items = rows.where("not held").select(F.when(F.col("bad"), F.array_append("tokens", F.lit(BLOCK))).otherwise(F.col("tokens")).alias("items"))
-    found = FPGrowth(itemsCol="items", minSupport=max(support, LEAST_ROWS / counts[False][0])).fit(items).freqItemsets
+    least = max(support, LEAST_ROWS / counts[False][0])
+    mined = rows.where("not held")
+    groups = item_groups(mined.select("id", "tokens"), math.ceil(least * counts[False][0] - 1e-9))
+    named = groups.select("item", F.explode("members").alias("token"))
+    own = mined.select("id", F.explode("tokens").alias("token")).join(named, "token").groupBy("id").agg(F.collect_set("item").alias("items"))
+    items = F.coalesce("items", F.array().cast("array<string>"))
+    items = mined.select("id", "bad").join(own, "id", "left").select(F.when(F.col("bad"), F.array_append(items, F.lit(BLOCK))).otherwise(items).alias("items"))
+    found = FPGrowth(itemsCol="items", minSupport=least).fit(items).freqItemsets
     found = found.select(F.array_sort("items").alias("items"), "freq")
     whole = found.where(~F.array_contains("items", BLOCK)).select(F.col("items").alias("antecedent"), F.col("freq").alias("rows"))
     bad = found.where(F.array_contains("items", BLOCK) & (F.size("items") > 1)).select(F.array_remove("items", BLOCK).alias("antecedent"), F.col("freq").alias("blocked"))
     rules = bad.join(whole, "antecedent").withColumn("confidence", F.col("blocked") / F.col("rows"))
-    rules = written(rules.where(F.col("confidence") >= need[False]).select("antecedent", "rows", "confidence"))
+    rules = rules.where(F.col("confidence") >= need[False]).select("rows", "confidence", "antecedent", F.explode("antecedent").alias("item"))
+    rules = rules.join(groups, "item").groupBy("antecedent", "rows", "confidence").agg(F.array_sort(F.flatten(F.collect_list("members"))).alias("closed"))
+    rules = written(rules.select(F.col("closed").alias("antecedent"), "rows", "confidence"))
     checked = holding(rows.where("held").select("tokens", "bad"), rules)
     checked = checked.groupBy("antecedent").agg(F.count("*").alias("held_rows"), (F.count_if("bad") / F.count("*")).alias("held_confidence"))
     return rules.join(checked.where((F.col("held_rows") >= LEAST_ROWS) & (F.col("held_confidence") >= need[True])), "antecedent")

@@ -384,6 +384,36 @@ def test_near_duplicate_classes_equal_brute_force(spark):
             assert {r["doc_id"]: r["class_id"] for r in got.classes().collect()} == dict(enumerate(true))
 
 
+def test_links_and_sizes_equal_all_pairs(spark):
+    """Groups of two to seven near copies, some of them there several times: every similar pair of texts is counted."""
+    rng = np.random.default_rng(31)
+    words = lambda n: [f"w{k}" for k in rng.integers(0, 3000, n)]
+    texts = []
+    for _ in range(25):
+        base = words(120)
+        for _ in range(int(rng.integers(1, 8))):
+            copy = list(base)
+            for at in rng.integers(0, 120, int(rng.integers(0, 8))):
+                copy[at] = words(1)[0]
+            texts += [" ".join(copy)] * int(rng.integers(1, 4))
+    texts += ["", "", "one two"]
+    bags_, own = [bag(t) for t in texts], _classes([bag(t) for t in texts])
+    alike = lambda a, b: sum((a & b).values()) >= 0.8 * sum((a | b).values()) - 1e-9
+    got = {r["doc_id"]: r for r in bagminhash.Duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).classes().collect()}
+    assert max(r["n_links"] for r in got.values()) > 2
+    for n, t in enumerate(texts):
+        others = {u for u, b in zip(texts, bags_) if u != t and t and u and alike(bags_[n], b)}
+        assert (got[n]["n_links"], got[n]["copies"]) == (len(others), texts.count(t))
+        assert got[n]["class_size"] == (own.count(own[n]) if t else 2)
+
+
+def test_pair_bits_grow_with_the_block():
+    """Few pairs of other words pass the first filter, however many items a block has."""
+    for n in (10, 4_000):
+        found = decontamination.Benchmark([(k, " ".join(f"a{k}x{j}" for j in range(4))) for k in range(n)])
+        assert found.pairs.mean() < 0.08 and len(found.pairs) >= 16 * 3 * n
+
+
 def test_near_duplicate_classes_of_the_small_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = sorted((r["doc_id"], r["text"] or "") for r in docs.collect())
@@ -395,7 +425,10 @@ def test_near_duplicate_classes_of_the_small_table(spark):
 
 
 def test_mined_rules_equal_brute_force(spark):
-    """All token sets up to the largest URL, on 50 URLs; matching and pruning against plain sets."""
+    """All closed token sets up to the largest URL, on 50 URLs; matching and pruning against plain sets.
+
+    A set is closed if it has all tokens that stand in the same mined URLs as one of its own.
+    """
     rng = np.random.default_rng(21)
     hosts = ["bad.org", "good.org", "shop.net"]
     urls = [f"http://{hosts[rng.integers(3)]}/{'ab'[rng.integers(2)]}/{'xyz'[rng.integers(3)]}{'?buy' if rng.integers(2) else ''}" for _ in range(50)]
@@ -405,7 +438,12 @@ def test_mined_rules_equal_brute_force(spark):
     n = held.count(False)
     true = {}
     sets = {frozenset(c) for u in urls for k in range(1, len(url_rules.tokens(u)) + 1) for c in itertools.combinations(url_rules.tokens(u), k)}
+    mined = [set(url_rules.tokens(u)) for u, x in zip(urls, held) if not x]
+    where = {t: tuple(t in m for m in mined) for u in urls for t in url_rules.tokens(u)}
+    often = {t for t in where if sum(where[t]) >= max(url_rules.SUPPORT * n, url_rules.LEAST_ROWS)}
     for s in sets:
+        if s - often or any(where[t] == where[o] for t in often - s for o in s):
+            continue
         fits = {h: [bad for (u, bad), x in zip(rows, held) if x == h and s <= set(url_rules.tokens(u))] for h in (False, True)}
         if sum(fits[False]) >= max(url_rules.SUPPORT * n, url_rules.LEAST_ROWS) and len(fits[True]) >= url_rules.LEAST_ROWS:
             if all(np.mean(fits[h]) >= share[h] + url_rules.CONFIDENCE * (1 - share[h]) for h in fits):
@@ -420,6 +458,19 @@ def test_mined_rules_equal_brute_force(spark):
     assert blocked == {u for u in urls if any(s <= set(url_rules.tokens(u)) for s in least)}
 
 
+def test_long_urls_with_the_same_tokens_are_mined_fast(spark):
+    """60 shared path segments, whose subsets FP-growth could not list."""
+    long = "http://bad.org/" + "/".join(f"s{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(60))
+    rows = [(f"{long}/{n}", True) for n in range(40)] + [(f"http://good.org/p/{n}", False) for n in range(40)]
+    began = time.perf_counter()
+    rules = url_rules.pruned(url_rules.mine(spark.createDataFrame(rows, "url string, bad boolean")))
+    found = [set(r["antecedent"]) for r in rules.collect()]
+    assert time.perf_counter() - began < 60 and len(found) == 1
+    assert {"path:saa", "host1:bad"} <= found[0] and "scheme:http" not in found[0] and len(found[0]) == 61
+    urls = spark.createDataFrame([(f"{long}/7x",), (long,), ("http://bad.org/saa",), (None,)], "url string")
+    assert {r["url"] for r in url_rules.matched(urls, rules).collect()} == {f"{long}/7x", long}
+
+
 def test_labels_go_by_the_number_in_the_path(spark):
     pages = spark.createDataFrame([(1, "http://a.b/en/12?page=7"), (2, "http://a.b/34.html#9"), (3, "http://a.b/"), (4, None), (5, "x12")], "page_id long, url string")
     labels = spark.createDataFrame([(12, 1, 1), (34, 1, 0), (7, 0, 0), (9, 0, 1), (None, 0, 0)], "doc_id long, quality int, toxic int")
