@@ -319,6 +319,14 @@ def viterbi(score: np.ndarray, move: np.ndarray, starts: np.ndarray, sizes: np.n
     return out
 
 
+_QUAD = re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}\Z")
+
+
+def is_quad(text: str) -> bool:
+    """Four parts of at most 255: an added address of the net is nothing else, whatever looks like one."""
+    return bool(_QUAD.match(text)) and all(int(p) <= 255 for p in text.split("."))
+
+
 _WORD = re.compile(r"\S+")
 _TRIM = ".,;:!?\"'#$%&*|"
 
@@ -369,7 +377,7 @@ def added_spans(texts: list[str], types: WordTypes) -> list[list[tuple[int, int,
                     a += 1
                 while b > a and texts[text][b - 1] in _TRIM:
                     b -= 1
-                if a < b:
+                if a < b and (KINDS[tags[i] - 1] != "ip" or is_quad(texts[text][a:b])):
                     out[text].append((int(tags[i]) - 1, a, b))
             i = j
     return out

@@ -502,6 +502,14 @@ def test_personal_data_of_other_shapes_than_trained():
     assert found >= 0.95 * sum(map(len, got))
 
 
+def test_added_addresses_of_the_net_have_four_parts():
+    types = pii.trained().types()
+    for text in ("call 050-123-45-67 now", "invoice 2023-10-11-0042 is due", "build 10.400.3.7 is out", "at 999.1.1.1 or 1-2-3-4"):
+        assert not [s for s in pii.all_spans([text], types)[0][1] if pii.KINDS[s[0]] == "ip"], text
+    assert pii.written_out(pii.all_spans(["from 10.40.3.7 here"], types)[0][1]) == "ip:5:14"
+    assert pii.is_quad("1.2.3.255") and not pii.is_quad("1.2.3.256") and not pii.is_quad("1.2.3.4.5")
+
+
 def test_long_texts_of_many_lines_take_linear_time():
     types = pii.trained().types()
     line = "call (555) 123-4567 now"
