@@ -73,15 +73,27 @@ def unpacked(data) -> np.ndarray:
 TEXTS_AT_ONCE = 1_000
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_before: dict[str, str] = {}  # the session's own number, by application
+
+
 def small_batches(df: DataFrame) -> DataFrame:
-    """df, with the session's Arrow batches set to TEXTS_AT_ONCE rows where they are larger. Plans read this when they run."""
-    spark, name = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(name))
-    if now <= 0 or now > TEXTS_AT_ONCE:
-        spark.conf.set(name, str(TEXTS_AT_ONCE))
+    """df, with the session's Arrow batches set to TEXTS_AT_ONCE rows where they are larger. Plans read this when they run; own_batches() undoes it."""
+    spark = df.sparkSession
+    now = spark.conf.get(_BATCH)
+    if int(now) <= 0 or int(now) > TEXTS_AT_ONCE:
+        _before[spark.sparkContext.applicationId] = now
+        spark.conf.set(_BATCH, str(TEXTS_AT_ONCE))
     return df
 
 
+def own_batches(spark: SparkSession) -> None:
+    """Give the session back the size of Arrow batches that it had before small_batches()."""
+    before = _before.pop(spark.sparkContext.applicationId, None)
+    if before is not None:
+        spark.conf.set(_BATCH, before)
+
+
 def crc_mod(name: str, n: int) -> Column:
     """crc32 of the value as text, modulo n (a null value counts as the empty text)."""
     return F.crc32(F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary")) % n

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from gridlode.llm import bagminhash, chat, decontamination, html_text, language_model, neighbours, packing, periodic, pii, ranking, sharding, toxicity, url_rules
+from gridlode.llm.common import own_batches  # noqa: F401  (for queries that run after these)
 
 QUERIES = {
     "op1_pii": pii.query,

@@ -105,3 +105,17 @@ def test_neighbours(spark):
     got = [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in neighbours.nearest(df).orderBy("query_id", "rank").collect()]
     assert got == [(20, 1, 40, 2.0), (20, 2, 1, 1.0), (20, 3, 2, 0.0), (40, 1, 1, 2.0), (40, 2, 20, 2.0), (40, 3, 2, 0.0)]
     assert neighbours.nearest(df.limit(0)).count() == 0
+
+
+def test_arrow_batches_are_given_back(spark, docs):
+    from gridlode.llm.common import own_batches, small_batches
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    own_batches(spark)
+    before = spark.conf.get(name)
+    small_batches(small_batches(docs))
+    assert spark.conf.get(name) == "1000"
+    own_batches(spark)
+    assert spark.conf.get(name) == before
+    own_batches(spark)
+    assert spark.conf.get(name) == before
