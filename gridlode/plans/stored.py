@@ -160,6 +160,7 @@ _COUNTED = {
     "metadata_collapsed_count": "(SELECT count(*) FROM res WHERE sigs = 1 AND row_version_count > 1)",
     "canonical_mapped_count": "(SELECT count(canonical_node_id) FROM cp)",
     "canonical_review_count": "(SELECT count(*) FROM cp WHERE needs_review)",
+    "canonical_node_count": "(SELECT count(DISTINCT canonical_node_id) FROM so)",
     "unassigned_ambiguous_count": "(SELECT count(*) FROM res JOIN (SELECT logical_tu_key, any_value(kind) AS kind FROM so GROUP BY 1) USING (logical_tu_key) WHERE sigs > 1 AND kind = 3)",
 }
 
