@@ -160,7 +160,7 @@ def test_distributed_files(spark, tmp_path):
     export.json_lines(rows, str(tmp_path / "j"))
     export.csv_folder(rows, str(tmp_path / "c"))
     assert [json.loads(r["value"]) for r in spark.read.text(str(tmp_path / "j")).collect()] == [{"a": 1, "b": None, "c": [1, 2]}]
-    assert spark.read.option("header", True).csv(str(tmp_path / "c")).first()["c"] == "[1,2]"
+    assert spark.read.option("header", True).csv(str(tmp_path / "c")).first()["c"] == "[1, 2]"  # as write_csv() has it
 
 
 def test_stream_updates_the_store(spark, tmp_path):
