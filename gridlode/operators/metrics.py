@@ -77,11 +77,12 @@ def mid_rank(nodes: DataFrame, columns: dict[str, str], key: str = "canonical_no
 
     Ranks come from the different values: their counts are summed up in order
     within RANGES ranges of values first and over the ranges then, so no task
-    sees all of them. The ranges' ends are approximate quantiles, in one row.
+    sees all of them. The ranges' ends are approximate quantiles, in one row that
+    is written: computed again, they could be others, and ranks would mix both.
     `nodes` is read four times, so it should be a written table.
     """
     quantiles = [F.percentile_approx(F.col(c).cast("double"), [k / RANGES for k in range(1, RANGES)], 1000).alias(f"_cuts_{out}") for c, out in columns.items()]
-    ends = F.broadcast(nodes.agg(F.count("*").alias("_n"), *quantiles))  # one row
+    ends = F.broadcast(written(nodes.agg(F.count("*").alias("_n"), *quantiles)))  # one row
     values = F.array(*(F.struct(F.lit(out).alias("name"), F.col(c).cast("double").alias("value"), F.col(f"_cuts_{out}").alias("cuts")) for c, out in columns.items()))
     long = nodes.crossJoin(ends).select(key, "_n", F.explode(values).alias("v")).select(key, "_n", "v.*")
     place = F.size(F.filter(F.coalesce("cuts", F.array().cast("array<double>")), lambda cut: cut < F.col("value")))
