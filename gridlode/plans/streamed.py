@@ -7,6 +7,7 @@ their arrival, with rows that come late and batches that come twice.
 from __future__ import annotations
 
 import contextlib
+import functools
 import http.server
 import threading
 import uuid
@@ -22,7 +23,7 @@ from gridlode.plans import adapter
 from gridlode.plans.catalogue import query
 from gridlode.plans.stored import _RESOLVED
 from gridlode.sources import html, pages
-from gridlode.sources.buckets import Table
+from gridlode.sources.buckets import Files, Table
 from gridlode.sources.files import scratch_dir
 from gridlode.streaming import resolution, updates
 
@@ -86,20 +87,49 @@ def event_windows(spark, d):
 
 
 PAGE_ROWS = 25
+BLOCK = 64  # pages of a registry in one file
+
+
+def page_files(rows: DataFrame) -> str:
+    """A folder of the registry's pages: their rows of the pages table in HTML, a line each behind their number, BLOCK of them in a file.
+
+    A page_id that is missing leaves an empty row, so that the others keep their places.
+    """
+    row = F.concat(*(F.coalesce(x, F.lit("")) for x in (
+        F.lit("<tr><td>P"), F.col("page_id").cast("string"), F.lit("</td><td>ТП №"), F.col("page_id").cast("string"), F.lit("</td><td>"), F.concat(F.col("size").cast("string"), F.lit(",5")), F.lit("</td></tr>"),
+    )))
+    number = F.floor(F.col("page_id") / PAGE_ROWS).cast("bigint") + 1
+    found = rows.groupBy(number.alias("n")).agg(F.collect_list(F.struct((F.col("page_id") % PAGE_ROWS).alias("k"), row.alias("row"))).alias("rows"))  # PAGE_ROWS rows
+    places = F.transform(F.sequence(F.lit(0), F.lit(PAGE_ROWS - 1)), lambda k: F.filter("rows", lambda r: r["k"] == k)["row"])
+    lines = F.concat(F.col("n").cast("string"), F.lit("\t"), F.array_join(F.transform(places, lambda p: F.when(F.size(p) > 0, F.array_join(p, "")).otherwise("<tr></tr>")), ""))
+    folder = _folder(rows.sparkSession, "pages")
+    found.select(F.floor(F.col("n") / BLOCK).cast("bigint").alias("block"), lines.alias("line")).repartition("block").write.partitionBy("block").text(folder)
+    return folder
 
 
 @contextlib.contextmanager
 def served_pages(spark: SparkSession, rows: DataFrame, last: list[int]) -> Iterator[tuple[str, dict[int, int]]]:
-    """A registry on the driver that answers a page with PAGE_ROWS rows of the pages table; its address and its requests by page."""
+    """A registry on the driver that answers a page with PAGE_ROWS rows of the pages table; its address and its requests by page.
+
+    It reads its answers from files that are written before, and needs no task for
+    them: those that ask may hold all cores until they are answered.
+    """
     asked: dict[int, int] = {}
     heads = ("Номер ТУ", "Точка забезпечення потужності", "Потужність замовлена до приєднання")
+    folder = page_files(rows)
+    files = Files(spark, folder)
+
+    @functools.lru_cache(maxsize=8)
+    def block(k: int) -> dict[int, str]:
+        names = [n for n, _ in files.names(f"{folder}/block={k}") if n.startswith("part-")]
+        lines = [line.split("\t", 1) for n in names for line in files.read(f"{folder}/block={k}/{n}").splitlines()]
+        return {int(n): cells for n, cells in lines}
 
     class Answer(http.server.BaseHTTPRequestHandler):
         def do_GET(self) -> None:
             n = int(parse_qs(urlsplit(self.path).query)["page"][0])
             asked[n] = asked.get(n, 0) + 1
-            mine = rows.where(F.col("page_id").between((n - 1) * PAGE_ROWS, n * PAGE_ROWS - 1)).orderBy("page_id").collect()  # PAGE_ROWS rows
-            cells = "".join(f"<tr><td>P{r['page_id']}</td><td>ТП №{r['page_id']}</td><td>{r['size']},5</td></tr>" for r in mine)
+            cells = block(n // BLOCK).get(n, "")
             body = f"<table><tr>{''.join(f'<th>{h}</th>' for h in heads)}</tr>{cells}</table><a href='?page={last[0]}'>last</a>".encode()
             self.send_response(200)
             self.send_header("Content-Type", "text/html; charset=utf-8")
@@ -132,7 +162,7 @@ def page_stream(spark, d):
     from gridlode.operators.points import parse_points
 
     rows = adapter.table(spark, d, "pages").select("page_id", F.length("url").alias("size"))
-    whole = rows.agg(F.max("page_id")).first()[0] // PAGE_ROWS + 1
+    whole = (rows.agg(F.max("page_id")).first()[0] or 0) // PAGE_ROWS + 1
     out, mark, last = _folder(spark, "records"), _folder(spark, "mark"), [0]
     with served_pages(spark, rows, last) as (url, asked):
         for last[0] in (max(1, whole // 2), whole):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from gridlode.functions.schemas import RAW
 from gridlode.operators import snapshot
 from gridlode.operators.identity import with_identities
+from gridlode.plans import streamed
 from gridlode.sources import html, pages
 from gridlode.sources.buckets import Table
 from gridlode.streaming import resolution, updates
@@ -73,6 +74,16 @@ def test_a_page_stream_goes_on_where_it_stopped(spark, tmp_path, monkeypatch):
     assert sorted((r["source_page"], r["tu_number"]) for r in got) == [(n, f"T{n}") for n in range(1, 8)]
 
 
+@pytest.mark.parametrize("ids", [range(250), (0, 3, 60)])
+def test_pages_are_served_while_tasks_hold_all_cores(spark, tmp_path, ids):
+    """More pages than cores: each page's task waits for its answer. Missing ids leave their places empty."""
+    url = lambda n: None if n == 3 else f"http://h/{n}"
+    spark.createDataFrame([(n, url(n)) for n in ids], "page_id long, url string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = streamed.page_stream(spark, str(tmp_path)).collect()
+    want = [(n // 25 + 1, n % 25 + 1, f"P{n}", f"TP-{n}", url(n) and len(url(n)) + 0.5, 3 if n < 25 else 1) for n in ids]
+    assert sorted(map(tuple, got), key=lambda r: r[:2]) == want
+
+
 def test_links_of_a_page():
     assert html.last_linked("<a href='/x?a=1&amp;page=7'>z</a><a href=\"/y\"> 12 </a>") == 12 and html.last_linked("", 4) == 4
 
