@@ -77,22 +77,23 @@ def mid_rank(nodes: DataFrame, columns: dict[str, str], key: str = "canonical_no
 
     Ranks come from the different values: their counts are summed up in order
     within RANGES ranges of values first and over the ranges then, so no task
-    sees all of them. The ranges' ends are approximate quantiles, in one row that
-    is written: computed again, they could be others, and ranks would mix both.
+    sees all of them. The ranges' ends are approximate quantiles, in one row;
+    computed again, they could be others, so the counts by range are written.
     `nodes` is read four times, so it should be a written table.
     """
     quantiles = [F.percentile_approx(F.col(c).cast("double"), [k / RANGES for k in range(1, RANGES)], 1000).alias(f"_cuts_{out}") for c, out in columns.items()]
-    ends = F.broadcast(written(nodes.agg(F.count("*").alias("_n"), *quantiles)))  # one row
+    ends = F.broadcast(nodes.agg(F.count("*").alias("_n"), *quantiles))  # one row
     values = F.array(*(F.struct(F.lit(out).alias("name"), F.col(c).cast("double").alias("value"), F.col(f"_cuts_{out}").alias("cuts")) for c, out in columns.items()))
     long = nodes.crossJoin(ends).select(key, "_n", F.explode(values).alias("v")).select(key, "_n", "v.*")
     place = F.size(F.filter(F.coalesce("cuts", F.array().cast("array<double>")), lambda cut: cut < F.col("value")))
-    counts = long.groupBy("name", "value", place.alias("range")).agg(F.count("*").alias("equal"), F.first("_n").alias("_n"))
+    counts = written(long.groupBy("name", "value", place.alias("range")).agg(F.count("*").alias("equal"), F.first("_n").alias("_n")))
     starts = counts.groupBy("name", "range").agg(F.sum("equal").alias("all"))
     starts = starts.select("name", "range", (F.sum("all").over(Window.partitionBy("name").orderBy("range")) - F.col("all")).alias("start"))  # RANGES rows a name
     within = F.sum("equal").over(Window.partitionBy("name", "range").orderBy("value")) - F.col("equal")
     less = counts.withColumn("within", within).join(F.broadcast(starts), ["name", "range"]).select("name", "value", "equal", "_n", (F.col("within") + F.col("start")).alias("less"))
+    plain = F.array(*(F.struct(F.lit(out).alias("name"), F.col(c).cast("double").alias("value")) for c, out in columns.items()))
     rank = F.when(F.col("_n") <= 1, 100.0).otherwise(100.0 * (F.col("less") + (F.col("equal") - 1) / 2) / F.nullif(F.col("_n") - 1, F.lit(0)))
-    ranked = long.where("value > 0").select(key, "name", "value").join(less, ["name", "value"]).select(key, "name", rank.alias("rank"))
+    ranked = nodes.select(key, F.explode(plain).alias("v")).select(key, "v.*").where("value > 0").join(less, ["name", "value"]).select(key, "name", rank.alias("rank"))
     wide = ranked.groupBy(key).agg(*(F.max(F.when(F.col("name") == out, F.col("rank"))).alias(out) for out in columns.values()))
     return nodes.join(wide, key, "left").select(*nodes.columns, *(F.coalesce(out, F.lit(0.0)).alias(out) for out in columns.values()))
 
