@@ -26,6 +26,12 @@ def attributed(variants: DataFrame, resolved: DataFrame) -> DataFrame:
     return nodes.join(ranges, "logical_tu_key")
 
 
+def of_settled(records: DataFrame) -> DataFrame:
+    """attributed() of the rows of snapshot.settled(), without their keys."""
+    mw = ((F.col(f"ambiguous_capacity_{s}_kw") / 1000).alias(f"{s}_mw") for s in ("min", "max"))
+    return records.where("status = 'ambiguous'").select("canonical_node_id", *mw)
+
+
 def _bucket() -> list[Column]:
     # a range is known at both ends or at neither
     return [F.count("*").cast("int").alias(AMBIGUITY_METRICS[0]), whole_sum(F.col("min_mw")).alias(AMBIGUITY_METRICS[1]), whole_sum(F.col("max_mw")).alias(AMBIGUITY_METRICS[2])]

@@ -24,6 +24,8 @@ from gridlode.sources.files import written
 PARENTS = (("ПС", "PS", 0), ("ЦРП", "CRP", 1), ("РП", "RP", 2), ("КТПП", "KTP", 3), ("СКТП", "KTP", 3), ("КТП", "KTP", 3), ("ЗТП", "ZTP", 4), ("ЩТП", "TP", 5), ("ТП", "TP", 5))
 CONNECTIONS = (("РУ", "RU"), ("ПЛІ", "PL"), ("ПЛ", "PL"), ("КЛ", "KL"))
 
+TEXTS_MB = 64
+
 _TOKEN = f"(?iu)(?<![{LETTER}])({'|'.join(t for t, *_ in (*PARENTS, *CONNECTIONS))})(?![{LETTER}])"
 _VOLT = r"\d+(?:\.\d+)?"
 _VOLTS = rf"(?iuU)\A({_VOLT}(?:\s*/\s*{_VOLT})+|{_VOLT})\s*кВ"
@@ -135,18 +137,25 @@ def published_voltage(x: Column) -> Column:
     return F.when(text.rlike(r"\A[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?\z"), text.try_cast("double"))
 
 
-def parse_records(raw: DataFrame) -> DataFrame:
-    """Raw records to parsed ones. Each different text is parsed once and written; records join it by their text.
+def with_points(raw: DataFrame) -> DataFrame:
+    """Raw records with the parsed fields of their points. Each different text is parsed once and written; records join it by their text.
 
     Parsing costs some hundred times what a join's row does, and registries
-    repeat their texts. Both sides of the join are plain tables, so it deals the
-    rows of a hot text, such as the empty one, out again, or needs no exchange
-    where the texts are few.
+    repeat their texts. Texts of TEXTS_MB at most go to all executors, so that no
+    record is dealt out for its text. Beyond that, both sides of the join are plain
+    tables, so it deals the rows of a hot text, such as the empty one, out again.
     """
     text = F.coalesce("connection_point_raw", F.lit(""))
     texts = written(parse_points(raw.select(text.alias("_point")).distinct(), "_point"))
-    found = raw.withColumn("_point", text).join(texts, "_point").drop("_point")
-    return _finished(found.withColumn("parse_error", F.lit(None).cast("string")))
+    size = texts.agg(F.sum(F.octet_length("_point") + 64)).first()[0] or 0  # 64 bytes for the fields beside a text
+    if size <= TEXTS_MB << 20:
+        texts = F.broadcast(texts)
+    return raw.withColumn("_point", text).join(texts, "_point").drop("_point")
+
+
+def parse_records(raw: DataFrame) -> DataFrame:
+    """Raw records to parsed ones."""
+    return _finished(with_points(raw).withColumn("parse_error", F.lit(None).cast("string")))
 
 
 def parse_records_with(raw: DataFrame, parse: Callable[[str], dict]) -> DataFrame:

@@ -1,12 +1,17 @@
-"""Snapshot resolution: one logical record, or the fields on which its versions differ."""
+"""Snapshot resolution: one logical record, or the fields on which its versions differ.
+
+Observations are dealt out once, by what their logical key is made of, and summed
+up by version, signature and record where they lie. Hashes are made after that:
+their digits don't compress, and would be most of what is written to disk.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlode.functions.schemas import MATERIAL_FIELDS
-from gridlode.operators.identity import order
+from gridlode.functions.schemas import MATERIAL_FIELDS, SOURCE_FIELDS
+from gridlode.operators.identity import key_of_parts, key_parts, order, row_fingerprint
 from gridlode.operators.points import parse_records
 from gridlode.sources.files import written
 
@@ -18,29 +23,41 @@ def versions(ided: DataFrame) -> DataFrame:
     return first.select("logical_tu_key", "row_fingerprint", "observations", "r.*")
 
 
-def _counted(ided: DataFrame) -> DataFrame:
-    """versions() with the material fields only, which a fingerprint settles: no row is carried along."""
-    return ided.groupBy("logical_tu_key", "row_fingerprint", *MATERIAL_FIELDS).agg(F.count("*").alias("observations"))
+def _dealt(rows: DataFrame, *more: str) -> tuple[list[str], DataFrame]:
+    """Observations dealt out by the parts of their logical key: the parts' names, and those parts, all fields that hashes need and `more`."""
+    parts = key_parts()
+    columns = dict.fromkeys(("source", *SOURCE_FIELDS, *more))
+    # where the source is a constant, it is taken out of what rows are grouped by: dealt out by it, they would be dealt out again
+    return list(parts), rows.select(*columns, *(x.alias(c) for c, x in parts.items())).repartition(*(c for c in parts if c != "_k_source"))
+
+
+def _differs(c: str) -> Column:
+    return F.coalesce(F.min(c) != F.max(c), F.lit(False)) | ((F.count(c) > 0) & (F.count(c) < F.count("*")))
 
 
 def resolve(found: DataFrame) -> DataFrame:
     """A row for each logical record: counts, status, conflicts, range and representative.
 
-    `found` are observations or versions(). They are summed up by version and
-    by material signature first, which a hot record has few of.
+    `found` are observations or versions(). They are summed up by version, by
+    material signature and by record.
     """
-    v = found if "observations" in found.columns else _counted(found)
-    signatures = v.groupBy("logical_tu_key", *MATERIAL_FIELDS).agg(F.sum("observations").alias("observations"), F.count("*").alias("versions"), F.min("row_fingerprint").alias("first"))
-    differs = lambda c: F.coalesce(F.min(c) != F.max(c), F.lit(False)) | ((F.count(c) > 0) & (F.count(c) < F.count("*")))
-    by_key = signatures.groupBy("logical_tu_key").agg(
+    if "observations" in found.columns:
+        key, v = ["logical_tu_key"], found
+    else:
+        key, dealt = _dealt(found)
+        v = dealt.withColumn("row_fingerprint", row_fingerprint()).groupBy(*key, "row_fingerprint", *MATERIAL_FIELDS).agg(F.count("*").alias("observations"))
+    signatures = v.groupBy(*key, *MATERIAL_FIELDS).agg(F.sum("observations").alias("observations"), F.count("*").alias("versions"), F.min("row_fingerprint").alias("first"))
+    by_key = signatures.groupBy(*key).agg(
         F.sum("observations").alias("observation_count"),
         F.sum("versions").alias("row_version_count"),
         F.count("*").alias("material_signature_count"),
         F.min("first").alias("first"),
         F.min("requested_power_kw").alias("low"),
         F.max("requested_power_kw").alias("high"),
-        *(differs(c).alias(f"_{c}") for c in MATERIAL_FIELDS),
+        *(_differs(c).alias(f"_{c}") for c in MATERIAL_FIELDS),
     )
+    if len(key) > 1:
+        by_key = by_key.withColumn("logical_tu_key", key_of_parts())
     clear = F.col("material_signature_count") == 1
     conflicts = F.array_compact(F.array(*(F.when(F.col(f"_{c}"), c) for c in MATERIAL_FIELDS)))
     return by_key.select(
@@ -56,6 +73,43 @@ def resolve(found: DataFrame) -> DataFrame:
     )
 
 
+#: What settled() keeps of a canonical record; the fields of its signature settle it.
+_CANONICAL = (*MATERIAL_FIELDS, "activity_type", "confidence", "needs_review")
+
+
+def settled(rows: DataFrame) -> DataFrame:
+    """A row for each logical record, without its versions: status, range in kW, the node that all its variants have (else null), and fields.
+
+    `rows` are observations or parsed ones. Canonical records have their
+    representative's fingerprint and fields, of parsed ones with those of the
+    point, and their first time of collection; what isn't asked for takes no
+    part. Rows are dealt out once.
+    """
+    fields = [c for c in _CANONICAL if c in rows.columns]
+    parsed = "canonical_node_id" in rows.columns
+    node = ["canonical_node_id"] if parsed else []
+    key, dealt = _dealt(rows, *fields, *node, "fetched_at")
+    rest = [F.first(c).alias(c) for c in (*fields, *node) if c not in MATERIAL_FIELDS]  # equal in a signature
+    signatures = dealt.withColumn("row_fingerprint", row_fingerprint()).groupBy(*key, *MATERIAL_FIELDS).agg(F.min("row_fingerprint").alias("row_fingerprint"), F.min("fetched_at").alias("fetched_at"), *rest)
+    by_key = signatures.groupBy(*key).agg(
+        F.count("*").alias("_signatures"),
+        F.min("requested_power_kw").alias("ambiguous_capacity_min_kw"),
+        F.max("requested_power_kw").alias("ambiguous_capacity_max_kw"),
+        F.first("row_fingerprint").alias("row_fingerprint"),
+        F.first("fetched_at").alias("fetched_at"),
+        *(F.first(c).alias(c) for c in fields),
+        *(F.when(~_differs(c), F.min(c)).alias(c) for c in node),
+    )
+    clear = F.col("_signatures") == 1
+    return by_key.select(
+        key_of_parts().alias("logical_tu_key"),
+        F.when(clear, "canonical").otherwise("ambiguous").alias("status"),
+        *(F.when(~clear, F.col(c)).alias(c) for c in ("ambiguous_capacity_min_kw", "ambiguous_capacity_max_kw")),
+        *(F.when(clear, F.col(c)).alias(c) for c in ("row_fingerprint", "fetched_at", *fields)),
+        *node,
+    )
+
+
 def representatives(found: DataFrame, resolved: DataFrame) -> DataFrame:
     """The version that stands for each canonical logical record."""
     chosen = resolved.where(F.col("status") == "canonical").select("logical_tu_key", F.col("representative_fingerprint").alias("row_fingerprint"))

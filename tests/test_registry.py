@@ -129,3 +129,34 @@ def test_update_is_idempotent_and_failures_stay_hidden(spark, tmp_path):
 def test_finish_takes_two_states_only(spark, tmp_path):
     with pytest.raises(ValueError):
         Store(spark, str(tmp_path / "x")).finish_run(1, "done", {})
+
+
+def test_settled_records_equal_the_snapshot(spark):
+    """One exchange gives what versions, resolution, variants and canonical records give together."""
+    import random
+
+    from gridlode.operators.points import parse_records
+    from tests.test_store import record
+
+    rng = random.Random(5)
+    made = [
+        record(n, tu_number=rng.choice([None, "", f"{n % 19}"]), requested_power_kw=rng.choice([None, 0.0, 5.0]), voltage_raw=rng.choice([None, "10"]), rem=rng.choice(["a", "b"]), connection_point_raw=rng.choice(["ТП №55", "ТП 55", "ТП №56", None]))
+        for n in range(80)
+    ]
+    ided = with_identities(spark.createDataFrame(made, RAW))
+    snap = snapshot.Snapshot(ided)
+    got = snapshot.settled(parse_records(spark.createDataFrame(made, RAW)))
+    rows = lambda df: sorted(map(str, map(tuple, df.collect())))
+    assert rows(got.select("logical_tu_key", "status", "row_fingerprint")) == rows(snap.resolved.select("logical_tu_key", "status", "representative_fingerprint"))
+    fields = ("logical_tu_key", "row_fingerprint", "canonical_node_id", "activity_type", "confidence", "needs_review", "tu_date", "requested_power_kw")
+    assert rows(got.where("status = 'canonical'").select(*fields)) == rows(snap.canonical().select(*fields))
+    want = ambiguity.attributed(snap.variants(), snap.resolved)
+    assert rows(ambiguity.of_settled(got)) == rows(want.select("canonical_node_id", "min_mw", "max_mw")) and want.count() > 5
+
+
+def test_observations_are_dealt_out_once(spark):
+    from gridlode.plans import adapter
+
+    records = adapter.records(spark, "/root/testdata/sf0.001")
+    for found in (snapshot.resolve(with_identities(records)), snapshot.settled(records)):
+        assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
