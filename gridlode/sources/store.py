@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gridlode.functions.schemas import AMBIGUITY_METRICS, METRICS, PARSED, RAW
+from gridlode.operators.identity import with_identities
 from gridlode.sources.buckets import BUCKET, RETENTION, CommitConflict, Files, Table, merged  # noqa: F401  (merged is offered here too)
 
 RUNS = "id long, source string, status string, started_at timestamp, finished_at timestamp, counts map<string,long>, error string"
@@ -115,6 +116,17 @@ def inserted(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     return new.join(old.select(*key), key, "left_anti")
 
 
+def first_of_points(ided: DataFrame, order: Column) -> DataFrame:
+    """The first record of each point and voltage, which settle node and confidence: best_by_node() needs no other.
+
+    Those are few, and the rest is left out before any row is dealt out.
+    """
+    alike = ["connection_point_raw", "voltage_raw"]
+    raw = [c for c in ided.columns if c not in (*alike, "record_key", "row_fingerprint", "logical_tu_key")]
+    first = ided.groupBy(*alike).agg(F.min_by(F.struct(*raw), order).alias("r")).select(*alike, "r.*")
+    return with_identities(first)
+
+
 def best_by_node(parsed: DataFrame, order: Column) -> DataFrame:
     """The record of the highest confidence of each node, the first of equals."""
     rows = parsed.where(F.nullif(F.col("canonical_node_id"), F.lit("")).isNotNull()).withColumn("_o", order)

@@ -186,3 +186,16 @@ def test_lists_and_cells_of_distributed_files(spark, tmp_path):
     export.csv_folder(df.where("id = 3"), str(tmp_path / "c"))
     row = spark.read.option("header", True).option("escape", '"').csv(str(tmp_path / "c")).first()
     assert (row["t"], row["x"], row["s"]) == ('["a\\"b", null]', "[1.5]", '{"id":3}')
+
+
+def test_first_of_points_keeps_the_best_records(spark):
+    """Ties go by page, row and fingerprint, and few rows are left to be parsed and dealt out."""
+    from gridlode.operators.identity import order, with_identities
+    from gridlode.operators.points import parse_records
+    from gridlode.sources import store
+
+    made = [record(n % 7, source_page=n % 3, connection_point_raw=("ТП №55", "ТП 55", "РП №6 Північ КТП-5", None)[n % 4], voltage_raw=(None, "10", "35")[n % 3], rem=f"{n % 5}") for n in range(60)]
+    ided = with_identities(spark.createDataFrame(made, RAW))
+    first = store.first_of_points(ided, order())
+    best = lambda rows: sorted(map(str, store.best_by_node(parse_records(rows), order()).select("canonical_node_id", "record_key", "confidence", "row_fingerprint", "source_page").collect()))
+    assert first.count() == 12 and best(first) == best(ided) != []
